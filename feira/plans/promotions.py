@@ -15,7 +15,7 @@ def promotion_targets(promotions: DataFrame) -> DataFrame:
     """One row per promotion and target, a category or a product."""
     by_category = promotions.select(
         *TERMS, F.lit("category").alias("target_kind"),
-        F.explode("target_category_ids").cast("string").alias("target_id"))
+        F.explode(F.col("target_category_ids").cast("array<string>")).alias("target_id"))
     by_product = promotions.select(
         *TERMS, F.lit("product").alias("target_kind"), F.explode("target_product_ids").alias("target_id"))
     return by_category.unionByName(by_product)
@@ -51,7 +51,11 @@ def promotion_at_order(items: DataFrame, promotions: DataFrame) -> DataFrame:
 
 
 def effective_price(products: DataFrame, promotions: DataFrame, as_of: Column) -> DataFrame:
-    """Current price of every product: the lowest of its active promotions, ties by promotion id."""
+    """Current price of every product: the lowest of its active promotions, ties by promotion id.
+
+    Products with an active promotion are few beside all products, so the offers are reduced
+    to one per product first and the full product table meets them in a single left join.
+    """
     base = products.select("product_id", "category_id", "base_price")
     price = values.discounted(F.col("base_price"), F.col("discount_percentage"), F.col("discount_amount"))
     offers = _matched(base, active_promotions_at(promotions, as_of)).select(

@@ -91,17 +91,6 @@ def b11(m):
         F.col("promotion_period.upper").alias("period_upper"))
 
 
-@query("b11_promoted_orders", """
-SELECT o.order_id, count(*) AS n_valid FROM d_order o JOIN d_promotion p
-  ON p.period_lower <= o.order_purchase_timestamp AND o.order_purchase_timestamp < p.period_upper GROUP BY 1""")
-def b11_orders(m):
-    """Promotions valid at the purchase of each order: the promotion list is one array value."""
-    periods = m.promotion.agg(F.collect_list("promotion_period")).scalar()
-    valid = F.filter(F.col("periods"), lambda p: C.period_contains(p, F.col("order_purchase_timestamp")))
-    counted = m.order.withColumn("periods", periods).select("order_id", F.size(valid).cast("long").alias("n_valid"))
-    return counted.where("n_valid > 0")
-
-
 @query("b12_overlapping_promotions", """
 SELECT promotion_id, name FROM d_promotion
 WHERE period_lower < TIMESTAMP '2001-07-01 00:00:00' AND TIMESTAMP '1998-06-01 00:00:00' < period_upper""")

@@ -201,16 +201,26 @@ class Marketplace:
 
     @cached_property
     def promotion(self) -> DataFrame:
+        """Four promotions of categories and one campaign per supplier on two products."""
         schema = ("promotion_id string, name string, percentage string, amount string,"
                   "lower string, upper string, target int")
-        rows = self.spark.createDataFrame(PROMOTIONS, schema)
-        return rows.select(
+        fixed = self.spark.createDataFrame(PROMOTIONS, schema).select(
             "promotion_id", "name", F.col("percentage").cast("decimal(5,2)").alias("discount_percentage"),
             F.col("amount").cast("decimal(12,2)").alias("discount_amount"),
-            C.period(F.col("lower").cast("timestamp_ntz"), F.col("upper").cast("timestamp_ntz"))
-            .alias("promotion_period"),
+            F.col("lower").cast("timestamp_ntz").alias("lower"), F.col("upper").cast("timestamp_ntz").alias("upper"),
             F.array("target").alias("target_category_ids"),
             F.array().cast("array<string>").alias("target_product_ids"))
+        campaigns = self.raw("supplier").selectExpr(
+            "concat('SP_', s_suppkey) AS promotion_id", "concat('campaign ', s_suppkey) AS name",
+            "CASE WHEN s_suppkey % 3 <> 0 THEN CAST(5 + s_suppkey % 40 AS DECIMAL(5,2)) END AS discount_percentage",
+            "CASE WHEN s_suppkey % 3 = 0 THEN CAST(10 + s_suppkey % 200 AS DECIMAL(12,2)) END AS discount_amount",
+            "TIMESTAMP_NTZ '1996-01-01 00:00:00' + ((s_suppkey * 37) % 2100) * INTERVAL '1' DAY AS lower",
+            """TIMESTAMP_NTZ '1996-01-01 00:00:00' + ((s_suppkey * 37) % 2100 + s_suppkey % 200 + 1) * INTERVAL '1' DAY
+               AS upper""",
+            "CAST(array() AS ARRAY<INT>) AS target_category_ids",
+            "array(concat('PROD_', s_suppkey * 13), concat('PROD_', s_suppkey * 17)) AS target_product_ids")
+        both = fixed.unionByName(campaigns)
+        return both.withColumn("promotion_period", C.period(F.col("lower"), F.col("upper"))).drop("lower", "upper")
 
     @cached_property
     def session_event(self) -> DataFrame:
