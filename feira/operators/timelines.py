@@ -60,9 +60,9 @@ def status_transitions(versions: DataFrame) -> DataFrame:
     linked = with_previous(
         versions, ["order_id"], ["changed_at", "step"], ["order_status"], F.date_trunc("month", F.col("changed_at")))
     before = F.col("previous.order_status")
+    rest = [c for c in versions.columns if c != "order_status"]
     return linked.where(~before.eqNullSafe(F.col("order_status"))).select(
-        "order_id", "order_purchase_timestamp", before.alias("from_status"), F.col("order_status").alias("to_status"),
-        "changed_at", "step")
+        *rest, before.alias("from_status"), F.col("order_status").alias("to_status"))
 
 
 def time_in_status(history: DataFrame) -> DataFrame:

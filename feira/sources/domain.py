@@ -37,6 +37,11 @@ class Marketplace:
             self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._raw[name]
 
+    def stream(self, name: str) -> DataFrame:
+        """The same table as a stream of its files."""
+        reader = self.spark.readStream.schema(self.raw(name).schema).option("pathGlobFilter", f"{name}.parquet")
+        return reader.parquet(self.folder)
+
     @cached_property
     def category(self) -> DataFrame:
         # One row per category name: a dimension, so one ordered window is enough.
@@ -140,21 +145,7 @@ class Marketplace:
 
     @cached_property
     def order(self) -> DataFrame:
-        return self.raw("orders").selectExpr(
-            "CAST(o_orderkey AS STRING) AS order_id", "concat('CUST_', o_custkey) AS customer_unique_id",
-            """CASE WHEN o_orderstatus = 'F' AND o_orderkey % 20 = 0 THEN 'canceled'
-                    WHEN o_orderstatus = 'F' THEN 'delivered'
-                    WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'shipped'
-                    WHEN o_orderstatus = 'O' THEN 'invoiced'
-                    WHEN o_orderkey % 2 = 0 THEN 'created' ELSE 'approved' END AS order_status""",
-            "o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS order_purchase_timestamp",
-            """CASE WHEN o_orderkey % 13 <> 0
-                    THEN o_orderdate + (o_orderkey % 24 + 2) * INTERVAL '1' HOUR END AS order_approved_at""",
-            """CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + (o_orderkey % 5 + 2) * INTERVAL '1' DAY
-               END AS order_delivered_carrier_date""",
-            """CASE WHEN o_orderstatus = 'F' THEN o_orderdate + (o_orderkey % 30 + 1) * INTERVAL '1' DAY
-               END AS order_delivered_customer_date""",
-            "o_orderdate + INTERVAL '20' DAY AS order_estimated_delivery_date")
+        return order_rows(self.raw("orders"))
 
     @cached_property
     def order_item(self) -> DataFrame:
@@ -228,21 +219,25 @@ class Marketplace:
 
     @cached_property
     def order_history(self) -> DataFrame:
-        """Status versions of each order: one row per lifecycle instant that is set, with repeats."""
-        steps = F.array(
-            F.struct(F.lit("created").alias("status"), F.col("order_purchase_timestamp").alias("at")),
-            F.struct(F.lit("approved").alias("status"), F.col("order_approved_at").alias("at")),
-            F.struct(F.when(F.col("order_status") == "invoiced", "invoiced").otherwise("shipped").alias("status"),
-                     F.col("order_delivered_carrier_date").alias("at")),
-            F.struct(F.col("order_status").alias("status"),
-                     F.col("order_delivered_customer_date").alias("at")),
-            F.struct(F.when(F.col("order_approved_at").isNotNull(), "approved").otherwise("created").alias("status"),
-                     (F.col("order_purchase_timestamp") + F.expr("INTERVAL '3' HOUR")).alias("at")))
-        exploded = self.order.select(
-            "order_id", "order_purchase_timestamp", F.posexplode(steps).alias("step", "s"))
-        return exploded.where("s.at IS NOT NULL").select(
-            "order_id", "order_purchase_timestamp", "step", F.col("s.status").alias("order_status"),
-            F.col("s.at").alias("changed_at"))
+        return order_versions(self.order)
+
+
+def order_versions(orders: DataFrame) -> DataFrame:
+    """Status versions of each order: one row per lifecycle instant that is set, with repeats."""
+    steps = F.array(
+        F.struct(F.lit("created").alias("status"), F.col("order_purchase_timestamp").alias("at")),
+        F.struct(F.lit("approved").alias("status"), F.col("order_approved_at").alias("at")),
+        F.struct(F.when(F.col("order_status") == "invoiced", "invoiced").otherwise("shipped").alias("status"),
+                 F.col("order_delivered_carrier_date").alias("at")),
+        F.struct(F.col("order_status").alias("status"),
+                 F.col("order_delivered_customer_date").alias("at")),
+        F.struct(F.when(F.col("order_approved_at").isNotNull(), "approved").otherwise("created").alias("status"),
+                 (F.col("order_purchase_timestamp") + F.expr("INTERVAL '3' HOUR")).alias("at")))
+    exploded = orders.select(
+        "order_id", "order_purchase_timestamp", F.posexplode(steps).alias("step", "s"))
+    return exploded.where("s.at IS NOT NULL").select(
+        "order_id", "order_purchase_timestamp", "step", F.col("s.status").alias("order_status"),
+        F.col("s.at").alias("changed_at"))
 
 
 def session_events(events: DataFrame) -> DataFrame:
@@ -252,3 +247,22 @@ def session_events(events: DataFrame) -> DataFrame:
         """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'search'
            WHEN 'purchase' THEN 'order_completed' WHEN 'signup' THEN 'add_to_cart' ELSE 'error' END AS type""",
         "ts", "value", "props")
+
+
+def order_rows(raw: DataFrame) -> DataFrame:
+    """Orders with their lifecycle; works on a batch or a stream."""
+    return raw.selectExpr(
+        "CAST(o_orderkey AS STRING) AS order_id", "concat('CUST_', o_custkey) AS customer_unique_id",
+        """CASE WHEN o_orderstatus = 'F' AND o_orderkey % 20 = 0 THEN 'canceled'
+                WHEN o_orderstatus = 'F' THEN 'delivered'
+                WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'shipped'
+                WHEN o_orderstatus = 'O' THEN 'invoiced'
+                WHEN o_orderkey % 2 = 0 THEN 'created' ELSE 'approved' END AS order_status""",
+        "o_orderdate + (o_orderkey % 24) * INTERVAL '1' HOUR AS order_purchase_timestamp",
+        """CASE WHEN o_orderkey % 13 <> 0
+                THEN o_orderdate + (o_orderkey % 24 + 2) * INTERVAL '1' HOUR END AS order_approved_at""",
+        """CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + (o_orderkey % 5 + 2) * INTERVAL '1' DAY
+           END AS order_delivered_carrier_date""",
+        """CASE WHEN o_orderstatus = 'F' THEN o_orderdate + (o_orderkey % 30 + 1) * INTERVAL '1' DAY
+           END AS order_delivered_customer_date""",
+        "o_orderdate + INTERVAL '20' DAY AS order_estimated_delivery_date")
