@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from feira.functions import collections as C, dates, semistructured as J
 from feira.operators import search
+from feira.operators.sorting import top_k
 from feira.queries.registry import query
 from feira.queries.views import AS_OF
 
@@ -203,6 +204,14 @@ def b26_products(m):
     return found.select("product_id", F.round("score", 6).alias("score"))
 
 
+@query("f4_by_relevance", f"""
+SELECT doc_id, round(s, 6) AS score FROM (SELECT doc_id, {share('text', "'les', 'eaux'")} AS s FROM documents) t
+WHERE s > 0 ORDER BY s DESC, doc_id LIMIT 20""")
+def f4(m):
+    found = top_k(search.text_matches(m.raw("documents"), {"text": 1.0}, "les eaux"), [F.desc("score")], "doc_id", 20)
+    return found.select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("b26_inverted_index", f"""
 SELECT token, doc_id, 'text' AS field, count(*) AS tf
 FROM (SELECT doc_id, unnest({TOKENS.format('text')}) AS token FROM documents) t GROUP BY 1, 2""")
