@@ -47,7 +47,7 @@ def whole_days(start: Column, end: Column) -> Column:
 def floor_days(start: Column, end: Column) -> Column:
     """Full 24-hour days, rounded down also for negative spans."""
     span = micros_between(start, end)
-    return ((span - F.pmod(span, F.lit(DAY_MICROS))) / F.lit(DAY_MICROS)).cast("long")
+    return F.call_function("div", span - F.pmod(span, F.lit(DAY_MICROS)), F.lit(DAY_MICROS))
 
 
 def mean_days(start: Column, end: Column) -> Column:
@@ -59,10 +59,15 @@ def mean_days(start: Column, end: Column) -> Column:
 
 def mean_days_of(seconds: Column, pairs: Column) -> Column:
     """Two-place mean of ``pairs`` spans lasting ``seconds`` together; NULL without pairs."""
-    unit = 2 * DAY_SECONDS * F.nullif(pairs, F.lit(0))
-    doubled = 200 * F.abs(seconds) + DAY_SECONDS * pairs
-    cents = ((doubled - F.pmod(doubled, unit)) / unit).cast("long") * F.sign(seconds).cast("long")
-    return (cents.cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(10,2)")
+    return mean_hundredths(100 * seconds.cast("decimal(28,0)"), DAY_SECONDS * pairs.cast("decimal(28,0)")).cast(
+        "decimal(10,2)")
+
+
+def mean_hundredths(hundredths: Column, n: Column) -> Column:
+    """``hundredths`` / ``n`` rounded once, half away from zero, as a number with two decimals."""
+    doubled = 2 * F.abs(hundredths) + n
+    whole = F.call_function("div", doubled, 2 * F.nullif(n, F.lit(0))) * F.sign(hundredths).cast("long")
+    return (whole.cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
 
 
 def month_label(ts: Column) -> Column:

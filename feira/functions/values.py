@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from feira.functions.dates import mean_hundredths
+
 MONEY = "decimal(14,2)"
 
 
@@ -12,6 +14,12 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def mean_money(amount: Column, n: Column) -> Column:
+    """``amount`` over ``n`` to two decimals, half away from zero, rounded only once."""
+    cents = (amount * 100).cast("decimal(28,0)")
+    return mean_hundredths(cents, n.cast("decimal(28,0)")).cast("decimal(12,2)")
+
+
 def round_half_even(value: Column, scale: int = 2) -> Column:
     return F.bround(value, scale)
 

@@ -74,7 +74,8 @@ def ratings(reviews: DataFrame, key: str) -> DataFrame:
     """Mean score to two places, count and how often each score occurs."""
     scored = reviews.where(F.col(key).isNotNull())
     stars = [F.count_if(F.col("score") == s).alias(f"score_{s}") for s in range(1, 6)]
-    mean = (F.sum("score").cast("decimal(18,0)") / F.count("score").cast("decimal(18,0)")).cast("decimal(4,2)")
+    mean = dates.mean_hundredths(
+        100 * F.sum("score").cast("decimal(28,0)"), F.count("score").cast("decimal(28,0)")).cast("decimal(4,2)")
     return scored.groupBy(key).agg(mean.alias("rating_avg"), F.count("*").alias("n_reviews"), *stars)
 
 

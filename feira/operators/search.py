@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -66,12 +68,14 @@ def text_matches(df: DataFrame, weights: dict[str, float], wanted: str) -> DataF
 
     The score adds, per field, weight times the share of the field's words that match.
     """
-    terms = sorted(set(wanted.lower().split()))
+    terms = sorted({t for t in re.split(r"[\W_]+", wanted.lower()) if t})
+    # A plain match test first: scores are then computed once, and for matching rows only.
+    tests = [F.lower(F.col(c)).rlike(text.word_pattern(terms)) for c in weights]
+    matching = df.where(reduce(Column.__or__, [F.coalesce(t, F.lit(False)) for t in tests]))
     score = F.lit(0.0)
     for column, weight in weights.items():
-        words = text.tokens(F.coalesce(F.col(column), F.lit("")))
-        score = score + text.term_score(words, terms) * float(weight)
-    return df.withColumn("score", score).where(F.col("score") > 0)
+        score = score + text.term_share(F.coalesce(F.col(column), F.lit("")), terms) * float(weight)
+    return matching.withColumn("score", score)
 
 
 def text_search(df: DataFrame, weights: dict[str, float], wanted: str, key: str) -> DataFrame:

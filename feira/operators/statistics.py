@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feira.functions import dates
@@ -9,42 +11,40 @@ from feira.operators.aggregates import value_counts
 from feira.operators.joins import delivered_with_review, item_flows
 from feira.operators.sorting import largest_margins
 
-SLICES = 64
-
-
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accuracy: int = 10_000) -> DataFrame:
     """(probability, value) by linear interpolation, exact for any number of distinct values.
 
-    Equal values are counted first. The distinct values are then cut into slices of about equal
-    size at approximate quantiles, and only the slices that hold a wanted rank are sorted, each
-    in its own task. Running totals over all rows are taken per slice, not per value.
+    A sketch over all rows brackets each wanted rank; then one pass counts the rows below each
+    bracket and another collects the few distinct values inside. Rows are never shuffled by
+    value, and no task holds more than the values of one bracket.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
-        F.count("*").alias("n"))
-    edges = counts.agg(F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 10_000)).scalar()
-    sliced = counts.withColumn("edges", edges).select(
-        "v", "n", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("slice"))
-
-    # One row per slice: a window over them is small.
-    totals = sliced.groupBy("slice").agg(F.sum("n").alias("slice_n"))
-    upto = F.sum("slice_n").over(Window.orderBy("slice"))
-    total = F.sum("slice_n").over(Window.partitionBy())
-    spans = totals.select("slice", (upto - F.col("slice_n")).alias("before"), upto.alias("upto"), total.alias("total"))
-    wanted = spans.select("*", F.explode(F.lit(probabilities)).alias("probability")).withColumn(
-        "position", F.col("probability") * (F.col("total") - 1))
-    ranks = wanted.select(
-        "slice", "before", "upto", "probability", "position",
-        F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
-    ranks = ranks.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-
-    starts = ranks.select("slice", "before").distinct()
-    running = sliced.join(starts, "slice").withColumn(
-        "end", F.col("before") + F.sum("n").over(Window.partitionBy("slice").orderBy("v")))
-    hit = running.drop("before").join(ranks, "slice").where(
-        (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
+    margin = 20 / accuracy
+    edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    sketch = values.agg(F.struct(F.percentile_approx("v", edges, accuracy).alias("edge"), F.count("*").alias("total")))
+    marked = values.withColumn("s", sketch.scalar())
+    low = [F.col("s.edge")[2 * i] for i in range(len(probabilities))]
+    high = [F.col("s.edge")[2 * i + 1] for i in range(len(probabilities))]
+
+    counted = marked.agg(F.max("s.total").alias("total"), *[
+        F.count_if(F.col("v") < low[i]).alias(f"before_{i}") for i in range(len(probabilities))])
+    wanted = counted.select("total", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("bracket"), F.lit(float(p)).alias("probability"), F.col(f"before_{i}").alias("before"))
+        for i, p in enumerate(probabilities)])).alias("w")).select(
+            "w.*", (F.col("w.probability") * (F.col("total") - 1)).alias("position"))
+
+    inside = [(F.col("v") >= low[i]) & (F.col("v") <= high[i]) for i in range(len(probabilities))]
+    brackets = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(inside)]))
+    found = marked.where(reduce(Column.__or__, inside)).select("v", F.explode(brackets).alias("bracket"))
+    counts = found.groupBy("bracket", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
+    ranked = counts.withColumn("upto", upto).join(wanted, "bracket").withColumn("upto", F.col("upto") + F.col("before"))
+    lower, upper = F.floor("position"), F.ceil("position")
+    pair = ranked.groupBy("probability", "position").agg(
+        F.min(F.when(F.col("upto") > lower, F.col("v"))).alias("lower"),
+        F.min(F.when(F.col("upto") > upper, F.col("v"))).alias("upper"))
     part = F.col("position") - F.floor("position")
-    low, high = F.min("v"), F.max("v")
-    return hit.groupBy("probability").agg((low + (high - low) * F.max(part)).alias("value"))
+    return pair.select("probability", (F.col("lower") + (F.col("upper") - F.col("lower")) * part).alias("value"))
 
 
 def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feira.functions import dates
+from feira.functions import dates, values
 from feira.operators.aggregates import total
 from feira.operators.joins import ORDER_KEYS, sales_facts
 from feira.schemas import SALE_STATUSES
@@ -15,21 +15,37 @@ def sales_by_category_month(
 ) -> DataFrame:
     """Orders, items, revenue, sellers and buyers per category and month of sold orders.
 
-    Exact distinct counts shuffle on (group, value), so a hot category is spread over tasks.
+    The lines meet only the id of their category; its names join the finished groups. Each
+    distinct count is a grouping of its own with map-side combine: counting several distinct
+    columns in one aggregate would multiply every line before the shuffle.
     """
-    sold = orders.where(F.col("order_status").isin(SALE_STATUSES)).select(*ORDER_KEYS, "customer_unique_id")
-    facts = sales_facts(sold, items, products, categories, category_key)
-    price, freight = F.col("price"), F.col("freight_value")
     month = dates.month_start(F.col("order_purchase_timestamp")).alias("sales_month")
-    return facts.groupBy("category_id", "category_name", "category_name_english", month).agg(
-        F.count_distinct("order_id").alias("n_orders"),
-        F.count("*").alias("n_items"),
-        total(price).alias("gross_revenue"),
-        total(freight).alias("total_freight"),
-        total(price + freight).alias("total_with_freight"),
-        F.avg(price).cast("decimal(12,2)").alias("avg_item_price"),
-        F.count_distinct("seller_id").alias("n_sellers"),
-        F.count_distinct("customer_unique_id").alias("n_unique_customers"))
+    keys = [k for k in ORDER_KEYS if k in items.columns]
+    sold = orders.where(F.col("order_status").isin(SALE_STATUSES)).select(*keys, "customer_unique_id", month)
+    columns = [*keys, "product_id", "seller_id", "price", "freight_value"]
+    ids = categories.select(*{category_key, "category_id"})
+    facts = sales_facts(sold, items.select(*columns), products, ids, category_key)
+    group, price, freight = ["category_id", "sales_month"], F.col("price"), F.col("freight_value")
+
+    per_order = facts.groupBy("order_id", *group).agg(
+        F.count("*").alias("n_items"), F.sum(price).alias("revenue"), F.sum(freight).alias("freight"),
+        F.sum(price + freight).alias("both"), F.count(price).alias("n_prices"))
+    sums = per_order.groupBy(*group).agg(
+        F.count("*").alias("n_orders"), F.sum("n_items").alias("n_items"),
+        total(F.col("revenue")).alias("gross_revenue"), total(F.col("freight")).alias("total_freight"),
+        total(F.col("both")).alias("total_with_freight"), F.sum("n_prices").alias("n_prices"))
+
+    def distinct_count(column: str, name: str) -> DataFrame:
+        return facts.select(*group, column).distinct().groupBy(*group).agg(F.count(column).alias(name))
+
+    counted = (sums.join(distinct_count("seller_id", "n_sellers"), group)
+               .join(distinct_count("customer_unique_id", "n_unique_customers"), group))
+    names = categories.select("category_id", "category_name", "category_name_english")
+    return counted.join(names, "category_id").select(
+        "category_id", "category_name", "category_name_english", "sales_month", "n_orders", "n_items",
+        "gross_revenue", "total_freight", "total_with_freight",
+        values.mean_money(F.col("gross_revenue"), F.col("n_prices")).alias("avg_item_price"),
+        "n_sellers", "n_unique_customers")
 
 
 def top_categories(sales: DataFrame, as_of: Column, months: int = 12, k: int = 5) -> DataFrame:

@@ -95,7 +95,7 @@ def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """
     gap = gap_minutes * 60 * 1_000_000
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    slot = ((micros - F.pmod(micros, F.lit(gap))) / F.lit(gap)).cast("long")
+    slot = F.call_function("div", micros - F.pmod(micros, F.lit(gap)), F.lit(gap))
     slots = events.groupBy("session_id", slot.alias("slot")).agg(
         F.min("customer_unique_id").alias("customer_unique_id"), F.min("ts").alias("first_at"),
         F.max("ts").alias("last_at"), F.count("*").alias("n_events"), *[
