@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, functions as F
@@ -41,7 +42,7 @@ def contains(doc: Column, wanted: Any) -> Column:
         items = F.try_variant_get(doc, "$", "array<variant>")
         found = F.startswith(_kind(doc), F.lit("ARRAY"))
         for value in wanted:
-            found = found & F.exists(items, lambda item, value=value: contains(item, value))
+            found = found & F.exists(items, partial(_contains_in, value))
     elif wanted is None:
         found = F.is_variant_null(doc)
     elif isinstance(wanted, bool):
@@ -54,6 +55,10 @@ def contains(doc: Column, wanted: Any) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def _contains_in(wanted: Any, item: Column) -> Column:
+    return contains(item, wanted)
+
+
 def path_compare(doc: Column, path: str, op: str, value: float) -> Column:
     """Whether the number at ``path``, or any number in an array there, satisfies the comparison."""
     def holds(item: Column) -> Column:

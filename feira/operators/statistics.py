@@ -26,23 +26,35 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accu
     low = [F.col("s.edge")[2 * i] for i in range(len(probabilities))]
     high = [F.col("s.edge")[2 * i + 1] for i in range(len(probabilities))]
 
-    counted = marked.agg(F.max("s.total").alias("total"), *[
-        F.count_if(F.col("v") < low[i]).alias(f"before_{i}") for i in range(len(probabilities))])
-    wanted = counted.select("total", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("bracket"), F.lit(float(p)).alias("probability"), F.col(f"before_{i}").alias("before"))
+    v, each = F.col("v"), range(len(probabilities))
+    counted = marked.agg(
+        F.max("s.total").alias("total"), *[F.count_if(v < low[i]).alias(f"before_{i}") for i in each],
+        *[F.max(F.when(v < low[i], v)).alias(f"left_{i}") for i in each],
+        *[F.min(F.when(v > high[i], v)).alias(f"right_{i}") for i in each])
+    wanted = counted.select("total", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("bracket"), F.lit(float(p)).alias("probability"), F.col(f"before_{i}").alias("before"),
+        F.col(f"left_{i}").alias("left"), F.col(f"right_{i}").alias("right"))
         for i, p in enumerate(probabilities)])).alias("w")).select(
             "w.*", (F.col("w.probability") * (F.col("total") - 1)).alias("position"))
 
-    inside = [(F.col("v") >= low[i]) & (F.col("v") <= high[i]) for i in range(len(probabilities))]
-    brackets = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(inside)]))
+    inside = [(v >= low[i]) & (v <= high[i]) for i in each]
+    brackets = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in each]))
     found = marked.where(reduce(Column.__or__, inside)).select("v", F.explode(brackets).alias("bracket"))
     counts = found.groupBy("bracket", "v").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
     ranked = counts.withColumn("upto", upto).join(wanted, "bracket").withColumn("upto", F.col("upto") + F.col("before"))
-    lower, upper = F.floor("position"), F.ceil("position")
-    pair = ranked.groupBy("probability", "position").agg(
-        F.min(F.when(F.col("upto") > lower, F.col("v"))).alias("lower"),
-        F.min(F.when(F.col("upto") > upper, F.col("v"))).alias("upper"))
+
+    def value_at(rank: Column) -> Column:
+        """Value of a rank; in small tables it may be the neighbour just outside the bracket."""
+        within = F.min(F.when(F.col("upto") > rank, v))
+        outside = F.when(rank == F.max("upto"), F.max("right")).otherwise(
+            F.raise_error(F.lit("the sketch missed a rank; raise accuracy")).cast("double"))
+        return F.when(rank >= F.col("before"), F.coalesce(within, outside)).when(
+            rank == F.col("before") - 1, F.max("left")).otherwise(
+                F.raise_error(F.lit("the sketch missed a rank; raise accuracy")).cast("double"))
+
+    pair = ranked.groupBy("probability", "position", "before").agg(
+        value_at(F.floor("position")).alias("lower"), value_at(F.ceil("position")).alias("upper"))
     part = F.col("position") - F.floor("position")
     return pair.select("probability", (F.col("lower") + (F.col("upper") - F.col("lower")) * part).alias("value"))
 

@@ -111,7 +111,7 @@ def i2(m):
 
 
 SESSIONS = """WITH marked AS (
-  SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL '30' MINUTE THEN 0 ELSE 1 END AS starts FROM d_event
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '30' MINUTE THEN 0 ELSE 1 END AS starts FROM d_event
   WINDOW w AS (PARTITION BY session_id ORDER BY ts, event_id)),
 numbered AS (SELECT *, sum(starts) OVER (PARTITION BY session_id ORDER BY ts, event_id) AS session_no FROM marked),
 visit AS (SELECT session_id, CAST(session_no AS INT) AS session_no, min(ts) AS started_at, max(ts) AS last_activity_at,

@@ -90,6 +90,8 @@ def merge_buckets(documents: DataFrame, max_events: int = 10_000) -> DataFrame:
 def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Sessions that end after ``gap_minutes`` without activity, with counts by kind of event.
 
+    An event exactly at the end still belongs to the session, as in Spark's session windows.
+
     Events in one slot as long as the gap always share a session, so they are merged before the
     shuffle; what is ordered per visitor is at most one row per slot, also for a hot one.
     """
@@ -102,7 +104,7 @@ def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
             F.count_if(F.col("type") == kind).alias(name) for kind, name in KINDS.items()])
     by_time = Window.partitionBy("session_id").orderBy("slot")
     quiet = dates.micros_between(F.lag("last_at").over(by_time), F.col("first_at"))
-    starts = F.coalesce((quiet >= gap).cast("int"), F.lit(1))
+    starts = F.coalesce((quiet > gap).cast("int"), F.lit(1))
     numbered = slots.withColumn("starts", starts).withColumn("session_no", F.sum("starts").over(by_time).cast("int"))
     return numbered.groupBy("session_id", "session_no").agg(
         F.min("customer_unique_id").alias("customer_unique_id"), F.min("first_at").alias("started_at"),
