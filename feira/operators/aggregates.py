@@ -80,15 +80,20 @@ def ratings(reviews: DataFrame, key: str) -> DataFrame:
 
 
 def user_behavior_daily(events: DataFrame) -> DataFrame:
-    """Per day: events, distinct users, events of each main type and the share of users who buy."""
-    users = F.count_distinct("customer_unique_id")
-    # NULL for other events, so the second distinct count sees buyers only.
-    buyers = F.count_distinct(F.when(F.col("type") == "order_completed", F.col("customer_unique_id")))
+    """Per day: events, distinct users, events of each main type and the share of users who buy.
+
+    Events collapse to one row per day and user before the day is counted, so distinct users
+    are plain rows and no event is multiplied for a distinct count.
+    """
     kinds = ["page_view", "search", "add_to_cart", "order_completed"]
-    return events.groupBy(F.col("ts").cast("date").alias("day")).agg(
-        F.count("*").alias("n_events"), users.alias("n_users"), buyers.alias("n_buyers"),
-        *[F.count_if(F.col("type") == k).alias(f"n_{k}") for k in kinds],
-        F.round(buyers.cast("double") / users.cast("double"), 4).alias("conversion"))
+    per_user = events.groupBy(F.col("ts").cast("date").alias("day"), "customer_unique_id").agg(
+        F.count("*").alias("n_events"), *[F.count_if(F.col("type") == k).alias(f"n_{k}") for k in kinds])
+    users = F.count("customer_unique_id")
+    buyers = F.count_if(F.col("customer_unique_id").isNotNull() & (F.col("n_order_completed") > 0))
+    return per_user.groupBy("day").agg(
+        F.sum("n_events").alias("n_events"), users.alias("n_users"), buyers.alias("n_buyers"),
+        *[F.sum(f"n_{k}").alias(f"n_{k}") for k in kinds],
+        F.round(buyers.cast("double") / F.nullif(users, F.lit(0)).cast("double"), 4).alias("conversion"))
 
 
 def distinct_ratio(df: DataFrame, many: str, few: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from feira.functions import dates, geo
-from feira.operators.joins import lookup_geo, order_lines
+from feira.operators.joins import ORDER_KEYS, lookup_geo, order_lines
 
 
 def enrich_geo(customers: DataFrame, sellers: DataFrame, geolocation: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -15,10 +15,11 @@ def enrich_geo(customers: DataFrame, sellers: DataFrame, geolocation: DataFrame)
 
 
 def shipping_distance(orders: DataFrame, items: DataFrame, customers: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Distance between seller and buyer of every item."""
-    lines = order_lines(orders.select("order_id", "customer_unique_id"), items)
-    placed = (lines.join(customers.select("customer_unique_id", "customer_geo"), "customer_unique_id")
-              .join(sellers.select("seller_id", "seller_geo"), "seller_id"))
+    """Distance between seller and buyer of every item; orders meet their customer before the items."""
+    keys = [k for k in ORDER_KEYS if k in items.columns]
+    buyers = orders.select(*keys, "customer_unique_id").join(
+        customers.select("customer_unique_id", "customer_geo"), "customer_unique_id")
+    placed = order_lines(buyers, items).join(sellers.select("seller_id", "seller_geo"), "seller_id")
     return placed.withColumn("distance_km", geo.distance_km(F.col("customer_geo"), F.col("seller_geo")))
 
 

@@ -46,9 +46,23 @@ def scan_orders(spark: SparkSession, path: str, start: datetime, end: datetime)
     return spark.read.parquet(path).where(F.col(BUCKET).isin(_buckets_between(start, end)) & inside)
 
 
-def _bucket_names(df: DataFrame) -> list[str]:
-    """Partition names of a table, a few dozen."""
-    return [r[0] for r in df.select(BUCKET).distinct().collect()]
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and file system of a folder, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _parts(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of a table from the names of its folders."""
+    folder, files = _folder(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
+def _drop_parts(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    folder, files = _folder(spark, path)
+    for value in values:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{column}={value}"), True)
 
 
 def archive_orders(spark: SparkSession, path: str, archive_path: str, as_of: datetime, months: int = 24) -> list[str]:
@@ -58,26 +72,23 @@ def archive_orders(spark: SparkSession, path: str, archive_path: str, as_of: dat
     same archive partitions, so an interrupted move can be run again.
     """
     last = as_of.year * 12 + as_of.month - 1 - months
-    live = spark.read.parquet(path)
-    old = [b for b in _bucket_names(live)
+    old = [b for b in _parts(spark, path, BUCKET)
            if b.removeprefix("order_").isdigit() and (int(b.removeprefix("order_")) + 1) * 12 <= last]
     if not old:
         return []
-    (live.where(F.col(BUCKET).isin(old)).hint("rebalance", BUCKET).write.mode("overwrite")
+    (spark.read.parquet(path).where(F.col(BUCKET).isin(old)).hint("rebalance", BUCKET).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(archive_path))
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for bucket in old:
-        files.delete(jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={bucket}"), True)
+    _drop_parts(spark, path, BUCKET, old)
     return sorted(old)
 
 
 def read_with_archive(spark: SparkSession, path: str, archive_path: str) -> DataFrame:
     """Live and archived orders; a partition found in both counts once."""
-    archive = spark.read.parquet(archive_path)
-    live = spark.read.parquet(path).where(~F.col(BUCKET).isin(_bucket_names(archive)))
-    return live.unionByName(archive)
+    live = spark.read.parquet(path)
+    archived = _parts(spark, archive_path, BUCKET)
+    if not archived:
+        return live
+    return live.where(~F.col(BUCKET).isin(archived)).unionByName(spark.read.parquet(archive_path))
 
 
 def refresh_summary(df: DataFrame, path: str, key: list[str]) -> str:
@@ -109,6 +120,10 @@ def append_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def has_batches(spark: SparkSession, path: str) -> bool:
+    return bool(_parts(spark, path, "batch_id"))
+
+
 def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
@@ -117,3 +132,16 @@ def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """Newest version per key over all batches of a log."""
     return latest_per_key(read_log(spark, path).drop("batch_id"), keys, order)
+
+
+def compact_log(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> None:
+    """Replaces the batches of a log by one with the newest version per key.
+
+    The new batch is complete before the old ones go, and reading drops older versions anyway,
+    so an interruption in between changes nothing. Its id is negative: streams count upwards
+    from zero and never overwrite it.
+    """
+    old = _parts(spark, path, "batch_id")
+    newest = read_latest(spark, path, keys, order)
+    append_batch(newest, path, min(0, *map(int, old)) - 1)
+    _drop_parts(spark, path, "batch_id", old)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feira.functions import dates
 from feira.operators.sets import latest_per_key, pick_per_key
 from feira.operators.timelines import status_transitions
-from feira.sources.tables import append_batch, read_latest
+from feira.sources.tables import append_batch, compact_log, has_batches, read_latest
 
 CATALOG_KEYS, CATALOG_ORDER = ["product_id"], ["source_updated_at"]
 LOG_SCHEMA = ("order_id string, order_purchase_timestamp timestamp_ntz, from_status string, to_status string,"
@@ -55,6 +55,11 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return read_latest(spark, path, CATALOG_KEYS, CATALOG_ORDER)
 
 
+def compact_catalog(spark: SparkSession, path: str) -> None:
+    """Merges the batches of the catalogue; run it between runs of the stream."""
+    compact_log(spark, path, CATALOG_KEYS, CATALOG_ORDER)
+
+
 def with_dead_letter(batch: DataFrame, rules: dict[str, Column], max_attempts: int = 3) -> DataFrame:
     """Adds ``route``: valid, retry or alert, with the broken rules and the number of attempts.
 
@@ -73,7 +78,7 @@ def route_records(stream: DataFrame, rules: dict[str, Column], path: str, checkp
     """Writes each micro-batch below ``path`` by route: valid records, retries and alerts."""
     def split(batch: DataFrame, batch_id: int) -> None:
         routed = with_dead_letter(batch, rules, max_attempts)
-        routed.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch_id={batch_id}")
+        routed.hint("rebalance", "route").write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch_id={batch_id}")
 
     return run_available(stream, split, checkpoint)
 
@@ -101,15 +106,14 @@ def log_status_changes(versions: DataFrame, path: str, checkpoint: str) -> Strea
         both = last.withColumn("stored", F.lit(True)).unionByName(fresh.withColumn("stored", F.lit(False)))
         log = status_transitions(both).where(~F.col("stored")).drop("stored")
         month = dates.month_start(F.col("order_purchase_timestamp"))
-        log.withColumn("order_month", month).write.mode("overwrite").partitionBy("order_month").parquet(
-            f"{path}/batch_id={batch_id}")
+        (log.withColumn("order_month", month).hint("rebalance", "order_month")
+         .write.mode("overwrite").partitionBy("order_month").parquet(f"{path}/batch_id={batch_id}"))
 
     return run_available(versions, add, checkpoint)
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
-    files = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files):
+    if not has_batches(spark, path):
         return spark.createDataFrame([], LOG_SCHEMA)
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 

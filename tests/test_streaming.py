@@ -43,6 +43,10 @@ def test_catalog_keeps_the_newest_whatever_the_order(spark, tmp_path):
     feed.add(("p1", 6.0, "2024-01-06T00:00:00"))
     sync.sync_catalog(feed.stream(), path, checkpoint).awaitTermination()
     assert rows(sync.read_catalog(spark, path), "product_id", "price") == [("p1", 6.0), ("p2", 2.0)]
+    sync.compact_catalog(spark, path)
+    sync.compact_catalog(spark, path)
+    assert len([f for f in (tmp_path / "log").iterdir() if f.name.startswith("batch_id")]) == 1
+    assert rows(sync.read_catalog(spark, path), "product_id", "price") == [("p1", 6.0), ("p2", 2.0)]
     # The same changes once more, as a restarted job without its checkpoint would send them.
     sync.sync_catalog(feed.stream(), path, str(tmp_path / "again")).awaitTermination()
     assert rows(sync.read_catalog(spark, path), "product_id", "price") == [("p1", 6.0), ("p2", 2.0)]
