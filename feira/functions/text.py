@@ -3,31 +3,78 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
 NON_WORD = r"[^\p{L}\p{N}]+"
 
 
-def trigrams(text: Column) -> Column:
-    """Distinct trigrams of all words, each word padded by two blanks before and one after.
+SEPARATOR = "\u0001"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
-    Words are laid out in one string with a separator that no trigram may contain, so a
-    single regular expression yields them all.
+
+def padded_words(text: Column) -> Column:
+    """All words in one string, each with two blanks before and one after, and a separator between.
+
+    Every three characters without the separator are then a trigram of one word.
     """
     bare = F.regexp_replace(F.lower(text), rf"^{NON_WORD}|{NON_WORD}$", "")
-    padded = F.concat(F.lit("  "), F.regexp_replace(bare, NON_WORD, " \u0001  "), F.lit(" "))
-    grams = F.array_distinct(F.regexp_extract_all(padded, F.lit("(?=([^\u0001]{3}))"), F.lit(1)))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(grams)
+    spaced = F.regexp_replace(bare, NON_WORD, f" {SEPARATOR}  ")
+    return F.when(F.length(bare) == 0, F.lit("")).otherwise(F.concat(F.lit("  "), spaced, F.lit(" ")))
+
+
+def padded_trigrams(padded: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(f"(?=([^{SEPARATOR}]{{3}}))"), F.lit(1)))
+
+
+def trigrams(text: Column) -> Column:
+    """Distinct trigrams of all words of a text."""
+    return padded_trigrams(let(text, padded_words))
+
+
+def literal_trigrams(text: str) -> list[str]:
+    """Trigrams of a search text, known while the plan is built."""
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    return sorted({f"  {w} "[i:i + 3] for w in words for i in range(len(w) + 1)})
 
 
 def similarity(a: Column, b: Column) -> Column:
     """Shared trigrams over all trigrams, 0 to 1; NULL if a text is NULL."""
-    left, right = trigrams(a), trigrams(b)
-    shared = F.size(F.array_intersect(left, right))
-    united = F.size(left) + F.size(right) - shared
-    ratio = F.when(united == 0, F.lit(0.0)).otherwise(shared.cast("double") / united.cast("double"))
-    return F.when(a.isNotNull() & b.isNotNull(), ratio)
+    def ratio(pair: Column) -> Column:
+        shared = F.size(F.array_intersect(pair["a"], pair["b"])).cast("double")
+        united = F.size(pair["a"]) + F.size(pair["b"]) - shared
+        return F.when(united == 0, F.lit(0.0)).otherwise(shared / F.nullif(united, F.lit(0.0)))
+
+    pair = F.struct(trigrams(a).alias("a"), trigrams(b).alias("b"))
+    return F.when(a.isNotNull() & b.isNotNull(), let(pair, ratio))
+
+
+def similar_enough(text: Column, wanted: str, threshold: float, inclusive: bool = False) -> Column:
+    """Array with the similarity of a text to a search text if it passes the threshold, else empty.
+
+    Each wanted trigram is looked for in the text first. The share of them that occurs is never
+    below the similarity, so only texts where it passes have their own trigrams counted.
+    """
+    grams = literal_trigrams(wanted)
+
+    def passes(value: Column) -> Column:
+        return value >= threshold if inclusive else value > threshold
+
+    def shared(padded: Column) -> Column:
+        return sum((F.contains(padded, F.lit(g)).cast("int") for g in grams), F.lit(0)).cast("double")
+
+    def score(found: Column) -> Column:
+        united = F.size(padded_trigrams(found["padded"])).cast("double") + float(len(grams)) - found["hits"]
+        return let(united, lambda n: F.when(n > 0, found["hits"] / F.nullif(n, F.lit(0.0))).otherwise(F.lit(0.0)))
+
+    counted = F.transform(F.array(padded_words(text)), lambda p: F.struct(p.alias("padded"), shared(p).alias("hits")))
+    candidates = F.filter(counted, lambda found: passes(found["hits"] / float(max(len(grams), 1))))
+    return F.filter(F.transform(candidates, score), passes)
 
 
 def tokens(text: Column) -> Column:

@@ -52,10 +52,11 @@ def name_like(df: DataFrame, column: str, pattern: str, key: str, k: int | None
 def fuzzy_matches(df: DataFrame, columns: list[str], wanted: str, threshold: float = 0.3,
                   inclusive: bool = False) -> DataFrame:
     """Rows where a column is similar enough to ``wanted``, with the best similarity."""
-    scores = [text.similarity(F.col(c), F.lit(wanted)) for c in columns]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    scored = df.withColumn("sim", best)
-    return scored.where(F.col("sim") >= threshold if inclusive else F.col("sim") > threshold)
+    passing = [F.coalesce(text.similar_enough(F.col(c), wanted, threshold, inclusive), F.array().cast("array<double>"))
+               for c in columns]
+    scores = F.concat(*passing) if len(passing) > 1 else passing[0]
+    best = F.when(F.size(scores) > 0, F.array(F.array_max(scores))) if len(passing) > 1 else scores
+    return df.select("*", F.explode(best).alias("sim"))
 
 
 def fuzzy_search(df: DataFrame, columns: list[str], wanted: str, key: str, k: int = 20,
