@@ -80,7 +80,7 @@ def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     pct = F.col("outliers").cast("double") / F.col("n").cast("double") * 100
     return summary.select(
         F.lit(column).alias("variable"),
-        *[F.round(f"b.{c}", 4).alias(c) for c in ("q1", "median", "q3", "iqr", "lower_bound", "upper_bound")],
+        *[F.round(f"b.{c}", 6).alias(c) for c in ("q1", "median", "q3", "iqr", "lower_bound", "upper_bound")],
         "outliers", F.round(pct, 4).alias("outliers_pct"))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feira.operators.aggregates import ratings
+from feira.functions import dates
+from feira.operators.aggregates import ratings, sales_by
 from feira.operators.sets import pick_per_key
 from feira.operators.sorting import top_k_per_group
 from feira.plans.promotions import effective_price
@@ -60,9 +61,6 @@ def seller_performance(orders: DataFrame, items: DataFrame, reviews: DataFrame)
 
     The three parts are aggregated by seller on their own and joined one to one.
     """
-    from feira.functions import dates
-    from feira.operators.aggregates import sales_by
-
     volume = sales_by(items, "seller_id").drop("freight")
     scores = ratings(reviews, "seller_id").select("seller_id", "rating_avg", "n_reviews")
     bought, received = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")

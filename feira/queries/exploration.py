@@ -146,8 +146,8 @@ def d20(m):
 def iqr(table: str, column: str) -> str:
     v = f"CAST({column} AS DOUBLE)"
     return f"""
-SELECT '{column}' AS variable, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr,
-       round(q1 - 1.5 * (q3 - q1), 4) AS lower_bound, round(q3 + 1.5 * (q3 - q1), 4) AS upper_bound,
+SELECT '{column}' AS variable, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+       round(q1 - 1.5 * (q3 - q1), 6) AS lower_bound, round(q3 + 1.5 * (q3 - q1), 6) AS upper_bound,
        count(*) FILTER ({v} < q1 - 1.5 * (q3 - q1) OR {v} > q3 + 1.5 * (q3 - q1)) AS outliers,
        round(count(*) FILTER ({v} < q1 - 1.5 * (q3 - q1) OR {v} > q3 + 1.5 * (q3 - q1)) / CAST(count(*) AS DOUBLE) * 100, 4)
            AS outliers_pct
