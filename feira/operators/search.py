@@ -80,8 +80,13 @@ def text_matches(df: DataFrame, weights: dict[str, float], wanted: str) -> DataF
 
 
 def text_search(df: DataFrame, weights: dict[str, float], wanted: str, key: str) -> DataFrame:
-    """Matches by descending relevance, ties by key."""
-    return text_matches(df, weights, wanted).orderBy(F.desc("score"), F.asc(key))
+    """Matches by descending relevance, ties by key.
+
+    A sort samples its input first; the exchange before it keeps the scores, so that the texts
+    are not scored a second time for the sample.
+    """
+    scored = text_matches(df, weights, wanted).hint("rebalance")
+    return scored.orderBy(F.desc("score"), F.asc(key))
 
 
 def inverted_index(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -58,7 +58,7 @@ def status_transitions(versions: DataFrame) -> DataFrame:
     step orders versions of the same instant.
     """
     linked = with_previous(
-        versions, ["order_id"], ["changed_at", "step"], ["order_status"], F.date_trunc("month", F.col("changed_at")))
+        versions, ["order_id"], ["changed_at", "step"], ["order_status"], F.col("changed_at").cast("date"))
     before = F.col("previous.order_status")
     rest = [c for c in versions.columns if c != "order_status"]
     return linked.where(~before.eqNullSafe(F.col("order_status"))).select(
@@ -68,7 +68,7 @@ def status_transitions(versions: DataFrame) -> DataFrame:
 def time_in_status(history: DataFrame) -> DataFrame:
     """Hours each order spent in each status until the next change; the last status is open."""
     linked = with_next(
-        history, ["order_id"], ["changed_at", "step"], ["changed_at"], F.date_trunc("month", F.col("changed_at")))
+        history, ["order_id"], ["changed_at", "step"], ["changed_at"], F.col("changed_at").cast("date"))
     seconds = F.timestamp_diff("SECOND", F.col("changed_at"), F.col("following.changed_at"))
     return linked.select("order_id", F.col("to_status").alias("status"), "changed_at", seconds.alias("seconds"))
 

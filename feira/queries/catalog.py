@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from feira.functions import collections as C
 from feira.operators import aggregates, joins, search
+from feira.operators.sorting import top_k_per_group
 from feira.plans import catalog, delivery, promotions
 from feira.queries.registry import query
 from feira.queries.views import AS_OF
@@ -193,6 +194,16 @@ def b23(m):
     return search.reviews_for(m.review_doc, "PROD_101").select("review_id", "score", "created_at")
 
 
+@query("b23_best_reviews_per_product", """
+SELECT product_id, review_id, score, CAST(r AS INT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY score DESC, review_id) AS r
+  FROM d_review_doc WHERE product_id IS NOT NULL) t WHERE r <= 3""")
+def b23_best(m):
+    named = m.review_doc.where(F.col("product_id").isNotNull())
+    best = top_k_per_group(named, ["product_id"], [F.desc("score"), F.asc("review_id")], 3)
+    return best.select("product_id", "review_id", "score", "rank")
+
+
 AUDIT = """SELECT i.seller_id, date_trunc('month', o.order_purchase_timestamp) AS m,
   o.order_delivered_carrier_date > i.shipping_limit_date AS ship, o.order_delivered_customer_date > o.order_estimated_delivery_date AS recv
 FROM d_order_item i JOIN d_order o ON i.order_id = o.order_id"""

@@ -134,7 +134,7 @@ def bad_history(m):
     from feira.operators.timelines import with_previous
 
     linked = with_previous(m.order_history, ["order_id"], ["changed_at", "step"], ["order_status"],
-                           F.date_trunc("month", F.col("changed_at")))
+                           F.col("changed_at").cast("date"))
     return linked.select("order_id", F.col("previous.order_status").alias("from_status"),
                          F.col("order_status").alias("to_status"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,11 @@ def build_session(app: str = "feira", master: str | None = None, **extra: str) -
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="feira-")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """New folder name below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -39,6 +45,5 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="feira-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -149,6 +149,7 @@ class Marketplace:
 
     @cached_property
     def order_item(self) -> DataFrame:
+        """Items; the number within the order stands for a stored column and is computed only where it is used."""
         line = Window.partitionBy("l_orderkey").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
             "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")

@@ -219,3 +219,16 @@ def test_paths_stop_at_cycles(spark):
     got = {r.category_id: r for r in joins.category_paths(df, 4).collect()}
     assert got[3].path == [1, 2, 3] and got[3].root_id == 1 and got[3].complete
     assert not got[7].complete and got[1].depth == 0
+
+
+def test_matrix_has_a_column_per_customer_state(market):
+    long = statistics.origin_destination(market.order, market.order_item, market.customer, market.seller, 3)
+    wide = statistics.origin_destination_matrix(long)
+    assert len(wide.columns) == 4 and wide.count() == 3
+    assert sum(sum(r[1:]) for r in wide.collect()) == sum(r.n_items for r in long.collect())
+
+
+def test_approximate_outliers_are_close(market):
+    exact = statistics.iqr_outliers(market.order_item, "price").first()
+    near = statistics.iqr_outliers(market.order_item, "price", approx=True).first()
+    assert near.median == pytest.approx(exact.median, rel=0.01) and near.q3 == pytest.approx(exact.q3, rel=0.01)
