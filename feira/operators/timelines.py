@@ -32,7 +32,9 @@ def _neighbour(df: DataFrame, keys: list[str], order: list[str], values: list[st
     sliced = df.withColumn("_slice", at)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     shift = F.lag if back else F.lead
-    near = sliced.withColumn("_near", shift(content).over(inside))
+    # Input that is already partitioned by key alone would keep all slices of a key in one task.
+    spread = sliced.repartition(*keys, "_slice")
+    near = spread.withColumn("_near", shift(content).over(inside))
     pick = F.max_by if back else F.min_by
     edges = sliced.groupBy(*keys, "_slice").agg(pick(content, position).alias("_edge"))
     across = Window.partitionBy(*keys).orderBy("_slice")

@@ -8,17 +8,21 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# Settings that may change while a session runs.
+RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split hot join keys even where the parent then needs one more shuffle.
+    # Split hot join keys even where the grouping above then needs one more (combined) shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Merge the rows of one session before the shuffle of a streaming session window.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
+SETTINGS = {
+    **RUNTIME_SETTINGS,
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
 
 
 def build_session(app: str = "feira", master: str | None = None, **extra: str) -> SparkSession:
@@ -31,6 +35,13 @@ def build_session(app: str = "feira", master: str | None = None, **extra: str) -
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Applies the settings to a session that somebody else has built."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="feira-")

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from feira.functions import collections as C, dates, geo, semistructured
+from feira.session import tune
 
 AS_OF = "2001-08-02 00:00:00"
 
@@ -23,10 +24,8 @@ class Marketplace:
     """Lazy frames over one folder; a query reads only the columns it uses."""
 
     def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF):
-        self.spark, self.folder, self.as_of = spark, folder.rstrip("/"), as_of
+        self.spark, self.folder, self.as_of = tune(spark), folder.rstrip("/"), as_of
         self._raw: dict[str, DataFrame] = {}
-        # The data model keeps its instants in UTC.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     @property
     def now(self):

@@ -29,7 +29,8 @@ def bucket_events(events: DataFrame, max_events: int = 10_000) -> DataFrame:
     parts = crowded.select(*BUCKET_KEYS, F.ceil(F.col("n") / max_events).alias("parts"))
     part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("event_id"), F.col("parts"))).otherwise(F.lit(0))
     parted = keyed.join(parts, BUCKET_KEYS, "left").withColumn("part", part.cast("int"))
-    return _documents(parted)
+    # Rows come out of the join partitioned by bucket, which would keep all parts in one task.
+    return _documents(parted.repartition(*BUCKET_KEYS, "part"))
 
 
 def _documents(parted: DataFrame) -> DataFrame:

@@ -64,3 +64,18 @@ def test_no_collect_on_a_hot_key(market):
 
     text = plan(latest_per_key(market.order, ["customer_unique_id"], ["order_purchase_timestamp"]))
     assert "partial_max_by" in text and "Window" not in text
+
+
+def test_parts_and_slices_are_spread_over_tasks(market):
+    """A key split into parts or time slices must not stay partitioned by the key alone."""
+    from feira.operators.timelines import status_transitions
+    from feira.streaming.buckets import bucket_events
+
+    lines = plan(bucket_events(market.session_event)).split("\n")
+    assert any("Exchange hashpartitioning(session_id" in x and "part#" in x for x in lines)
+    keyed = market.order_history.repartition("order_id")
+    assert any("Exchange hashpartitioning(order_id" in x and "_slice#" in x for x in plan(status_transitions(keyed)).split("\n"))
+
+
+def test_settings_reach_a_foreign_session(spark, market):
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"

@@ -1,6 +1,6 @@
 """Run registered queries beside their SQL in DuckDB and compare rows, column names and types.
 
-    python tools/compare.py [--dir FOLDER] [name-prefix ...]
+    python tools/compare.py [--dir FOLDER] [--conf KEY=VALUE ...] [name-prefix ...]
 """
 
 from __future__ import annotations
@@ -56,12 +56,14 @@ def compare(con, name: str, frame, sql: str) -> str:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--dir", default="/root/testdata/sf0.01")
+    parser.add_argument("--conf", action="append", default=[], help="Spark setting, e.g. no broadcasts at all")
     parser.add_argument("prefix", nargs="*")
     args = parser.parse_args()
     spark = build_session(
         "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                   "spark.driver.memory": "8g",
-                                  "spark.ui.showConsoleProgress": "false"})
+                                  "spark.ui.showConsoleProgress": "false",
+                                  **dict(c.split("=", 1) for c in args.conf)})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad, slow = duck(args.dir), oracle_sql(), 0, []
     chosen = {n: q for n, q in queries().items()
