@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import byte_bpe
+from feira.llm import byte_bpe, fm_decontam, language_id
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -33,7 +33,38 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query("op4_language_id")
+def op4(spark, folder):
+    return language_id.languages(table(spark, folder, "documents"))
+
+
 @query("op7_byte_bpe")
 def op7(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op8_fm_decontam", r"""
+WITH docs AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words, row_number() OVER () AS n FROM documents),
+items AS (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item_id, words[i:i + 9] AS phrase, least(10, len(words)) AS size
+    FROM items, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS t(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT size FROM phrases),
+hits AS (
+    SELECT d.n, d.doc_id, d.i, p.size, p.item_id
+    FROM (SELECT n, doc_id, i, size, words[i:i + size - 1] AS phrase FROM docs, sizes, unnest(range(1, len(words) - size + 2)) AS t(i)) d
+    JOIN phrases p ON p.phrase = d.phrase AND p.size = d.size),
+covered AS (SELECT n, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT n, i, size FROM hits), unnest(range(0, size)) AS t(k) GROUP BY n),
+named AS (
+    SELECT n, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM (SELECT DISTINCT n, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY n)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (n) LEFT JOIN named USING (n)""")
+def op8(spark, folder):
+    return fm_decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
