@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import byte_bpe, fm_decontam, language_id
+from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -68,3 +68,26 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (n) LEFT JOIN named USING (n)""")
 def op8(spark, folder):
     return fm_decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_group_matrix_join", r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, w[i:i + 4] AS shingle FROM words, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+    GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+reached AS (SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.least, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) r USING (doc_id)""")
+def op9(spark, folder):
+    return group_matrix_join.join_components(table(spark, folder, "documents"))
+
+
+@query("op10_run_length_dedup")
+def op10(spark, folder):
+    return run_length_dedup.kept_digests(table(spark, folder, "documents"))
