@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup
+from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, warc_chain
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -33,6 +33,18 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query("op1_warc_chain", """
+WITH named AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS holder FROM named)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN holder END AS refers_to
+FROM held""")
+def op1(spark, folder):
+    return warc_chain.archive_and_read(table(spark, folder, "pages"))
+
+
 @query("op4_language_id")
 def op4(spark, folder):
     return language_id.languages(table(spark, folder, "documents"))
