@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, warc_chain
+from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, voronoi_knn, warc_chain
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -45,6 +45,20 @@ def op1(spark, folder):
     return warc_chain.archive_and_read(table(spark, folder, "pages"))
 
 
+@query("op3_voronoi_knn", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i])) AS BIGINT) AS score
+    FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op3(spark, folder):
+    return voronoi_knn.nearest(table(spark, folder, "embeddings"), every=50)
+
+
 @query("op4_language_id")
 def op4(spark, folder):
     return language_id.languages(table(spark, folder, "documents"))
