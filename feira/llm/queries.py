@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, voronoi_knn, warc_chain
+from feira.llm import (
+    byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, training_order, url_lists, voronoi_knn,
+    warc_chain)
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -45,6 +47,37 @@ def op1(spark, folder):
     return warc_chain.archive_and_read(table(spark, folder, "pages"))
 
 
+@query("op2_url_lists", r"""
+WITH pages_hosts AS (
+    SELECT page_id, url, lower(rtrim(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), ''), '.')) AS host,
+           DATE '2020-01-01' + CAST(page_id * 37 % 730 AS INTEGER) AS day, DATE '2020-01-01' + CAST(page_id * 53 % 730 AS INTEGER) AS listed,
+           length(url) AS size FROM pages),
+entries AS (
+    SELECT CASE WHEN size % 2 = 0 THEN 'block' ELSE 'allow' END AS list,
+           CASE WHEN size % 7 = 0 THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE host END AS domain,
+           CASE WHEN size % 3 = 0 THEN 'remove' ELSE 'add' END AS action, listed AS day FROM pages_hosts WHERE host <> ''),
+pairs AS (SELECT DISTINCT host, day FROM pages_hosts WHERE host <> ''),
+states AS (
+    SELECT p.host, p.day, e.list, e.domain, e.day AS since, max(e.action) AS action
+    FROM pairs p JOIN entries e ON e.day <= p.day AND (p.host = e.domain OR ends_with(p.host, '.' || e.domain)) GROUP BY ALL),
+latest AS (
+    SELECT *, row_number() OVER (PARTITION BY host, day, list, domain ORDER BY since DESC) AS n,
+           max(CASE WHEN action = 'remove' THEN since END) OVER (PARTITION BY host, day, list, domain) AS removed FROM states),
+held AS (
+    SELECT l.host, l.day, l.list, l.domain, min(s.since) AS since FROM latest l
+    JOIN states s ON s.host = l.host AND s.day = l.day AND s.list = l.list AND s.domain = l.domain AND s.action = 'add'
+     AND (l.removed IS NULL OR s.since > l.removed)
+    WHERE l.n = 1 AND l.action = 'add' GROUP BY ALL),
+ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY host, day) AS n_active,
+           row_number() OVER (PARTITION BY host, day ORDER BY length(domain) DESC, list) AS n FROM held)
+SELECT p.page_id, p.url, p.day, p.host, coalesce(r.n_active, 0) AS n_active, coalesce(r.list, 'none') AS verdict,
+       r.domain AS decided_by, r.since AS listed_since
+FROM pages_hosts p LEFT JOIN ranked r ON r.host = p.host AND r.day = p.day AND r.n = 1""".replace("\\\\", "\\"))
+def op2(spark, folder):
+    return url_lists.judge(*url_lists.captures_and_entries(table(spark, folder, "pages")))
+
+
 @query("op3_voronoi_knn", """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -64,6 +97,12 @@ def op4(spark, folder):
     return language_id.languages(table(spark, folder, "documents"))
 
 
+@query("op6_training_order")
+def op6(spark, folder):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return training_order.in_training_order(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @query("op7_byte_bpe")
 def op7(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
