@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feira.llm import (
-    byte_bpe, fm_decontam, group_matrix_join, language_id, run_length_dedup, training_order, url_lists, voronoi_knn,
-    warc_chain)
+    byte_bpe, cotraining, fm_decontam, group_matrix_join, language_id, run_length_dedup, training_order, url_lists,
+    voronoi_knn, warc_chain)
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -97,6 +97,11 @@ def op4(spark, folder):
     return language_id.languages(table(spark, folder, "documents"))
 
 
+@query("op5_cotraining")
+def op5(spark, folder):
+    return cotraining.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op6_training_order")
 def op6(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
