@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from feira.functions.dates import mean_hundredths
 
@@ -37,8 +37,9 @@ def distinct_from(a: Column, b: Column) -> Column:
 
 
 def derived_uuid(*parts: Column) -> Column:
-    """Repeatable identifier in UUID form from a natural key."""
-    digest = F.sha2(F.concat_ws("\u0001", *parts), 256)
+    """Repeatable identifier in UUID form from a natural key; a NULL part keeps its place."""
+    marked = [F.coalesce(F.concat(F.lit("+"), p.cast("string")), F.lit("-")) for p in parts]
+    digest = F.sha2(F.concat_ws("\u0001", *marked), 256)
     return F.concat_ws("-", *(F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
 
 
@@ -52,3 +53,18 @@ def encrypt(value: Column, key: Column) -> Column:
 
 def decrypt(value: Column, key: Column) -> Column:
     return F.aes_decrypt(F.unbase64(value), key).cast("string")
+
+
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """A form of any value that can be hashed and is equal for equal values: maps sorted, variants as text."""
+    if isinstance(kind, T.VariantType):
+        return F.to_json(value)
+    if isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.struct(
+            comparable(e["key"], kind.keyType).alias("key"), comparable(e["value"], kind.valueType).alias("value")))
+        return F.array_sort(pairs)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: comparable(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.struct(*[comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return value

@@ -65,21 +65,21 @@ def orphan_reviews(reviews: DataFrame, orders: DataFrame, products: DataFrame) -
         "review_id", "order_id", "product_id", no_order.alias("order_missing"), no_product.alias("product_missing"))
 
 
-def category_paths(categories: DataFrame, max_depth: int = 8) -> DataFrame:
-    """Each category with its root, depth and path; ``complete`` is false beyond ``max_depth`` or in a cycle."""
-    links = categories.select(F.col("category_id").alias("node"), F.col("parent_category_id").alias("above"))
-    walk = categories.select(
-        "category_id", F.col("category_id").alias("root_id"), F.col("parent_category_id").alias("up"),
-        F.lit(0).alias("depth"), F.array("category_id").alias("path"))
-    for _ in range(max_depth):
-        step = walk.join(links, F.col("up") == F.col("node"), "left")
-        moved = F.col("node").isNotNull()
-        walk = step.select(
-            "category_id", F.when(moved, F.col("node")).otherwise(F.col("root_id")).alias("root_id"),
-            F.when(moved, F.col("above")).alias("up"),
-            (F.col("depth") + moved.cast("int")).alias("depth"),
-            F.when(moved, F.concat(F.array("node"), F.col("path"))).otherwise(F.col("path")).alias("path"))
-    return walk.select("category_id", "root_id", "depth", "path", F.col("up").isNull().alias("complete"))
+def category_paths(categories: DataFrame) -> DataFrame:
+    """Each category with its root, depth and path, however deep the tree is.
+
+    Categories of a cycle have no root: ``complete`` is false and the rest NULL. A parent that does not
+    exist makes its child a root.
+    """
+    return categories.sparkSession.sql("""
+        WITH RECURSIVE walk(category_id, root_id, depth, path) AS (
+          SELECT c.category_id, c.category_id, 0, array(c.category_id) FROM {tree} c
+          LEFT ANTI JOIN {tree} p ON p.category_id = c.parent_category_id
+          UNION ALL
+          SELECT c.category_id, w.root_id, w.depth + 1, concat(w.path, array(c.category_id))
+          FROM {tree} c JOIN walk w ON c.parent_category_id = w.category_id)
+        SELECT c.category_id, w.root_id, w.depth, w.path, w.category_id IS NOT NULL AS complete
+        FROM {tree} c LEFT JOIN walk w ON w.category_id = c.category_id""", tree=categories)
 
 
 def orders_with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feira.functions.values import comparable
+
 
 def union_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One row per named frame with its number of rows."""
@@ -37,8 +39,14 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest version of each key; later columns of ``order`` break ties."""
-    return pick_per_key(df, keys, F.struct(*order), latest=True)
+    """Newest version of each key; later columns of ``order`` break ties, then the fingerprint of the row."""
+    return pick_per_key(df, keys, F.struct(*[F.col(c) for c in order], _tie(df, keys + order).alias("tie")), latest=True)
+
+
+def _tie(df: DataFrame, without: list[str]) -> Column:
+    """Fingerprint of all other columns, so that a choice among equal instants can be repeated."""
+    rest = [f for f in df.schema.fields if f.name not in without]
+    return F.xxhash64(*[comparable(F.col(f.name), f.dataType) for f in rest]) if rest else F.lit(0)
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,9 +62,7 @@ def upsert_latest(target: DataFrame, batch: DataFrame, keys: list[str], order: l
     ``order`` values the row with the greater fingerprint stays, whichever side it is on.
     """
     both = target.unionByName(batch.select(*target.columns))
-    rest = [c for c in target.columns if c not in keys and c not in order]
-    tie = F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)
-    return pick_per_key(both, keys, F.struct(*[F.col(c) for c in order], tie.alias("tie")), latest=True)
+    return latest_per_key(both, keys, order)
 
 
 def stamp_changes(old: DataFrame, new: DataFrame, keys: list[str], as_of: Column,

@@ -53,26 +53,29 @@ def with_next(df: DataFrame, keys: list[str], order: list[str], values: list[str
     return _neighbour(df, keys, order, values, at, False, name)
 
 
+def with_previous_status(versions: DataFrame) -> DataFrame:
+    """Adds ``from_status``. An order has a handful of versions, so one window by order does."""
+    by_time = Window.partitionBy("order_id").orderBy("changed_at", "step")
+    return versions.withColumn("from_status", F.lag("order_status").over(by_time))
+
+
 def status_transitions(versions: DataFrame) -> DataFrame:
     """Status log of orders: the initial status and every real change.
 
     ``versions`` hold order_id, order_purchase_timestamp, step, order_status and changed_at;
     step orders versions of the same instant.
     """
-    linked = with_previous(
-        versions, ["order_id"], ["changed_at", "step"], ["order_status"], F.col("changed_at").cast("date"))
-    before = F.col("previous.order_status")
+    linked = with_previous_status(versions)
     rest = [c for c in versions.columns if c != "order_status"]
-    return linked.where(~before.eqNullSafe(F.col("order_status"))).select(
-        *rest, before.alias("from_status"), F.col("order_status").alias("to_status"))
+    return linked.where(~F.col("from_status").eqNullSafe(F.col("order_status"))).select(
+        *rest, "from_status", F.col("order_status").alias("to_status"))
 
 
 def time_in_status(history: DataFrame) -> DataFrame:
     """Hours each order spent in each status until the next change; the last status is open."""
-    linked = with_next(
-        history, ["order_id"], ["changed_at", "step"], ["changed_at"], F.col("changed_at").cast("date"))
-    seconds = F.timestamp_diff("SECOND", F.col("changed_at"), F.col("following.changed_at"))
-    return linked.select("order_id", F.col("to_status").alias("status"), "changed_at", seconds.alias("seconds"))
+    by_time = Window.partitionBy("order_id").orderBy("changed_at", "step")
+    seconds = F.timestamp_diff("SECOND", F.col("changed_at"), F.lead("changed_at").over(by_time))
+    return history.select("order_id", F.col("to_status").alias("status"), "changed_at", seconds.alias("seconds"))
 
 
 def mean_time_in_status(history: DataFrame) -> DataFrame:

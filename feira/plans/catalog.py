@@ -44,7 +44,8 @@ def product_catalog(
     stars = F.create_map(*[x for s in range(1, 6) for x in (F.lit(str(s)), F.coalesce(f"score_{s}", F.lit(0)))])
     rating = F.struct(
         F.col("rating_avg").alias("avg"), F.coalesce("n_reviews", F.lit(0)).alias("count"), stars.alias("distribution"))
-    promotion = F.when(F.col("has_active_promotion"), F.struct("promotion_id", "valid_until"))
+    promotion = F.when(F.col("has_active_promotion"), F.struct(
+        "promotion_id", F.col("promotion_name").alias("name"), "valid_until"))
     return (
         products.drop("category_name").join(kinds, "category_id").join(placed, "product_id", "left")
         .join(prices, "product_id").join(by_product, "product_id", "left")

@@ -61,9 +61,10 @@ def effective_price(products: DataFrame, promotions: DataFrame, as_of: Column) -
     offers = _matched(base, active_promotions_at(promotions, as_of)).select(
         "product_id", "promotion_id", "discount_percentage",
         F.col("promotion_period.upper").alias("valid_until"), price.alias("price"))
-    best = pick_per_key(offers, ["product_id"], F.struct("price", "promotion_id"), latest=False)
+    names = promotions.select("promotion_id", F.col("name").alias("promotion_name"))
+    best = pick_per_key(offers, ["product_id"], F.struct("price", "promotion_id"), latest=False).join(names, "promotion_id")
     return base.join(best, "product_id", "left").select(
         "product_id", values.money(F.col("base_price")).alias("base_price"),
         F.coalesce(F.col("price"), values.money(F.col("base_price"))).alias("price_current"),
         F.col("promotion_id").isNotNull().alias("has_active_promotion"),
-        "promotion_id", "discount_percentage", "valid_until")
+        "promotion_id", "promotion_name", "discount_percentage", "valid_until")

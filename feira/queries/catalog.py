@@ -168,7 +168,7 @@ def k1(m):
 
 @query("k2_effective_price", "SELECT * FROM d_priced")
 def k2(m):
-    return promotions.effective_price(m.categorized_product, m.promotion, m.now)
+    return promotions.effective_price(m.categorized_product, m.promotion, m.now).drop("promotion_name")
 
 
 @query("b21_catalog_filter", f"""

@@ -27,15 +27,29 @@ def i1(m):
     return flat_buckets(buckets.bucket_events(m.session_event))
 
 
-@query("i1_split_buckets", """
-SELECT session_id, date_trunc('hour', ts) AS bucket_hour, count(*) AS event_count, count(DISTINCT type) AS n_types
-FROM d_event GROUP BY 1, 2""")
-def i1_split(m):
-    """Buckets of more than two events become several documents; merged again they hold every event."""
-    documents = buckets.bucket_events(m.session_event, max_events=2)
-    events = documents.select("session_id", "bucket_hour", F.explode("events").alias("e"))
-    return events.groupBy("session_id", "bucket_hour").agg(
-        F.count("*").alias("event_count"), F.count_distinct("e.type").alias("n_types"))
+@query("i1_crowded_buckets", """
+WITH crowd AS (SELECT date_trunc('hour', ts) + (event_id % 3600) * INTERVAL '1' SECOND AS moment, event_id, type FROM d_event)
+SELECT 'everyone' AS session_id, date_trunc('hour', moment) AS bucket_hour, CAST(minute(moment) // 5 AS INT) AS slot, count(*) AS event_count,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY moment, event_id) AS ids, CAST(1 AS BIGINT) AS n_documents
+FROM crowd GROUP BY 2, 3""")
+def i1_crowded(m):
+    """All events in one session: slots of five minutes keep the key unique and the events in time order."""
+    at = F.timestamp_add("SECOND", (F.col("event_id") % 3600).cast("int"), buckets.hour_of(F.col("ts")))
+    crowd = m.session_event.withColumn("session_id", F.lit("everyone")).withColumn("ts", at)
+    documents = buckets.bucket_events(crowd, slot_minutes=5)
+    keys = documents.groupBy("session_id", "bucket_hour", "slot").agg(F.count("*").alias("n_documents"))
+    ids = F.array_join(F.transform("events", lambda e: e["event_id"].cast("string")), ",")
+    return documents.select("session_id", "bucket_hour", "slot", "event_count", ids.alias("ids")).join(
+        keys, ["session_id", "bucket_hour", "slot"])
+
+
+def late_events(m):
+    """The events as a stream of several batches in which a third of the rows comes last, whatever their time."""
+    path = scratch_path(m.spark, "late")
+    parts = m.session_event.withColumn("turn", F.pmod(F.col("event_id") * 7, F.lit(3)))
+    for turn in (2, 0, 1):
+        parts.where(F.col("turn") == turn).drop("turn").coalesce(1).write.mode("append").parquet(path)
+    return m.spark.readStream.schema(m.session_event.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query("i1_stream_buckets", BUCKET_SQL)
@@ -56,15 +70,12 @@ def d12(m):
     return buckets.bucket_facts(m.session_event)
 
 
-@query("d12_stream_bucket_facts", FACTS + """
-WHERE bucket_hour + INTERVAL '1' HOUR <= (SELECT max(ts) FROM d_event) - INTERVAL '1' HOUR""")
+@query("d12_stream_bucket_facts", FACTS)
 def d12_stream(m):
-    """Closed buckets of the stream: those that end before the watermark."""
+    """Buckets filled by a stream with late events; all of them land."""
     path = scratch_path(m.spark, "facts")
-    stream = buckets.stream_bucket_facts(session_events(m.stream("events")))
-    (stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
-     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
-    return m.spark.read.parquet(f"{path}/out")
+    buckets.stream_bucket_facts(late_events(m), f"{path}/log", f"{path}/checkpoint").awaitTermination()
+    return buckets.read_bucket_facts(m.spark, f"{path}/log")
 
 
 @query("b2_event_types", "SELECT session_id, bucket_hour, types FROM d_bucket")
@@ -128,15 +139,12 @@ def i3(m):
     return buckets.sessions(m.session_event).select(*VISIT)
 
 
-@query("i3_stream_sessions", SESSIONS + """
-SELECT * EXCLUDE (session_no) FROM visit
-WHERE last_activity_at + INTERVAL '30' MINUTE <= (SELECT max(ts) FROM d_event) - INTERVAL '1' HOUR""")
+@query("i3_stream_sessions", SESSIONS + "SELECT * FROM visit")
 def i3_stream(m):
+    """Sessions of a stream with late events, which may extend or join earlier sessions."""
     path = scratch_path(m.spark, "sessions")
-    stream = buckets.stream_sessions(session_events(m.stream("events")))
-    (stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
-     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
-    return m.spark.read.parquet(f"{path}/out")
+    buckets.stream_sessions(late_events(m), f"{path}/log", f"{path}/checkpoint").awaitTermination()
+    return buckets.read_sessions(m.spark, f"{path}/log").select(*VISIT)
 
 
 @query("i4_retained_events", f"""
@@ -191,7 +199,7 @@ def record_rules():
 
 
 ROUTED = f"""
-SELECT product_id, source_updated_at, attempts, broken, CASE WHEN broken = '' THEN 'valid' WHEN attempts >= 3 THEN 'alert' ELSE 'retry' END AS route
+SELECT product_id, source_updated_at, attempts, broken, CASE WHEN broken = '' THEN 'valid' WHEN attempts > 3 THEN 'alert' ELSE 'retry' END AS route
 FROM (SELECT *, concat_ws(',', {RULES}) AS broken,
              CAST(CAST(substring(product_id, 6) AS BIGINT) % 4 + 1 AS INT) AS attempts FROM {CHANGES} c) t"""
 
@@ -219,6 +227,19 @@ def i6_stream(m):
     return flat_routes(m.spark.read.parquet(f"{path}/out"))
 
 
+@query("i6_replayed", f"""
+SELECT product_id, source_updated_at, CAST(CASE WHEN broken = '' THEN 1 ELSE 4 END AS INT) AS attempts, broken,
+       CASE WHEN broken = '' THEN 'valid' ELSE 'alert' END AS route
+FROM (SELECT *, concat_ws(',', {RULES}) AS broken FROM {CHANGES} c) t""")
+def i6_replayed(m):
+    """Records that stay broken are tried again three times, then alert."""
+    path = scratch_path(m.spark, "replay")
+    sync.route_records(product_changes(m.stream("part")), record_rules(), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    while sync.replay_retries(m.spark, f"{path}/out", record_rules()):
+        pass
+    return flat_routes(sync.read_routed(m.spark, f"{path}/out"))
+
+
 @query("i7_newer_only", f"""
 SELECT b.product_id, b.price_current, b.source_updated_at FROM ({LATEST}) b
 WHERE b.source_updated_at > TIMESTAMP '2001-08-01 00:00:00' OR CAST(substring(b.product_id, 6) AS BIGINT) % 3 = 0""")
@@ -239,6 +260,18 @@ def i8(m):
     return sync.read_status_log(m.spark, f"{path}/log")
 
 
+@query("i8_late_versions", TRANSITIONS + "SELECT * FROM log")
+def i8_late(m):
+    """Versions in reverse order of their steps, one batch each: late ones are logged like all others."""
+    path = scratch_path(m.spark, "status")
+    rows = order_versions(m.order)
+    for step in sorted((r[0] for r in rows.select("step").distinct().collect()), reverse=True):  # a handful of statuses
+        rows.where(F.col("step") == step).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = m.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    sync.log_status_changes(stream, f"{path}/log", f"{path}/checkpoint").awaitTermination()
+    return sync.read_status_log(m.spark, f"{path}/log")
+
+
 @query("i9_incremental_batches", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events FROM d_event")
 def i9(m):
     """Two scheduled runs over one checkpoint: the second finds nothing new and adds nothing."""

@@ -42,6 +42,22 @@ def a1(m):
     return files.read_source(m.spark, folder, "orders")
 
 
+@query("a1_read_reviews", """
+SELECT review_id, order_id, score AS review_score, CASE WHEN score > 2 THEN 'a "title", with ' || chr(10) || ' a break' END AS review_comment_title,
+       review_id || chr(13) || chr(10) || '"",' || chr(10) || chr(10) || ' end' AS review_comment_message,
+       created_at AS review_creation_date, CAST(NULL AS TIMESTAMP) AS review_answer_timestamp FROM d_review""")
+def a1_reviews(m):
+    """Reviews with quotes, commas and line breaks come back as they were written."""
+    folder = scratch_path(m.spark, "csv")
+    title = F.when(F.col("score") > 2, F.lit('a "title", with \n a break'))
+    rows = m.review.select(
+        "review_id", "order_id", F.col("score").alias("review_score"), title.alias("review_comment_title"),
+        F.concat("review_id", F.lit('\r\n"",\n\n end')).alias("review_comment_message"),
+        F.col("created_at").alias("review_creation_date"), F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp"))
+    files.write_source(rows, folder, "order_reviews")
+    return files.read_source(m.spark, folder, "order_reviews")
+
+
 @query("a2_geolocation_points", """
 SELECT geolocation_id, geolocation_lng AS lng, geolocation_lat AS lat FROM d_geolocation""")
 def a2(m):
@@ -238,6 +254,20 @@ def g2(m):
         "order_id", "product_id", "price")
 
 
+@query("a8_catalog_documents", "SELECT product_id, CAST(1 AS BIGINT) AS n, TRUE AS agree FROM d_product")
+def a8_documents(m):
+    """Whole catalogue documents of one instant, applied in two orders: the same document stays."""
+    from feira.queries.catalog import catalogue
+
+    first = catalogue(m)
+    second = first.withColumn("price_current", (F.col("price_current") + 1).cast(first.schema["price_current"].dataType))
+    fold = [sets.upsert_latest(a, b, ["product_id"], ["source_updated_at"]).select("product_id", "price_current") for a, b in (
+        (first, second), (second, first))]
+    both = fold[0].unionByName(fold[1])
+    return both.groupBy("product_id").agg(
+        F.count_distinct("price_current").alias("n"), (F.min("price_current") == F.max("price_current")).alias("agree"))
+
+
 @query("e3_latest_per_key", LATEST)
 def e3(m):
     return sets.latest_per_key(product_changes(m.raw("part")), ["product_id"], ["source_updated_at"])

@@ -46,7 +46,7 @@ BAD_PRODUCT = {
     "weight_g": f"CASE WHEN {P} % 59 = 0 THEN -weight_g ELSE weight_g END",
     "base_price": f"CASE WHEN {P} % 61 = 0 THEN -base_price ELSE base_price END",
 }
-S = "CAST(substring(promotion_id, 4) AS BIGINT)"
+S = "CASE WHEN promotion_id LIKE 'SP%' THEN CAST(substring(promotion_id, 4) AS BIGINT) ELSE CAST(length(promotion_id) AS BIGINT) END"
 BAD_PROMOTION = {
     "promotion_id": "promotion_id",
     "discount_percentage": f"CASE WHEN {S} % 7 = 0 THEN CAST(120 AS DECIMAL(5,2)) ELSE discount_percentage END",
@@ -83,10 +83,9 @@ def _seed(name: str, columns: dict[str, str], source: str) -> None:
 
 VIEWS["d_stamped_item"] = ("SELECT i.*, o.order_purchase_timestamp FROM d_order_item i "
                            "JOIN d_order o ON i.order_id = o.order_id")
-VIEWS["d_campaign"] = "SELECT * FROM d_promotion WHERE promotion_id LIKE 'SP%'"
 for _name, _columns, _source in (
         ("d_bad_order", BAD_ORDER, "d_order"), ("d_bad_item", BAD_ITEM, "d_stamped_item"),
-        ("d_bad_product", BAD_PRODUCT, "d_product"), ("d_bad_promotion", BAD_PROMOTION, "d_campaign"),
+        ("d_bad_product", BAD_PRODUCT, "d_product"), ("d_bad_promotion", BAD_PROMOTION, "d_promotion"),
         ("d_bad_customer", BAD_CUSTOMER, "d_customer"), ("d_bad_payment", BAD_PAYMENT, "d_payment"),
         ("d_bad_review", BAD_REVIEW, "d_review_doc")):
     _seed(_name, _columns, _source)
@@ -110,7 +109,7 @@ def bad_product(m):
 
 
 def bad_promotion(m):
-    flat = m.promotion.where(F.col("promotion_id").startswith("SP")).select(
+    flat = m.promotion.select(
         "promotion_id", "discount_percentage", "discount_amount",
         F.col("promotion_period.lower").alias("period_lower"), F.col("promotion_period.upper").alias("period_upper"))
     return seeded(flat, BAD_PROMOTION).withColumn(

@@ -150,7 +150,7 @@ def h20_documents(m):
 
 @query("h21_derived_uuid", """
 SELECT product_id, concat_ws('-', substring(h, 1, 8), substring(h, 9, 4), substring(h, 13, 4), substring(h, 17, 4), substring(h, 21, 12)) AS uuid
-FROM (SELECT product_id, sha256(product_id || chr(1) || name) AS h FROM d_product) t""")
+FROM (SELECT product_id, sha256('+' || product_id || chr(1) || coalesce('+' || name, '-')) AS h FROM d_product) t""")
 def h21(m):
     return m.product.select("product_id", values.derived_uuid(F.col("product_id"), F.col("name")).alias("uuid"))
 

@@ -8,12 +8,20 @@ from feira.functions import dates, geo
 from feira.operators.sets import pick_per_key
 from feira.schemas import DOCUMENT_SCHEMAS, SOURCE_COLUMNS
 
+# Tables with free text, and how many rows a file of them holds at most.
+FREE_TEXT = {"order_reviews": 200_000}
+
 
 def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One source table with its types; dates that cannot be parsed become NULL."""
+    """One source table with its types; dates that cannot be parsed become NULL, other bad fields fail.
+
+    Free text may hold line breaks. Files of such tables can't be split, so they are written in many
+    parts; all other tables are read line by line.
+    """
     columns = SOURCE_COLUMNS[name]
     raw = ", ".join(f"{c} {'string' if kind == 'timestamp_ntz' else kind}" for c, kind in columns)
-    df = spark.read.schema(raw).option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+    df = spark.read.schema(raw).option("header", True).option("escape", '"').option("mode", "FAILFAST").option(
+        "multiLine", name in FREE_TEXT).csv(f"{folder}/{name}")
     return df.select(*[
         dates.lenient_timestamp(F.col(c)).alias(c) if kind == "timestamp_ntz" else F.col(c) for c, kind in columns])
 
@@ -21,7 +29,7 @@ def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def write_source(df: DataFrame, folder: str, name: str) -> None:
     """Writes a source table as CSV with a header."""
     df.select(*[c for c, _ in SOURCE_COLUMNS[name]]).write.mode("overwrite").option("header", True).option(
-        "escape", '"').csv(f"{folder}/{name}")
+        "escape", '"').option("maxRecordsPerFile", FREE_TEXT.get(name, 0)).csv(f"{folder}/{name}")
 
 
 def with_point(df: DataFrame, lng: str, lat: str, name: str) -> DataFrame:

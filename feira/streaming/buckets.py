@@ -18,25 +18,18 @@ def hour_of(ts: Column) -> Column:
     return dates.hour_start(ts)
 
 
-def bucket_events(events: DataFrame, max_events: int = 10_000) -> DataFrame:
-    """One document per session and hour with its events in time order.
+def bucket_events(events: DataFrame, slot_minutes: int = 60) -> DataFrame:
+    """One document per session, hour and slot of the hour, with its events in time order.
 
-    A bucket with more than ``max_events`` events becomes several documents, numbered by
-    ``part``, so no task ever holds a whole crowded bucket; all events are kept.
+    The layout depends on the time of the events alone, never on how many there are. With the
+    default a document holds a whole hour; where one session may fill an hour with very many
+    events, shorter slots bound what a document, and the task that builds it, gathers.
     """
-    keyed = events.withColumn("bucket_hour", hour_of(F.col("ts")))
-    crowded = keyed.groupBy(*BUCKET_KEYS).agg(F.count("*").alias("n")).where(F.col("n") > max_events)
-    parts = crowded.select(*BUCKET_KEYS, F.ceil(F.col("n") / max_events).alias("parts"))
-    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("event_id"), F.col("parts"))).otherwise(F.lit(0))
-    parted = keyed.join(parts, BUCKET_KEYS, "left").withColumn("part", part.cast("int"))
-    # Rows come out of the join partitioned by bucket, which would keep all parts in one task.
-    return _documents(parted.repartition(*BUCKET_KEYS, "part"))
-
-
-def _documents(parted: DataFrame) -> DataFrame:
+    slot = F.floor(F.minute("ts") / slot_minutes).cast("int")
+    keyed = events.withColumn("bucket_hour", hour_of(F.col("ts"))).withColumn("slot", slot)
     entry = F.struct("ts", "event_id", "type", "value", "props")
     end = F.col("bucket_hour") + F.make_dt_interval(F.lit(EVENT_DAYS))
-    return parted.groupBy(*BUCKET_KEYS, "part").agg(
+    return keyed.groupBy(*BUCKET_KEYS, "slot").agg(
         F.min("customer_unique_id").alias("customer_unique_id"), F.count("*").alias("event_count"),
         F.sort_array(F.collect_list(entry)).alias("events")).withColumn("expires_at", end)
 
@@ -49,60 +42,61 @@ def bucket_facts(events: DataFrame) -> DataFrame:
         F.bool_or(F.col("type") == "order_completed").alias("converted"))
 
 
-def stream_bucket_facts(stream: DataFrame, late: str = "1 hour") -> DataFrame:
-    """The same facts as a stream: a bucket is emitted once the watermark has passed it.
+def stream_bucket_facts(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Adds the facts of every micro-batch to a log. However late an event is, its bucket gets it.
 
-    State per bucket is a few numbers, however many events it has.
+    No state is kept: a batch leaves one row per bucket it touches, and running it again replaces
+    its own rows.
     """
-    timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    grouped = timed.groupBy("session_id", F.window("ts", "1 hour").alias("w")).agg(
-        F.count("*").alias("event_count"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"),
-        F.bool_or(F.col("type") == "order_completed").alias("converted"))
-    return grouped.select(
-        "session_id", F.col("w.start").cast("timestamp_ntz").alias("bucket_hour"), "event_count",
-        F.col("first_at").cast("timestamp_ntz").alias("first_event_at"),
-        F.col("last_at").cast("timestamp_ntz").alias("last_event_at"),
-        F.timestamp_diff("SECOND", F.col("first_at"), F.col("last_at")).alias("duration_seconds"), "converted")
+    return _add_batches(stream, bucket_facts, path, checkpoint)
 
 
-def stream_buckets(stream: DataFrame, path: str, checkpoint: str, max_events: int = 10_000) -> StreamingQuery:
-    """Appends the bucket documents of every micro-batch to a log; late events simply add a document.
+def read_bucket_facts(spark: SparkSession, path: str) -> DataFrame:
+    """Facts of every bucket over all batches of the log."""
+    return spark.read.parquet(path).groupBy(*BUCKET_KEYS).agg(
+        F.sum("event_count").alias("event_count"), F.min("first_event_at").alias("first_event_at"),
+        F.max("last_event_at").alias("last_event_at"),
+        F.timestamp_diff("SECOND", F.min("first_event_at"), F.max("last_event_at")).alias("duration_seconds"),
+        F.bool_or("converted").alias("converted"))
 
-    No state is kept, and a batch that is run again replaces its own documents.
-    """
+
+def _add_batches(stream: DataFrame, work, path: str, checkpoint: str) -> StreamingQuery:
     def add(batch: DataFrame, batch_id: int) -> None:
-        append_batch(bucket_events(batch, max_events), path, batch_id)
+        append_batch(work(batch), path, batch_id)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_buckets(stream: DataFrame, path: str, checkpoint: str, slot_minutes: int = 60) -> StreamingQuery:
+    """Appends the bucket documents of every micro-batch to a log; late events simply add a document."""
+    return _add_batches(stream, lambda batch: bucket_events(batch, slot_minutes), path, checkpoint)
+
+
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a bucket log: one row per session, hour, batch and part."""
+    """Documents of a bucket log: one row per session, hour, slot and batch."""
     return spark.read.parquet(path)
 
 
-def merge_buckets(documents: DataFrame, max_events: int = 10_000) -> DataFrame:
-    """Documents of several batches as one per session and hour; repeated events count once."""
+def merge_buckets(documents: DataFrame, slot_minutes: int = 60) -> DataFrame:
+    """Documents of several batches as one per session, hour and slot; repeated events count once."""
     events = documents.select("session_id", "customer_unique_id", F.explode("events").alias("e")).select(
         "session_id", "customer_unique_id", "e.*").dropDuplicates(["session_id", "event_id"])
-    return bucket_events(events, max_events)
-
+    return bucket_events(events, slot_minutes)
 
-def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Sessions that end after ``gap_minutes`` without activity, with counts by kind of event.
-
-    An event exactly at the end still belongs to the session, as in Spark's session windows.
 
-    Events in one slot as long as the gap always share a session, so they are merged before the
-    shuffle; what is ordered per visitor is at most one row per slot, also for a hot one.
-    """
+def session_slots(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Counts per session name and slot of time as long as the gap; events of a slot share a session."""
     gap = gap_minutes * 60 * 1_000_000
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     slot = F.call_function("div", micros - F.pmod(micros, F.lit(gap)), F.lit(gap))
-    slots = events.groupBy("session_id", slot.alias("slot")).agg(
+    return events.groupBy("session_id", slot.alias("slot")).agg(
         F.min("customer_unique_id").alias("customer_unique_id"), F.min("ts").alias("first_at"),
         F.max("ts").alias("last_at"), F.count("*").alias("n_events"), *[
             F.count_if(F.col("type") == kind).alias(name) for kind, name in KINDS.items()])
+
+
+def _sessions_of(slots: DataFrame, gap_minutes: int) -> DataFrame:
+    gap = gap_minutes * 60 * 1_000_000
     by_time = Window.partitionBy("session_id").orderBy("slot")
     quiet = dates.micros_between(F.lag("last_at").over(by_time), F.col("first_at"))
     starts = F.coalesce((quiet > gap).cast("int"), F.lit(1))
@@ -115,19 +109,32 @@ def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
         F.sum("n_events").alias("n_events"), *[F.sum(name).alias(name) for name in KINDS.values()])
 
 
+def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Sessions that end after ``gap_minutes`` without activity, with counts by kind of event.
+
+    An event exactly at the end still belongs to the session, as in Spark's session windows.
+
+    Events in one slot as long as the gap always share a session, so they are merged before the
+    shuffle; what is ordered per visitor is at most one row per slot, also for a hot one.
+    """
+    return _sessions_of(session_slots(events, gap_minutes), gap_minutes)
+
+
 KINDS = {"page_view": "pages_viewed", "search": "searches", "add_to_cart": "cart_additions", "order_completed": "orders"}
 
 
-def stream_sessions(stream: DataFrame, gap_minutes: int = GAP_MINUTES, late: str = "1 hour") -> DataFrame:
-    """Sessions as a stream, emitted once the watermark has passed their end."""
-    timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    window = F.session_window("ts", f"{gap_minutes} minutes")
-    grouped = timed.groupBy("session_id", window.alias("w")).agg(
-        F.min("ts").alias("first_at"), F.max("ts").alias("last_at"), F.count("*").alias("n_events"), *[
-            F.count_if(F.col("type") == kind).alias(name) for kind, name in KINDS.items()])
-    return grouped.select(
-        "session_id", F.col("first_at").cast("timestamp_ntz").alias("started_at"),
-        F.col("last_at").cast("timestamp_ntz").alias("last_activity_at"), "n_events", *KINDS.values())
+def stream_sessions(stream: DataFrame, path: str, checkpoint: str, gap_minutes: int = GAP_MINUTES) -> StreamingQuery:
+    """Adds the session slots of every micro-batch to a log; late events may still join two sessions."""
+    return _add_batches(stream, lambda batch: session_slots(batch, gap_minutes), path, checkpoint)
+
+
+def read_sessions(spark: SparkSession, path: str, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Sessions over all batches of a slot log."""
+    slots = spark.read.parquet(path).groupBy("session_id", "slot").agg(
+        F.min("customer_unique_id").alias("customer_unique_id"), F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"), F.sum("n_events").alias("n_events"),
+        *[F.sum(name).alias(name) for name in KINDS.values()])
+    return _sessions_of(slots, gap_minutes)
 
 
 def cart_lines(events: DataFrame) -> DataFrame:

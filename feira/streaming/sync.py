@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feira.functions import dates
-from feira.operators.sets import latest_per_key, pick_per_key
-from feira.operators.timelines import status_transitions
+from feira.operators.sets import latest_per_key
+from feira.operators.timelines import with_previous_status
 from feira.sources.tables import append_batch, compact_log, has_batches, read_latest
 
 CATALOG_KEYS, CATALOG_ORDER = ["product_id"], ["source_updated_at"]
@@ -60,54 +60,77 @@ def compact_catalog(spark: SparkSession, path: str) -> None:
     compact_log(spark, path, CATALOG_KEYS, CATALOG_ORDER)
 
 
-def with_dead_letter(batch: DataFrame, rules: dict[str, Column], max_attempts: int = 3) -> DataFrame:
+def with_dead_letter(batch: DataFrame, rules: dict[str, Column], max_retries: int = 3) -> DataFrame:
     """Adds ``route``: valid, retry or alert, with the broken rules and the number of attempts.
 
-    A rule that gives NULL passes. A record that fails for the ``max_attempts``-th time alerts.
+    A rule that gives NULL passes. A record that still fails after ``max_retries`` retries alerts.
     """
     broken = F.array_compact(F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]))
     attempts = F.col("attempts") if "attempts" in batch.columns else F.lit(0)
     tried = batch.withColumn("broken_rules", broken).withColumn("attempts", attempts + 1)
     route = (F.when(F.size("broken_rules") == 0, "valid")
-             .when(F.col("attempts") >= max_attempts, "alert").otherwise("retry"))
+             .when(F.col("attempts") > max_retries, "alert").otherwise("retry"))
     return tried.withColumn("route", route)
 
 
+def _write_routed(routed: DataFrame, folder: str) -> None:
+    routed.hint("rebalance", "route").write.mode("overwrite").partitionBy("route").parquet(folder)
+
+
 def route_records(stream: DataFrame, rules: dict[str, Column], path: str, checkpoint: str,
-                  max_attempts: int = 3) -> StreamingQuery:
+                  max_retries: int = 3) -> StreamingQuery:
     """Writes each micro-batch below ``path`` by route: valid records, retries and alerts."""
     def split(batch: DataFrame, batch_id: int) -> None:
-        routed = with_dead_letter(batch, rules, max_attempts)
-        routed.hint("rebalance", "route").write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch_id={batch_id}")
+        _write_routed(with_dead_letter(batch, rules, max_retries), f"{path}/turn=0/batch_id={batch_id}")
 
     return run_available(stream, split, checkpoint)
 
 
+def replay_retries(spark: SparkSession, path: str, rules: dict[str, Column], max_retries: int = 3) -> bool:
+    """Tries the waiting records again, in a turn of their own; false if none were waiting.
+
+    Records of a turn count as done once the next turn exists, so a turn that is run again after a
+    failure replaces its own result.
+    """
+    routed = spark.read.parquet(path)
+    turn = routed.agg(F.max("turn")).first()[0]
+    waiting = routed.where((F.col("turn") == turn) & (F.col("route") == "retry"))
+    if waiting.isEmpty():
+        return False
+    again = with_dead_letter(waiting.drop("turn", "batch_id", "route", "broken_rules"), rules, max_retries)
+    _write_routed(again, f"{path}/turn={turn + 1}/batch_id=0")
+    return True
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    """Where every record is now: retries only of the last turn."""
+    routed = spark.read.parquet(path)
+    last = routed.agg(F.max("turn")).scalar()
+    return routed.where((F.col("route") != "retry") | (F.col("turn") == last)).drop("turn", "batch_id")
+
+
 def log_status_changes(versions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Status log of a stream of order versions; versions older than the log are late and dropped.
+    """Status log of a stream of order versions; late versions are logged like all others.
 
-    The last known status of the orders in a batch comes from the log itself, of which only the
-    purchase months present in the batch are read. A batch that is run again replaces its lines
-    and ignores lines of later batches.
+    A batch leaves the whole history of the orders it touches, which is a handful of versions each:
+    those logged before and its own. Only the purchase months present in the batch are read, whose
+    number is bounded by the calendar. Reading takes the newest history of an order. A batch that is
+    run again replaces its lines and ignores lines of later batches.
     """
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.withColumn("order_month", dates.month_start(F.col("order_purchase_timestamp")))
-        months = [r[0] for r in batch.select("order_month").distinct().collect()]
-        history = _log(spark, path).where(F.col("order_month").isin(months) & (F.col("batch_id") < batch_id))
-        known = history.join(batch.select("order_id"), "order_id", "left_semi")
-        columns = ["order_id", "order_purchase_timestamp", "order_status", "changed_at", "step"]
-        last = pick_per_key(known, ["order_id"], F.struct("changed_at", "step"), latest=True).withColumn(
-            "order_status", F.col("to_status")).select(*columns)
-        at = last.select("order_id", F.struct("changed_at", "step").alias("stored_at"))
-        newer = F.col("stored_at").isNull() | (F.struct("changed_at", "step") > F.col("stored_at"))
-        fresh = batch.select(*columns).join(at, "order_id", "left").where(newer).drop("stored_at")
-        # The stored status takes part as the earliest version and is not written again.
-        both = last.withColumn("stored", F.lit(True)).unionByName(fresh.withColumn("stored", F.lit(False)))
-        log = status_transitions(both).where(~F.col("stored")).drop("stored")
         month = dates.month_start(F.col("order_purchase_timestamp"))
-        (log.withColumn("order_month", month).hint("rebalance", "order_month")
-         .write.mode("overwrite").partitionBy("order_month").parquet(f"{path}/batch_id={batch_id}"))
+        columns = ["order_id", "order_purchase_timestamp", "order_status", "changed_at", "step"]
+        batch = batch.select(*columns, month.alias("order_month"))
+        months = [r[0] for r in batch.select("order_month").distinct().collect()]
+        before = _log(spark, path).where(F.col("order_month").isin(months) & (F.col("batch_id") < batch_id))
+        known = _newest(before).join(batch.select("order_id").distinct(), "order_id", "left_semi").select(
+            "order_id", "order_purchase_timestamp", F.col("to_status").alias("order_status"), "changed_at", "step")
+        linked = with_previous_status(known.unionByName(batch.select(*columns)).distinct())
+        log = linked.select("order_id", "order_purchase_timestamp", "from_status", F.col("order_status").alias("to_status"),
+                            "changed_at", "step", month.alias("order_month"))
+        (log.hint("rebalance", "order_month").write.mode("overwrite").partitionBy("order_month")
+         .parquet(f"{path}/batch_id={batch_id}"))
 
     return run_available(versions, add, checkpoint)
 
@@ -118,5 +141,13 @@ def _log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
+def _newest(log: DataFrame) -> DataFrame:
+    """The lines of the last batch that touched each order."""
+    last = log.groupBy("order_id").agg(F.max("batch_id").alias("batch_id"))
+    return log.join(last, ["order_id", "batch_id"])
+
+
 def read_status_log(spark: SparkSession, path: str) -> DataFrame:
-    return _log(spark, path).drop("batch_id", "order_month")
+    """The initial status and every real change of all orders."""
+    lines = _newest(_log(spark, path)).where(~F.col("from_status").eqNullSafe(F.col("to_status")))
+    return lines.drop("batch_id", "order_month")

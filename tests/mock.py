@@ -1,83 +1,77 @@
-"""A handful of hand-checked rows."""
+"""A small shop of bicycles, lamps and flasks with answers worked out by hand."""
 
 from pyspark.sql import functions as F
 
 from feira.functions import collections as C, dates, geo, semistructured as J
 
-NOW = "2026-01-16 00:00:00"
-
-PRODUCTS = [
-    ("PROD-101", 2, "Cafetera Expresso Italiana", "Cafetera clásica de aluminio 6 tazas.",
-     '{"color":"plata","capacity_cups":6,"material":"aluminio"}', ["img/cafe1.jpg", "img/cafe2.jpg"],
-     ["cocina", "hogar", "cafe"], "15", "20", "10", "450", "120.50"),
-    ("PROD-102", 1, "TV Inteligente 55 Pulgadas 4K", "Smart TV LED con colores vibrantes.",
-     '{"color":"negro","resolution":"4K","voltage":"110V-220V"}', ["img/tv1.jpg"],
-     ["tecnologia", "oferta", "hogar"], "123", "71", "8", "15000", "3500.00"),
-    ("PROD-103", 3, "Teclado Mecánico RGB", "Teclado para programadores y gamers.",
-     '{"color":"blanco","switch":"brown","voltage":"USB"}', None,
-     ["computadoras", "gamer"], "45", "15", "4", "800", "450.00"),
-]
+NOW = "2025-11-20 09:00:00"
 
 
 def categories(spark):
     return spark.createDataFrame(
-        [(1, "Eletrônicos", "electronics"), (2, "Casa e Cozinha", "home_appliances"), (3, "Informática", "computers")],
+        [(10, "Ar livre", "outdoor"), (20, "Mobilidade", "mobility"), (30, "Iluminação", "lighting")],
         "category_id int, category_name string, category_name_english string")
 
 
 def products(spark):
-    raw = spark.createDataFrame(PRODUCTS, (
-        "product_id string, category_id int, name string, description string, spec string, product_photos array<string>,"
-        "product_tags array<string>, l string, h string, w string, g string, price string"))
-    return raw.select(
+    columns = ("product_id string, category_id int, name string, description string, spec string,"
+               "photos array<string>, tags array<string>, size array<string>, price string")
+    rows = [
+        ("B-7", 20, "Bicicleta urbana plegable", "Cuadro de acero, ocho marchas y luz.", '{"frame": "acero", "gears": 8, "fold": true}',
+         ["b/front.png", "b/side.png", "b/bag.png"], ["movilidad", "ciudad"], ["140", "95", "25", "13500"], "1290.00"),
+        ("L-3", 30, "Lámpara de lectura", "Luz cálida regulable para la mesa.", '{"watt": 9, "base": "imán", "fold": "brazo"}',
+         None, ["luz", "mesa", "ciudad"], ["12", "40", "12", "650"], "88.40"),
+        ("T-5", 10, "Termo de montaña", "Mantiene caliente el té doce horas.", '{"litres": 1, "frame": "inox"}',
+         ["t/1.png"], ["aire libre"], ["9", "31", "9", "540"], "61.25"),
+    ]
+    size = F.struct(*[F.col("size")[k].cast(kind).alias(name) for k, (name, kind) in enumerate((
+        ("length_cm", "decimal(8,2)"), ("height_cm", "decimal(8,2)"), ("width_cm", "decimal(8,2)"), ("weight_g", "decimal(10,2)")))])
+    return spark.createDataFrame(rows, columns).select(
         "product_id", "category_id", "name", "description", J.parse(F.col("spec")).alias("product_specifications"),
-        "product_photos", "product_tags",
-        F.struct(F.col("l").cast("decimal(8,2)").alias("length_cm"), F.col("h").cast("decimal(8,2)").alias("height_cm"),
-                 F.col("w").cast("decimal(8,2)").alias("width_cm"), F.col("g").cast("decimal(10,2)").alias("weight_g"))
-        .alias("dimensions"), F.col("price").cast("decimal(12,2)").alias("base_price"))
+        F.col("photos").alias("product_photos"), F.col("tags").alias("product_tags"), size.alias("dimensions"),
+        F.col("price").cast("decimal(12,2)").alias("base_price"))
 
 
 def promotions(spark, now=NOW):
-    rows = spark.createDataFrame(
-        [("B", "Black Friday", "20.00", None, None, [1, 3]),
-         ("L", "Liquidación Verano", "15.00", "2025-01-01 00:00:00", "2025-01-31 23:59:59", [2])],
-        "promotion_id string, name string, pct string, lower string, upper string, target_category_ids array<int>")
+    """One campaign around ``now``, one in the spring of 2025."""
     at = dates.instant(now)
-    lower = F.coalesce(F.col("lower").cast("timestamp_ntz"), dates.shift(at, -1, "day"))
-    upper = F.coalesce(F.col("upper").cast("timestamp_ntz"), dates.shift(at, 10, "day"))
+    rows = spark.createDataFrame([("W", "winter", "12.50", [20, 30]), ("S", "spring", "40.00", [10])],
+                                 "promotion_id string, name string, pct string, target_category_ids array<int>")
+    winter = F.col("promotion_id") == "W"
+    lower = F.when(winter, dates.shift(at, -2, "day")).otherwise(dates.instant("2025-03-10 00:00:00"))
+    upper = F.when(winter, dates.shift(at, 7, "day")).otherwise(dates.instant("2025-04-02 12:00:00"))
     return rows.select(
         "promotion_id", "name", F.col("pct").cast("decimal(5,2)").alias("discount_percentage"),
         F.lit(None).cast("decimal(12,2)").alias("discount_amount"), C.period(lower, upper).alias("promotion_period"),
         "target_category_ids", F.array().cast("array<string>").alias("target_product_ids"))
 
 
-def customers(spark):
-    df = spark.createDataFrame([("CUST_ABC", 1000, "São Paulo", "SP")],
-                               "customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string")
-    return df.withColumn("customer_geo", F.lit(None).cast("struct<lng:double,lat:double>"))
-
+def _addressed(spark, who, rows):
+    names = [f"{who}_{c}" for c in ("zip_code_prefix", "city", "state")]
+    key = "customer_unique_id" if who == "customer" else "seller_id"
+    df = spark.createDataFrame(rows, f"{key} string, {names[0]} int, {names[1]} string, {names[2]} string")
+    return df.withColumn(f"{who}_geo", F.lit(None).cast("struct<lng:double,lat:double>"))
 
-def sellers(spark):
-    df = spark.createDataFrame([("SELLER_XYZ", 20000, "Rio de Janeiro", "RJ")],
-                               "seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string")
-    return df.withColumn("seller_geo", F.lit(None).cast("struct<lng:double,lat:double>"))
 
+def placed(spark):
+    """A customer in Belo Horizonte and a seller in Curitiba, with their points looked up."""
+    from feira.plans.delivery import enrich_geo
 
-def geolocation(spark):
-    return spark.createDataFrame(
-        [(1, 1000, -23.5489, -46.6388), (2, 20000, -22.9068, -43.1729), (3, 1000, 0.0, 0.0)],
+    zips = spark.createDataFrame(
+        [(1, 30100, -19.9167, -43.9345), (2, 80010, -25.4284, -49.2733), (3, 80010, 1.0, 1.0)],
         "geolocation_id long, geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double")
+    return enrich_geo(
+        _addressed(spark, "customer", [("CL-1", 30100, "Belo Horizonte", "MG")]),
+        _addressed(spark, "seller", [("VD-9", 80010, "Curitiba", "PR")]), zips)
 
 
 def orders(spark):
-    df = spark.createDataFrame(
-        [("ORD-999", "CUST_ABC", "approved", "2026-01-15 10:00:00", "2026-01-20 10:00:00")],
-        "order_id string, customer_unique_id string, order_status string, bought string, due string")
-    none = F.lit(None).cast("timestamp_ntz")
+    df = spark.createDataFrame([("PED-1", "CL-1", "approved", "2025-11-18 08:30:00", "2025-11-25 18:00:00")],
+                               "order_id string, customer_unique_id string, order_status string, bought string, due string")
+    steps = ("order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date")
     return df.select(
-        "order_id", "customer_unique_id", "order_status",
-        F.col("bought").cast("timestamp_ntz").alias("order_purchase_timestamp"), none.alias("order_approved_at"),
-        none.alias("order_delivered_carrier_date"), none.alias("order_delivered_customer_date"),
+        "order_id", "customer_unique_id", "order_status", F.col("bought").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        *[F.lit(None).cast("timestamp_ntz").alias(c) for c in steps],
         F.col("due").cast("timestamp_ntz").alias("order_estimated_delivery_date"))
 
 
@@ -88,25 +82,19 @@ def items(spark):
 
 
 def reviews(spark):
-    return spark.createDataFrame(
-        [("REV-001", "product", "ORD-999", "PROD-101", "SELLER_XYZ", "CUST_ABC", 5)],
+    return spark.createDataFrame([("OPI-1", "product", "PED-1", "L-3", "VD-9", "CL-1", 4)], (
         "review_id string, review_type string, order_id string, product_id string, seller_id string,"
-        "customer_unique_id string, score int").withColumn("created_at", dates.instant(NOW))
+        "customer_unique_id string, score int")).withColumn("created_at", dates.instant(NOW))
 
 
 def events(spark):
-    rows = [(1, "page_view", "2026-01-15 10:05:00"), (2, "search", "2026-01-15 10:06:00"), (3, "add_to_cart", "2026-01-15 10:07:00")]
-    df = spark.createDataFrame(rows, "event_id long, type string, at string")
+    """One visit: a look, the same product twice into the cart, an order."""
+    kinds = ["page_view", "add_to_cart", "add_to_cart", "order_completed"]
+    df = spark.createDataFrame([(k + 1, kind) for k, kind in enumerate(kinds)], "event_id long, type string")
     return df.select(
-        "event_id", F.lit("sess_demo").alias("session_id"), F.lit("CUST_ABC").alias("customer_unique_id"), "type",
-        F.col("at").cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"), F.lit('{"k": 101}').alias("props"))
-
-
-def placed(spark):
-    """Customers and sellers with their points looked up."""
-    from feira.plans.delivery import enrich_geo
-
-    return enrich_geo(customers(spark), sellers(spark), geolocation(spark))
+        "event_id", F.lit("visita_3").alias("session_id"), F.lit("CL-1").alias("customer_unique_id"), "type",
+        F.timestamp_add("SECOND", (F.col("event_id") * 40).cast("int"), dates.instant("2025-11-18 08:20:00")).alias("ts"),
+        F.lit(1.0).alias("value"), F.lit('{"k": 5}').alias("props"))
 
 
 def point(lng, lat):

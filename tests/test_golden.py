@@ -1,5 +1,6 @@
-"""The example queries over the mock rows give the hand-derived answers."""
+"""Operators over the small shop give the answers worked out by hand."""
 
+import math
 from decimal import Decimal
 
 import pytest
@@ -18,76 +19,77 @@ def ids(df, column="product_id"):
 
 def test_json_searches(spark):
     p, c = mock.products(spark), mock.categories(spark)
-    assert ids(search.products_with(p, {"color": "rojo"})) == []
-    rows = search.products_by_number(p, "capacity_cups", ">=", 6).collect()
-    assert [(r.product_id, r.capacity_cups) for r in rows] == [("PROD-101", 6)]
-    assert ids(search.products_by_spec(p, c, "electronics", {"voltage": "110V"})) == []
-    assert ids(search.products_by_spec(p, c, "electronics", {"voltage": "110V-220V"})) == ["PROD-102"]
+    assert ids(search.products_with(p, {"frame": "titanio"})) == [] and ids(search.products_with(p, {"frame": "inox"})) == ["T-5"]
+    assert [(r.product_id, r.gears) for r in search.products_by_number(p, "gears", ">=", 8).collect()] == [("B-7", 8)]
+    assert ids(search.products_by_spec(p, c, "lighting", {"fold": "bra"})) == []
+    assert ids(search.products_by_spec(p, c, "lighting", {"fold": "brazo"})) == ["L-3"]
 
 
 def test_array_searches(spark):
     p = mock.products(spark)
     tags = F.col("product_tags")
-    assert ids(p.where(C.has_tag(tags, "oferta"))) == ["PROD-102"]
-    assert ids(p.where(C.any_tag(tags, ["cocina", "hogar", "electrodomestico"]))) == ["PROD-101", "PROD-102"]
-    assert ids(p.where(C.all_tags(tags, ["cocina", "oferta"]))) == []
-    assert ids(p.where(C.no_elements(F.col("product_photos")))) == ["PROD-103"]
+    assert ids(p.where(C.has_tag(tags, "ciudad"))) == ["B-7", "L-3"]
+    assert ids(p.where(C.any_tag(tags, ["mesa", "aire libre", "nieve"]))) == ["L-3", "T-5"]
+    assert ids(p.where(C.all_tags(tags, ["luz", "movilidad"]))) == []
+    assert ids(p.where(C.no_elements(F.col("product_photos")))) == ["L-3"]
 
 
 def test_promotions(spark):
     p, now = mock.promotions(spark), dates.instant(mock.NOW)
-    assert ids(search.active_promotions_at(p, now), "promotion_id") == ["B"]
-    december = dates.instant("2026-12-01 00:00:00"), dates.instant("2026-12-31 00:00:00")
+    assert ids(search.active_promotions_at(p, now), "promotion_id") == ["W"]
+    december = dates.instant("2025-12-01 00:00:00"), dates.instant("2025-12-24 00:00:00")
     assert ids(search.overlapping_promotions(p, *december), "promotion_id") == []
-    late = mock.promotions(spark, "2026-11-25 00:00:00")
-    assert ids(search.overlapping_promotions(late, *december), "promotion_id") == ["B"]
-    assert ids(search.active_for_category(p, 12, now), "promotion_id") == []
+    week = dates.instant("2025-11-27 00:00:00"), dates.instant("2025-11-30 00:00:00")
+    assert ids(search.overlapping_promotions(p, *week), "promotion_id") == ["W"]
+    assert ids(search.active_for_category(p, 10, now), "promotion_id") == []
+    assert ids(search.active_for_category(p, 30, now), "promotion_id") == ["W"]
 
 
 def test_prices(spark):
-    priced = {r.product_id: r for r in promotions.effective_price(
-        mock.products(spark), mock.promotions(spark), dates.instant(mock.NOW)).collect()}
-    assert priced["PROD-101"].price_current == Decimal("120.50") and not priced["PROD-101"].has_active_promotion
-    assert priced["PROD-102"].price_current == Decimal("2800.00") and priced["PROD-102"].promotion_id == "B"
-    summer = promotions.effective_price(mock.products(spark), mock.promotions(spark), dates.instant("2025-01-15 00:00:00"))
-    assert {r.product_id: r.price_current for r in summer.collect()}["PROD-101"] == Decimal("102.43")
+    def prices(at):
+        frame = promotions.effective_price(mock.products(spark), mock.promotions(spark), dates.instant(at))
+        return {r.product_id: (r.price_current, r.promotion_id) for r in frame.collect()}
+
+    # 12.5 % off in winter, 40 % off in spring
+    assert prices(mock.NOW) == {"B-7": (Decimal("1128.75"), "W"), "L-3": (Decimal("77.35"), "W"), "T-5": (Decimal("61.25"), None)}
+    assert prices("2025-03-20 00:00:00")["T-5"] == (Decimal("36.75"), "S")
 
 
 def test_places(spark):
     customers, sellers = mock.placed(spark)
-    pairs = customers.select("customer_unique_id", F.lit("SELLER_XYZ").alias("seller_id"))
-    assert joins.pair_distance(pairs, customers, sellers).first().distance_km == pytest.approx(361.267, abs=0.5)
-    spheroid = joins.pair_distance(pairs, customers, sellers, "spheroid").first().distance_km
-    assert spheroid == pytest.approx(360.75, rel=0.005)
-    near = spatial.nearest_within(customers, "customer_geo", sellers, "seller_id", "seller_geo", 50)
-    assert near.count() == 0
-    assert spatial.nearest_within(customers, "customer_geo", sellers, "seller_id", "seller_geo", 400).count() == 1
-    center = aggregates.state_centroids(customers).first()
-    assert tuple(center) == ("SP", 1, "POINT(-46.6388 -23.5489)")
+    pairs = customers.select("customer_unique_id", F.lit("VD-9").alias("seller_id"))
+    a, b, c, d = map(math.radians, (-19.9167, -43.9345, -25.4284, -49.2733))
+    arc = 2 * math.asin(math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2))
+    km = joins.pair_distance(pairs, customers, sellers).first().distance_km
+    assert km == pytest.approx(arc * 6371, rel=1e-3) and 800 < km < 840
+    assert joins.pair_distance(pairs, customers, sellers, "spheroid").first().distance_km == pytest.approx(km, rel=0.006)
+    for radius, found in ((500, 0), (900, 1)):
+        assert spatial.nearest_within(customers, "customer_geo", sellers, "seller_id", "seller_geo", radius).count() == found
+    assert tuple(aggregates.state_centroids(customers).first()) == ("MG", 1, "POINT(-43.9345 -19.9167)")
 
 
 def test_fuzzy(spark):
     p = mock.products(spark)
-    found = search.fuzzy_search(p, ["name"], "cafetera", "product_id").collect()
-    assert [(r.product_id, round(r.sim, 4)) for r in found] == [("PROD-101", 0.3333)]
-    assert ids(search.name_like(p, "name", "%italiana%", "product_id")) == ["PROD-101"]
-    assert ids(search.fuzzy_search(p, ["name", "description"], "cafe", "product_id")) == []
-    one = spark.range(1).select(text.similarity(F.lit("word"), F.lit("two words")).alias("s")).first()
-    assert one.s == pytest.approx(4 / 11)
+    found = search.fuzzy_search(p, ["name"], "bicicleta", "product_id").collect()
+    # 10 trigrams of the word among 26 of the name
+    assert [(r.product_id, round(r.sim, 4)) for r in found] == [("B-7", 0.3846)]
+    assert ids(search.name_like(p, "name", "%montaña%", "product_id")) == ["T-5"]
+    assert ids(search.fuzzy_search(p, ["name", "description"], "luz", "product_id")) == []
+    one = spark.range(1).select(text.similarity(F.lit("red"), F.lit("red fox")).alias("s")).first()
+    assert one.s == pytest.approx(4 / 8)
 
 
 def test_dimensions(spark):
     p = mock.products(spark)
-    assert [tuple(r) for r in search.heavy_products(p, 5000).select("product_id", "weight_g").collect()] == [
-        ("PROD-102", Decimal("15000.00"))]
+    assert [tuple(r) for r in search.heavy_products(p, 5000).select("product_id", "weight_g").collect()] == [("B-7", Decimal("13500.00"))]
     volumes = [(r.product_id, int(r.volume_cm3)) for r in search.largest_products(p).collect()]
-    assert volumes == [("PROD-102", 69864), ("PROD-101", 3000), ("PROD-103", 2700)]
+    assert volumes == [("B-7", 140 * 95 * 25), ("L-3", 12 * 40 * 12), ("T-5", 9 * 31 * 9)]
 
 
 def test_orders_and_summaries(spark):
     o, now = mock.orders(spark), dates.instant(mock.NOW)
-    assert ids(search.orders_in_month(o, now), "order_id") == ["ORD-999"]
-    assert ids(search.open_orders(o, now), "order_id") == ["ORD-999"]
+    assert ids(search.orders_in_month(o, now), "order_id") == ["PED-1"]
+    assert ids(search.open_orders(o, now), "order_id") == ["PED-1"]
     customers, _ = mock.placed(spark)
     assert sales.sales_by_category_month(o, mock.items(spark), mock.products(spark), mock.categories(spark)).count() == 0
     assert sales.customer_segments(o, mock.items(spark), customers, now).count() == 0
@@ -95,22 +97,21 @@ def test_orders_and_summaries(spark):
 
 def test_documents(spark):
     _, sellers = mock.placed(spark)
-    p = mock.products(spark)
-    sold = spark.createDataFrame([("ORD-999", 1, "PROD-101", "SELLER_XYZ")],
-                                 "order_id string, order_item_id int, product_id string, seller_id string")
-    full = catalog.product_catalog(p, mock.categories(spark), sellers, sold, mock.promotions(spark, "2025-01-15 00:00:00"),
-                                   mock.reviews(spark), dates.instant("2025-01-15 00:00:00"))
-    doc = full.where("product_id = 'PROD-101'").first()
-    assert doc.seller.id == "SELLER_XYZ" and doc.category.name_english == "home_appliances"
-    assert doc.rating.distribution["5"] == 1 and doc.rating["count"] == 1
-    assert set(ids(search.promoted(full))) == {"PROD-101", "PROD-102", "PROD-103"}
-    found = search.text_search(p, {"name": 10.0, "description": 1.0}, "cafetera italiana", "product_id")
-    assert ids(found) == ["PROD-101"]
-    assert [(r.review_id, r.score) for r in search.reviews_for(mock.reviews(spark), "PROD-101").collect()] == [("REV-001", 5)]
+    p, spring = mock.products(spark), "2025-03-20 00:00:00"
+    sold = spark.createDataFrame([("PED-1", 1, "L-3", "VD-9")], "order_id string, order_item_id int, product_id string, seller_id string")
+    full = catalog.product_catalog(
+        p, mock.categories(spark), sellers, sold, mock.promotions(spark, spring), mock.reviews(spark), dates.instant(spring))
+    doc = full.where("product_id = 'L-3'").first()
+    assert doc.seller.id == "VD-9" and doc.category.name_english == "lighting"
+    assert doc.rating.distribution["4"] == 1 and doc.rating["count"] == 1
+    assert doc.active_promotion.name == "winter"
+    assert set(ids(search.promoted(full))) == {"B-7", "L-3", "T-5"}
+    assert ids(search.text_search(p, {"name": 10.0, "description": 1.0}, "lámpara lectura", "product_id")) == ["L-3"]
+    assert [(r.review_id, r.score) for r in search.reviews_for(mock.reviews(spark), "L-3").collect()] == [("OPI-1", 4)]
 
 
 def test_events(spark):
-    bucket = search.events_for(buckets.bucket_events(mock.events(spark)), "sess_demo").first()
-    assert bucket.event_count == 3 and bucket.types == ["page_view", "search", "add_to_cart"]
-    session = search.session(buckets.user_sessions(mock.events(spark)), "sess_demo").first()
-    assert [(c.product_id, c.qty) for c in session.cart] == [("PROD_101", 1)]
+    bucket = search.events_for(buckets.bucket_events(mock.events(spark)), "visita_3").first()
+    assert bucket.event_count == 4 and bucket.types == ["page_view", "add_to_cart", "add_to_cart", "order_completed"]
+    session = search.session(buckets.user_sessions(mock.events(spark)), "visita_3").first()
+    assert [(c.product_id, c.qty) for c in session.cart] == [("PROD_5", 2)]

@@ -66,15 +66,17 @@ def test_no_collect_on_a_hot_key(market):
     assert "partial_max_by" in text and "Window" not in text
 
 
-def test_parts_and_slices_are_spread_over_tasks(market):
-    """A key split into parts or time slices must not stay partitioned by the key alone."""
-    from feira.operators.timelines import status_transitions
+def test_slots_and_slices_are_spread_over_tasks(market):
+    """A key split into slots or time slices must not stay partitioned by the key alone."""
+    from feira.operators.timelines import status_transitions, with_previous
     from feira.streaming.buckets import bucket_events
 
-    lines = plan(bucket_events(market.session_event)).split("\n")
-    assert any("Exchange hashpartitioning(session_id" in x and "part#" in x for x in lines)
+    lines = plan(bucket_events(market.session_event, 5)).split("\n")
+    assert any("Exchange hashpartitioning(session_id" in x and "slot#" in x for x in lines)
     keyed = market.order_history.repartition("order_id")
-    assert any("Exchange hashpartitioning(order_id" in x and "_slice#" in x for x in plan(status_transitions(keyed)).split("\n"))
+    sliced = with_previous(keyed, ["order_id"], ["changed_at"], ["order_status"], F.col("changed_at").cast("date"))
+    assert any("Exchange hashpartitioning(order_id" in x and "_slice#" in x for x in plan(sliced).split("\n"))
+    assert plan(status_transitions(market.order_history)).count("Exchange") == 1
 
 
 def test_settings_reach_a_foreign_session(spark, market):

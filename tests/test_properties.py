@@ -167,12 +167,13 @@ def events(spark, rows):
 
 def test_crowded_buckets_split_and_keep_every_event(spark):
     rows = [(i, "hot" if i % 3 else "calm", f"2024-01-01 10:{i % 60:02d}:{i // 60:02d}", "search") for i in range(300)]
-    documents = buckets.bucket_events(events(spark, rows), max_events=40)
+    documents = buckets.bucket_events(events(spark, rows), slot_minutes=5)
     got = documents.collect()
     assert sum(d.event_count for d in got) == 300
     assert len([d for d in got if d.session_id == "hot"]) > 1
     assert {e.event_id for d in got for e in d.events} == set(range(300))
     assert all(list(d.events) == sorted(d.events, key=lambda e: (e.ts, e.event_id)) for d in got)
+    assert len({(d.session_id, d.bucket_hour, d.slot) for d in got}) == len(got)
     merged = buckets.merge_buckets(documents.unionByName(documents)).collect()
     assert sorted(d.event_count for d in merged) == [100, 200]
 
@@ -215,10 +216,23 @@ def test_day_arithmetic(spark):
 
 
 def test_paths_stop_at_cycles(spark):
-    df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (7, 8), (8, 7)], "category_id int, parent_category_id int")
-    got = {r.category_id: r for r in joins.category_paths(df, 4).collect()}
+    deep = [(k, k - 1) for k in range(21, 50)]
+    df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (7, 8), (8, 7), (20, 99), *deep], "category_id int, parent_category_id int")
+    got = {r.category_id: r for r in joins.category_paths(df).collect()}
     assert got[3].path == [1, 2, 3] and got[3].root_id == 1 and got[3].complete
-    assert not got[7].complete and got[1].depth == 0
+    assert not got[7].complete and got[7].root_id is None and got[1].depth == 0
+    assert got[49].root_id == 20 and got[49].depth == 29 and got[49].path == list(range(20, 50))
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("k", 1, {"a": 1, "b": 2}, "x"), ("k", 1, {"a": 3}, "y"), ("k", 1, {"b": 2, "a": 4}, "z"), ("k", 0, None, "w")]
+    schema = "k string, at int, m map<string,int>, v string"
+    found = set()
+    for turn in range(3):
+        df = spark.createDataFrame(rows[turn:] + rows[:turn], schema).selectExpr("*", "parse_json('{\"q\": 1}') AS j").coalesce(1)
+        found.add(sets.latest_per_key(df, ["k"], ["at"]).first().v)
+        found.add(sets.upsert_latest(df.limit(2), df, ["k"], ["at"]).first().v)
+    assert len(found) == 1 and found != {"w"}
 
 
 def test_matrix_has_a_column_per_customer_state(market):

@@ -53,11 +53,11 @@ def test_catalog_keeps_the_newest_whatever_the_order(spark, tmp_path):
 
 
 def test_failed_records_are_retried_then_alert(spark):
-    batch = spark.createDataFrame([(1, 5.0, 0), (2, -1.0, 0), (3, -1.0, 2), (4, None, 1)], "id int, price double, attempts int")
+    batch = spark.createDataFrame([(1, 5.0, 0), (2, -1.0, 0), (3, -1.0, 2), (4, None, 1), (5, -1.0, 3)], "id int, price double, attempts int")
     routed = sync.with_dead_letter(batch, {"price_ok": F.col("price") >= 0})
-    assert rows(routed, "id", "route", "attempts") == [(1, "valid", 1), (2, "retry", 1), (3, "alert", 3), (4, "valid", 2)]
+    assert rows(routed, "id", "route", "attempts") == [(1, "valid", 1), (2, "retry", 1), (3, "retry", 3), (4, "valid", 2), (5, "alert", 4)]
     again = sync.with_dead_letter(routed.where("route = 'retry'").drop("route"), {"price_ok": F.col("price") >= 0})
-    assert rows(again, "id", "route", "attempts") == [(2, "retry", 2)]
+    assert rows(again, "id", "route", "attempts") == [(2, "retry", 2), (3, "alert", 4)]
 
 
 def test_newer_only(spark):
@@ -105,21 +105,46 @@ def test_late_events_still_land_in_their_bucket(spark, tmp_path):
 
 
 @pytest.mark.parametrize("kind", ["facts", "sessions"])
-def test_closed_windows_equal_the_batch(spark, tmp_path, kind):
+def test_streams_equal_the_batch_however_late_events_are(spark, tmp_path, kind):
     feed = Feed(spark, tmp_path / "in", EVENTS)
     data = [event(i, (i * 7) % 60, f"s{i % 3}", 1 + i // 12) for i in range(120)]
-    for at in range(0, 120, 40):
-        feed.add(*data[at:at + 40])
     feed.add(event(999, 0, "end", 23))
-    make, batch, columns = {
-        "facts": (buckets.stream_bucket_facts, buckets.bucket_facts, ("session_id", "bucket_hour", "event_count", "duration_seconds")),
-        "sessions": (buckets.stream_sessions, buckets.sessions, ("session_id", "started_at", "last_activity_at", "n_events", "searches")),
+    for at in (80, 0, 40):
+        feed.add(*data[at:at + 40][::2])
+    for at in (0, 80, 40):
+        feed.add(*data[at:at + 40][1::2])
+    add, read, batch, columns = {
+        "facts": (buckets.stream_bucket_facts, buckets.read_bucket_facts, buckets.bucket_facts,
+                  ("session_id", "bucket_hour", "event_count", "duration_seconds")),
+        "sessions": (buckets.stream_sessions, buckets.read_sessions, buckets.sessions,
+                     ("session_id", "started_at", "last_activity_at", "n_events", "searches")),
     }[kind]
     out = str(tmp_path / "out")
-    (make(feed.stream()).writeStream.format("parquet").option("path", out).outputMode("append")
-     .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination())
-    whole = spark.read.schema(EVENTS).json(str(tmp_path / "in")).where("session_id <> 'end'")
-    assert rows(spark.read.parquet(out), *columns) == rows(batch(whole), *columns)
+    add(feed.stream(), out, str(tmp_path / "checkpoint")).awaitTermination()
+    whole = spark.read.schema(EVENTS).json(str(tmp_path / "in"))
+    assert rows(read(spark, out), *columns) == rows(batch(whole), *columns)
+
+
+def test_late_versions_change_the_log(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", SCHEMA)
+    feed.add(version("o1", "created", 1), version("o1", "shipped", 4))
+    feed.add(version("o1", "approved", 2))
+    feed.add(version("o1", "shipped", 3), version("o2", "created", 1))
+    path = str(tmp_path / "log")
+    sync.log_status_changes(feed.stream(), path, str(tmp_path / "checkpoint")).awaitTermination()
+    got = [(r.to_status, r.changed_at.day) for r in sync.read_status_log(spark, path).where("order_id = 'o1'").orderBy("changed_at").collect()]
+    assert got == [("created", 1), ("approved", 2), ("shipped", 3)]
+
+
+def test_retries_are_replayed_until_they_alert(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "id int, price double")
+    feed.add((1, 5.0), (2, -1.0))
+    path, rules = str(tmp_path / "out"), {"price_ok": F.col("price") >= 0}
+    sync.route_records(feed.stream(), rules, path, str(tmp_path / "checkpoint")).awaitTermination()
+    turns = 0
+    while sync.replay_retries(spark, path, rules):
+        turns += 1
+    assert turns == 3 and rows(sync.read_routed(spark, path), "id", "route", "attempts") == [(1, "valid", 1), (2, "alert", 4)]
 
 
 def test_expiry(spark):
