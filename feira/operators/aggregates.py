@@ -96,8 +96,9 @@ def user_behavior_daily(events: DataFrame) -> DataFrame:
 
 def distinct_ratio(df: DataFrame, many: str, few: str) -> DataFrame:
     """Distinct values of two columns and their ratio."""
-    a, b = F.count_distinct(many), F.count_distinct(few)
-    return df.agg(a.alias("n_many"), b.alias("n_few"), F.round(a.cast("double") / b.cast("double"), 3).alias("ratio"))
+    other = df.agg(F.count_distinct(few)).scalar()
+    counted = df.agg(F.count_distinct(many).alias("n_many")).withColumn("n_few", other)
+    return counted.withColumn("ratio", F.round(F.col("n_many").cast("double") / F.col("n_few").cast("double"), 3))
 
 
 def category_coverage(products: DataFrame, column: str = "category_name") -> DataFrame:

@@ -15,8 +15,9 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accu
     """(probability, value) by linear interpolation, exact for any number of distinct values.
 
     A sketch over all rows brackets each wanted rank; then one pass counts the rows below each
-    bracket and another collects the few distinct values inside. Rows are never shuffled by
-    value, and no task holds more than the values of one bracket.
+    bracket and another ranks the distinct values inside. Rows are never shuffled by value. A
+    bracket spans 40 / accuracy of the rows, and one task sorts its distinct values: with very
+    many of them raise ``accuracy``, or use ``approx`` where the caller offers it.
     """
     margin = 20 / accuracy
     edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]

@@ -65,15 +65,24 @@ def _drop_parts(spark: SparkSession, path: str, column: str, values: list[str])
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{column}={value}"), True)
 
 
+def _end_of(bucket: str) -> int | None:
+    """Number of the month behind a yearly or monthly partition; none for the default partition."""
+    parts = bucket.removeprefix("order_").split("_")
+    if not all(p.isdigit() for p in parts):
+        return None
+    return (int(parts[0]) + 1) * 12 if len(parts) == 1 else int(parts[0]) * 12 + int(parts[1])
+
+
 def archive_orders(spark: SparkSession, path: str, archive_path: str, as_of: datetime, months: int = 24) -> list[str]:
-    """Moves yearly partitions that ended ``months`` ago to the archive and returns their names.
+    """Moves yearly and monthly partitions that ended ``months`` ago to the archive and returns their names.
+
+    The default partition holds what has no partition of its own yet and stays live.
 
     The copy is complete before a live partition is removed, and a repeated run overwrites the
     same archive partitions, so an interrupted move can be run again.
     """
     last = as_of.year * 12 + as_of.month - 1 - months
-    old = [b for b in _parts(spark, path, BUCKET)
-           if b.removeprefix("order_").isdigit() and (int(b.removeprefix("order_")) + 1) * 12 <= last]
+    old = [b for b in _parts(spark, path, BUCKET) if (end := _end_of(b)) is not None and end <= last]
     if not old:
         return []
     (spark.read.parquet(path).where(F.col(BUCKET).isin(old)).hint("rebalance", BUCKET).write.mode("overwrite")

@@ -74,6 +74,14 @@ def test_archive_keeps_every_order_readable(spark, market, tmp_path):
     assert tables.archive_orders(spark, live, archive, datetime(2001, 8, 2)) == []
 
 
+def test_monthly_partitions_are_archived(spark, market, tmp_path):
+    live, archive = str(tmp_path / "live"), str(tmp_path / "archive")
+    tables.write_orders(market.order, live, market.now)
+    moved = tables.archive_orders(spark, live, archive, datetime(2003, 2, 2))
+    assert "order_2000_12" in moved and "order_2001_01" in moved and "order_2001_02" not in moved and "order_default" not in moved
+    assert tables.read_with_archive(spark, live, archive).count() == market.order.count()
+
+
 def test_interrupted_archive_counts_orders_once(spark, market, tmp_path):
     live, archive = str(tmp_path / "live"), str(tmp_path / "archive")
     tables.write_orders(market.order, live, market.now)
