@@ -81,3 +81,10 @@ def test_slots_and_slices_are_spread_over_tasks(market):
 
 def test_settings_reach_a_foreign_session(spark, market):
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_seller_performance_reads_the_items_once(market):
+    from feira.plans.catalog import seller_performance
+
+    parts = market.order, market.order_item, market.review_doc
+    assert plan(seller_performance(*parts)).count("FileScan") <= sum(plan(p).count("FileScan") for p in parts)
