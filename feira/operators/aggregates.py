@@ -77,6 +77,22 @@ def ratings(reviews: DataFrame, key: str) -> DataFrame:
     return scored.groupBy(key).agg(mean.alias("rating_avg"), F.count("*").alias("n_reviews"), *stars)
 
 
+def rating_parts(reviews: DataFrame, key: str) -> DataFrame:
+    """Sums and counts of scores per key that can be added up over batches."""
+    stars = [F.count_if(F.col("score") == s).alias(f"score_{s}") for s in range(1, 6)]
+    return reviews.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.sum(F.col("score").cast("long")).alias("score_sum"), F.count("score").alias("n_scores"),
+        F.count("*").alias("n_reviews"), *stars)
+
+
+def merge_ratings(parts: DataFrame, key: str) -> DataFrame:
+    """The ratings of all batches together, as ``ratings`` gives them for all reviews."""
+    names = ["n_reviews", *[f"score_{s}" for s in range(1, 6)]]
+    mean = dates.mean_hundredths(
+        100 * F.sum("score_sum").cast("decimal(28,0)"), F.sum("n_scores").cast("decimal(28,0)")).cast("decimal(4,2)")
+    return parts.groupBy(key).agg(mean.alias("rating_avg"), *[F.sum(n).alias(n) for n in names])
+
+
 def user_behavior_daily(events: DataFrame) -> DataFrame:
     """Per day: events, distinct users, events of each main type and the share of users who buy.
 

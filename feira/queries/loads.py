@@ -1,8 +1,9 @@
 """Queries A1 to A14, B19, G, K4 and K7: sources, sinks, keyed writes and reports."""
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from feira.functions import dates
 from feira.operators import search, sets
@@ -321,6 +322,39 @@ def k7(m):
     return sets.union_counts({name: found[name] for name in FINDINGS})
 
 
+def counted(finding, item, source):
+    return f"SELECT '{finding}' AS finding, CAST({item} AS VARCHAR) AS item, count(*) AS value FROM {source} GROUP BY 2"
+
+
+LISTED = {"review_scores": ("score", "n"), "payment_types": ("payment_type", "n"), "orders_by_hour": ("hour", "n_orders")}
+NUMBERS = {"key_orders": ["n_rows", "n_unique"], "key_payments": ["n_rows", "n_unique"], "categories": ["n_categories", "n_uncategorized"],
+           "items_per_order": ["n_groups", "max", "n_single", "n_2_or_more"]}
+
+
+@query("k7_eda_values", " UNION ALL ".join([
+    counted("review_scores", "score", "d_review"), counted("payment_types", "payment_type", "d_payment"),
+    counted("orders_by_hour", "hour(order_purchase_timestamp)", "d_order"),
+    "SELECT 'key_orders', 'n_rows', count(*) FROM d_order", "SELECT 'key_orders', 'n_unique', count(DISTINCT order_id) FROM d_order",
+    "SELECT 'key_payments', 'n_rows', count(*) FROM d_payment",
+    "SELECT 'key_payments', 'n_unique', count(*) FROM (SELECT DISTINCT order_id, payment_sequential FROM d_payment) t",
+    "SELECT 'categories', 'n_categories', count(DISTINCT category_name) FROM d_product",
+    "SELECT 'categories', 'n_uncategorized', count(*) - count(category_name) FROM d_product",
+    *[f"SELECT 'items_per_order', '{name}', CAST({text} AS BIGINT) FROM (SELECT count(*) AS n FROM d_order_item GROUP BY order_id) t"
+      for name, text in (("n_groups", "count(*)"), ("max", "max(n)"), ("n_single", "count(*) FILTER (n = 1)"),
+                         ("n_2_or_more", "count(*) FILTER (n >= 2)"))]]))
+def k7_values(m):
+    """Values of the report's findings, one line each."""
+    found = report.eda_report({
+        "customers": m.customer, "orders": m.order, "items": m.order_item, "payments": m.payment, "reviews": m.review,
+        "products": m.product, "sellers": m.seller})
+    lines = [found[name].select(F.lit(name).alias("finding"), F.col(item).cast("string").alias("item"), F.col(n).cast("long").alias("value"))
+             for name, (item, n) in LISTED.items()]
+    for name, columns in NUMBERS.items():
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("long").alias("value")) for c in columns]))
+        lines.append(found[name].select(each.alias("v")).select(F.lit(name).alias("finding"), "v.item", "v.value"))
+    return reduce(DataFrame.unionByName, lines)
+
+
 @query("a12_published_catalog", """
 SELECT product_id, price_current FROM d_priced""")
 def a12_catalog(m):

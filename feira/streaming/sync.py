@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feira.functions import dates
+from feira.operators.aggregates import merge_ratings, rating_parts
 from feira.operators.sets import latest_per_key
 from feira.operators.timelines import with_previous_status
 from feira.sources.tables import append_batch, compact_log, has_batches, read_latest
@@ -30,6 +31,16 @@ def append_events(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
 
 
+def stream_ratings(reviews: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Adds what the reviews since the last run mean for each key; a batch run again replaces its part."""
+    return run_available(reviews, lambda batch, batch_id: append_batch(rating_parts(batch, key), path, batch_id), checkpoint)
+
+
+def read_ratings(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Ratings over all batches."""
+    return merge_ratings(spark.read.parquet(path), key)
+
+
 def newer_only(batch: DataFrame, target: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Newest row per key of the batch, without those that are not newer than the target's."""
     newest = latest_per_key(batch, keys, [order])
