@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.llm.shared import bounded_batches, utf8
+from feira.llm.shared import bounded_batches, tidy, utf8
 
 UNKNOWN = "und"
 BITS = 12
-MAX_ROWS = 4000
+MAX_ROWS = 2000
 CHUNK_BYTES = 1_000_000
 
 # Families of languages by their two-letter codes. Any other language is a family of its own.
@@ -64,23 +64,28 @@ def frequencies(text: bytes) -> np.ndarray:
     return found / max(1.0, float(found.sum()))
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 15) -> tuple[np.ndarray, float]:
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 15) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by Newton steps; ``y`` is -1 or 1. Returns weights and bias."""
-    x = np.concatenate((x, np.ones((len(x), 1), np.float32)), axis=1)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)  # equal classes
-    w = np.zeros(x.shape[1])
     scale = cost / len(y)
+
+    def values(v):  # the last weight is the bias
+        return x @ v[:-1].astype(np.float32) + v[-1]
+
+    def back(v):
+        return np.append(x.T @ v.astype(np.float32), v.sum())
+
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(rounds):
-        margin = 1 - y * (x @ w)
-        inside = margin > 0
-        own, weight = x[inside], share[inside]
-        gradient = w - 2 * scale * (own.T @ (weight * y[inside] * margin[inside]))
+        margin = 1 - y * values(w)
+        weight = share * (margin > 0)
+        gradient = w - 2 * scale * back(weight * y * margin)
         step, rest = np.zeros_like(w), -gradient
         direction, size = rest.copy(), rest @ rest
         for _ in range(30):  # conjugate gradients for the Newton step
-            if size < 1e-10:
+            if size < 1e-8:
                 break
-            curved = direction + 2 * scale * (own.T @ (weight * (own @ direction)))
+            curved = direction + 2 * scale * back(weight * values(direction))
             along = size / (direction @ curved)
             step += along * direction
             rest -= along * curved
@@ -98,19 +103,19 @@ def fit(vectors: list[np.ndarray], languages: list[str]) -> dict:
     families = sorted({family_of(x) for x in names})
     x = np.stack(vectors) if vectors else np.zeros((0, 1 << BITS), np.float32)
     spread = 1 / (x.std(axis=0) + 1e-4) if len(x) else np.ones(1 << BITS)
-    x = (x * spread / np.sqrt(1 << BITS)).astype(np.float32)
+    x *= (spread / np.sqrt(1 << BITS)).astype(np.float32)
     label = np.array(languages)
     group = np.array([family_of(v) for v in languages])
     planes, kinds = [], []
 
     def add(rows, positive, kind):
-        w, bias = fit_svm(x[rows], np.where(positive, 1.0, -1.0))
+        w, bias = fit_svm(x if rows is None else x[rows], np.where(positive, 1.0, -1.0))
         planes.append(np.append(w * spread / np.sqrt(1 << BITS), bias))
         kinds.append(kind)
 
     if len(families) > 1:
         for f in families:
-            add(np.ones(len(x), bool), group == f, ("family", f, ""))
+            add(None, group == f, ("family", f, ""))
     for f in families:
         own = [v for v in names if family_of(v) == f]
         for i, a in enumerate(own):
@@ -178,9 +183,13 @@ def learn(labelled: DataFrame, text: str = "text", language: str = "lang", key:
     known = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
     order = Window.partitionBy("language").orderBy(F.xxhash64("key"), "key")
     keys = known.select(F.col(key).alias("key"), F.col(language).alias("language"))
-    each = max(1, max_rows // max(1, keys.select("language").distinct().count()))
-    chosen = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select("key").distinct()
-    rows = known.join(chosen, known[key].eqNullSafe(chosen["key"]), "left_semi").select(
+    counts = keys.groupBy("language").agg(F.count("*").alias("rows"))
+    each = max(1, max_rows // max(1, counts.count()))
+    # About twice as many as needed, by a hash of the key, are ranked.
+    share = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) <= F.lit(2_000_000 * each) / F.col("rows")
+    chosen = keys.join(counts, "language").where(share).withColumn("n", F.row_number().over(order)).where(
+        F.col("n") <= each).select("key").distinct().limit(max_rows)
+    rows = known.join(F.broadcast(chosen), known[key].eqNullSafe(chosen["key"]), "left_semi").select(
         utf8(text).alias("text"), F.col(language).alias("language"))
     bounded_batches(labelled.sparkSession)
 
@@ -189,7 +198,7 @@ def learn(labelled: DataFrame, text: str = "text", language: str = "lang", key:
             x = [frequencies(t).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), batch.column(1)], names=["text", "language"])
 
-    found = rows.mapInArrow(features, "text binary, language string").orderBy("language", "text").limit(max_rows).toArrow()
+    found = rows.mapInArrow(tidy(features), "text binary, language string").orderBy("language", "text").limit(max_rows).toArrow()
     return fit([np.frombuffer(x, np.float32) for x in found.column(0).to_pylist()], found.column(1).to_pylist())
 
 
@@ -213,7 +222,7 @@ def identify(frame: DataFrame, model: dict, text: str = "text") -> DataFrame:
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names), pa.array(scores)], names=schema.names)
 
-    return frame.select(*(F.col(f"`{c}`") for c in kept), utf8(text).alias("__bytes")).mapInArrow(each, schema)
+    return frame.select(*(F.col(f"`{c}`") for c in kept), utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
 
 
 def held_out(key: str = "doc_id") -> Column:
