@@ -1,14 +1,18 @@
 """Jaccard self-join on word shingles by a token-group matrix, for connected groups of documents.
 
 1. Each text becomes the set of its distinct shingles (64-bit hashes). Equal sets are one class.
-2. Two sets with similarity of at least ``SIMILAR`` share a shingle among the first few of each, in any
-   common order (prefix filter). Shingles that are frequent in a sample come last in that order; the
-   sample only moves work, never results. Sets that share none take no further part.
+2. Two sets with similarity of at least ``SIMILAR`` share several shingles among the first of each, in any
+   common order: a prefix of n - needed(n) + n / ``DEPTH`` shingles has at least needed(n) / ``DEPTH`` in
+   common with that of any similar set. Shingles that are frequent in a sample come last in that order;
+   the sample only moves work, never results. Sets that share fewer with all others take no further part.
+   Of the whole sets that are left, those with too few shingles in others of them also go.
 3. Sets with the same first shared shingle form a group, large ones several blocks of bounded size with
-   one common member. Within a block all sets are compared; each gets the label of its connected part.
-4. A set then queries the blocks of other labels with which it shares a prefix shingle. A block holds the
-   union of its members' shingles: if fewer than the share needed of the query lie in it, no member can
-   be similar and the block stays closed. Only opened blocks are compared set by set.
+   some common members (hubs). Within a block all sets are compared; each gets the label of its connected
+   part, and parts that hold the same hub share one label.
+4. A set then queries the blocks of other labels. The matrix of shingles and blocks tells which blocks
+   have one of its rare prefix shingles and members of a fitting size. Such a block travels with the union
+   of its members' shingles: if too little of the query lies in it, no member can be similar and the block
+   stays closed. Only opened blocks are compared set by set.
 5. Links between labels are closed to components.
 
 No step lists all pairs of a group: a block gives each member one label, and shingles whose sets all have
@@ -26,20 +30,24 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.llm.components import components, written
-from feira.llm.shared import bounded_batches, parts_for, utf8
+from feira.llm.shared import bounded_batches, packed_bytes, parts_for, tidy, tidy_group, utf8
 
 WORDS = 5
 SIMILAR = 75  # per cent
+DEPTH = 8
 SAMPLE_ROWS = 4000  # texts that decide which shingles count as frequent
 FREQUENT = 50_000  # shingles that can be frequent
 BLOCK_SETS = 256
+HUBS = 4
 BLOCK_BYTES = 1_000_000
 CELL_BYTES = 4_000_000
 QUERIES_AT_ONCE = 512
+COUNTED = 2000
 _MASK = np.uint64((1 << 62) - 1)
 _LAST = np.int64(1 << 62)  # set in frequent shingles, so that they sort behind all others
 
@@ -48,7 +56,7 @@ class _WordHashes(dict):
     """64-bit hash of each word, kept for the words seen so far (a bounded number)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -82,6 +90,15 @@ def needed(n):
     return (SIMILAR * n + 99) // 100
 
 
+def prefix_size(n: int) -> int:
+    return n - needed(n) + -(-n // DEPTH)
+
+
+def in_common(n):
+    """Prefix shingles that a set of ``n`` shares at least with any similar set."""
+    return (needed(n) + DEPTH - 1) // DEPTH
+
+
 def similar(both, n, m):
     return 100 * both >= SIMILAR * (n + m - both)
 
@@ -97,7 +114,7 @@ def _frequent(docs: DataFrame, text: str, words: int) -> np.ndarray:
             for part in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(part, hashes, words, none))], names=["token"])
 
-    counted = chosen.select(utf8(text).alias("t")).distinct().mapInArrow(tokens, "token long").groupBy("token").count()
+    counted = chosen.select(utf8(text).alias("t")).distinct().mapInArrow(tidy(tokens), "token long").groupBy("token").count()
     often = counted.where(F.col("count") >= 3).orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
     return np.sort(often.column(0).to_numpy())
 
@@ -114,12 +131,12 @@ def _sets(docs: DataFrame, key: str, text: str, words: int, frequent) -> DataFra
                 x = shingle_set(t, hashes, words, frequent.value)
                 n.append(len(x))
                 sig.append(xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63))
-                prefix.append(x[:len(x) - needed(len(x)) + 1].tobytes() if len(x) else b"")
+                prefix.append(x[:prefix_size(len(x))].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(prefix, pa.binary())],
                 names=schema.names)
 
-    return docs.select(key, utf8(text).alias("__bytes")).mapInArrow(each, schema)
+    return docs.select(key, utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
 
 
 def _prefix_tokens(batches):
@@ -141,28 +158,42 @@ def _prefix_tokens(batches):
 
 
 def _shared_only(batches):
-    """Of rows sorted by token and sig, those whose token belongs to several sets; streams through any run."""
-    last, last_shared = None, False
+    """Of rows sorted by token and sig, those whose token belongs to several sets, with the number of these.
+
+    Runs of up to ``COUNTED`` rows are held until they end; all longer ones stream through as
+    ``COUNTED`` + 1, so that every row of a token has the same number.
+    """
+    held: list[int] = []  # sigs of the run at the end of what was read
+    token, streaming = None, False
+
+    def rows(t, s, count):
+        return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(s, pa.int64()), pa.array(count, pa.int32())], names=["token", "sig", "met_by"])
+
     for batch in batches:
         t, s = (batch.column(i).to_numpy() for i in (0, 1))
         if not len(t):
             continue
-        carried = last is not None
-        if carried:
-            t, s = np.concatenate(([last[0]], t)), np.concatenate(([last[1]], s))
+        if token is not None:
+            t, s = np.concatenate((np.full(len(held), token), t)), np.concatenate((np.array(held, np.int64), s))
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
         t, s = t[new], s[new]
-        head = np.concatenate(([True], t[1:] != t[:-1]))
-        run = np.cumsum(head) - 1
-        shared = np.bincount(run)[run] > 1
-        if carried and last_shared:
-            shared[run == 0] = True
-        out = shared.copy()
-        if carried and last_shared:
-            out[0] = False  # it went out with the batch before
-        last, last_shared = (t[-1], s[-1]), bool(shared[-1])
+        run = np.cumsum(np.concatenate(([True], t[1:] != t[:-1]))) - 1
+        size = np.bincount(run)
+        count = np.minimum(size, COUNTED + 1)
+        first_goes_on = streaming and token == t[0]
+        if first_goes_on:
+            count[0] = COUNTED + 1
+        last = int(run[-1])
+        streaming = count[last] > COUNTED
+        out = (count[run] > 1) & ((run < last) | streaming)
+        if first_goes_on:
+            out[0] = False  # held only to tell repeats; it went out before
+        token, tail = int(t[-1]), s[run == last]
+        held = [int(tail[-1])] if streaming else tail.tolist()
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(s[out])], names=["token", "sig"])
+            yield rows(t[out], s[out], count[run][out])
+    if token is not None and not streaming and len(held) > 1:
+        yield rows(np.full(len(held), token), np.array(held, np.int64), np.full(len(held), len(held)))
 
 
 class Members:
@@ -193,26 +224,23 @@ class Members:
             total += part @ part.T
         return total.astype(np.int64)
 
-    def labels(self, hub: int | None) -> list[int]:
-        """Label of each member: the hub where connected with it, else the smallest member of its part."""
-        both = self.overlaps()
-        linked = similar(both, self.sizes[:, None], self.sizes[None, :])
-        label = np.full(len(self.sigs), -1)
+    def labels(self) -> list[int]:
+        """Label of each member: the smallest member that it is connected with."""
+        linked = similar(self.overlaps(), self.sizes[:, None], self.sizes[None, :])
+        label: list[int | None] = [None] * len(self.sigs)
         for k in range(len(self.sigs)):
-            if label[k] < 0:
+            if label[k] is None:
                 reach = np.zeros(len(self.sigs), bool)
                 front = reach.copy()
                 front[k] = True
                 while front.any():
                     reach |= front
                     front = linked[front].any(axis=0) & ~reach
-                label[reach] = k
-        names = {}
-        for k, own in enumerate(label):
-            names[own] = min(names.get(own, self.sigs[k]), self.sigs[k])
-        if hub in self.sigs:
-            names[label[self.sigs.index(hub)]] = hub
-        return [names[own] for own in label]
+                connected = np.flatnonzero(reach).tolist()
+                least = min(self.sigs[m] for m in connected)
+                for m in connected:
+                    label[m] = least
+        return label
 
     def open_for(self, x: np.ndarray) -> bool:
         """Whether the union leaves room for a member similar to ``x``."""
@@ -234,10 +262,9 @@ def _unique(rows: list[dict]) -> list[dict]:
 
 
 def _label_block(rows):
-    rows = _unique(rows)
+    rows = _unique(sorted(rows, key=lambda r: r["home"]))  # a hub may also be at home here
     block = Members([r["sig"] for r in rows], [np.frombuffer(r["tokens"], np.int64) for r in rows])
-    hub = rows[0]["hub"]
-    return [(r["sig"], label) for r, label in zip(rows, block.labels(hub)) if r["sig"] != hub or r["home"]]
+    return [(r["sig"], label, r["home"], r["hub"]) for r, label in zip(rows, block.labels())]
 
 
 def _query_block(rows):
@@ -267,65 +294,87 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent(docs, "text", words))
     sets = written(_sets(docs, "key", "text", words, frequent), "sets")
-    tokens = sets.select("sig", "prefix").mapInArrow(_prefix_tokens, "token long, sig long")
-    postings = written(
-        tokens.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(_shared_only, "token long, sig long"), "postings")
+    tokens = sets.select("sig", "prefix").mapInArrow(tidy(_prefix_tokens), "token long, sig long")
+    postings = tokens.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(
+        tidy(_shared_only), "token long, sig long, met_by int")
 
-    # Groups by the first shared shingle, in blocks; each block also gets the hub of its group.
+    # Of two similar sets the rarest common shingle has as many common ones behind it as the bound asks for,
+    # so the most frequent of a set need not be looked up.
     classes = sets.groupBy("sig").agg(F.min("key").alias("key"), F.first("n").alias("n"))
-    grouped = postings.groupBy("sig").agg(F.min("token").alias("grp")).join(classes, "sig")
-    sizes = grouped.groupBy("grp").agg(
-        F.count("*").alias("members"), F.sum("n").alias("weight"), F.min("sig").alias("hub"))
-    placed = grouped.join(sizes, "grp").withColumn("blocks", F.greatest(
-        F.ceil(F.col("members") / block_sets), F.ceil(F.col("weight") * 8 / block_bytes)).cast("long"))
-    placed = placed.select("sig", "key", "n", "hub", "blocks", "grp", F.xxhash64(
-        "grp", F.pmod(F.xxhash64("sig"), "blocks")).alias("block"))
-    placed = written(placed, "placed")
+    own = Window.partitionBy("sig")
+    bound = F.expr(f"((({SIMILAR} * n + 99) div 100) + {DEPTH - 1}) div {DEPTH}")
+    posted = written(postings.withColumns({
+        "met": F.count("*").over(own), "grp": F.min("token").over(own),
+        "nth": F.row_number().over(own.orderBy("met_by", "token"))}).join(classes, "sig").where(
+        (F.col("met") >= bound) & (F.col("nth") <= F.col("met") - bound + 1)).select("sig", "token", "grp", "key", "n"), "posted")
+
+    # The whole sets of those that are left: of each, the share needed must lie in others of them.
+    wanted = posted.groupBy("sig").agg(*(F.first(c).alias(c) for c in ("grp", "key", "n")))
+    packed = docs.select("key", utf8("text").alias("t")).mapInArrow(tidy(packed_bytes), docs.select("key").schema.add("packed", "binary"))
+    named = wanted.select(F.col("key").alias("k"), "sig", "grp", "n")
 
     def full_sets(batches):
-        hashes = _WordHashes()
+        hashes, unpacker = _WordHashes(), zstandard.ZstdDecompressor()
         for batch in batches:
-            x = [shingle_set(t, hashes, words, frequent.value) for t in batch.column(1).to_pylist()]
+            x = [shingle_set(unpacker.decompress(t), hashes, words, frequent.value) for t in batch.column(1).to_pylist()]
             made = pa.array([xxhash.xxh3_64_intdigest(v.tobytes()) - (1 << 63) for v in x], pa.int64())
             fits = pa.compute.equal(made, batch.column(0))
             yield pa.RecordBatch.from_arrays(
-                [made, pa.array([v.tobytes() for v in x], pa.binary())], names=["sig", "tokens"]).filter(fits)
-
-    wanted = placed.select(F.col("key").alias("k"), "sig")
-    full = written(docs.join(wanted, docs["key"].eqNullSafe(wanted["k"])).select("sig", utf8("text").alias("t"))
-                   .mapInArrow(full_sets, "sig long, tokens binary"), "full")
-
+                [made, pa.array([v.tobytes() for v in x], pa.binary()), batch.column(2), batch.column(3)],
+                names=["sig", "tokens", "grp", "n"]).filter(fits)
+
+    full = written(packed.join(named, packed["key"].eqNullSafe(named["k"])).select("sig", "packed", "grp", "n")
+                   .mapInArrow(tidy(full_sets), "sig long, tokens binary, grp long, n long"), "full")
+    lively = full.select("sig", "tokens").mapInArrow(tidy(_prefix_tokens), "token long, sig long").repartition("token").sortWithinPartitions(
+        "token", "sig").mapInArrow(tidy(_shared_only), "token long, sig long, met_by int").groupBy("sig").agg(F.count("*").alias("met"))
+    left = written(full.select("sig", "grp", "n").distinct().join(lively, "sig").where(
+        F.col("met") >= F.expr(f"({SIMILAR} * n + 99) div 100")).drop("met"), "left")
+
+    # Groups by the first shared shingle, in blocks; each block of a large group also gets its hubs.
+    sizes = left.groupBy("grp").agg(
+        F.count("*").alias("members"), F.sum("n").alias("weight"),
+        F.array_compact(F.array(*(F.min(F.when(F.pmod("sig", F.lit(HUBS)) == k, F.col("sig"))) for k in range(HUBS)))).alias("hubs"))
+    placed = left.join(sizes, "grp").withColumn("blocks", F.greatest(
+        F.ceil(F.col("members") / block_sets), F.ceil(F.col("weight") * 8 / block_bytes)).cast("long"))
+    placed = written(placed.select("sig", "n", "hubs", "blocks", F.xxhash64(
+        "grp", F.pmod(F.xxhash64("sig"), "blocks")).alias("block")), "placed")
     weight = placed.agg(F.sum("n") * 8).first()[0] or 0
-    cells = F.pmod("block", F.lit(parts_for(weight, CELL_BYTES)))
-    at_home = placed.select("sig", "hub", "block", F.lit(True).alias("home"))
-    hubs = placed.where("blocks > 1").select(F.col("hub").alias("sig"), "hub", "block", F.lit(False).alias("home")).distinct()
-    first = at_home.union(hubs).join(full, "sig").withColumn("cell", cells)
-    labels = written(first.groupBy("cell").applyInArrow(
-        lambda t: _each_block(t, _label_block, ["sig", "label"], [pa.int64(), pa.int64()]), "sig long, label long")
-        .groupBy("sig").agg(F.min("label").alias("label")), "labels")
-
-    # Queries of sets to blocks with other labels, by the shingles that join several labels.
+    sets_of = full.select("sig", "tokens")
+    members = placed.select("sig", "block", F.lit(True).alias("home"), (F.array_contains("hubs", F.col("sig")) & (F.col("blocks") > 1)).alias("hub"))
+    guests = placed.where("blocks > 1").select(F.explode("hubs").alias("sig"), "block", F.lit(False).alias("home"), F.lit(True).alias("hub")).distinct()
+    first = members.union(guests).join(sets_of, "sig").withColumn("cell", F.pmod("block", F.lit(parts_for(weight, CELL_BYTES))))
+    local = written(first.groupBy("cell").applyInArrow(
+        tidy_group(lambda t: _each_block(t, _label_block, ["sig", "label", "home", "hub"], [pa.int64(), pa.int64(), pa.bool_(), pa.bool_()])),
+        "sig long, label long, home boolean, hub boolean"), "local")
+    joined = components(local.where("hub").select(F.col("label").alias("a"), F.col("sig").alias("b")))
+    labels = local.where("home").groupBy("sig").agg(F.min("label").alias("l")).join(joined, F.col("l") == F.col("key"), "left").select(
+        "sig", F.coalesce("root", "l").alias("label"))
+    labels = written(labels, "labels")
+
+    # Queries of sets to blocks with other labels, by the shingles that join several labels. Of two labels
+    # the one with fewer sets asks, so a large group is asked by its few neighbours and not the other way.
     known = placed.select("sig", "n", "block").join(labels, "sig")
-    posted = written(postings.join(known, "sig"), "posted")
-    mixed = posted.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    open_rows = written(posted.join(mixed, "token"), "mixed")
-    blocks = open_rows.groupBy("token", "block", F.col("label").alias("other")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"))
-    asked = open_rows.select("token", "sig", "label", "n").join(blocks, "token").where(
-        (F.col("other") < F.col("label")) & (F.col("most") * 100 >= F.col("n") * SIMILAR)
-        & (F.col("least") * SIMILAR <= F.col("n") * 100)).select("block", "sig", "label", "n").distinct()
-    asked = written(asked, "asked")
+    crowd = labels.groupBy("label").agg(F.count("*").alias("crowd"))
+    known = written(known.join(crowd, "label").select("sig", "n", "block", "label", F.struct("crowd", "label").alias("rank")), "known")
+    looked_up = posted.select("sig", "token").join(known, "sig")
+    mixed = looked_up.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+    open_rows = written(looked_up.join(mixed, "token"), "mixed")
+    blocks = open_rows.groupBy("token", "block").agg(
+        F.max("rank").alias("other"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asked = written(open_rows.select("token", "sig", "label", "rank", "n").join(blocks, "token").where(
+        (F.col("rank") < F.col("other")) & (F.col("most") * 100 >= F.col("n") * SIMILAR)
+        & (F.col("least") * SIMILAR <= F.col("n") * 100)).select("block", "sig", "label", "n").distinct(), "asked")
     load = asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).alias("chunks"))
     queries = asked.join(load, "block").select(
         "block", "sig", "label", F.pmod(F.xxhash64("sig"), "chunks").cast("int").alias("chunk"), F.lit(True).alias("asks"))
-    members = known.join(load, "block").select(
+    opened = known.join(load, "block").select(
         "block", "sig", "label", F.explode(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int"))).alias("chunk"),
         F.lit(False).alias("asks"))
     moved = asked.agg(F.sum("n") * 8).first()[0] or 0
-    second = queries.union(members).join(full, "sig").withColumn("block", F.xxhash64("block", "chunk")).withColumn(
+    second = queries.union(opened).join(sets_of, "sig").withColumn("block", F.xxhash64("block", "chunk")).withColumn(
         "cell", F.pmod("block", F.lit(parts_for(moved + 1, CELL_BYTES // 2))))
     links = second.groupBy("cell").applyInArrow(
-        lambda t: _each_block(t, _query_block, ["a", "b"], [pa.int64(), pa.int64()]), "a long, b long")
+        tidy_group(lambda t: _each_block(t, _query_block, ["a", "b"], [pa.int64(), pa.int64()])), "a long, b long")
     roots = components(links)
     final = labels.join(roots, labels["label"] == roots["key"], "left").select(
         labels["sig"], F.coalesce("root", "label").alias("component"))
@@ -340,7 +389,10 @@ def join_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each connected group: the one with the smallest key; documents without shingles all stay."""
+    """One document of each connected group: the one with the smallest key, with every row that repeats it.
+
+    Documents without shingles all stay, as do those of groups without any key.
+    """
     found = similar_components(docs, key, text).where((F.col("n_shingles") == 0) | F.col("key").eqNullSafe(F.col("component_id")))
     kept = found.select(F.col("key").alias("__key"), (F.col("n_shingles") > 0).alias("__one")).distinct()
     rows = docs.join(kept, docs[key].eqNullSafe(kept["__key"]))
