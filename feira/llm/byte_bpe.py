@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feira.llm.shared import bounded_batches, utf8
+from feira.llm.shared import bounded_batches, tidy, utf8
 
 PART_CHARS = 65_536
 _SAFE = regex.compile(r"(?<=\S)\s")
@@ -65,7 +65,7 @@ def _with_column(frame: DataFrame, source: str, made: str, convert) -> DataFrame
             made_of = pa.array((convert(x) for x in batch.column(batch.num_columns - 1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), made_of], names=schema.names)
 
-    return frame.select(*(F.col(f"`{c}`") for c in kept), utf8(source).alias("__bytes")).mapInArrow(each, schema)
+    return frame.select(*(F.col(f"`{c}`") for c in kept), utf8(source).alias("__bytes")).mapInArrow(tidy(each), schema)
 
 
 def encode(frame: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches, parts_for, utf8
+from feira.llm.shared import bounded_batches, parts_for, tidy, utf8
 
 ROUNDS = 3
 PICKS = 300
@@ -104,7 +104,7 @@ def features(docs: DataFrame, key: str, text: str, source: str, language: str, s
 
     return written(docs.select(
         F.col(key).alias("key"), utf8(text).alias("t"), F.col(source).cast("string").alias("s"), F.col(language).cast("string").alias("l"),
-        F.col(size).cast("long").alias("n")).mapInArrow(each, schema), "views")
+        F.col(size).cast("long").alias("n")).mapInArrow(tidy(each), schema), "views")
 
 
 def _stack(column) -> np.ndarray:
@@ -122,7 +122,7 @@ def _scored(views: DataFrame, score) -> DataFrame:
                     names=["key", "text_score", "meta_score", "score"])
 
     schema = views.select("key").schema.add("text_score", "double").add("meta_score", "double").add("score", "double")
-    return views.mapInArrow(each, schema)
+    return views.mapInArrow(tidy(each), schema)
 
 
 def learn(views: DataFrame, labels: DataFrame, rounds: int = ROUNDS, picks: int = PICKS, max_labelled: int = MAX_LABELLED):

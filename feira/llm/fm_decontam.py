@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feira.llm.shared import bounded_batches, cut_spans, merge_spans, parts_for, runs, utf8
+from feira.llm.shared import bounded_batches, cut_spans, merge_spans, parts_for, runs, tidy, utf8
 from feira.llm.suffixes import suffix_order
 
 WINDOW = 10
@@ -199,7 +199,7 @@ def _pass(frame: DataFrame, phrases: Phrases) -> DataFrame:
         columns = [rows.column(i).combine_chunks() for i in range(len(kept))]
         return pa.RecordBatch.from_arrays([*columns, *made], names=schema.names)
 
-    return frame.mapInArrow(each, schema)
+    return frame.mapInArrow(tidy(each), schema)
 
 
 def _block(items: DataFrame, item: str, text: str, blocks: int, k: int) -> Phrases:
@@ -237,7 +237,7 @@ def find_phrases(docs: DataFrame, items: DataFrame, text: str = "text", item: st
                 row["n_hit"] = sum(s["end"] - s["start"] for s in row["word_spans"])
             yield pa.RecordBatch.from_pylist(rows, schema=batch.schema.append(pa.field("n_hit", pa.int64())))
 
-    merged_rows = together.mapInArrow(merged, f"__key string, n_words long, word_spans {SPANS}, byte_spans {SPANS}, items array<string>, n_hit long")
+    merged_rows = together.mapInArrow(tidy(merged), f"__key string, n_words long, word_spans {SPANS}, byte_spans {SPANS}, items array<string>, n_hit long")
     joined = source.withColumn("__key", F.sha2("__bytes", 256)).drop("__bytes").join(merged_rows, "__key")
     return joined.select(*docs.columns, "n_words", "n_hit", "word_spans", "byte_spans", "items")
 
@@ -247,6 +247,7 @@ def remove_phrases(docs: DataFrame, items: DataFrame, text: str = "text", **opti
     at = docs.columns.index(text)
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # whatever the columns are called
     found = find_phrases(plain, items, f"c{at}", **options).select(*plain.columns, "byte_spans")
+    names = docs.columns
 
     def each(batches):
         for batch in batches:
@@ -255,9 +256,9 @@ def remove_phrases(docs: DataFrame, items: DataFrame, text: str = "text", **opti
             cut = [cut_spans(t.encode(), [(s["start"], s["end"]) for s in own]).decode() if own else t for t, own in zip(texts, spans)]
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns[at] = pa.array(cut, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.mapInArrow(each, docs.schema)
+    return found.mapInArrow(tidy(each), docs.schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

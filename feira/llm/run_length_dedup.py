@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches, cut_spans, merge_spans, parts_for, runs, utf8, whole_characters
+from feira.llm.shared import bounded_batches, cut_spans, merge_spans, packed_bytes, parts_for, runs, tidy, tidy_group, utf8, whole_characters
 from feira.llm.suffixes import suffix_order
 
 LENGTH = 400
 GRAM = 32
-CROWD = 1000
-CELL_BYTES = 600_000
+CROWD = 500
+CELL_BYTES = 300_000
 OUT_BYTES = 8_000_000
 _BITS = 20
 _CHUNK = (1 << _BITS) - 1
@@ -221,14 +221,6 @@ def _anchor_rows(length):
     return each
 
 
-def _packed(batches):
-    packer = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        packed = pa.array([packer.compress(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
-        columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays([*columns, packed], names=[*batch.schema.names[:-1], "packed"])
-
-
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """(t1, t2, spans) of each distinct text that has repeated strings; spans are pairs of 32-bit integers."""
     bounded_batches(docs.sparkSession)
@@ -237,7 +229,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
         F.count("*").alias("times"), F.max(F.length("__bytes")).alias("size")).where("times > 1").select(
         "t1", "t2", F.lit(0).alias("lo"), (F.col("size") - length).cast("int").alias("hi"), F.lit(None).cast("binary").alias("starts"))
     found = written(texts.mapInArrow(
-        _anchor_rows(length), "t1 long, t2 long, anchor long, context long, lo int, hi int, own binary"), "anchors")
+        tidy(_anchor_rows(length)), "t1 long, t2 long, anchor long, context long, lo int, hi int, own binary"), "anchors")
     # Anchors of several contexts or texts.
     shared = found.groupBy("anchor").agg(
         F.min("context").alias("c0"), F.max("context").alias("c1"), F.min("t1").alias("k0"), F.max("t1").alias("k1")).where(
@@ -253,8 +245,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
     wanted = live.join(mixed, ["anchor", "context"]).where("t1 = k0").groupBy(*KEY).agg(
         F.collect_list(F.struct("anchor", "context", "lo", "hi", (F.col("crowd") > crowd).alias("crowded"))).alias("places"))
 
-    def new_packed(batches):
-        return _packed(_new_texts(batches))
+    def newpacked_bytes(batches):
+        return packed_bytes(_new_texts(batches))
 
     def contents(batches):
         unpacker, names = zstandard.ZstdDecompressor(), ["anchor", "context", "crowded", "content"]
@@ -272,9 +264,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
-    packed = texts.mapInArrow(new_packed, "t1 long, t2 long, packed binary")
+    packed = texts.mapInArrow(tidy(newpacked_bytes), "t1 long, t2 long, packed binary")
     content = written(packed.join(wanted, list(KEY)).select("packed", "places").mapInArrow(
-        contents, "anchor long, context long, crowded boolean, content binary"), "contents")
+        tidy(contents), "anchor long, context long, crowded boolean, content binary"), "contents")
     size = mixed.agg(F.sum(F.col("more") + length)).first()[0] or 0
 
     def cell_work(table: pa.Table) -> pa.Table:
@@ -287,7 +279,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
 
     schema = "anchor long, context long, starts binary"
     few = content.where("NOT crowded").withColumn("cell", F.pmod(F.xxhash64("anchor"), F.lit(parts_for(size, CELL_BYTES)))).groupBy(
-        "cell").applyInArrow(cell_work, schema)
+        "cell").applyInArrow(tidy_group(cell_work), schema)
 
     def fingerprints(batches):
         for batch in batches:
@@ -305,7 +297,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
                     names=["anchor", "context", "at", "f1", "f2"])
 
     strings = content.where("crowded").dropDuplicates(["anchor", "context"]).mapInArrow(
-        fingerprints, "anchor long, context long, at int, f1 long, f2 long")
+        tidy(fingerprints), "anchor long, context long, at int, f1 long, f2 long")
     several = strings.groupBy("f1", "f2").agg(F.min("context").alias("c0"), F.max("context").alias("c1")).where("c0 <> c1")
     many = strings.join(several, ["f1", "f2"], "left_semi").groupBy("anchor", "context").agg(F.collect_list("at").alias("at"))
 
@@ -314,7 +306,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
             spans = [_pairs([(a, b - 1) for a, b in merge_spans((k, k + 1) for k in at)]) for at in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.binary())], names=["anchor", "context", "starts"])
 
-    partly = few.union(many.mapInArrow(joined_starts, schema))
+    partly = few.union(many.mapInArrow(tidy(joined_starts), schema))
     several_texts = contexts.where("k0 <> k1").select("anchor", "context", F.lit(None).cast("binary").alias("starts"))
     partly = partly.join(several_texts.select("anchor", "context"), ["anchor", "context"], "left_anti")
     marks = live.join(partly.union(several_texts), ["anchor", "context"]).select("t1", "t2", "lo", "hi", "starts")
@@ -336,7 +328,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
                 out.append(_pairs(merge_spans(spans)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["t1", "t2", "spans"])
 
-    return written(gathered.mapInArrow(merged, "t1 long, t2 long, spans binary"), "spans")
+    return written(gathered.mapInArrow(tidy(merged), "t1 long, t2 long, spans binary"), "spans")
 
 
 def _with_spans(docs: DataFrame, text: str, length: int, crowd: int) -> DataFrame:
@@ -346,7 +338,7 @@ def _with_spans(docs: DataFrame, text: str, length: int, crowd: int) -> DataFram
     keyed = _keyed(docs.select(*others, F.col(text).alias("__text")), "__text").withColumn("__null", F.col("__text").isNull())
     named = [c for c in keyed.columns if c not in ("__text", "__bytes")]
     schema = keyed.select(*named).schema.add("packed", "binary")
-    packed = keyed.select(*named, "__bytes").mapInArrow(_packed, schema)
+    packed = keyed.select(*named, "__bytes").mapInArrow(tidy(packed_bytes), schema)
     return packed.join(spans, list(KEY), "left").drop(*KEY)
 
 
@@ -369,7 +361,7 @@ def kept_digests(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> D
 
     rows = _with_spans(docs.select("doc_id", "text"), "text", length, crowd)
     schema = docs.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
-    return rows.mapInArrow(each, schema)
+    return rows.mapInArrow(tidy(each), schema)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
@@ -377,7 +369,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
     at = docs.columns.index(text)
     rows = _with_spans(plain, f"c{at}", length, crowd)
-    names = [c for c in plain.columns if c != f"c{at}"]
+    order, names = plain.columns, docs.columns
 
     def each(batches):
         unpacker = zstandard.ZstdDecompressor()
@@ -387,7 +379,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, cr
                 data = unpacker.decompress(packed)
                 own = whole_characters(data, _unpaired(spans)) if spans else []
                 kept.append(None if null else cut_spans(data, own).decode("utf-8", "replace"))
-            columns = {c: batch.column(c) for c in names} | {f"c{at}": pa.array(kept, pa.string())}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in plain.columns], names=docs.columns)
+            made = pa.array(kept, pa.string())
+            yield pa.RecordBatch.from_arrays([made if c == f"c{at}" else batch.column(c) for c in order], names=names)
 
-    return rows.mapInArrow(each, docs.schema)
+    return rows.mapInArrow(tidy(each), docs.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from feira.llm.byte_bpe import encode_text, encoding
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches, utf8
+from feira.llm.shared import bounded_batches, tidy, tidy_group, utf8
 from feira.session import scratch_path
 
 SEQUENCE = 256
@@ -82,7 +82,7 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id
                 [pa.array(owner, pa.int64()), pa.array(parts, pa.int32()), pa.array(tokens, pa.binary())], names=["doc", "part", "tokens"])
 
     return written(docs.select(F.col(key).cast("long").alias("doc"), utf8(text).alias("b")).mapInArrow(
-        each, "doc long, part int, tokens binary"), "sequences")
+        tidy(each), "doc long, part int, tokens binary"), "sequences")
 
 
 def numbered(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
@@ -101,7 +101,7 @@ def numbered(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
             place = places(batch.column("number").to_numpy(), total, key)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(place)], names=names)
 
-    return counted.mapInArrow(each, rows.select("*").schema.add("place", "long")), total
+    return counted.mapInArrow(tidy(each), rows.select("*").schema.add("place", "long")), total
 
 
 def write_shards(rows: DataFrame, folder: str, sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
@@ -132,7 +132,7 @@ def write_shards(rows: DataFrame, folder: str, sequence: int = SEQUENCE, shard_r
         return pa.table({"shard": pa.array([number], pa.int64()), "path": [f"{folder}/shard-{number:08d}.bin"], "records": pa.array([len(order)], pa.int64())})
 
     return written(rows.withColumn("shard", F.floor(F.col("place") / shard_records)).groupBy("shard").applyInArrow(
-        shard, "shard long, path string, records long"), "manifest")
+        tidy_group(shard), "shard long, path string, records long"), "manifest")
 
 
 def read_shards(manifest: DataFrame, first: int = 0, sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
@@ -153,7 +153,7 @@ def read_shards(manifest: DataFrame, first: int = 0, sequence: int = SEQUENCE, s
                     names=["place", "doc", "part", "tokens"])
 
     wanted = manifest.where((F.col("shard") + 1) * shard_records > first).repartitionByRange("shard")
-    return wanted.mapInArrow(each, "place long, doc long, part int, tokens binary")
+    return wanted.mapInArrow(tidy(each), "place long, doc long, part int, tokens binary")
 
 
 def materialise(docs: DataFrame, ranks_path: str, pattern: str, key: str, sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
