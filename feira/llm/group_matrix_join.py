@@ -359,9 +359,15 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     looked_up = posted.select("sig", "token").join(known, "sig")
     mixed = looked_up.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
     open_rows = written(looked_up.join(mixed, "token"), "mixed")
+    # Shingles that lie in the same blocks are of one kind: a set asks once for all of a kind.
     blocks = open_rows.groupBy("token", "block").agg(
         F.max("rank").alias("other"), F.min("n").alias("least"), F.max("n").alias("most"))
-    asked = written(open_rows.select("token", "sig", "label", "rank", "n").join(blocks, "token").where(
+    kinds = blocks.groupBy("token").agg(
+        F.xxhash64(F.bit_xor(F.xxhash64("block")), F.bit_xor(F.xxhash64(F.lit(1), "block")), F.count("*")).alias("kind"))
+    kind_blocks = blocks.join(kinds, "token").groupBy("kind", "block").agg(
+        F.max("other").alias("other"), F.min("least").alias("least"), F.max("most").alias("most"))
+    asks = open_rows.join(kinds, "token").select("kind", "sig", "label", "rank", "n").distinct()
+    asked = written(asks.join(kind_blocks, "kind").where(
         (F.col("rank") < F.col("other")) & (F.col("most") * 100 >= F.col("n") * SIMILAR)
         & (F.col("least") * SIMILAR <= F.col("n") * 100)).select("block", "sig", "label", "n").distinct(), "asked")
     load = asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).alias("chunks"))

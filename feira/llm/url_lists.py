@@ -53,7 +53,7 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     rows = captures.select(*(c for c in captures.columns if c not in made), host_of(F.col(url)).alias("host"))
     pairs = rows.select("host", F.col(day).cast("date").alias("on")).where("host <> '' AND on IS NOT NULL").distinct()
     last = pairs.agg(_bucket(F.max("on")).alias("final"))
-    held = intervals(entries).crossJoin(F.broadcast(last)).withColumn("bucket", F.explode(F.sequence(
+    held = intervals(entries).withColumn("final", last.scalar()).withColumn("bucket", F.explode(F.sequence(
         _bucket(F.col("since")), F.greatest(_bucket(F.col("since")), F.least(
             F.coalesce(_bucket(F.date_sub("until", 1)), F.col("final")), F.col("final"))))))
     asked = pairs.withColumn("domain", F.explode(domains_of(F.col("host")))).withColumn("bucket", _bucket(F.col("on")))
