@@ -21,12 +21,13 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import utf8
+from feira.llm.shared import bounded_batches, packed_bytes, tidy, utf8
 from feira.session import scratch_path
 
 REVISIT_BYTES = 1000
@@ -51,9 +52,20 @@ def plan_records(pages: DataFrame, key: str = "page_id", payload: str = "html",
         F.max("key").alias("holder"), F.count("*").alias("copies")).where("copies > 1 AND holder IS NOT NULL").drop("copies")
     revisits = named.join(holders, ["digest", "size"]).where(~F.col("key").eqNullSafe(F.col("holder"))).select(
         F.col("key").alias("of"), F.col("digest").alias("same"), "holder").distinct()
-    full = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
-    return full.join(revisits, full["key"].eqNullSafe(revisits["of"]) & (full["digest"] == revisits["same"]), "left").select(
-        "key", "url", "payload", "digest", "size", F.col("holder").alias("refers_to"))
+    bounded_batches(pages.sparkSession)
+    named_rows = rows.select("key", "url", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size"), "payload")
+    full = named_rows.mapInArrow(tidy(packed_bytes), named_rows.drop("payload").schema.add("packed", "binary"))
+    told = full.join(revisits, full["key"].eqNullSafe(revisits["of"]) & (full["digest"] == revisits["same"]), "left").select(
+        "key", "url", "digest", "size", F.col("holder").alias("refers_to"), "packed")
+    return told.mapInArrow(tidy(_unpacked), told.drop("packed").schema.add("payload", "binary"))
+
+
+def _unpacked(batches):
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        payload = pa.array([unpacker.decompress(x) for x in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
+        columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+        yield pa.RecordBatch.from_arrays([*columns, payload], names=[*batch.schema.names[:-1], "payload"])
 
 
 def write_archives(records: DataFrame, path: str) -> None:
@@ -135,7 +147,7 @@ def entries(parts: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                     [pa.array([row["path"]] * len(found), pa.string()), pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())], names=["path", "at", "out"])
 
-    jumps = written(parts.mapInArrow(propose, "path string, at long, out long"), "candidates").where("out >= 0")
+    jumps = written(parts.mapInArrow(tidy(propose), "path string, at long, out long"), "candidates").where("out >= 0")
     reached = parts.where("part = 0").select("path", F.lit(0).cast("long").alias("at"))
     most = parts.agg(F.max("part")).first()[0] or 0
     for _ in range(int(most).bit_length()):
@@ -180,7 +192,7 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
                 if heads:
                     yield _records(heads, bodies)
 
-    return todo.mapInArrow(records, "header map<string,string>, payload binary")
+    return todo.mapInArrow(tidy(records), "header map<string,string>, payload binary")
 
 
 def _records(heads, bodies):
