@@ -4,7 +4,8 @@ Vectors become integers, floor(256 x). Pivots are a bounded sample of them; each
 of its nearest pivot, and so do the queries. Summaries of the cells (number of vectors, largest distance to
 the pivot) bound the score of any query of a group with any vector of a cell. From the lower bounds follows
 a score that the group's queries reach with k vectors at least; only cells whose upper bound is not below
-it are replicated to the group. Hot cells and groups are dealt to tasks of bounded size, each of which
+it are needed. Neighbouring query cells are joined to groups as large as a task can take, and each group
+gets the cells that any of its own needs. Hot cells and groups are dealt to tasks of bounded size, each of which
 solves its part by one matrix product; the parts' best are merged by rank.
 
 Vectors that are null or hold null or non-finite components take no part. Vectors meet only those of the
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches
+from feira.llm.shared import bounded_batches, tidy, tidy_group
 
 TOP = 5
 PIVOTS = 64  # for each number of components
@@ -95,6 +96,24 @@ def reachable(summary: list, asked: list, pivots: dict[int, np.ndarray], top: in
     return pairs
 
 
+def merged_groups(asked: list, pivots: dict[int, np.ndarray], size: int) -> dict[tuple[int, int], int]:
+    """Joins query cells of neighbouring pivots to groups of about ``size`` queries: (dim, cell) to group."""
+    group_of: dict[tuple[int, int], int] = {}
+    for dim in sorted({a[0] for a in asked}):
+        left = {cell: n for d, cell, n in asked if d == dim}
+        p, group = pivots.get(dim, np.zeros((1, dim))), 0
+        while left:
+            start = max(left, key=lambda c: (left[c], -c))
+            room = size
+            for cell in sorted(left, key=lambda c: (float(((p[c] - p[start]) ** 2).sum()), c)):
+                if cell != start and left[cell] > room:
+                    break
+                room -= left.pop(cell)
+                group_of[dim, cell] = group
+            group += 1
+    return group_of
+
+
 def nearest(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "embedding", top: int = TOP) -> DataFrame:
     """The ``top`` best of each vector whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
@@ -106,24 +125,28 @@ def nearest(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "emb
         sample = vectors.where(F.col("dim") == dim).groupBy("v").agg(F.min("id").alias("id")).orderBy(
             F.xxhash64("id"), "id").limit(PIVOTS).select("v").collect()
         pivots[dim] = np.array([r[0] for r in sample], np.float64)
-    placed = written(vectors.mapInArrow(_assign(pivots), "id long, dim int, v array<long>, cell int, away double"), "cells")
+    placed = written(vectors.mapInArrow(tidy(_assign(pivots)), "id long, dim int, v array<long>, cell int, away double"), "cells")
     is_query = F.pmod("id", F.lit(every)) == 0
     summary = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("away").alias("r"))
     asked = placed.where(is_query).groupBy("dim", "cell").agg(F.max("away").alias("r"), F.count("*").alias("n"))
     # A row per pivot at most; cells without pivots of their own are replicated to all queries of their dim.
     known = F.col("dim").isin(dims) if dims else F.lit(False)
     found = [tuple(r) for r in summary.where(known).collect()]
-    groups = [tuple(r) for r in asked.where(known).select("dim", "cell", "r").collect()]
-    pairs = spark.createDataFrame(reachable(found, groups, pivots, top), "dim int, grp int, cell int")
-    others = summary.where(~known).select("dim", F.lit(0).alias("grp"), "cell")
-    pairs = pairs.union(others)
+    groups = [tuple(r) for r in asked.where(known).select("dim", "cell", "r", "n").collect()]
+    group_of = merged_groups([(d, c, n) for d, c, _, n in groups], pivots, QUERIES_AT_ONCE)
+    needed = {(d, group_of[d, g], c) for d, g, c in reachable(found, [g[:3] for g in groups], pivots, top)}
+    pairs = spark.createDataFrame(sorted(needed), "dim int, grp int, cell int").union(
+        summary.where(~known).select("dim", F.lit(0).alias("grp"), "cell"))
+    merged = spark.createDataFrame([(d, c, g) for (d, c), g in group_of.items()], "dim int, cell int, grp int").union(
+        asked.where(~known).select("dim", "cell", F.lit(0).alias("grp")))
     sizes = summary.select("dim", "cell", F.ceil(F.col("n") / VECTORS_AT_ONCE).cast("int").alias("chunks"))
-    loads = asked.select("dim", F.col("cell").alias("grp"), F.ceil(F.col("n") / QUERIES_AT_ONCE).cast("int").alias("parts"))
+    loads = asked.join(merged, ["dim", "cell"]).groupBy("dim", "grp").agg(
+        F.ceil(F.sum("n") / QUERIES_AT_ONCE).cast("int").alias("parts"))
     plan = pairs.join(sizes, ["dim", "cell"]).join(loads, ["dim", "grp"])
     own = ["dim", "grp", "cell", "chunk", "part", "asks", "id", "v"]
     data = placed.join(plan, ["dim", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(False)).select(own)
-    queries = placed.where(is_query).withColumnRenamed("cell", "grp").join(plan, ["dim", "grp"]).withColumn(
+    queries = placed.where(is_query).join(merged, ["dim", "cell"]).drop("cell").join(plan, ["dim", "grp"]).withColumn(
         "part", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("asks", F.lit(True)).select(own)
 
@@ -148,6 +171,6 @@ def nearest(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "emb
                 out[2].extend(s[best].tolist())
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
 
-    local = data.union(queries).groupBy("dim", "grp", "cell", "chunk", "part").applyInArrow(solve, "query_id long, vec_id long, score long")
+    local = data.union(queries).groupBy("dim", "grp", "cell", "chunk", "part").applyInArrow(tidy_group(solve), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
