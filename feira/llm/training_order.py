@@ -33,6 +33,7 @@ SEQUENCE = 256
 SHARD_RECORDS = 16_384
 FILL = 50_256
 ROUNDS = 6
+BROADCAST_FILES = 50_000
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -90,8 +91,11 @@ def numbered(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
     located = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     files = located.groupBy("file").agg(F.count("*").alias("n"))  # a row per file
     begins = files.withColumn("begin", F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)))
-    total = files.agg(F.sum("n")).first()[0] or 0
-    counted = located.join(begins.select("file", F.coalesce("begin", F.lit(0)).alias("begin")), "file").select(
+    total, count = files.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    begins = begins.select("file", F.coalesce("begin", F.lit(0)).alias("begin"))
+    if count <= BROADCAST_FILES:  # a few megabytes; with more files the rows are shuffled
+        begins = F.broadcast(begins)
+    counted = located.join(begins, "file").select(
         *rows.columns, (F.col("begin") + F.col("at")).alias("number"))
 
     names = [*rows.columns, "place"]
