@@ -12,8 +12,9 @@ there are records read, one behind the other; all other candidates were payload.
 Two payloads are equal if their SHA-1 and length are; equal ones of at least ``REVISIT_BYTES`` are stored
 once, in the record of the largest page id, and the others refer to it. Null payloads are empty. Rows
 without id are records without id and refer to the largest id, if there is one. Rows that repeat an id are
-records of their own; those with the largest id all hold the payload. A chain that breaks (a damaged
-file) ends the records of its file there. An empty table makes no records.
+records of their own; those with the largest id all hold the payload. Urls, and so headers, may be of any
+length. A chain that breaks (a damaged file) ends the records of its file there, or raises an error if the
+file has to be whole, as those that were just written. An empty table makes no records.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from feira.session import scratch_path
 
 REVISIT_BYTES = 1000
 RANGE_BYTES = 8_000_000
-HEADER_BYTES = 16_384  # a header may not be longer
+AHEAD_BYTES = 16_384  # read beyond a range at first; doubled as long as a header goes on
 RECORDS_PER_FILE = 20_000
 MAGIC = b"WARC/1.1\r\n"
 _END = b"\r\n\r\n"
@@ -93,28 +94,46 @@ def parse_header(head: bytes) -> dict[str, str]:
     return {k.decode().strip().lower(): v.decode("utf-8", "replace").strip() for k, v in _FIELDS.findall(head)}
 
 
+def _size(header: dict[str, str]) -> int | None:
+    """The length of the payload that a header tells, if it is a number that a file can have."""
+    size = header.get("content-length", "")
+    return int(size) if re.fullmatch("[0-9]{1,18}", size) else None
+
+
 def _record_at(data: bytes, at: int) -> tuple[dict[str, str], int, int] | None:
     """Header, offset of the payload and offset of the next record, or None if no record starts here."""
     if not data.startswith(MAGIC, at):
         return None
-    end = data.find(_END, at, at + HEADER_BYTES)
+    end = data.find(_END, at)
     if end < 0:
         return None
     header = parse_header(data[at + len(MAGIC):end])
-    size = header.get("content-length", "")
-    if not size.isdigit():
+    size = _size(header)
+    if size is None:
         return None
-    return header, end + len(_END), end + len(_END) + int(size) + len(_END)
+    return header, end + len(_END), end + len(_END) + size + len(_END)
+
+
+def _goes_on(data: bytes, at: int) -> bool:
+    """Whether a header may start here that ends behind ``data``."""
+    return MAGIC.startswith(data[at:at + len(MAGIC)]) and data.find(_END, at) < 0
 
 
 def candidates_of_range(data: bytes, start: int, size: int) -> list[tuple[int, int]]:
     """(offset, exit) of each candidate that starts in the first ``size`` bytes; exit is the first offset
     beyond them that its chain of successors leads to (-1: the chain breaks inside)."""
-    found, at = {}, data.find(MAGIC)
+    found, at, end, told, length = {}, data.find(MAGIC), -1, -1, None
     while 0 <= at < size:
-        record = _record_at(data, at)
-        if record:
-            found[at] = record[2]
+        if end < at:  # all candidates before the same blank line share the last length told there
+            end, told, length = data.find(_END, at), -1, None
+            if end < 0:
+                break
+            for field in _FIELDS.finditer(data, at + len(MAGIC), end):
+                named = parse_header(field[0])
+                if "content-length" in named:
+                    told, length = field.start(), _size(named)
+        if told >= at + len(MAGIC) and length is not None:
+            found[at] = end + len(_END) + length + len(_END)
         at = data.find(MAGIC, at + 1)
     exits: dict[int, int] = {}
     for at in sorted(found, reverse=True):
@@ -129,6 +148,17 @@ def _read(where: str, start: int, size: int) -> bytes:
         return source.read_at(size, start)
 
 
+def _read_range(where: str, start: int, size: int, length: int) -> bytes:
+    """A range of a file of ``length`` bytes, and what lies behind it to the end of the last header in it."""
+    data, ahead = _read(where, start, min(size + AHEAD_BYTES, length - start)), AHEAD_BYTES
+    last = data.rfind(MAGIC, 0, size + len(MAGIC) - 1)
+    seen = last
+    while last >= 0 and data.find(_END, seen) < 0 and start + len(data) < length:
+        seen, ahead = max(last, len(data) - len(_END)), 2 * ahead
+        data += _read(where, start + len(data), min(ahead, length - start - len(data)))
+    return data
+
+
 def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, length, part, start) of all byte ranges of the files."""
     files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
@@ -141,8 +171,8 @@ def entries(parts: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     def propose(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                data = _read(row["path"], row["start"], min(range_bytes + HEADER_BYTES, row["length"] - row["start"]))
-                found = candidates_of_range(data, row["start"], min(range_bytes, row["length"] - row["start"]))
+                size = min(range_bytes, row["length"] - row["start"])
+                found = candidates_of_range(_read_range(row["path"], row["start"], size, row["length"]), row["start"], size)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["path"]] * len(found), pa.string()), pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())], names=["path", "at", "out"])
@@ -158,8 +188,11 @@ def entries(parts: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     return reached
 
 
-def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(header fields as map, payload) of every record that is reachable from the start of its file."""
+def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, whole_files: bool = False) -> DataFrame:
+    """(header fields as map, payload) of every record that is reachable from the start of its file.
+
+    With ``whole_files`` a file whose chain breaks before its end is an error.
+    """
     parts = written(ranges(spark, path, range_bytes), "ranges")
     starts = entries(parts, range_bytes).withColumn("part", F.floor(F.col("at") / range_bytes).cast("int"))
     todo = parts.join(starts, ["path", "part"]).select("path", "length", "start", "at").repartition("path", "start")
@@ -171,10 +204,12 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
                 data, base = _read(where, at, end - at), at
                 heads, bodies, held = [], [], 0
                 while at < end:
+                    ahead = AHEAD_BYTES
+                    while _goes_on(data, at - base) and base + len(data) < row["length"]:  # the header goes on beyond the range
+                        data, base, ahead = _read(where, at, min(ahead, row["length"] - at)), at, 2 * ahead
                     record = _record_at(data, at - base)
-                    if record is None and len(data) - (at - base) < HEADER_BYTES:  # the header goes on beyond the range
-                        data, base = _read(where, at, min(HEADER_BYTES, row["length"] - at)), at
-                        record = _record_at(data, 0)
+                    if whole_files and (record is None or base + record[2] > row["length"]):
+                        raise ValueError(f"{where}: no whole record at byte {at} of {row['length']}")
                     if record is None:
                         break
                     header, body, after = record
@@ -184,7 +219,7 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
                         whole = _read(where, base + body, size)
                     heads.append(list(header.items()))
                     bodies.append(whole)
-                    held += size
+                    held += body + size - (at - base)
                     at = base + after
                     if held > 4_000_000:
                         yield _records(heads, bodies)
@@ -205,7 +240,7 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(plan_records(pages), path)
-    back = read_archives(spark, path)
+    back = read_archives(spark, path, whole_files=True)
     field = lambda name: F.col("header")[name]
     page = lambda name: F.regexp_extract(field(name), r"^<urn:page:(-?\d+)>$", 1)
     kind = pages.schema["page_id"].dataType

@@ -65,6 +65,36 @@ def test_false_candidates_are_not_reached():
     assert set(found) > {100, 100 + len(record)} and found[100] == 100 + 2 * len(record)
 
 
+@pytest.mark.parametrize("range_bytes", [8_000_000, 700])
+def test_long_urls_keep_their_pages(spark, range_bytes, monkeypatch):
+    rows = [(k, f"http://a.example/{k}", f"page {k}") for k in range(20)]
+    rows[5] = (5, "http://long.example/" + "u" * 100_000, "long")
+    rows[6] = (6, "http://long.example/" + "WARC/1.1" * 3000 + "WARC/1.1", "WARC/1.1\r\nContent-Length: " + "9" * 30 + "\r\n\r\n")
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1)
+    path = scratch_path(spark, "warc")
+    warc_chain.write_archives(warc_chain.plan_records(pages), path)
+    back = warc_chain.read_archives(spark, path, range_bytes).collect()
+    assert sorted((r.header["warc-target-uri"], bytes(r.payload).decode()) for r in back) == sorted(r[1:] for r in rows)
+    assert sorted((tuple(r) for r in warc_chain.archive_and_read(pages).collect()), key=cases.sort_key) == wanted_records(rows)
+
+
+def test_broken_archives_are_not_whole(spark, tmp_path):
+    record = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for name, data in (("gap", record * 3 + b"gap" + record * 3), ("short", record * 3 + record[:-6])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.txt").write_bytes(data)
+        for range_bytes in (8_000_000, 50):
+            assert len(warc_chain.read_archives(spark, str(tmp_path / name), range_bytes).collect()) >= 3
+            with pytest.raises(Exception, match="no whole record at byte"):
+                warc_chain.read_archives(spark, str(tmp_path / name), range_bytes, whole_files=True).collect()
+
+
+def test_candidates_take_one_pass():
+    data = b"xWARC/1.1\r\n" * 200_000 + b"Content-Length: 3\r\n\r\nabc\r\n\r\n"
+    found = warc_chain.candidates_of_range(data, 0, len(data))
+    assert len(found) == 200_000 and {out for _, out in found} == {len(data)}
+
+
 def listed(spark, rows):
     return spark.createDataFrame(rows, "list string, domain string, action string, day date")
 
