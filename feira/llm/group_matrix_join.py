@@ -119,24 +119,25 @@ def _frequent(docs: DataFrame, text: str, words: int) -> np.ndarray:
     return np.sort(often.column(0).to_numpy())
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int, frequent) -> DataFrame:
-    """Per row: number of shingles, hash of the set, and the prefix that any similar set must meet."""
-    schema = docs.select(key).schema.add("n", "long").add("sig", "long").add("prefix", "binary")
+def _sets(docs: DataFrame, text: str, words: int, frequent) -> DataFrame:
+    """Per row: its other columns, number of shingles, hash of the set, and the prefix that any similar set must meet."""
+    others = [c for c in docs.columns if c != text]
+    schema = docs.select(*others).schema.add("n", "long").add("sig", "long").add("prefix", "binary")
 
     def each(batches):
         hashes = _WordHashes()
         for batch in batches:
             n, sig, prefix = [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(len(others)).to_pylist():
                 x = shingle_set(t, hashes, words, frequent.value)
                 n.append(len(x))
                 sig.append(xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63))
                 prefix.append(x[:prefix_size(len(x))].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(prefix, pa.binary())],
+                [*(batch.column(k) for k in range(len(others))), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(prefix, pa.binary())],
                 names=schema.names)
 
-    return docs.select(key, utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
+    return docs.select(*others, utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
 
 
 def _prefix_tokens(batches):
@@ -289,11 +290,18 @@ def _query_block(rows):
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                        block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: key, n_shingles and component_id (smallest key of its connected group)."""
+    rows = _component_rows(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), words, block_sets, block_bytes)
+    least = rows.where("n > 0").groupBy("component").agg(F.min("key").alias("least"))
+    return rows.join(least, "component", "left").select(
+        "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"))
+
+
+def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row of ``docs`` (key, text, others): its columns but the text, number of shingles n, and component."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent(docs, "text", words))
-    sets = written(_sets(docs, "key", "text", words, frequent), "sets")
+    sets = written(_sets(docs, "text", words, frequent), "sets")
     tokens = sets.select("sig", "prefix").mapInArrow(tidy(_prefix_tokens), "token long, sig long")
     postings = tokens.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(
         tidy(_shared_only), "token long, sig long, met_by int")
@@ -384,10 +392,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     roots = components(links)
     final = labels.join(roots, labels["label"] == roots["key"], "left").select(
         labels["sig"], F.coalesce("root", "label").alias("component"))
-    rows = sets.select("key", "n", "sig").join(final, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    least = rows.where("n > 0").groupBy("component").agg(F.min("key").alias("least"))
-    return rows.join(least, "component", "left").select(
-        "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"))
+    return sets.drop("prefix").join(final, "sig", "left").withColumn("component", F.coalesce("component", "sig")).drop("sig")
 
 
 def join_components(docs: DataFrame) -> DataFrame:
@@ -395,11 +400,17 @@ def join_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each connected group: the one with the smallest key, with every row that repeats it.
+    """One row of each connected group: that with the smallest key, a null key being the largest.
 
-    Documents without shingles all stay, as do those of groups without any key.
+    Of rows that repeat this key a fingerprint of the whole row decides, of rows that are equal throughout
+    any one stays. Documents without shingles all stay.
     """
-    found = similar_components(docs, key, text).where((F.col("n_shingles") == 0) | F.col("key").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("key").alias("__key"), (F.col("n_shingles") > 0).alias("__one")).distinct()
-    rows = docs.join(kept, docs[key].eqNullSafe(kept["__key"]))
-    return rows.drop("__key", "__one")
+    row = [F.xxhash64(*docs.columns).alias("__h1"), F.xxhash64(F.lit(1), *docs.columns).alias("__h2")]
+    found = _component_rows(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *row))
+    least = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "__h1", "__h2")).alias("least")
+    kept = found.where("n > 0").groupBy("component").agg(least).select("least.__h1", "least.__h2", F.lit(True).alias("__one")).union(
+        found.where("n = 0").select("__h1", "__h2", F.lit(False)).distinct())
+    rows = docs.select("*", *row).join(kept, ["__h1", "__h2"])
+    # Equal rows of a group come down to one; all others differ by the number.
+    once = rows.withColumn("__nth", F.when(F.col("__one"), F.lit(-1)).otherwise(F.monotonically_increasing_id()))
+    return once.dropDuplicates(["__h1", "__h2", "__nth"]).select(docs.columns)

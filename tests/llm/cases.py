@@ -62,6 +62,17 @@ def shingles(text):
     return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
 
 
+def one_of_each(rows):
+    """(id, text) of the row with the smallest id of each component, and all rows without shingles; a group's
+    smallest id must not be repeated with another text."""
+    places = similar_components([(k, t) for k, (_, t) in enumerate(rows)])
+    least = {}
+    for (k, n, c), (doc, text) in zip(places, rows):
+        if n and ((doc is None, doc or 0) < least.get(c, ((True, 1), None))[0]):
+            least[c] = ((doc is None, doc or 0), (doc, text))
+    return [v for _, v in least.values()] + [row for (_, n, _), row in zip(places, rows) if not n]
+
+
 def similar_components(rows):
     """Smallest id of each row's component, by comparing all pairs."""
     sets = [shingles(t) for _, t in rows]

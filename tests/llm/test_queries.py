@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import subprocess
 import sys
 
@@ -100,6 +101,25 @@ def test_pipeline_agrees_with_brute_force(spark, tmp_path):
     assert found == brute_pipeline(rows, items, language)
 
 
+def test_pipeline_with_repeated_and_null_ids(spark, tmp_path):
+    rows = cases.documents()
+    unnamed = "é" + cases.sentence(random.Random(9), 150)
+    rows = [*rows, *rows[1:3], (2, unnamed[:400], None, None, None), *[(None, unnamed, "en", None, None)] * 2, (None, unnamed + " more", None, None, None)]
+    items = [(1, " ".join(rows[2][1].split()[10:40]))]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, cases.SCHEMA).repartition(3).write.parquet(folder + "/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(folder + "/benchmark.parquet")
+
+    def language(text):
+        return "und" if not text or not any(map(str.isalpha, text)) else "xx"
+
+    kept = cases.one_of_each([r[:2] for r in rows if language(r[1]) != "und"])
+    numbered = brute_pipeline([(k, text) for k, (_, text) in enumerate(kept)], items, language)
+    assert len(numbered) == len(kept)
+    found = sorted((tuple(r) for r in corpus_pipeline.run(spark, folder).collect()), key=cases.sort_key)
+    assert found == sorted(((kept[r[0]][0], *r[1:]) for r in numbered), key=cases.sort_key)
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(SMALL + "/documents.parquet")
     spoiled = docs.union(docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string"), "lang", "source", "n_chars"))

@@ -1,6 +1,7 @@
 """Similarity join, repeated strings, benchmark passages and tokens against brute force."""
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -57,6 +58,15 @@ def test_one_of_each_keeps_the_columns(docs, rows):
     assert {k for k in ids if k is not None} == smallest | {d for d, n, _ in cases.similar_components([r[:2] for r in rows]) if not n}
 
 
+def test_one_of_each_keeps_one_row(spark, rows):
+    unnamed = cases.sentence(random.Random(5), 100)
+    rows = [*rows, *rows[:2], (0, rows[0][1], "fr", "s9", 1), (1, rows[2][1], None, None, None), (0, unnamed[:300], None, None, None), *[(None, unnamed, None, None, None)] * 3,
+            (None, unnamed, "en", None, None), (None, "", None, None, None), (None, rows[1][1] + " more", None, None, None)]
+    found = group_matrix_join.one_of_each(spark.createDataFrame(rows, cases.SCHEMA).repartition(3)).collect()
+    assert all(tuple(r) in set(rows) for r in found)
+    assert sorted(((r.doc_id, r.text) for r in found), key=cases.sort_key) == sorted(cases.one_of_each([r[:2] for r in rows]), key=cases.sort_key)
+
+
 @pytest.mark.parametrize("crowd", [1000, 1])
 def test_repeated_strings(docs, rows, crowd):
     texts = [(r[1] or "").encode() for r in rows]
