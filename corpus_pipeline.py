@@ -16,10 +16,10 @@ from feira.session import tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any language: null texts and texts without a letter."""
+    """Drops documents without any language: null texts and texts without a letter, whatever was learned."""
     model = language_id.learn(docs.where(~language_id.held_out()))
     found = language_id.identify(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns}), model, "own_text")
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*(F.col(f"own_{c}").alias(c) for c in docs.columns))
+    return found.where("has_letters").select(*(F.col(f"own_{c}").alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

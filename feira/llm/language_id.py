@@ -203,24 +203,25 @@ def learn(labelled: DataFrame, text: str = "text", language: str = "lang", key:
 
 
 def identify(frame: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to every row."""
+    """Adds ``lang_pred``, ``score`` and ``has_letters`` to every row; the last depends on the text only."""
     bounded_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in frame.columns if c not in ("lang_pred", "score")]
-    schema = frame.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    kept = [c for c in frame.columns if c not in ("lang_pred", "score", "has_letters")]
+    schema = frame.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("has_letters", "boolean")
 
     def each(batches):
         for batch in batches:
             own = shared.value
             raw = batch.column(batch.num_columns - 1).to_pylist()
-            lettered = [k for k, t in enumerate(raw) if own["names"] and any(map(str.isalpha, t.decode("utf-8", "replace")))]
+            letters = [any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in raw]
+            lettered = [k for k, has in enumerate(letters) if has and own["names"]]
             names, scores = [UNKNOWN] * len(raw), np.zeros(len(raw))
             if lettered:
                 best, scores[lettered] = predict([raw[k] for k in lettered], own)
                 for k, v in zip(lettered, best):
                     names[k] = v
             columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names), pa.array(scores)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names), pa.array(scores), pa.array(letters)], names=schema.names)
 
     return frame.select(*(F.col(f"`{c}`") for c in kept), utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
 

@@ -120,6 +120,12 @@ def test_pipeline_with_repeated_and_null_ids(spark, tmp_path):
     assert found == sorted(((kept[r[0]][0], *r[1:]) for r in numbered), key=cases.sort_key)
 
 
+def test_texts_stay_without_labels(spark):
+    rows = [(1, "some text", None), (2, "12 %%", None), (3, None, "en"), (4, "mehr Text", None), (None, "é", None), (6, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, SMALL).collect()} == {1, 4, None}
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(SMALL + "/documents.parquet")
     spoiled = docs.union(docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string"), "lang", "source", "n_chars"))
