@@ -1,8 +1,8 @@
 """Exact top-k search by inner product: a kNN join over Voronoi groups.
 
 Vectors become integers, floor(256 x). Pivots are a bounded sample of them; each vector belongs to the cell
-of its nearest pivot, and so do the queries. Summaries of the cells (number of vectors, largest distance to
-the pivot) bound the score of any query of a group with any vector of a cell. From the lower bounds follows
+of its nearest pivot, and so do the queries. Summaries of the cells (number of vectors, less the most that
+one query id has there, and largest distance to the pivot) bound the score of any query of a group with any vector of a cell. From the lower bounds follows
 a score that the group's queries reach with k vectors at least; only cells whose upper bound is not below
 it are needed. Neighbouring query cells are joined to groups as large as a task can take, and each group
 gets the cells that any of its own needs. Hot cells and groups are dealt to tasks of bounded size, each of which
@@ -72,7 +72,10 @@ def _assign(pivots: dict[int, np.ndarray]):
 
 
 def reachable(summary: list, asked: list, pivots: dict[int, np.ndarray], top: int) -> list[tuple[int, int, int]]:
-    """(dim, query cell, data cell) whose vectors can be among the best of the group, from summaries only."""
+    """(dim, query cell, data cell) whose vectors can be among the best of the group, from summaries only.
+
+    A summary counts the vectors of its cell that are candidates of any query: without the query's own rows.
+    """
     data: dict[int, list] = {}
     for dim, cell, count, radius in summary:
         data.setdefault(dim, []).append((cell, count, radius))
@@ -86,7 +89,7 @@ def reachable(summary: list, asked: list, pivots: dict[int, np.ndarray], top: in
         slack = np.linalg.norm(p[group]) * radius + np.linalg.norm(centre, axis=1) * spread + spread * radius
         slack = slack * (1 + 1e-9) + 1e-6  # rounding of the bounds themselves
         low, high = near - slack, near + slack
-        sure, left = -np.inf, top + 1  # one more: the query itself may be counted
+        sure, left = -np.inf, top
         for k in np.argsort(-low):
             left -= cells[k][1]
             if left <= 0:
@@ -131,7 +134,9 @@ def nearest(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "emb
     asked = placed.where(is_query).groupBy("dim", "cell").agg(F.max("away").alias("r"), F.count("*").alias("n"))
     # A row per pivot at most; cells without pivots of their own are replicated to all queries of their dim.
     known = F.col("dim").isin(dims) if dims else F.lit(False)
-    found = [tuple(r) for r in summary.where(known).collect()]
+    own_rows = placed.where(is_query).groupBy("dim", "cell", "id").count().groupBy("dim", "cell").agg(F.max("count").alias("own"))
+    found = [tuple(r) for r in summary.where(known).join(own_rows, ["dim", "cell"], "left").select(
+        "dim", "cell", F.col("n") - F.coalesce("own", F.lit(0)), "r").collect()]
     groups = [tuple(r) for r in asked.where(known).select("dim", "cell", "r", "n").collect()]
     group_of = merged_groups([(d, c, n) for d, c, _, n in groups], pivots, QUERIES_AT_ONCE)
     needed = {(d, group_of[d, g], c) for d, g, c in reachable(found, [g[:3] for g in groups], pivots, top)}

@@ -157,6 +157,16 @@ def test_nearest_is_exact(spark, clustered, monkeypatch):
     assert voronoi_knn.nearest(frame.limit(0), every=5).collect() == []
 
 
+def test_repeated_queries_do_not_fill_their_cell(spark, monkeypatch):
+    monkeypatch.setattr(voronoi_knn, "PIVOTS", 4)
+    rows = [(5, [1000.0, 0.0])] * 7 + [(k, [0.0, 500.0 + k]) for k in (1, 2, 3, 4, 6, 7)] + [(k, [-800.0, -k / 8]) for k in (11, 12, 13)]
+    rows += [(15, [0.0, -900.0])] * 8 + [(16, [0.0, -900.0])] * 2
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for pivots in (4, 64):
+        monkeypatch.setattr(voronoi_knn, "PIVOTS", pivots)
+        assert sorted(tuple(r) for r in voronoi_knn.nearest(frame, every=5).collect()) == brute_nearest(rows, 5)
+
+
 def test_far_cells_are_left_out():
     pivots = {2: np.array([[100.0, 0.0], [0.0, 100.0], [-100.0, 0.0]])}
     pairs = voronoi_knn.reachable([(2, 0, 50, 5.0), (2, 1, 50, 5.0), (2, 2, 50, 5.0)], [(2, 0, 5.0)], pivots, 5)
