@@ -2,8 +2,8 @@
 
 Features are relative frequencies of hashed letter trigrams of the whole text, so a score is a mean of
 weights over the trigrams and no feature vector is built when predicting. Training uses a bounded
-sample of labelled rows: ``MAX_ROWS`` in all, the same number for each language, chosen by a hash of the
-row. Prediction reads every text to its end.
+sample of labelled rows: ``MAX_ROWS`` in all, the same number for each language, chosen by a hash of id
+and text, so that rows may share one id or have none; equal rows are learned from once. Prediction reads every text to its end.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text if nothing was learned.
 Rows without a label or a text are not learned from. With one language, each text with letters has it.
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feira.llm.components import written
 from feira.llm.shared import bounded_batches, tidy, utf8
 
 UNKNOWN = "und"
@@ -181,16 +182,14 @@ def predict(texts: list[bytes], model: dict) -> tuple[list[str], np.ndarray]:
 def learn(labelled: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", max_rows: int = MAX_ROWS) -> dict:
     """The model of a sample of ``labelled``: at most ``max_rows`` rows, equally many of each language."""
     known = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
-    order = Window.partitionBy("language").orderBy(F.xxhash64("key"), "key")
-    keys = known.select(F.col(key).alias("key"), F.col(language).alias("language"))
-    counts = keys.groupBy("language").agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("language").orderBy("hash")
+    hashed = known.select(utf8(text).alias("text"), F.col(language).alias("language"), F.xxhash64(key, text).alias("hash"))
+    counts = written(hashed.select("language", "hash").distinct().groupBy("language").agg(F.count("*").alias("rows")), "languages")
     each = max(1, max_rows // max(1, counts.count()))
-    # About twice as many as needed, by a hash of the key, are ranked.
-    share = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) <= F.lit(2_000_000 * each) / F.col("rows")
-    chosen = keys.join(counts, "language").where(share).withColumn("n", F.row_number().over(order)).where(
-        F.col("n") <= each).select("key").distinct().limit(max_rows)
-    rows = known.join(F.broadcast(chosen), known[key].eqNullSafe(chosen["key"]), "left_semi").select(
-        utf8(text).alias("text"), F.col(language).alias("language"))
+    # About twice as many as needed, by the hash, are ranked.
+    share = F.pmod("hash", F.lit(1_000_000)) <= F.lit(1_000_000 * (2 * each + 20)) / F.col("rows")
+    rows = hashed.join(counts, "language").where(share).dropDuplicates(["language", "hash"]).withColumn(
+        "n", F.row_number().over(order)).where(F.col("n") <= each).select("text", "language")
     bounded_batches(labelled.sparkSession)
 
     def features(batches):

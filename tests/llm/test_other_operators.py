@@ -199,6 +199,17 @@ def test_languages_of_odd_texts(spark):
     assert {r.lang_pred for r in language_id.identify(spark.createDataFrame(rows[:3], schema), single).collect()} == {"en"}
 
 
+@pytest.mark.parametrize("hot", [None, 3])
+def test_languages_of_rows_that_share_an_id(spark, hot, monkeypatch):
+    words = {"de": "der schöne ich und nicht", "en": "the thing with the other thing", "fr": "le français avec être"}
+    rows = [(k, f"{words[v]} {k} {words[v]}", v) for k, v in enumerate(["de", "en", "fr"] * 100)]
+    rows += [(hot, f"{words['de']} {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} {words['de']}", "de") for k in range(100)] + [(hot, "und", "de")] * 50
+    learned = []
+    monkeypatch.setattr(language_id, "fit", lambda vectors, languages: learned.extend(languages))
+    language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), max_rows=60)
+    assert {v: learned.count(v) for v in words} == {"de": 20, "en": 20, "fr": 20}
+
+
 def test_quality_of_rows_set_aside(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     aside = F.pmod(F.col("doc_id"), F.lit(3)) == 0
