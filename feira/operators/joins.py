@@ -66,7 +66,10 @@ def orphan_reviews(reviews: DataFrame, orders: DataFrame, products: DataFrame) -
 
 
 def category_paths(categories: DataFrame) -> DataFrame:
-    """Each category with its root, depth and path, however deep the tree is.
+    """Each category with its root, depth and path.
+
+    Spark stops with an error at ``spark.sql.cteRecursionLevelLimit`` levels (100 by default) and at
+    ``spark.sql.cteRecursionRowLimit`` rows (1,000,000); raise them for deeper or larger trees.
 
     Categories of a cycle have no root: ``complete`` is false and the rest NULL. A parent that does not
     exist makes its child a root.
