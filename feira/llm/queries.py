@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feira.llm import (
-    byte_bpe, cotraining, fm_decontam, group_matrix_join, language_id, run_length_dedup, training_order, url_lists,
-    voronoi_knn, warc_chain)
+    byte_bpe, cotraining, fm_decontam, group_matrix_join, language_id, residue_negatives, run_length_dedup, training_order,
+    url_lists, voronoi_knn, warc_chain)
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -161,3 +162,26 @@ def op9(spark, folder):
 @query("op10_run_length_dedup")
 def op10(spark, folder):
     return run_length_dedup.kept_digests(table(spark, folder, "documents"))
+
+
+@query("op11_residue_negatives", """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+           CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * d.v[i])) AS BIGINT) AS score
+    FROM v a JOIN v d ON a.vec_id <> d.vec_id AND len(a.v) = len(d.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""")
+def op11(spark, folder):
+    number, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(number % 7 == 0, (label + 1) % 10).otherwise(label)
+    return residue_negatives.mine(table(spark, folder, "embeddings").withColumn("label", moved), every=100)
