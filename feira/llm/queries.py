@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import (
-    byte_bpe, cotraining, fm_decontam, group_matrix_join, language_id, residue_negatives, run_length_dedup, training_order,
-    url_lists, voronoi_knn, warc_chain)
+    byte_bpe, cotraining, fm_decontam, group_matrix_join, histogram_shards, language_id, residue_negatives, run_length_dedup,
+    spelling_variants, training_order, url_lists, voronoi_knn, warc_chain)
 from feira.llm.shared import table
 from feira.session import tune
 
@@ -185,3 +185,13 @@ def op11(spark, folder):
     number, label = F.col("vec_id"), F.col("label").cast("long")
     moved = F.when(number % 7 == 0, (label + 1) % 10).otherwise(label)
     return residue_negatives.mine(table(spark, folder, "embeddings").withColumn("label", moved), every=100)
+
+
+@query("op13_spelling_variants")
+def op13(spark, folder):
+    return spelling_variants.variants(spelling_variants.count_words(table(spark, folder, "documents"), damaged_every=97))
+
+
+@query("op12_histogram_shards")
+def op12(spark, folder):
+    return histogram_shards.shard_documents(table(spark, folder, "documents"))

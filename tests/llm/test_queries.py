@@ -24,7 +24,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries()) == list(range(1, 12))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries()) == list(range(1, 14))
 
 
 def test_rest_works_without_the_subpackage(tmp_path):
