@@ -251,7 +251,8 @@ def near_pairs(vocabulary: DataFrame, letters: str) -> DataFrame:
     lengths = vocabulary.groupBy("size").agg(F.count("*").alias("words"))
     shares = lengths.withColumn("shares", F.ceil(F.col("words") / WORDS_PER_FILTER).cast("int"))
     placed = vocabulary.select("size", "spot").join(shares, "size").withColumn("share", F.pmod("spot", "shares").cast("int"))
-    filters = written(placed.groupBy("size", "share").applyInArrow(
+    # Dealt by both, or the join's partitions by length alone would be taken for the groups.
+    filters = written(placed.repartition("size", "share").groupBy("size", "share").applyInArrow(
         tidy_group(_filter_of), "size int, share int, shares int, words long, bits binary"), "filters")
     path = scratch_path(spark, "edits")
     rows = [tuple(r) for r in filters.select("size", "share", F.octet_length("bits")).collect()]  # a row per half million words or length

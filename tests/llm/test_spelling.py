@@ -79,7 +79,7 @@ def odd_documents():
 def test_odd_texts(spark, small, monkeypatch):
     if small:  # several filters per length, several passes, several flushes
         monkeypatch.setattr(S, "WORDS_PER_FILTER", 5)
-        monkeypatch.setattr(S, "FILTER_BYTES", 300)
+        monkeypatch.setattr(S, "FILTER_BYTES", 1500)
         monkeypatch.setattr(S, "COUNTED_AT_ONCE", 20)
     rows = odd_documents()
     docs = spark.createDataFrame(rows, "doc_id long, text string, word string, n int").repartition(3)
