@@ -77,6 +77,9 @@ def ratings(reviews: DataFrame, key: str) -> DataFrame:
     return scored.groupBy(key).agg(mean.alias("rating_avg"), F.count("*").alias("n_reviews"), *stars)
 
 
+PART_NAMES = ["score_sum", "n_scores", "n_reviews", *[f"score_{s}" for s in range(1, 6)]]
+
+
 def rating_parts(reviews: DataFrame, key: str) -> DataFrame:
     """Sums and counts of scores per key that can be added up over batches."""
     stars = [F.count_if(F.col("score") == s).alias(f"score_{s}") for s in range(1, 6)]
@@ -85,6 +88,11 @@ def rating_parts(reviews: DataFrame, key: str) -> DataFrame:
         F.count("*").alias("n_reviews"), *stars)
 
 
+def add_rating_parts(parts: DataFrame, key: str) -> DataFrame:
+    """The parts of several batches as one row per key."""
+    return parts.groupBy(key).agg(*[F.sum(n).alias(n) for n in PART_NAMES])
+
+
 def merge_ratings(parts: DataFrame, key: str) -> DataFrame:
     """The ratings of all batches together, as ``ratings`` gives them for all reviews."""
     names = ["n_reviews", *[f"score_{s}" for s in range(1, 6)]]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import reduce
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -11,53 +13,92 @@ from feira.operators.aggregates import value_counts
 from feira.operators.joins import delivered_with_review, item_flows
 from feira.operators.sorting import largest_margins
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accuracy: int = 10_000) -> DataFrame:
+
+MOST_SORTED = 100_000
+
+
+@dataclass(frozen=True)
+class _Bracket:
+    """The values between low and high, both excluded, that hold a rank, with exact counts below and inside."""
+
+    rank: int
+    before: int
+    inside: int
+    low: float | None = None
+    high: float | None = None
+    margin: float = 0.0
+
+    def holds(self, v: Column) -> Column:
+        above = v.isNotNull() if self.low is None else v > F.lit(self.low)
+        return above if self.high is None else above & (v < F.lit(self.high))
+
+    def edges(self) -> list[float]:
+        """Shares of the values inside a little below and above the rank."""
+        at = (self.rank - self.before) / self.inside
+        return [max(0.0, at - self.margin), min(1.0, at + self.margin)]
+
+
+def _narrowed(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> list[_Bracket | float]:
+    """Each bracket between two values from a sketch of what is inside; the value itself where one of the two has the rank.
+
+    A bracket that turns out to miss its rank is tried again with a wider margin.
+    """
+    v = F.col("v")
+    edges = values.agg(*[F.percentile_approx(F.when(b.holds(v), v), b.edges(), accuracy).alias(f"b{k}") for k, b in enumerate(brackets)]).first()
+    counts = values.agg(*[n.alias(f"{name}{k}") for k, b in enumerate(brackets) for name, n in (
+        ("under", F.count_if(b.holds(v) & (v < F.lit(edges[k][0])))), ("low", F.count_if(v == F.lit(edges[k][0]))),
+        ("upto", F.count_if(b.holds(v) & (v <= F.lit(edges[k][1])))), ("high", F.count_if(v == F.lit(edges[k][1]))))]).first()
+    found: list[_Bracket | float] = []
+    for k, b in enumerate(brackets):
+        low, high = edges[k]
+        under, n_low, upto, n_high = (b.before * (i % 2 == 0) + counts[4 * k + i] for i in range(4))
+        if not under <= b.rank < upto:
+            found.append(replace(b, margin=b.margin * 4))
+        elif b.rank < under + n_low:
+            found.append(low)
+        elif b.rank >= upto - n_high:
+            found.append(high)
+        else:
+            found.append(replace(b, before=under + n_low, inside=upto - n_high - under - n_low, low=low, high=high))
+    return found
+
+
+def _values_at(values: DataFrame, ranks: list[int], total: int, accuracy: int, most: int) -> dict[int, float]:
+    """The values with some ranks, counted from 0, of a column ``v``."""
+    state: dict[int, _Bracket | float] = {r: _Bracket(r, 0, total, margin=20 / accuracy) for r in ranks}
+
+    def open_brackets(more_than: int) -> list[_Bracket]:
+        return [b for b in state.values() if isinstance(b, _Bracket) and b.inside > more_than]
+
+    while wide := open_brackets(most):
+        state |= {b.rank: new for b, new in zip(wide, _narrowed(values, wide, accuracy))}
+    if held := open_brackets(0):
+        v = F.col("v")
+        places = F.array_compact(F.array(*[F.when(b.holds(v), F.lit(k)) for k, b in enumerate(held)]))
+        counts = values.select("v", F.explode(places).alias("bracket")).groupBy("bracket", "v").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
+        inner = F.get(F.array(*[F.lit(b.rank - b.before) for b in held]), F.col("bracket"))
+        found = counts.withColumn("upto", upto).where(F.col("upto") > inner).groupBy("bracket").agg(F.min("v").alias("v")).collect()
+        state |= {held[r["bracket"]].rank: r["v"] for r in found}
+    return state
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accuracy: int = 10_000,
+                    most: int = MOST_SORTED) -> DataFrame:
     """(probability, value) by linear interpolation, exact for any number of distinct values.
 
-    A sketch over all rows brackets each wanted rank; then one pass counts the rows below each
-    bracket and another ranks the distinct values inside. Rows are never shuffled by value. A
-    bracket spans 40 / accuracy of the rows, and one task sorts its distinct values: with very
-    many of them raise ``accuracy``, or use ``approx`` where the caller offers it.
+    Every rank that is needed has a bracket of values. While one holds more than ``most`` rows, a sketch of these
+    finds two values close around the rank, and a pass counts exactly what lies below, at and between them: either
+    one of them has the rank, however often it occurs, or what lies between is the next bracket, a two hundred and
+    fiftieth of the last. Then one pass ranks the distinct values inside the brackets, so no task sorts more than
+    ``most``. Values are never shuffled otherwise. All of it runs here; the result is a row per probability.
     """
-    margin = 20 / accuracy
-    edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    sketch = values.agg(F.struct(F.percentile_approx("v", edges, accuracy).alias("edge"), F.count("*").alias("total")))
-    marked = values.withColumn("s", sketch.scalar())
-    low = [F.col("s.edge")[2 * i] for i in range(len(probabilities))]
-    high = [F.col("s.edge")[2 * i + 1] for i in range(len(probabilities))]
-
-    v, each = F.col("v"), range(len(probabilities))
-    counted = marked.agg(
-        F.max("s.total").alias("total"), *[F.count_if(v < low[i]).alias(f"before_{i}") for i in each],
-        *[F.max(F.when(v < low[i], v)).alias(f"left_{i}") for i in each],
-        *[F.min(F.when(v > high[i], v)).alias(f"right_{i}") for i in each])
-    wanted = counted.select("total", F.explode(F.array(*[F.struct(
-        F.lit(i).alias("bracket"), F.lit(float(p)).alias("probability"), F.col(f"before_{i}").alias("before"),
-        F.col(f"left_{i}").alias("left"), F.col(f"right_{i}").alias("right"))
-        for i, p in enumerate(probabilities)])).alias("w")).select(
-            "w.*", (F.col("w.probability") * (F.col("total") - 1)).alias("position"))
-
-    inside = [(v >= low[i]) & (v <= high[i]) for i in each]
-    brackets = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in each]))
-    found = marked.where(reduce(Column.__or__, inside)).select("v", F.explode(brackets).alias("bracket"))
-    counts = found.groupBy("bracket", "v").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
-    ranked = counts.withColumn("upto", upto).join(wanted, "bracket").withColumn("upto", F.col("upto") + F.col("before"))
-
-    def value_at(rank: Column) -> Column:
-        """Value of a rank; in small tables it may be the neighbour just outside the bracket."""
-        within = F.min(F.when(F.col("upto") > rank, v))
-        outside = F.when(rank == F.max("upto"), F.max("right")).otherwise(
-            F.raise_error(F.lit("the sketch missed a rank; raise accuracy")).cast("double"))
-        return F.when(rank >= F.col("before"), F.coalesce(within, outside)).when(
-            rank == F.col("before") - 1, F.max("left")).otherwise(
-                F.raise_error(F.lit("the sketch missed a rank; raise accuracy")).cast("double"))
-
-    pair = ranked.groupBy("probability", "position", "before").agg(
-        value_at(F.floor("position")).alias("lower"), value_at(F.ceil("position")).alias("upper"))
-    part = F.col("position") - F.floor("position")
-    return pair.select("probability", (F.col("lower") + (F.col("upper") - F.col("lower")) * part).alias("value"))
+    total = values.count()
+    positions = {float(p): float(p) * (total - 1) for p in probabilities if total}
+    at = _values_at(values, sorted({r for x in positions.values() for r in (floor(x), ceil(x))}), total, accuracy, most)
+    rows = [(p, at[floor(x)] + (at[ceil(x)] - at[floor(x)]) * (x - floor(x))) for p, x in positions.items()]
+    return df.sparkSession.createDataFrame(rows, "probability double, value double")
 
 
 def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:

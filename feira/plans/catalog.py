@@ -11,9 +11,13 @@ from feira.operators.sorting import top_k_per_group
 from feira.plans.promotions import effective_price
 
 
-def main_sellers(items: DataFrame) -> DataFrame:
+def sold_by_seller(items: DataFrame) -> DataFrame:
+    """Items per product and seller."""
+    return items.groupBy("product_id", "seller_id").agg(F.count("*").alias("n_items"))
+
+
+def main_sellers(sold: DataFrame) -> DataFrame:
     """Per product the seller with most items, ties by seller id."""
-    sold = items.groupBy("product_id", "seller_id").agg(F.count("*").alias("n_items"))
     ranked = top_k_per_group(sold, ["product_id"], [F.desc("n_items"), F.asc("seller_id")], 1)
     return ranked.select("product_id", "seller_id")
 
@@ -22,16 +26,26 @@ def product_catalog(
     products: DataFrame, categories: DataFrame, sellers: DataFrame, items: DataFrame, promotions: DataFrame,
     reviews: DataFrame, as_of: Column,
 ) -> DataFrame:
-    """One document per product with category, seller, price, promotion and rating.
+    """One document per product with category, seller, price, promotion and rating."""
+    return catalog_documents(
+        products, categories, sellers, sold_by_seller(items), promotions,
+        ratings(reviews.where(F.col("review_type") == "product"), "product_id"),
+        ratings(reviews.where(F.col("review_type") == "seller"), "seller_id"), as_of)
+
+
+def catalog_documents(
+    products: DataFrame, categories: DataFrame, sellers: DataFrame, sold: DataFrame, promotions: DataFrame,
+    by_product: DataFrame, by_seller: DataFrame, as_of: Column,
+) -> DataFrame:
+    """The catalogue from sums: items per product and seller, ratings per product and per seller.
 
     Every side is reduced to one row per product (or is a dimension) before it is joined, so
     no join multiplies rows.
     """
     prices = effective_price(products, promotions, as_of).drop("base_price")
-    by_product = ratings(reviews.where(F.col("review_type") == "product"), "product_id")
-    by_seller = ratings(reviews.where(F.col("review_type") == "seller"), "seller_id").select(
+    scores = by_seller.select(
         "seller_id", F.col("rating_avg").alias("seller_rating"), F.col("n_reviews").alias("seller_reviews"))
-    shops = sellers.join(by_seller, "seller_id", "left").select(
+    shops = sellers.join(scores, "seller_id", "left").select(
         "seller_id", F.struct(
             F.col("seller_id").alias("id"), F.col("seller_city").alias("city"), F.col("seller_state").alias("state"),
             F.col("seller_rating").alias("rating_avg"), F.coalesce("seller_reviews", F.lit(0)).alias("n_reviews"),
@@ -40,7 +54,7 @@ def product_catalog(
         "category_id", F.struct(
             F.col("category_id").alias("id"), F.col("category_name").alias("name"),
             F.col("category_name_english").alias("name_english")).alias("category"))
-    placed = main_sellers(items).join(shops, "seller_id").drop("seller_id")
+    placed = main_sellers(sold).join(shops, "seller_id").drop("seller_id")
     stars = F.create_map(*[x for s in range(1, 6) for x in (F.lit(str(s)), F.coalesce(f"score_{s}", F.lit(0)))])
     rating = F.struct(
         F.col("rating_avg").alias("avg"), F.coalesce("n_reviews", F.lit(0)).alias("count"), stars.alias("distribution"))

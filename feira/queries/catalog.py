@@ -167,7 +167,12 @@ LEFT JOIN ({rating_sql('seller_id', "review_type = 'seller'")}) sr ON s.seller_i
 
 @query("k1_product_catalog", f"SELECT * EXCLUDE (lng, lat) FROM ({CATALOG}) t")
 def k1(m):
-    return catalogue(m).select(
+    return flat_documents(catalogue(m))
+
+
+def flat_documents(documents):
+    """Documents with the columns of ``CATALOG``, without the place of the seller."""
+    return documents.select(
         "product_id", "name", F.col("category.id").alias("category_id"), F.col("category.name").alias("category_name"),
         F.col("category.name_english").alias("category_name_english"), F.col("seller.id").alias("seller_id"),
         F.col("seller.city").alias("seller_city"), F.col("seller.state").alias("seller_state"),

@@ -6,6 +6,7 @@ from feira.functions import dates
 from feira.operators import search
 from feira.queries.registry import query
 from feira.session import scratch_path
+from feira.sources import tables
 from feira.sources.domain import order_rows, order_versions, session_events
 from feira.streaming import buckets, sync
 from feira.queries.exploration import TRANSITIONS
@@ -275,13 +276,11 @@ def i8_late(m):
 @query("i9_incremental_batches", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events FROM d_event")
 def i9(m):
     """Two scheduled runs over one checkpoint: the second finds nothing new and adds nothing."""
-    from feira.sources.tables import append_batch
-
     path = scratch_path(m.spark, "runs")
     for _ in range(2):
         sync.run_available(session_events(m.stream("events")),
-                           lambda batch, n: append_batch(batch, f"{path}/log", n), f"{path}/checkpoint").awaitTermination()
-    return m.spark.read.parquet(f"{path}/log").agg(
+                           lambda batch, n: tables.append_batch(batch, f"{path}/log", n), f"{path}/checkpoint").awaitTermination()
+    return tables.read_log(m.spark, f"{path}/log").agg(
         F.count("*").alias("n_rows"), F.count_distinct("event_id").alias("n_events"))
 
 

@@ -169,7 +169,7 @@ def stored_orders(m):
 
 @query("a9_partitioned_orders", f"SELECT order_id, order_status, {BUCKET} AS order_bucket FROM d_order")
 def a9(m):
-    return m.spark.read.parquet(f"{stored_orders(m)}/live").select("order_id", "order_status", "order_bucket")
+    return tables.read_orders(m.spark, f"{stored_orders(m)}/live").select("order_id", "order_status", "order_bucket")
 
 
 @query("a10_order_buckets", f"""

@@ -1,8 +1,10 @@
-"""Parquet tables: orders partitioned by time, archives, versioned summaries, change logs."""
+"""Parquet tables: orders partitioned by time, archives, published summaries, logs of batches."""
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from feira.functions import dates
 from feira.operators.sets import latest_per_key
 from feira.operators.statistics import key_report
+from feira.sources.versions import Version, VersionedTable
 
 BUCKET = "order_bucket"
 DEFAULT_BUCKET = "order_default"
+BOUGHT = "order_purchase_timestamp"
 
 
 def order_bucket(ts: Column, as_of: Column, hot_months: int = 12) -> Column:
@@ -25,117 +29,203 @@ def order_bucket(ts: Column, as_of: Column, hot_months: int = 12) -> Column:
             .otherwise(F.format_string("order_%s", F.year(ts).cast("string"))))
 
 
-def write_orders(orders: DataFrame, path: str, as_of: Column) -> None:
+def _joined(*parts: dict[str, list[str]]) -> dict[str, list[str]]:
+    """The folders of each part, of all mappings."""
+    names = {name for p in parts for name in p}
+    return {name: [f for p in parts for f in p.get(name, [])] for name in sorted(names)}
+
+
+def _without(parts: dict[str, list[str]], folders: set[str]) -> dict[str, list[str]]:
+    """The mapping without some folders and without parts that then have none."""
+    left = {name: [f for f in held if f not in folders] for name, held in parts.items()}
+    return {name: held for name, held in left.items() if held}
+
+
+def _stage_orders(table: VersionedTable, orders: DataFrame, as_of: Column, hot_months: int) -> tuple[dict, DataFrame]:
     """Writes orders by bucket; the rebalance keeps files even where one bucket holds most rows."""
-    bucketed = orders.withColumn(BUCKET, order_bucket(F.col("order_purchase_timestamp"), as_of))
-    bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    bucketed = orders.withColumn(BUCKET, order_bucket(F.col(BOUGHT), as_of, hot_months))
+    return table.stage(bucketed, BUCKET), bucketed
+
+
+def write_orders(orders: DataFrame, path: str, as_of: Column, hot_months: int = 12) -> None:
+    """Publishes a version of the table that holds these orders, by bucket."""
+    table = VersionedTable(orders.sparkSession, path)
+    staged, rows = _stage_orders(table, orders, as_of, hot_months)
+    table.publish(lambda held: replace(held, schema=rows.schema, parts=staged))
+
 
+def add_orders(orders: DataFrame, path: str, as_of: Column, hot_months: int = 12) -> None:
+    """Publishes a version with these orders beside those that are there."""
+    table = VersionedTable(orders.sparkSession, path)
+    staged, rows = _stage_orders(table, orders, as_of, hot_months)
+    table.publish(lambda held: replace(held, schema=held.schema or rows.schema, parts=_joined(held.parts, staged)))
 
-def _buckets_between(start: datetime, end: datetime) -> list[str]:
+
+def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """All orders of the current version."""
+    return VersionedTable(spark, path).read()
+
+
+def _buckets_between(start: datetime, end: datetime) -> set[str]:
     """Every bucket that may hold an instant in [start, end), whenever the table was written."""
     months = range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
-    monthly = [f"order_{m // 12}_{m % 12 + 1:02d}" for m in months]
-    yearly = [f"order_{y}" for y in range(start.year, end.year + 1)]
-    return monthly + yearly + [DEFAULT_BUCKET]
+    monthly = {f"order_{m // 12}_{m % 12 + 1:02d}" for m in months}
+    return monthly | {f"order_{y}" for y in range(start.year, end.year + 1)} | {DEFAULT_BUCKET}
 
 
 def scan_orders(spark: SparkSession, path: str, start: datetime, end: datetime) -> DataFrame:
     """Orders bought in [start, end), reading only the partitions that can hold them."""
-    bought = F.col("order_purchase_timestamp")
+    bought, buckets = F.col(BOUGHT), _buckets_between(start, end)
     inside = (bought >= dates.instant(str(start))) & (bought < dates.instant(str(end)))
-    return spark.read.parquet(path).where(F.col(BUCKET).isin(_buckets_between(start, end)) & inside)
+    return VersionedTable(spark, path).read(parts=buckets.__contains__).where(inside)
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop path and file system of a folder, wherever it is stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
+def _month_of(bucket: str) -> tuple[int, int] | None:
+    """Numbers of the first month of a yearly or monthly partition and of the one behind it; none for the default."""
+    names = bucket.removeprefix("order_").split("_")
+    if not all(p.isdigit() for p in names):
+        return None
+    first = int(names[0]) * 12 + (int(names[1]) - 1 if len(names) > 1 else 0)
+    return first, first + (1 if len(names) > 1 else 12)
 
-def _parts(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Partition values of a table from the names of its folders."""
-    folder, files = _folder(spark, path)
-    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
-    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
 
+def _month_number(at: datetime) -> int:
+    return at.year * 12 + at.month - 1
 
-def _drop_parts(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
-    folder, files = _folder(spark, path)
-    for value in values:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{column}={value}"), True)
 
+def roll_up_orders(spark: SparkSession, path: str, as_of: datetime, hot_months: int = 12) -> list[str]:
+    """Moves months that are no longer recent into their years, and orders whose time has come out of the default.
 
-def _end_of(bucket: str) -> int | None:
-    """Number of the month behind a yearly or monthly partition; none for the default partition."""
-    parts = bucket.removeprefix("order_").split("_")
-    if not all(p.isdigit() for p in parts):
-        return None
-    return (int(parts[0]) + 1) * 12 if len(parts) == 1 else int(parts[0]) * 12 + int(parts[1])
+    Only these partitions are read. Their rows are written under the buckets they belong to now, beside the
+    folders that are there, and one version exchanges them, so readers see each order once before and after.
+    A run with nothing to move publishes nothing. Returns the partitions that were moved.
+    """
+    table, now = VersionedTable(spark, path), dates.instant(str(as_of))
+    recent = _month_number(as_of) - hot_months
+    while True:
+        held = table.current()
+        cold = [b for b in held.parts if b.count("_") == 2 and (span := _month_of(b)) and span[0] < recent]
+        waiting = table.read(held, parts=DEFAULT_BUCKET.__eq__)
+        due = waiting.where(order_bucket(F.col(BOUGHT), now, hot_months) != DEFAULT_BUCKET)
+        moved = sorted(cold + ([] if due.isEmpty() else [DEFAULT_BUCKET]))
+        if not moved:
+            return []
+        staged, _ = _stage_orders(table, table.read(held, parts=set(moved).__contains__).drop(BUCKET), now, hot_months)
+        if _exchange(table, held, moved, staged):
+            return moved
+
+
+def _exchange(table: VersionedTable, held: Version, moved: list[str], staged: dict[str, list[str]]) -> bool:
+    """Publishes the staged folders in place of those that ``moved`` had in ``held``; false if one of these is gone."""
+    old = {f for part in moved for f in held.parts[part]}
+    seen = []
+
+    def change(now: Version) -> Version | None:
+        seen[:] = [old <= now.folders()]
+        return replace(now, parts=_joined(_without(now.parts, old), staged)) if seen[0] else None
+
+    table.publish(change)
+    return seen[0]
 
 
 def archive_orders(spark: SparkSession, path: str, archive_path: str, as_of: datetime, months: int = 24) -> list[str]:
     """Moves yearly and monthly partitions that ended ``months`` ago to the archive and returns their names.
 
-    The default partition holds what has no partition of its own yet and stays live.
-
-    The copy is complete before a live partition is removed, and a repeated run overwrites the
-    same archive partitions, so an interrupted move can be run again.
+    The default partition holds what has no partition of its own yet and stays live. The archive's version
+    notes which live folders it has copied, so orders count once between its publication and that of the
+    live table, and an interrupted move can be run again. Late orders of an archived year have folders of
+    their own and stay live until the next move.
     """
-    last = as_of.year * 12 + as_of.month - 1 - months
-    old = [b for b in _parts(spark, path, BUCKET) if (end := _end_of(b)) is not None and end <= last]
+    live, archive = VersionedTable(spark, path), VersionedTable(spark, archive_path)
+    held, last = live.current(), _month_number(as_of) - months
+    old = {b: f for b, f in held.parts.items() if (span := _month_of(b)) and span[1] <= last}
     if not old:
         return []
-    (spark.read.parquet(path).where(F.col(BUCKET).isin(old)).hint("rebalance", BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(archive_path))
-    _drop_parts(spark, path, BUCKET, old)
+    wanted, copied = {f for folders in old.values() for f in folders}, set(archive.current().notes.get("copied", []))
+    if fresh := wanted - copied:
+        rows = live.read(held, parts=old.__contains__, without=copied)
+        staged = archive.stage(rows, BUCKET)
+
+        def add(now: Version) -> Version | None:
+            if fresh & set(now.notes.get("copied", [])):  # another move was faster
+                return None
+            return replace(now, schema=now.schema or rows.schema, parts=_joined(now.parts, staged),
+                           notes={**now.notes, "copied": sorted({*now.notes.get("copied", []), *fresh})})
+
+        archive.publish(add)
+    done = wanted & set(archive.current().notes["copied"])
+    live.publish(lambda now: replace(now, parts=_without(now.parts, done)) if done & now.folders() else None)
     return sorted(old)
 
 
 def read_with_archive(spark: SparkSession, path: str, archive_path: str) -> DataFrame:
-    """Live and archived orders; a partition found in both counts once."""
-    live = spark.read.parquet(path)
-    archived = _parts(spark, archive_path, BUCKET)
-    if not archived:
-        return live
-    return live.where(~F.col(BUCKET).isin(archived)).unionByName(spark.read.parquet(archive_path))
+    """Live and archived orders, each once. The live version is settled first: what leaves it later is still read there."""
+    live, archive = VersionedTable(spark, path), VersionedTable(spark, archive_path)
+    held, stored = live.current(), archive.current()
+    rows = live.read(held, without=set(stored.notes.get("copied", [])))
+    return rows.unionByName(archive.read(stored)) if stored.parts else rows
 
 
-def refresh_summary(df: DataFrame, path: str, key: list[str]) -> str:
-    """Publishes a new version of a summary table while readers stay on the old one.
+def refresh_summary(df: DataFrame, path: str, key: list[str]) -> int:
+    """Publishes a new version of a summary table while readers stay on the old one; returns its number.
 
-    The rows go to a folder of their own; a line in the log makes them current once the key
-    has proved unique. Returns the folder's name.
+    The rows go to a folder of their own and become current once the key has proved unique.
     """
-    spark, folder = df.sparkSession, uuid.uuid4().hex
-    df.write.parquet(f"{path}/versions/{folder}")
-    report = key_report(spark.read.parquet(f"{path}/versions/{folder}"), key).first()
+    table = VersionedTable(df.sparkSession, path)
+    staged = table.stage(df)
+    report = key_report(table.read(Version(schema=df.schema, parts=staged)), key).first()
     if report["n_duplicate"]:
         raise ValueError(f"{report['n_duplicate']} surplus rows for key {key}; the old version stays current")
-    line = spark.range(1).select(
-        F.unix_micros(F.current_timestamp()).alias("committed_at"), F.lit(folder).alias("folder"),
-        F.lit(report["n_rows"]).alias("n_rows"))
-    line.write.mode("append").parquet(f"{path}/log")
-    return folder
+    return table.publish(lambda held: replace(held, schema=df.schema, parts=staged)).number
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the current version."""
-    newest = spark.read.parquet(f"{path}/log").agg(F.max_by("folder", "committed_at").alias("folder")).first()
-    return spark.read.parquet(f"{path}/versions/{newest['folder']}")
+    return VersionedTable(spark, path).read()
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Deletes what only versions before the newest ``keep`` named, of any table here. Readers older than these fail."""
+    return VersionedTable(spark, path).vacuum(keep)
+
+
+def _writer(name: str) -> str:
+    """A batch is known by its writer's checkpoint and its number: another checkpoint counts from zero again."""
+    return hashlib.sha1(name.encode()).hexdigest()[:12]
+
+
+MERGED = "merged"
+
+
+def append_batch(batch: DataFrame, path: str, batch_id: int, writer: str = "", by: str | None = None) -> None:
+    """Adds a batch to a log; running the same batch again replaces it instead of adding it twice.
+
+    A batch that :func:`merge_log` has taken in already is left as it is there. With ``by`` the batch has a
+    folder per value of that column, which :func:`read_log` can choose from.
+    """
+    rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    table, who = VersionedTable(batch.sparkSession, path), _writer(writer)
+    part = f"{who}#{batch_id}"
+
+    def done(held: Version) -> bool:
+        return who in held.notes.get(MERGED, {}) and batch_id <= held.notes[MERGED][who]
 
+    def change(held: Version) -> Version | None:
+        left = {p: f for p, f in held.parts.items() if p.split("/")[0] != part}
+        return None if done(held) else replace(held, schema=held.schema or rows.schema, parts=left | added)
 
-def append_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Adds a batch to a log; running the same batch again replaces it instead of adding it twice."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    if not done(table.current()):
+        added = {f"{part}/{value}": folders for value, folders in table.stage(rows, by).items()}
+        table.publish(change)
 
 
 def has_batches(spark: SparkSession, path: str) -> bool:
-    return bool(_parts(spark, path, "batch_id"))
+    return VersionedTable(spark, path).current().schema is not None
 
 
-def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+def read_log(spark: SparkSession, path: str, values: set[str] | None = None) -> DataFrame:
+    """Rows of all batches, with ``batch_id``; of a log with folders by a column, those with some of its values."""
+    return VersionedTable(spark, path).read(parts=lambda part: values is None or part.split("/")[1] in values)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -143,14 +233,31 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str
     return latest_per_key(read_log(spark, path).drop("batch_id"), keys, order)
 
 
-def compact_log(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> None:
-    """Replaces the batches of a log by one with the newest version per key.
+def merge_log(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], by: str | None = None) -> int:
+    """Replaces the finished batches of a log by one, which ``merge`` makes of their rows; returns how many it took in.
 
-    The new batch is complete before the old ones go, and reading drops older versions anyway,
-    so an interruption in between changes nothing. Its id is negative: streams count upwards
-    from zero and never overwrite it.
+    ``merge`` gets the rows with ``batch_id`` and returns the other columns; the merged rows carry the last number.
+    A stream may go on meanwhile: batches that come in later stay beside the merged one, and if one that was read
+    is replaced, the merge starts anew. With ``by`` the merged rows have a folder per value of that column.
     """
-    old = _parts(spark, path, "batch_id")
-    newest = read_latest(spark, path, keys, order)
-    append_batch(newest, path, min(0, *map(int, old)) - 1)
-    _drop_parts(spark, path, "batch_id", old)
+    table = VersionedTable(spark, path)
+    while True:
+        held = table.current()
+        taken = sorted({p.split("/")[0] for p in held.parts} - {MERGED})
+        if not taken:
+            return 0
+        last: dict[str, int] = dict(held.notes.get(MERGED, {}))
+        for who, number in (p.split("#") for p in taken):
+            last[who] = max(last.get(who, -1), int(number))
+        merged = merge(table.read(held)).withColumn("batch_id", F.lit(max(last.values())).cast("long"))
+        staged = {f"{MERGED}/{value}": f for value, f in table.stage(merged.select(*held.schema.names), by).items()}
+        seen = []
+
+        def change(now: Version) -> Version | None:
+            seen[:] = [all(now.parts.get(p) == f for p, f in held.parts.items())]
+            left = {p: f for p, f in now.parts.items() if p not in held.parts}
+            return replace(now, parts=left | staged, notes={**now.notes, MERGED: last}) if seen[0] else None
+
+        table.publish(change)
+        if seen[0]:
+            return len(taken)

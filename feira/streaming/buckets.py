@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feira.functions import dates
-from feira.sources.tables import append_batch
+from feira.sources.tables import append_batch, merge_log, read_log
 
 EVENT_DAYS = 180
 SESSION_DAYS = 30
@@ -53,7 +53,16 @@ def stream_bucket_facts(stream: DataFrame, path: str, checkpoint: str) -> Stream
 
 def read_bucket_facts(spark: SparkSession, path: str) -> DataFrame:
     """Facts of every bucket over all batches of the log."""
-    return spark.read.parquet(path).groupBy(*BUCKET_KEYS).agg(
+    return _merged_facts(read_log(spark, path))
+
+
+def compact_bucket_facts(spark: SparkSession, path: str) -> int:
+    """Adds up the batches of a log of facts to one; a stream may go on meanwhile."""
+    return merge_log(spark, path, _merged_facts)
+
+
+def _merged_facts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*BUCKET_KEYS).agg(
         F.sum("event_count").alias("event_count"), F.min("first_event_at").alias("first_event_at"),
         F.max("last_event_at").alias("last_event_at"),
         F.timestamp_diff("SECOND", F.min("first_event_at"), F.max("last_event_at")).alias("duration_seconds"),
@@ -62,7 +71,7 @@ def read_bucket_facts(spark: SparkSession, path: str) -> DataFrame:
 
 def _add_batches(stream: DataFrame, work, path: str, checkpoint: str) -> StreamingQuery:
     def add(batch: DataFrame, batch_id: int) -> None:
-        append_batch(work(batch), path, batch_id)
+        append_batch(work(batch), path, batch_id, checkpoint)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -74,7 +83,12 @@ def stream_buckets(stream: DataFrame, path: str, checkpoint: str, slot_minutes:
 
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     """Documents of a bucket log: one row per session, hour, slot and batch."""
-    return spark.read.parquet(path)
+    return read_log(spark, path).drop("batch_id")
+
+
+def compact_buckets(spark: SparkSession, path: str, slot_minutes: int = 60) -> int:
+    """Merges the batches of a bucket log to one document per session, hour and slot."""
+    return merge_log(spark, path, lambda rows: merge_buckets(rows, slot_minutes))
 
 
 def merge_buckets(documents: DataFrame, slot_minutes: int = 60) -> DataFrame:
@@ -130,11 +144,19 @@ def stream_sessions(stream: DataFrame, path: str, checkpoint: str, gap_minutes:
 
 def read_sessions(spark: SparkSession, path: str, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Sessions over all batches of a slot log."""
-    slots = spark.read.parquet(path).groupBy("session_id", "slot").agg(
+    return _sessions_of(_merged_slots(read_log(spark, path)), gap_minutes)
+
+
+def compact_sessions(spark: SparkSession, path: str) -> int:
+    """Adds up the batches of a slot log to one; a stream may go on meanwhile."""
+    return merge_log(spark, path, _merged_slots)
+
+
+def _merged_slots(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("session_id", "slot").agg(
         F.min("customer_unique_id").alias("customer_unique_id"), F.min("first_at").alias("first_at"),
         F.max("last_at").alias("last_at"), F.sum("n_events").alias("n_events"),
         *[F.sum(name).alias(name) for name in KINDS.values()])
-    return _sessions_of(slots, gap_minutes)
 
 
 def cart_lines(events: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feira.functions import dates
-from feira.operators.aggregates import merge_ratings, rating_parts
+from feira.operators.aggregates import add_rating_parts, merge_ratings, rating_parts
 from feira.operators.sets import latest_per_key
 from feira.operators.timelines import with_previous_status
-from feira.sources.tables import append_batch, compact_log, has_batches, read_latest
+from feira.sources.tables import append_batch, has_batches, merge_log, read_latest, read_log
 
 CATALOG_KEYS, CATALOG_ORDER = ["product_id"], ["source_updated_at"]
 LOG_SCHEMA = ("order_id string, order_purchase_timestamp timestamp_ntz, from_status string, to_status string,"
@@ -33,12 +33,18 @@ def append_events(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 def stream_ratings(reviews: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
     """Adds what the reviews since the last run mean for each key; a batch run again replaces its part."""
-    return run_available(reviews, lambda batch, batch_id: append_batch(rating_parts(batch, key), path, batch_id), checkpoint)
+    return run_available(
+        reviews, lambda batch, batch_id: append_batch(rating_parts(batch, key), path, batch_id, checkpoint), checkpoint)
 
 
 def read_ratings(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Ratings over all batches."""
-    return merge_ratings(spark.read.parquet(path), key)
+    return merge_ratings(read_log(spark, path), key)
+
+
+def compact_ratings(spark: SparkSession, path: str, key: str) -> int:
+    """Adds up the batches of a rating log to one."""
+    return merge_log(spark, path, lambda rows: add_rating_parts(rows, key))
 
 
 def newer_only(batch: DataFrame, target: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -57,7 +63,7 @@ def sync_catalog(changes: DataFrame, path: str, checkpoint: str) -> StreamingQue
     retries never put an older document over a newer one.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        append_batch(latest_per_key(batch, CATALOG_KEYS, CATALOG_ORDER), path, batch_id)
+        append_batch(latest_per_key(batch, CATALOG_KEYS, CATALOG_ORDER), path, batch_id, checkpoint)
 
     return run_available(changes, apply, checkpoint)
 
@@ -66,9 +72,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return read_latest(spark, path, CATALOG_KEYS, CATALOG_ORDER)
 
 
-def compact_catalog(spark: SparkSession, path: str) -> None:
-    """Merges the batches of the catalogue; run it between runs of the stream."""
-    compact_log(spark, path, CATALOG_KEYS, CATALOG_ORDER)
+def compact_catalog(spark: SparkSession, path: str) -> int:
+    """Merges the batches of the catalogue to the newest document per product; a stream may go on meanwhile."""
+    return merge_log(spark, path, lambda rows: latest_per_key(rows.drop("batch_id"), CATALOG_KEYS, CATALOG_ORDER))
 
 
 def with_dead_letter(batch: DataFrame, rules: dict[str, Column], max_retries: int = 3) -> DataFrame:
@@ -134,22 +140,26 @@ def log_status_changes(versions: DataFrame, path: str, checkpoint: str) -> Strea
         columns = ["order_id", "order_purchase_timestamp", "order_status", "changed_at", "step"]
         batch = batch.select(*columns, month.alias("order_month"))
         months = [r[0] for r in batch.select("order_month").distinct().collect()]
-        before = _log(spark, path).where(F.col("order_month").isin(months) & (F.col("batch_id") < batch_id))
+        before = _log(spark, path, {str(month) for month in months}).where(F.col("batch_id") < batch_id)
         known = _newest(before).join(batch.select("order_id").distinct(), "order_id", "left_semi").select(
             "order_id", "order_purchase_timestamp", F.col("to_status").alias("order_status"), "changed_at", "step")
         linked = with_previous_status(known.unionByName(batch.select(*columns)).distinct())
         log = linked.select("order_id", "order_purchase_timestamp", "from_status", F.col("order_status").alias("to_status"),
                             "changed_at", "step", month.alias("order_month"))
-        (log.hint("rebalance", "order_month").write.mode("overwrite").partitionBy("order_month")
-         .parquet(f"{path}/batch_id={batch_id}"))
+        append_batch(log, path, batch_id, checkpoint, "order_month")
 
     return run_available(versions, add, checkpoint)
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
+def compact_status_log(spark: SparkSession, path: str) -> int:
+    """Keeps the newest history of each order in one batch, by purchase month."""
+    return merge_log(spark, path, lambda rows: _newest(rows).drop("batch_id"), "order_month")
+
+
+def _log(spark: SparkSession, path: str, months: set[str] | None = None) -> DataFrame:
     if not has_batches(spark, path):
         return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    return read_log(spark, path, months)
 
 
 def _newest(log: DataFrame) -> DataFrame:

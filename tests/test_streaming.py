@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feira.functions import dates
 from feira.operators.timelines import status_transitions
+from feira.sources import tables
 from feira.streaming import buckets, sync
 
 
@@ -43,9 +44,9 @@ def test_catalog_keeps_the_newest_whatever_the_order(spark, tmp_path):
     feed.add(("p1", 6.0, "2024-01-06T00:00:00"))
     sync.sync_catalog(feed.stream(), path, checkpoint).awaitTermination()
     assert rows(sync.read_catalog(spark, path), "product_id", "price") == [("p1", 6.0), ("p2", 2.0)]
-    sync.compact_catalog(spark, path)
-    sync.compact_catalog(spark, path)
-    assert len([f for f in (tmp_path / "log").iterdir() if f.name.startswith("batch_id")]) == 1
+    assert sync.compact_catalog(spark, path) == 3 and sync.compact_catalog(spark, path) == 0
+    tables.vacuum(spark, path, keep=1)
+    assert len(list((tmp_path / "log" / "data").iterdir())) == 1
     assert rows(sync.read_catalog(spark, path), "product_id", "price") == [("p1", 6.0), ("p2", 2.0)]
     # The same changes once more, as a restarted job without its checkpoint would send them.
     sync.sync_catalog(feed.stream(), path, str(tmp_path / "again")).awaitTermination()
@@ -84,6 +85,11 @@ def test_status_log_over_several_batches(spark, tmp_path):
     batch = spark.read.schema(SCHEMA).json(str(tmp_path / "in")).dropDuplicates()
     assert got == rows(status_transitions(batch), "order_id", "to_status", "from_status")
     assert ("o1", "shipped", "approved") in got and len(got) == 6
+    assert sync.compact_status_log(spark, path) == 3
+    assert rows(sync.read_status_log(spark, path), "order_id", "to_status", "from_status") == got
+    feed.add(version("o2", "delivered", 9))
+    sync.log_status_changes(feed.stream(), path, str(tmp_path / "checkpoint")).awaitTermination()
+    assert ("o2", "delivered", "approved") in rows(sync.read_status_log(spark, path), "order_id", "to_status", "from_status")
 
 
 EVENTS = "event_id long, session_id string, customer_unique_id string, type string, ts timestamp_ntz, value double, props string"
@@ -101,7 +107,10 @@ def test_late_events_still_land_in_their_bucket(spark, tmp_path):
     path = str(tmp_path / "log")
     buckets.stream_buckets(feed.stream(), path, str(tmp_path / "checkpoint")).awaitTermination()
     merged = buckets.merge_buckets(buckets.read_buckets(spark, path))
-    assert sorted((d.event_count, [e.event_id for e in d.events]) for d in merged.collect()) == [(1, [3]), (3, [1, 2, 4])]
+    want = [(1, [3]), (3, [1, 2, 4])]
+    assert sorted((d.event_count, [e.event_id for e in d.events]) for d in merged.collect()) == want
+    assert buckets.compact_buckets(spark, path) == 3
+    assert sorted((d.event_count, [e.event_id for e in d.events]) for d in buckets.read_buckets(spark, path).collect()) == want
 
 
 @pytest.mark.parametrize("kind", ["facts", "sessions"])
@@ -113,16 +122,27 @@ def test_streams_equal_the_batch_however_late_events_are(spark, tmp_path, kind):
         feed.add(*data[at:at + 40][::2])
     for at in (0, 80, 40):
         feed.add(*data[at:at + 40][1::2])
-    add, read, batch, columns = {
-        "facts": (buckets.stream_bucket_facts, buckets.read_bucket_facts, buckets.bucket_facts,
+    add, read, batch, merge, columns = {
+        "facts": (buckets.stream_bucket_facts, buckets.read_bucket_facts, buckets.bucket_facts, buckets.compact_bucket_facts,
                   ("session_id", "bucket_hour", "event_count", "duration_seconds")),
-        "sessions": (buckets.stream_sessions, buckets.read_sessions, buckets.sessions,
+        "sessions": (buckets.stream_sessions, buckets.read_sessions, buckets.sessions, buckets.compact_sessions,
                      ("session_id", "started_at", "last_activity_at", "n_events", "searches")),
     }[kind]
     out = str(tmp_path / "out")
+
+    def agrees():
+        whole = spark.read.schema(EVENTS).json(str(tmp_path / "in"))
+        assert rows(read(spark, out), *columns) == rows(batch(whole), *columns)
+
+    add(feed.stream(), out, str(tmp_path / "checkpoint")).awaitTermination()
+    agrees()
+    assert merge(spark, out) == 7
+    agrees()
+    feed.add(event(1000, 59, "s1", 4), event(1001, 1, "new", 5))
     add(feed.stream(), out, str(tmp_path / "checkpoint")).awaitTermination()
-    whole = spark.read.schema(EVENTS).json(str(tmp_path / "in"))
-    assert rows(read(spark, out), *columns) == rows(batch(whole), *columns)
+    agrees()
+    assert merge(spark, out) == 1
+    agrees()
 
 
 def test_late_versions_change_the_log(spark, tmp_path):
