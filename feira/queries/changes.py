@@ -61,14 +61,14 @@ def change_turns(m) -> list[DataFrame]:
     return [*turns, propagation.clock(m.spark, AS_OF)]
 
 
-def maintained(m, compact_after: int | None = None) -> str:
-    """Applies the turns, each as one batch of a stream, and returns the path of the catalogue."""
+def maintained(m) -> str:
+    """Applies the turns, each as one batch of a stream, merges all logs on the way, and returns the path of the catalogue."""
     path = scratch_path(m.spark, "feed")
     for k, turn in enumerate(change_turns(m)):
         turn.write.mode("append").parquet(f"{path}/in")
         stream = m.spark.readStream.schema(propagation.CHANGES).parquet(f"{path}/in")
         propagation.maintain_catalog(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-        if k == compact_after:
+        if k == 2:
             propagation.compact_feed(m.spark, f"{path}/out")
     return f"{path}/out"
 
@@ -77,9 +77,3 @@ def maintained(m, compact_after: int | None = None) -> str:
 def i5_propagated(m):
     """The catalogue after changes of all tables it depends on; equal to the one projected from scratch."""
     return flat_documents(propagation.read_maintained(m.spark, maintained(m)))
-
-
-@query("i5_compacted_catalog", f"SELECT * EXCLUDE (lng, lat) FROM ({CATALOG}) t")
-def i5_compacted(m):
-    """The same, with all logs merged between two batches."""
-    return flat_documents(propagation.read_maintained(m.spark, maintained(m, compact_after=2)))

