@@ -7,8 +7,8 @@ without a label, and the ``PICKS`` it is surest of, per class, become training r
 the end each view is calibrated on labelled rows that neither was fitted on, the calibrated views are
 combined there by a logistic regression of two weights, and every document is scored.
 
-Bounds: ``MAX_LABELLED`` labelled rows, and 4 * PICKS pseudo-labels per round. Null texts and metadata have
-empty features. A document with several labels has the highest. Rows that repeat a document are scored each.
+Bounds: ``MAX_LABELLED`` labelled rows, half of them per label, and 4 * PICKS pseudo-labels per round. Null texts
+and metadata have empty features. Labels other than 0 and 1 are ignored. A document with several labels has the highest. Rows that repeat a document are scored each.
 Labels without a document teach nothing. Without labels of both classes every score is 0.5.
 """
 
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches, parts_for, tidy, utf8
+from feira.llm.shared import bounded_batches, tidy, utf8
 
 ROUNDS = 3
 PICKS = 300
@@ -125,28 +125,42 @@ def _scored(views: DataFrame, score) -> DataFrame:
     return views.mapInArrow(tidy(each), schema)
 
 
+def _sample(views: DataFrame, known: DataFrame, most: int) -> pa.Table:
+    """(key, a, b, label, aside) of at most ``most`` labelled rows, half of them per label, by a hash of key and views.
+
+    Keys are drawn first, then rows by their hashes, and both are broadcast; equal rows count once. So neither a
+    key with very many rows nor a frequent label crowds out the other label.
+    """
+    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
+    drawn = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most // 2).drop("nth")
+    aside = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(5)) == 0
+    rows = views.join(F.broadcast(drawn), "key").withColumns({"aside": aside, "hash": F.xxhash64("key", "a", "b")})
+    limit = F.when(F.col("aside"), most // 10).otherwise(most // 2 - most // 10)
+    chosen = rows.select("label", "aside", "hash").distinct().withColumn(
+        "nth", F.row_number().over(Window.partitionBy("label", "aside").orderBy("hash"))).where(F.col("nth") <= limit).select("hash")
+    found = rows.join(F.broadcast(chosen), "hash", "left_semi").select("key", "a", "b", "label", "aside")
+    return found.dropDuplicates(["key", "a", "b"]).orderBy("key", "a", "b").toArrow()
+
+
 def learn(views: DataFrame, labels: DataFrame, rounds: int = ROUNDS, picks: int = PICKS, max_labelled: int = MAX_LABELLED):
     """The function (a, b) -> (text chance, metadata chance, combined chance), or None without both classes."""
-    known = labels.where("label IS NOT NULL AND key IS NOT NULL").groupBy("key").agg(F.max("label").alias("label"))
-    share = parts_for(known.count(), max_labelled // 2)
-    sample = known.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0).limit(max_labelled)
-    rows = views.join(sample, "key").select("key", "a", "b", "label", (F.pmod(F.xxhash64("key", F.lit(1)), F.lit(5)) == 0).alias("aside")).orderBy(
-        "key", "a").limit(max_labelled).toArrow()
+    known = labels.where("label IN (0, 1) AND key IS NOT NULL").groupBy("key").agg(F.max("label").alias("label"))
+    rows = _sample(views, known, max_labelled)
     y, aside = rows.column("label").to_numpy().astype(np.float64), rows.column("aside").to_numpy().astype(bool)
     if len(set(y[~aside])) < 2 or len(set(y[aside])) < 2:
         return None
     a, b = _stack(rows.column("a")), _stack(rows.column("b"))
     train = {"a": [(a[~aside], y[~aside])], "b": [(b[~aside], y[~aside])]}
-    pool = views.join(known, "key", "left_anti").where("key IS NOT NULL")
-    taken: list = []
+    named, taken = views.where("key IS NOT NULL"), []
     for turn in range(rounds + 1):
         w = {v: fit_logistic(np.concatenate([x for x, _ in own]), np.concatenate([z for _, z in own])) for v, own in train.items()}
         if turn == rounds:
             break
         wa, wb = w["a"], w["b"]
-        scored = _scored(pool, lambda x, z, wa=wa, wb=wb: (logit(x, wa), logit(z, wb), np.zeros(len(x))))
+        # Only keys and scores meet the labels; the views themselves are never shuffled.
+        scored = _scored(named, lambda x, z, wa=wa, wb=wb: (logit(x, wa), logit(z, wb), np.zeros(len(x)))).drop("score").join(known, "key", "left_anti")
         if taken:  # at most 4 * picks per round
-            used = pool.sparkSession.createDataFrame([(k,) for k in taken], views.select("key").schema)
+            used = views.sparkSession.createDataFrame([(k,) for k in taken], views.select("key").schema)
             scored = scored.join(F.broadcast(used), "key", "left_anti")
         scored = written(scored, "scores")
         for view, other in (("text_score", "b"), ("meta_score", "a")):
