@@ -6,7 +6,7 @@
    common with that of any similar set. Shingles that are frequent in a sample come last in that order;
    the sample only moves work, never results. Sets that share fewer with all others take no further part.
    Of the whole sets that are left, those with too few shingles in others of them also go.
-3. Sets with the same first shared shingle form a group, large ones several blocks of bounded size with
+3. Sets with the same first shared shingle and about the same size form a group, large ones several blocks of bounded size with
    some common members (hubs). Within a block all sets are compared; each gets the label of its connected
    part, and parts that hold the same hub share one label.
 4. A set then queries the blocks of other labels. The matrix of shingles and blocks tells which blocks
@@ -29,6 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -140,6 +141,24 @@ def _sets(docs: DataFrame, text: str, words: int, frequent) -> DataFrame:
     return docs.select(*others, utf8(text).alias("__bytes")).mapInArrow(tidy(each), schema)
 
 
+def _unseen(column, seen: set[int]) -> pa.Array:
+    """Whether each value is new to this task, as far as a bounded memory tells."""
+    if len(seen) > 500_000:
+        seen.clear()
+    out = []
+    for value in column.to_pylist():
+        out.append(value not in seen)
+        seen.add(value)
+    return pa.array(out, pa.bool_())
+
+
+def _each_text_once(batches):
+    """Rows (text_hash, text), those of equal texts once per task: copies come down before they are shuffled."""
+    seen: set[int] = set()
+    for batch in batches:
+        yield batch.filter(_unseen(batch.column(0), seen))
+
+
 def _prefix_tokens(batches):
     """(token, sig) of every set, once per task."""
     seen = set()
@@ -300,6 +319,7 @@ def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK
     """Per row of ``docs`` (key, text, others): its columns but the text, number of shingles n, and component."""
     spark = docs.sparkSession
     bounded_batches(spark)
+    docs = docs.withColumn("text_hash", F.xxhash64(utf8("text")))
     frequent = spark.sparkContext.broadcast(_frequent(docs, "text", words))
     sets = written(_sets(docs, "text", words, frequent), "sets")
     tokens = sets.select("sig", "prefix").mapInArrow(tidy(_prefix_tokens), "token long, sig long")
@@ -308,37 +328,43 @@ def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK
 
     # Of two similar sets the rarest common shingle has as many common ones behind it as the bound asks for,
     # so the most frequent of a set need not be looked up.
-    classes = sets.groupBy("sig").agg(F.min("key").alias("key"), F.first("n").alias("n"))
+    # A class of equal sets is known by one of its texts, not by an id: many rows may share an id or have none.
+    classes = sets.groupBy("sig").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"))
     own = Window.partitionBy("sig")
     bound = F.expr(f"((({SIMILAR} * n + 99) div 100) + {DEPTH - 1}) div {DEPTH}")
     posted = written(postings.withColumns({
         "met": F.count("*").over(own), "grp": F.min("token").over(own),
         "nth": F.row_number().over(own.orderBy("met_by", "token"))}).join(classes, "sig").where(
-        (F.col("met") >= bound) & (F.col("nth") <= F.col("met") - bound + 1)).select("sig", "token", "grp", "key", "n"), "posted")
+        (F.col("met") >= bound) & (F.col("nth") <= F.col("met") - bound + 1)).select("sig", "token", "grp", "text_hash", "n"), "posted")
 
     # The whole sets of those that are left: of each, the share needed must lie in others of them.
-    wanted = posted.groupBy("sig").agg(*(F.first(c).alias(c) for c in ("grp", "key", "n")))
-    packed = docs.select("key", utf8("text").alias("t")).mapInArrow(tidy(packed_bytes), docs.select("key").schema.add("packed", "binary"))
-    named = wanted.select(F.col("key").alias("k"), "sig", "grp", "n")
+    wanted = posted.groupBy("sig").agg(*(F.first(c).alias(c) for c in ("grp", "text_hash", "n")))
+    packed = docs.select("text_hash", utf8("text").alias("t")).mapInArrow(tidy(_each_text_once), "text_hash long, t binary").mapInArrow(
+        tidy(packed_bytes), "text_hash long, packed binary")
 
     def full_sets(batches):
-        hashes, unpacker = _WordHashes(), zstandard.ZstdDecompressor()
+        hashes, unpacker, seen = _WordHashes(), zstandard.ZstdDecompressor(), set()
         for batch in batches:
+            new = _unseen(batch.column(0), seen)
+            batch = batch.filter(new)
             x = [shingle_set(unpacker.decompress(t), hashes, words, frequent.value) for t in batch.column(1).to_pylist()]
             made = pa.array([xxhash.xxh3_64_intdigest(v.tobytes()) - (1 << 63) for v in x], pa.int64())
-            fits = pa.compute.equal(made, batch.column(0))
+            fits = pc.equal(made, batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [made, pa.array([v.tobytes() for v in x], pa.binary()), batch.column(2), batch.column(3)],
                 names=["sig", "tokens", "grp", "n"]).filter(fits)
 
-    full = written(packed.join(named, packed["key"].eqNullSafe(named["k"])).select("sig", "packed", "grp", "n")
+    full = written(packed.join(wanted, "text_hash").select("sig", "packed", "grp", "n")
                    .mapInArrow(tidy(full_sets), "sig long, tokens binary, grp long, n long"), "full")
     lively = full.select("sig", "tokens").mapInArrow(tidy(_prefix_tokens), "token long, sig long").repartition("token").sortWithinPartitions(
         "token", "sig").mapInArrow(tidy(_shared_only), "token long, sig long, met_by int").groupBy("sig").agg(F.count("*").alias("met"))
     left = written(full.select("sig", "grp", "n").distinct().join(lively, "sig").where(
         F.col("met") >= F.expr(f"({SIMILAR} * n + 99) div 100")).drop("met"), "left")
 
-    # Groups by the first shared shingle, in blocks; each block of a large group also gets its hubs.
+    # Groups by the first shared shingle and the size of the set, so that a query opens blocks of fitting size only,
+    # in blocks; each block of a large group also gets its hubs.
+    step = F.floor(F.log(F.col("n")) / float(np.log(100 / SIMILAR)))
+    left = left.withColumn("grp", F.xxhash64("grp", step))
     sizes = left.groupBy("grp").agg(
         F.count("*").alias("members"), F.sum("n").alias("weight"),
         F.array_compact(F.array(*(F.min(F.when(F.pmod("sig", F.lit(HUBS)) == k, F.col("sig"))) for k in range(HUBS)))).alias("hubs"))
@@ -392,7 +418,7 @@ def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK
     roots = components(links)
     final = labels.join(roots, labels["label"] == roots["key"], "left").select(
         labels["sig"], F.coalesce("root", "label").alias("component"))
-    return sets.drop("prefix").join(final, "sig", "left").withColumn("component", F.coalesce("component", "sig")).drop("sig")
+    return sets.drop("prefix", "text_hash").join(final, "sig", "left").withColumn("component", F.coalesce("component", "sig")).drop("sig")
 
 
 def join_components(docs: DataFrame) -> DataFrame:

@@ -208,3 +208,18 @@ def test_shared_shingles_stream_through_batches(monkeypatch, width):
     got = [tuple(r.values()) for b in group_matrix_join._shared_only(iter(batches)) for r in b.to_pylist()]
     sizes = {t: len({s for u, s in rows if u == t}) for t, _ in rows}
     assert got == [(t, s, min(sizes[t], 4)) for t, s in sorted(set(rows)) if sizes[t] > 1]
+
+
+@pytest.mark.parametrize("shared", [None, 5])
+def test_near_copies_that_share_an_id(spark, shared):
+    """A third of the rows have one id, or none: they are told apart by their texts."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(40):
+        words = cases.sentence(rng, 60).split()
+        for j in range(3):
+            words[rng.randrange(60)] = f"w{j}"
+            rows.append((shared if j == 2 else 10 * k + j, " ".join(words)))
+    rows += [rows[2]] * 30
+    found = group_matrix_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), block_sets=8)
+    assert got(found.select("key", "n_shingles", "component_id")) == sorted(cases.similar_components(rows), key=cases.sort_key)
