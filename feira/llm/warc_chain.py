@@ -20,6 +20,7 @@ file has to be whole, as those that were just written. An empty table makes no r
 from __future__ import annotations
 
 import re
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import zstandard
@@ -69,8 +70,9 @@ def _unpacked(batches):
         yield pa.RecordBatch.from_arrays([*columns, payload], names=[*batch.schema.names[:-1], "payload"])
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """One WARC record per row of ``plan_records``, in files of bounded size."""
+def write_archives(records: DataFrame, path: str, at: datetime | None = None) -> None:
+    """One WARC record per row of ``plan_records``, in files of bounded size, dated ``at``, by default now."""
+    date = (at or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     revisit = F.col("refers_to").isNotNull()
 
     def urn(column):
@@ -79,7 +81,7 @@ def write_archives(records: DataFrame, path: str) -> None:
     header = F.concat(
         F.lit(MAGIC.decode()), F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit("\r\nWARC-Record-ID: "), urn(F.col("key")),
-        F.lit("\r\nWARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", ""),
+        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", ""),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.lit("\r\nWARC-Payload-Length: "), F.col("size").cast("string"),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {_PROFILE}\r\nWARC-Refers-To: "), urn(F.col("refers_to")))).otherwise(""),

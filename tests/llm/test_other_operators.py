@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from datetime import date
 
 import numpy as np
@@ -50,6 +51,7 @@ def test_archives_round_trip(spark, range_bytes):
     want = sorted((f"<urn:page:{w[0]}>", (h or "").encode()) for w in wanted_records(rows) if w[3] == "response"
                   for h in {h or "" for p, _, h in rows if p == w[0] and hashlib.sha1((h or "").encode()).hexdigest() == w[2]})
     assert bodies == want and len(back) == len(rows)
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", r.header["warc-date"]) for r in back)
 
 
 def test_pages_to_records(spark):
