@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import cache
 from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
@@ -96,3 +98,29 @@ def term_share(text: Column, terms: list[str]) -> Column:
     hits = F.regexp_count(F.lower(text), F.lit(word_pattern(terms))).cast("double")
     words = F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+")).cast("double")
     return F.when(words > 0, hits / words).otherwise(F.lit(0.0))
+
+
+WORD = r"[\p{L}\p{M}\p{N}]"
+
+
+def folded_words(text: str) -> list[str]:
+    """The words of a search text in lower case and without accents."""
+    plain = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(c))
+    return re.findall(r"[^\W_]+", plain)
+
+
+@cache
+def _accented() -> dict[str, str]:
+    """Latin letters by the letter they have without accents, as Unicode decomposes them."""
+    found: dict[str, str] = {}
+    for letter in map(chr, range(0xC0, 0x250)):
+        base, *marks = unicodedata.normalize("NFD", letter)
+        if marks and all(unicodedata.combining(m) for m in marks) and letter == letter.lower():
+            found[base] = found.get(base, "") + letter
+    return found
+
+
+def folded_pattern(word: str) -> str:
+    """Regular expression for a whole word in lower case, with any accents, composed or not."""
+    letters = "".join(f"[{c}{_accented().get(c, '')}]\\p{{M}}*" for c in word)
+    return rf"(?<!{WORD}){letters}(?!{WORD})"

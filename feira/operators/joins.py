@@ -6,9 +6,12 @@ or its size measured at run time, stay below the threshold, and splits hot keys
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feira.functions import geo
+from feira.session import stored
 
 ORDER_KEYS = ["order_id", "order_purchase_timestamp"]
 
@@ -66,23 +69,57 @@ def orphan_reviews(reviews: DataFrame, orders: DataFrame, products: DataFrame) -
 
 
 def category_paths(categories: DataFrame) -> DataFrame:
-    """Each category with its root, depth and path.
+    """Each category with its root, depth and path, by pointer doubling.
 
-    Spark stops with an error at ``spark.sql.cteRecursionLevelLimit`` levels (100 by default) and at
-    ``spark.sql.cteRecursionRowLimit`` rows (1,000,000); raise them for deeper or larger trees.
+    Every category points to its parent; in each round it takes over the pointer of the one it points to, so a
+    tree of depth d is done after log2(d) rounds, each written to the shared folder. Once the roots are known, paths
+    are put together in the same way, from stretches that double. A parent with very many children is a hot key of
+    the joins, which adaptive execution splits.
 
-    Categories of a cycle have no root: ``complete`` is false and the rest NULL. A parent that does not
-    exist makes its child a root.
+    Categories of a cycle, or below one, have no root: ``complete`` is false and the rest NULL. They are those that
+    still point somewhere after as many rounds as a chain of all categories would take. A parent that does not
+    exist makes its child a root. Ids are unique.
     """
-    return categories.sparkSession.sql("""
-        WITH RECURSIVE walk(category_id, root_id, depth, path) AS (
-          SELECT c.category_id, c.category_id, 0, array(c.category_id) FROM {tree} c
-          LEFT ANTI JOIN {tree} p ON p.category_id = c.parent_category_id
-          UNION ALL
-          SELECT c.category_id, w.root_id, w.depth + 1, concat(w.path, array(c.category_id))
-          FROM {tree} c JOIN walk w ON c.parent_category_id = w.category_id)
-        SELECT c.category_id, w.root_id, w.depth, w.path, w.category_id IS NOT NULL AS complete
-        FROM {tree} c LEFT JOIN walk w ON w.category_id = c.category_id""", tree=categories)
+    ids = categories.select(F.col("category_id").alias("parent_category_id"))
+    named = categories.select("category_id", "parent_category_id")
+    tree = stored(named.join(ids, "parent_category_id", "left_semi").select("category_id", F.col("parent_category_id").alias("up"))
+                  .unionByName(named.join(ids, "parent_category_id", "left_anti").select(
+                      "category_id", F.lit(None).cast(named.schema["category_id"].dataType).alias("up"))), "tree")
+    start = tree.select("category_id", "up", F.when(F.col("up").isNull(), F.col("category_id")).alias("root"),
+                        F.when(F.col("up").isNotNull(), 1).otherwise(0).alias("depth"))
+    rounds = tree.count().bit_length() + 1
+    found = _doubled(start, rounds, lambda own, above: {
+        "root": above["root"], "depth": own["depth"] + above["depth"]})
+    whole = found.where("root IS NOT NULL").select("category_id", "root", "depth")
+    steps = tree.join(whole.select("category_id"), "category_id", "left_semi").withColumn("path", F.array("category_id"))
+    paths = _doubled(steps, rounds, lambda own, above: {"path": F.concat(above["path"], own["path"])})
+    placed = paths.join(whole, "category_id").select("category_id", F.col("root").alias("root_id"), "depth", "path")
+    return categories.select("category_id").join(placed, "category_id", "left").withColumn("complete", F.col("root_id").isNotNull())
+
+
+def _doubled(steps: DataFrame, rounds: int, merge: Callable[[_Side, _Side], dict[str, Column]]) -> DataFrame:
+    """Rows (category_id, up, …) that have taken over, round by round, from where they point, until none points anywhere."""
+    steps = stored(steps, "steps")
+    for _ in range(rounds):
+        if steps.where("up IS NOT NULL").isEmpty():
+            break
+        own, above = steps.where("up IS NOT NULL").alias("own"), steps.alias("above")
+        both = own.join(above, F.col("own.up") == F.col("above.category_id"))
+        merged = merge(_Side("own"), _Side("above"))
+        columns = [c for c in steps.columns if c not in ("category_id", "up", *merged)]
+        moved = both.select("own.category_id", "above.up", *[F.col(f"own.{c}") for c in columns], *[c.alias(n) for n, c in merged.items()])
+        steps = stored(steps.where("up IS NULL").unionByName(moved.select(*steps.columns)), "steps")
+    return steps
+
+
+class _Side:
+    """Columns of one side of a self-join."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(f"{self.name}.{column}")
 
 
 def orders_with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -16,12 +16,12 @@ Rules = dict[str, Column]
 def check_rules(df: DataFrame, rules: Rules, key: str) -> DataFrame:
     """(rule, violations, sample_key) for all rules in one pass; a NULL outcome passes, as in SQL checks."""
     measures = []
-    for name, rule in rules.items():
-        measures += [F.count_if(~rule).alias(f"n_{name}"), F.min(F.when(~rule, F.col(key))).alias(f"k_{name}")]
+    for k, rule in enumerate(rules.values()):
+        measures += [F.count_if(~rule).alias(f"n_{k}"), F.min(F.when(~rule, F.col(key))).alias(f"k_{k}")]
     wide = df.agg(*measures)
     lines = F.array(*[F.struct(
-        F.lit(name).alias("rule"), F.col(f"n_{name}").alias("violations"),
-        F.col(f"k_{name}").cast("string").alias("sample_key")) for name in rules])
+        F.lit(name).alias("rule"), F.col(f"n_{k}").alias("violations"),
+        F.col(f"k_{k}").cast("string").alias("sample_key")) for k, name in enumerate(rules)])
     return wide.select(F.explode(lines).alias("line")).select("line.*")
 
 

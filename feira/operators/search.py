@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feira.functions import collections as C, dates, geo, semistructured as J, text
 from feira.operators.sorting import top_k
 from feira.schemas import OPEN_STATUSES
+from feira.session import stored
 
 
 def products_with(products: DataFrame, spec: dict[str, Any]) -> DataFrame:
@@ -89,6 +90,35 @@ def text_search(df: DataFrame, weights: dict[str, float], wanted: str, key: str)
     return scored.orderBy(F.desc("score"), F.asc(key))
 
 
+def ranked_search(df: DataFrame, weights: dict[str, float], wanted: str, key: str, saturation: float = 1.2, by_length: float = 0.75) -> DataFrame:
+    """(key, score) of rows with any of the wanted words in any accents, by descending relevance, ties by key.
+
+    The relevance adds, per field and word, weight times BM25: rare words count more, repeats less and less, and
+    long fields less than short ones. How often each word occurs and how long each field is is counted in one pass
+    over the texts and written as a few numbers per row; the statistics of the corpus and the scores come from these.
+    """
+    terms, columns = sorted(set(text.folded_words(wanted))), list(weights)
+    places = [(i, j) for i in range(len(columns)) for j in range(len(terms))]
+
+    def counted(column: str, pattern: str) -> Column:
+        return F.coalesce(F.regexp_count(F.lower(column), F.lit(pattern)), F.lit(0)).cast("double")
+
+    counts = stored(df.select(
+        key, *[counted(c, f"{text.WORD}+").alias(f"size{i}") for i, c in enumerate(columns)],
+        *[counted(columns[i], text.folded_pattern(terms[j])).alias(f"tf{i}_{j}") for i, j in places]), "counts")
+    corpus = counts.agg(F.struct(
+        F.count("*").cast("double").alias("n"), *[F.avg(f"size{i}").alias(f"size{i}") for i in range(len(columns))],
+        *[F.count_if(F.col(f"tf{i}_{j}") > 0).cast("double").alias(f"df{i}_{j}") for i, j in places])).scalar()
+    matching = counts.where(reduce(Column.__or__, [F.col(f"tf{i}_{j}") > 0 for i, j in places], F.lit(False))).withColumn("corpus", corpus)
+    score = F.lit(0.0)
+    for i, j in places:
+        tf, held = F.col(f"tf{i}_{j}"), F.col(f"corpus.df{i}_{j}")
+        rare = F.ln(1 + (F.col("corpus.n") - held + 0.5) / (held + 0.5))
+        long = 1 - by_length + by_length * F.col(f"size{i}") / F.col(f"corpus.size{i}")
+        score = score + F.when(tf > 0, rare * tf * (saturation + 1) / (tf + saturation * long) * float(weights[columns[i]])).otherwise(0.0)
+    return matching.select(key, score.alias("score")).orderBy(F.desc("score"), F.asc(key))
+
+
 def inverted_index(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(token, key, field, tf): how often each word occurs in each field."""
     fields = F.array(*[

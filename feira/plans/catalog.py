@@ -8,7 +8,7 @@ from feira.functions import dates
 from feira.operators.aggregates import ratings, total
 from feira.operators.sets import pick_per_key
 from feira.operators.sorting import top_k_per_group
-from feira.plans.promotions import effective_price
+from feira.plans.promotions import with_price
 
 
 def sold_by_seller(items: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def catalog_documents(
     Every side is reduced to one row per product (or is a dimension) before it is joined, so
     no join multiplies rows.
     """
-    prices = effective_price(products, promotions, as_of).drop("base_price")
+    priced = with_price(products.drop("category_name"), promotions, as_of)
     scores = by_seller.select(
         "seller_id", F.col("rating_avg").alias("seller_rating"), F.col("n_reviews").alias("seller_reviews"))
     shops = sellers.join(scores, "seller_id", "left").select(
@@ -61,8 +61,7 @@ def catalog_documents(
     promotion = F.when(F.col("has_active_promotion"), F.struct(
         "promotion_id", F.col("promotion_name").alias("name"), "valid_until"))
     return (
-        products.drop("category_name").join(kinds, "category_id").join(placed, "product_id", "left")
-        .join(prices, "product_id").join(by_product, "product_id", "left")
+        priced.join(kinds, "category_id").join(placed, "product_id", "left").join(by_product, "product_id", "left")
         .select(
             "product_id", F.col("product_id").alias("sku"), "name", "description", "category", "seller",
             F.col("product_specifications").alias("specifications"), F.col("product_photos").alias("images"),

@@ -10,13 +10,13 @@ from feira.operators.search import active_promotions_at
 TERMS = ["promotion_id", "discount_percentage", "discount_amount", "promotion_period"]
 
 
-def promotion_targets(promotions: DataFrame) -> DataFrame:
+def promotion_targets(promotions: DataFrame, *also: str) -> DataFrame:
     """One row per promotion and target, a category or a product."""
     by_category = promotions.select(
-        *TERMS, F.lit("category").alias("target_kind"),
+        *TERMS, *also, F.lit("category").alias("target_kind"),
         F.explode(F.col("target_category_ids").cast("array<string>")).alias("target_id"))
     by_product = promotions.select(
-        *TERMS, F.lit("product").alias("target_kind"), F.explode("target_product_ids").alias("target_id"))
+        *TERMS, *also, F.lit("product").alias("target_kind"), F.explode("target_product_ids").alias("target_id"))
     return by_category.unionByName(by_product)
 
 
@@ -126,17 +126,16 @@ def promotion_at_order(items: DataFrame, promotions: DataFrame) -> DataFrame:
     return best.select(*items.columns, F.col("best.offer.promotion_id").alias("promotion_id"), F.col("best.price").alias("promotion_price"))
 
 
-def effective_price(products: DataFrame, promotions: DataFrame, as_of: Column) -> DataFrame:
-    """Current price of every product: the lowest of its active promotions, ties by promotion id.
+def with_price(products: DataFrame, promotions: DataFrame, as_of: Column) -> DataFrame:
+    """Products with their current price: the lowest of their active promotions, ties by promotion id.
 
     The offers that can be best are one row per target, so a product meets at most one row of its category
     and one of its own.
     """
-    active = active_promotions_at(promotions, as_of)
-    named = promotion_targets(active).join(active.select("promotion_id", F.col("name").alias("promotion_name")), "promotion_id")
-    offers = _unbeaten(named.withColumn("valid_until", F.col("promotion_period.upper")), TARGET).groupBy(*TARGET).agg(
-        F.collect_list(F.struct(*SHOWN)).alias("offers"))
-    rows = products.select("product_id", "category_id", "base_price")
+    active = active_promotions_at(promotions, as_of).withColumnsRenamed({"name": "promotion_name"})
+    terms = promotion_targets(active, "promotion_name").withColumn("valid_until", F.col("promotion_period.upper"))
+    offers = _unbeaten(terms, TARGET).groupBy(*TARGET).agg(F.collect_list(F.struct(*SHOWN)).alias("offers"))
+    rows = products
 
     def met(kind: str, key: str) -> Column:
         nonlocal rows
@@ -145,8 +144,14 @@ def effective_price(products: DataFrame, promotions: DataFrame, as_of: Column) -
         return F.col(f"{kind}_offers")
 
     best = _best(F.col("base_price"), met("category", "category_id"), met("product", "product_id"))
+    base = values.money(F.col("base_price"))
     return rows.withColumn("best", best).select(
-        "product_id", values.money(F.col("base_price")).alias("base_price"),
-        F.coalesce(F.col("best.price"), values.money(F.col("base_price"))).alias("price_current"),
+        *products.columns, F.coalesce(F.col("best.price"), base).alias("price_current"),
         F.col("best").isNotNull().alias("has_active_promotion"),
         "best.offer.promotion_id", "best.offer.promotion_name", "best.offer.discount_percentage", "best.offer.valid_until")
+
+
+def effective_price(products: DataFrame, promotions: DataFrame, as_of: Column) -> DataFrame:
+    """Current price of every product by id, with the promotion that gives it."""
+    rows = products.select("product_id", "category_id", values.money(F.col("base_price")).alias("base_price"))
+    return with_price(rows, promotions, as_of).drop("category_id")

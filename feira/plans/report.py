@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feira.operators import aggregates as A, statistics as S, timelines
 
@@ -61,3 +63,31 @@ def eda_report(tables: Tables) -> Tables:
     """All findings by name; each is a small lazy frame."""
     return {**quality_findings(tables), **distribution_findings(tables), **relation_findings(tables),
             **time_and_place_findings(tables)}
+
+
+# What tells the lines of a finding apart; the others have one line.
+LINES = {
+    "out_of_range": ["check"], "review_scores": ["score"], "payment_types": ["payment_type"], "top_categories": ["category_name"],
+    "score_vs_delivery": ["score"], "orders_by_month": ["month"], "orders_by_weekday": ["weekday"], "orders_by_hour": ["hour"],
+    "cumulative_orders": ["month"], "top_customer_states": ["customer_state"], "top_seller_states": ["seller_state"],
+    "origin_destination": ["seller_state", "customer_state"]}
+KINDS = {"nulls_": ["column"], "histogram_": ["bin"], "outliers_": ["variable"]}
+
+
+def line_keys(finding: str) -> list[str]:
+    return LINES.get(finding) or next((k for start, k in KINDS.items() if finding.startswith(start)), [])
+
+
+def report_values(found: Tables) -> DataFrame:
+    """(finding, line, item, value): every value of every finding as text, numbers with six decimals."""
+    def text(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        return (value.cast("decimal(24,6)") if isinstance(field.dataType, T.NumericType) else value).cast("string")
+
+    def flat(name: str) -> DataFrame:
+        frame, keys = found[name], line_keys(name)
+        items = F.array(*[F.struct(F.lit(f.name).alias("item"), text(f).alias("value")) for f in frame.schema.fields if f.name not in keys])
+        line = F.concat_ws(">", *[F.col(f"`{k}`").cast("string") for k in keys])
+        return frame.select(F.lit(name).alias("finding"), line.alias("line"), F.explode(items).alias("v")).select("finding", "line", "v.*")
+
+    return reduce(DataFrame.unionByName, [flat(name) for name in found])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feira.functions import dates, values
-from feira.operators.aggregates import total
+from feira.operators.aggregates import TOTAL, total
 from feira.operators.joins import ORDER_KEYS, sales_facts
 from feira.schemas import SALE_STATUSES
 
@@ -15,9 +15,9 @@ def sales_by_category_month(
 ) -> DataFrame:
     """Orders, items, revenue, sellers and buyers per category and month of sold orders.
 
-    The lines meet only the id of their category; its names join the finished groups. Each
-    distinct count is a grouping of its own with map-side combine: counting several distinct
-    columns in one aggregate would multiply every line before the shuffle.
+    The lines are read and joined once and meet only the id of their category; its names join the finished
+    groups. A line counts for its order and for its seller: these two rows collapse, first to one per order or
+    seller, then to one per buyer or seller, so that the distinct counts of a group are plain counts of rows.
     """
     month = dates.month_start(F.col("order_purchase_timestamp")).alias("sales_month")
     keys = [k for k in ORDER_KEYS if k in items.columns]
@@ -26,20 +26,21 @@ def sales_by_category_month(
     ids = categories.select(*{category_key, "category_id"})
     facts = sales_facts(sold, items.select(*columns), products, ids, category_key)
     group, price, freight = ["category_id", "sales_month"], F.col("price"), F.col("freight_value")
+    sums = ["n_items", "revenue", "freight", "both", "n_prices"]
 
-    per_order = facts.groupBy("order_id", *group).agg(
+    order = F.struct(F.lit(True).alias("buys"), F.col("customer_unique_id").alias("who"), F.col("order_id").alias("bought"))
+    offer = F.struct(F.lit(False).alias("buys"), F.col("seller_id").alias("who"), F.lit(None).cast("string").alias("bought"))
+    lines = facts.select(*group, "price", "freight_value", F.explode(F.array(order, offer)).alias("party")).select(
+        *group, "party.*", "price", "freight_value")
+    per_order = lines.groupBy(*group, "buys", "who", "bought").agg(
         F.count("*").alias("n_items"), F.sum(price).alias("revenue"), F.sum(freight).alias("freight"),
         F.sum(price + freight).alias("both"), F.count(price).alias("n_prices"))
-    sums = per_order.groupBy(*group).agg(
-        F.count("*").alias("n_orders"), F.sum("n_items").alias("n_items"),
-        total(F.col("revenue")).alias("gross_revenue"), total(F.col("freight")).alias("total_freight"),
-        total(F.col("both")).alias("total_with_freight"), F.sum("n_prices").alias("n_prices"))
-
-    def distinct_count(column: str, name: str) -> DataFrame:
-        return facts.select(*group, column).distinct().groupBy(*group).agg(F.count(column).alias(name))
-
-    counted = (sums.join(distinct_count("seller_id", "n_sellers"), group)
-               .join(distinct_count("customer_unique_id", "n_unique_customers"), group))
+    per_party = per_order.groupBy(*group, "buys", "who").agg(F.count("*").alias("n_orders"), *[F.sum(c).alias(c) for c in sums])
+    own = {c: F.sum(F.when(F.col("buys"), F.col(c))) for c in ("n_orders", *sums)}
+    counted = per_party.groupBy(*group).agg(
+        own["n_orders"].alias("n_orders"), own["n_items"].alias("n_items"), own["revenue"].cast(TOTAL).alias("gross_revenue"),
+        own["freight"].cast(TOTAL).alias("total_freight"), own["both"].cast(TOTAL).alias("total_with_freight"), own["n_prices"].alias("n_prices"),
+        F.count(F.when(~F.col("buys"), F.col("who"))).alias("n_sellers"), F.count(F.when(F.col("buys"), F.col("who"))).alias("n_unique_customers"))
     names = categories.select("category_id", "category_name", "category_name_english")
     return counted.join(names, "category_id").select(
         "category_id", "category_name", "category_name_english", "sales_month", "n_orders", "n_items",
@@ -67,6 +68,22 @@ def customer_orders(orders: DataFrame) -> DataFrame:
         F.max(bought).alias("last_order_at"), dates.mean_days(bought, received).alias("avg_delivery_days"))
 
 
+def revenue_by_month(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Sums per customer and purchase month of delivered orders, which :func:`merge_revenue` adds up over months."""
+    totals = _order_totals(items)
+    keys = [k for k in ORDER_KEYS if k in totals.columns]
+    month = dates.month_start(F.col("order_purchase_timestamp")).alias("sales_month")
+    delivered = orders.where(F.col("order_status") == "delivered").select(*keys, "customer_unique_id", month)
+    return delivered.join(totals, keys).groupBy("customer_unique_id", "sales_month").agg(
+        F.sum("value").alias("value"), F.sum("gmv").alias("gmv"), F.sum("n_items").alias("n_items"))
+
+
+def merge_revenue(parts: DataFrame) -> DataFrame:
+    """What :func:`customer_revenue` gives for all months together."""
+    return parts.groupBy("customer_unique_id").agg(
+        total(F.col("value")).alias("lifetime_value"), total(F.col("gmv")).alias("lifetime_gmv"), F.sum("n_items").alias("lifetime_items"))
+
+
 def _order_totals(items: DataFrame) -> DataFrame:
     keys = [k for k in ORDER_KEYS if k in items.columns]
     return items.groupBy(*keys).agg(

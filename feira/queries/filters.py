@@ -212,6 +212,35 @@ def f4(m):
     return found.select("doc_id", F.round("score", 6).alias("score"))
 
 
+def bm25(source: str, key: str, fields: dict[str, float], terms: list[str]) -> str:
+    """SQL of the relevance with corpus statistics, from lists of words without accents."""
+    places = [(f, k, t) for f in fields for k, t in enumerate(terms)]
+    words = ", ".join(f"regexp_extract_all(strip_accents(lower(coalesce({f}, ''))), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w_{f}" for f in fields)
+    counts = ", ".join([*(f"CAST(len(w_{f}) AS DOUBLE) AS size_{f}" for f in fields),
+                        *(f"CAST(len(list_filter(w_{f}, lambda w: w = '{t}')) AS DOUBLE) AS tf_{f}{k}" for f, k, t in places)])
+    stats = ", ".join(["CAST(count(*) AS DOUBLE) AS n", *(f"avg(size_{f}) AS avg_{f}" for f in fields),
+                       *(f"CAST(count(*) FILTER (tf_{f}{k} > 0) AS DOUBLE) AS df_{f}{k}" for f, k, _ in places)])
+    score = " + ".join(
+        f"CASE WHEN tf_{f}{k} > 0 THEN ln(1 + (n - df_{f}{k} + 0.5) / (df_{f}{k} + 0.5)) * tf_{f}{k} * 2.2 "
+        f"/ (tf_{f}{k} + 1.2 * (0.25 + 0.75 * size_{f} / avg_{f})) * {fields[f]} ELSE 0.0 END" for f, k, _ in places)
+    any_word = " OR ".join(f"tf_{f}{k} > 0" for f, k, _ in places)
+    return f"""WITH words AS (SELECT {key}, {words} FROM {source}), counts AS (SELECT {key}, {counts} FROM words),
+corpus AS (SELECT {stats} FROM counts) SELECT {key}, round(CAST({score} AS DOUBLE), 6) AS score FROM counts, corpus WHERE {any_word}"""
+
+
+@query("b26_ranked_search", bm25("documents", "doc_id", {"text": 1.0}, ["etre", "fur", "the"]))
+def b26_ranked(m):
+    """Words in any accents: the texts have several spellings of one of them."""
+    found = search.ranked_search(m.raw("documents"), {"text": 1.0}, "Être für the", "doc_id")
+    return found.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query("b26_ranked_products", bm25("d_product", "product_id", {"name": 10.0, "description": 1.0}, ["red", "promo"]))
+def b26_ranked_products(m):
+    found = search.ranked_search(m.product, {"name": 10.0, "description": 1.0}, "réd PROMO", "product_id")
+    return found.select("product_id", F.round("score", 6).alias("score"))
+
+
 @query("b26_inverted_index", f"""
 SELECT token, doc_id, 'text' AS field, count(*) AS tf
 FROM (SELECT doc_id, unnest({TOKENS.format('text')}) AS token FROM documents) t GROUP BY 1, 2""")

@@ -1,9 +1,7 @@
 """Queries A1 to A14, B19, G, K4 and K7: sources, sinks, keyed writes and reports."""
 
 from datetime import datetime
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from feira.functions import dates
 from feira.operators import search, sets
@@ -14,7 +12,7 @@ from feira.queries.registry import query
 from feira.queries.sales import monthly_sales
 from feira.queries.views import AS_OF
 from feira.session import scratch_path
-from feira.sources import files, tables
+from feira.sources import files, rejects, tables
 
 MOMENT = datetime(2001, 8, 2)
 K = "CAST(order_id AS BIGINT)"
@@ -59,6 +57,25 @@ def a1_reviews(m):
     return files.read_source(m.spark, folder, "order_reviews")
 
 
+@query("a1_rejected_lines", f"""
+SELECT order_id, CASE {K} % 50 WHEN 9 THEN 'wrong number of fields' WHEN 11 THEN 'not of its type: payment_sequential, payment_value' ELSE 'loaded' END AS outcome,
+       CASE WHEN {K} % 50 NOT IN (9, 11) THEN payment_value END AS payment_value, CASE WHEN {K} % 50 IN (9, 11) THEN CAST(2 AS INT) END AS tries FROM d_payment""")
+def a1_rejected(m):
+    """Payments with lines that do not fit: one kind is mended and loaded after all, the others wait."""
+    path, kind = scratch_path(m.spark, "rejects"), F.expr(f"{K} % 50")
+    rows = m.payment.select(
+        "order_id", F.when(kind == 11, "one").otherwise(F.col("payment_sequential").cast("string")).alias("payment_sequential"), "payment_type",
+        F.when(kind == 7, "x").otherwise(F.col("payment_installments").cast("string")).alias("payment_installments"),
+        F.when(kind == 9, "1.00,surplus").when(kind == 11, "much").otherwise(F.col("payment_value").cast("string")).alias("payment_value"))
+    rows.write.option("header", True).option("quote", "").csv(f"{path}/files/order_payments")
+    rejects.load_source(m.spark, f"{path}/files", "order_payments", path)
+    rejects.replay_rejected(m.spark, "order_payments", path, lambda line: F.regexp_replace(line, ",x,", ",1,"))
+    loaded, waiting = rejects.read_loaded(m.spark, path), rejects.read_rejected(m.spark, path)
+    return loaded.select("order_id", F.lit("loaded").alias("outcome"), "payment_value", F.lit(None).cast("int").alias("tries")).unionByName(
+        waiting.select(F.split_part("line", F.lit(","), F.lit(1)).alias("order_id"), F.col("reason").alias("outcome"),
+                       F.lit(None).cast("decimal(12,2)").alias("payment_value"), "tries"))
+
+
 @query("a2_geolocation_points", """
 SELECT geolocation_id, geolocation_lng AS lng, geolocation_lat AS lat FROM d_geolocation""")
 def a2(m):
@@ -322,39 +339,6 @@ def k7(m):
     return sets.union_counts({name: found[name] for name in FINDINGS})
 
 
-def counted(finding, item, source):
-    return f"SELECT '{finding}' AS finding, CAST({item} AS VARCHAR) AS item, count(*) AS value FROM {source} GROUP BY 2"
-
-
-LISTED = {"review_scores": ("score", "n"), "payment_types": ("payment_type", "n"), "orders_by_hour": ("hour", "n_orders")}
-NUMBERS = {"key_orders": ["n_rows", "n_unique"], "key_payments": ["n_rows", "n_unique"], "categories": ["n_categories", "n_uncategorized"],
-           "items_per_order": ["n_groups", "max", "n_single", "n_2_or_more"]}
-
-
-@query("k7_eda_values", " UNION ALL ".join([
-    counted("review_scores", "score", "d_review"), counted("payment_types", "payment_type", "d_payment"),
-    counted("orders_by_hour", "hour(order_purchase_timestamp)", "d_order"),
-    "SELECT 'key_orders', 'n_rows', count(*) FROM d_order", "SELECT 'key_orders', 'n_unique', count(DISTINCT order_id) FROM d_order",
-    "SELECT 'key_payments', 'n_rows', count(*) FROM d_payment",
-    "SELECT 'key_payments', 'n_unique', count(*) FROM (SELECT DISTINCT order_id, payment_sequential FROM d_payment) t",
-    "SELECT 'categories', 'n_categories', count(DISTINCT category_name) FROM d_product",
-    "SELECT 'categories', 'n_uncategorized', count(*) - count(category_name) FROM d_product",
-    *[f"SELECT 'items_per_order', '{name}', CAST({text} AS BIGINT) FROM (SELECT count(*) AS n FROM d_order_item GROUP BY order_id) t"
-      for name, text in (("n_groups", "count(*)"), ("max", "max(n)"), ("n_single", "count(*) FILTER (n = 1)"),
-                         ("n_2_or_more", "count(*) FILTER (n >= 2)"))]]))
-def k7_values(m):
-    """Values of the report's findings, one line each."""
-    found = report.eda_report({
-        "customers": m.customer, "orders": m.order, "items": m.order_item, "payments": m.payment, "reviews": m.review,
-        "products": m.product, "sellers": m.seller})
-    lines = [found[name].select(F.lit(name).alias("finding"), F.col(item).cast("string").alias("item"), F.col(n).cast("long").alias("value"))
-             for name, (item, n) in LISTED.items()]
-    for name, columns in NUMBERS.items():
-        each = F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("long").alias("value")) for c in columns]))
-        lines.append(found[name].select(each.alias("v")).select(F.lit(name).alias("finding"), "v.item", "v.value"))
-    return reduce(DataFrame.unionByName, lines)
-
-
 @query("a12_published_catalog", """
 SELECT product_id, price_current FROM d_priced""")
 def a12_catalog(m):

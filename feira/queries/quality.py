@@ -269,15 +269,37 @@ def c14(m):
     return found.select("order_id", "order_item_id", "product_id")
 
 
-@query("j18_catalog_documents", """
-SELECT * FROM (VALUES ('not_null_product_id'), ('not_null_sku'), ('not_null_name'), ('not_null_base_price'),
-  ('not_null_price_current'), ('not_null_synced_at'), ('not_null_source_updated_at'), ('category_named'),
-  ('rating_in_range'), ('price_not_negative'), ('discount_in_range')) v(rule),
-  (SELECT CAST(0 AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS sample_key) z
-UNION ALL SELECT 'seller_located', count(*), min(product_id) FROM d_product p
-WHERE NOT EXISTS (SELECT 1 FROM d_order_item i WHERE i.product_id = p.product_id)""")
+def broken_counts(counts: dict[str, str], rows: str, key: str) -> str:
+    """Report of rules with the condition of the rows that break each."""
+    return " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations, min({key}) FILTER (WHERE {broken}) AS sample_key FROM {rows}"
+        for rule, broken in counts.items())
+
+
+SOLD = "product_id IN (SELECT product_id FROM d_order_item)"
+
+
+@query("j18_catalog_documents", broken_counts({
+    "not_null_product_id": "FALSE", "not_null_sku": "k % 7 = 0", "not_null_name": "k % 11 = 0", "not_null_base_price": "FALSE",
+    "not_null_price_current": "FALSE", "not_null_synced_at": "k % 29 = 0", "not_null_source_updated_at": "FALSE", "category_named": "k % 13 = 0",
+    "seller_located": "NOT sold", "rating_in_range": "k % 17 = 0 AND sold", "price_not_negative": "k % 19 = 0", "discount_in_range": "k % 23 = 0"},
+    f"(SELECT product_id, CAST(substring(product_id, 6) AS BIGINT) AS k, {SOLD} AS sold FROM d_product)", "product_id"))
 def j18_catalog(m):
-    return Q.check_rules(catalogue(m), Q.catalog_document_rules(), "product_id")
+    """Catalogue documents, some of them broken."""
+    number = F.substring("product_id", F.lit(6), F.lit(20)).cast("long")
+
+    def broken(name: str, divisor: int, value):
+        return F.when(number % divisor == 0, value).otherwise(F.col(name))
+
+    documents = catalogue(m)
+    kinds = documents.schema
+    rated = F.col("seller").withField("rating_avg", F.lit(9).cast(kinds["seller"].dataType["rating_avg"].dataType))
+    return Q.check_rules(documents.withColumns({
+        "sku": broken("sku", 7, None), "name": broken("name", 11, None), "synced_at": broken("synced_at", 29, None),
+        "category": broken("category", 13, F.col("category").withField("name", F.lit(None).cast("string"))),
+        "seller": F.when((number % 17 == 0) & F.col("seller").isNotNull(), rated).otherwise(F.col("seller")),
+        "price_current": broken("price_current", 19, F.lit(-1).cast(kinds["price_current"].dataType)),
+        "discount_percentage": broken("discount_percentage", 23, F.lit(150).cast("decimal(5,2)"))}), Q.catalog_document_rules(), "product_id")
 
 
 @query("j18_event_documents", """
@@ -290,12 +312,18 @@ def j18_events(m):
     return Q.check_rules(buckets.bucket_events(untyped), Q.bucket_document_rules(), "session_id")
 
 
-@query("j18_session_documents", """
-SELECT * FROM (VALUES ('not_null_session_id'), ('not_null_started_at'), ('not_null_last_activity_at'),
-  ('not_null_expires_at'), ('activity_in_order')) v(rule),
-  (SELECT CAST(0 AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS sample_key FROM d_event LIMIT 1) z""")
+@query("j18_session_documents", broken_counts({
+    "not_null_session_id": "FALSE", "not_null_started_at": "k % 7 = 0", "not_null_last_activity_at": "k % 11 = 0", "not_null_expires_at": "k % 13 = 0",
+    "activity_in_order": "k % 5 = 0 AND k % 7 <> 0 AND k % 11 <> 0"},
+    "(SELECT DISTINCT session_id, CAST(substring(session_id, 6) AS BIGINT) AS k FROM d_event)", "session_id"))
 def j18_sessions(m):
-    return Q.check_rules(buckets.user_sessions(m.session_event), Q.session_document_rules(), "session_id")
+    """Session documents, some of them broken."""
+    number = F.substring("session_id", F.lit(6), F.lit(20)).cast("long")
+    late = F.col("last_activity_at") + F.expr("INTERVAL '1' SECOND")
+    documents = buckets.user_sessions(m.session_event).withColumns({
+        "started_at": F.when(number % 7 == 0, None).when(number % 5 == 0, late).otherwise(F.col("started_at")),
+        "last_activity_at": F.when(number % 11 != 0, F.col("last_activity_at")), "expires_at": F.when(number % 13 != 0, F.col("expires_at"))})
+    return Q.check_rules(documents, Q.session_document_rules(), "session_id")
 
 
 @query("j19_unique_documents", " UNION ALL ".join([

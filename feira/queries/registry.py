@@ -13,6 +13,7 @@ Query = Callable[[Marketplace], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
+_RAW: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -22,7 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
         _QUERIES[name] = fn
         if sql:
-            _SQL[name] = with_views(sql)
+            _SQL[name], _RAW[name] = with_views(sql), sql
         return fn
 
     return add
@@ -37,3 +38,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+def raw_sql(name: str) -> str:
+    """The SQL of a query as it was registered, without the views it uses."""
+    return _RAW[name]

@@ -95,3 +95,80 @@ DOCUMENT_SCHEMAS = {
         "device struct<type:string,os:string,browser:string>,"
         "cart array<struct<product_id:string,qty:int,price_snapshot:double>>",
 }
+
+# The validators of the four document collections.
+VALIDATORS = {
+    "product_catalog": {
+        "bsonType": "object",
+        "required": ["product_id", "sku", "name", "category", "seller", "base_price", "price_current", "synced_at", "source_updated_at"],
+        "properties": {
+            "product_id": {"bsonType": "string"},
+            "sku": {"bsonType": "string"},
+            "name": {"bsonType": "string"},
+            "description": {"bsonType": ["string", "null"]},
+            "category": {
+                "bsonType": "object",
+                "required": ["id", "name"],
+                "properties": {"id": {"bsonType": "int"}, "name": {"bsonType": "string"}, "name_english": {"bsonType": ["string", "null"]}}},
+            "seller": {
+                "bsonType": "object",
+                "required": ["id", "city", "state"],
+                "properties": {
+                    "id": {"bsonType": "string"}, "name": {"bsonType": ["string", "null"]}, "city": {"bsonType": "string"},
+                    "state": {"bsonType": "string"}, "rating": {"bsonType": ["double", "int", "null"], "minimum": 0, "maximum": 5}}},
+            "specifications": {"bsonType": ["object", "null"]},
+            "images": {"bsonType": ["array", "null"], "items": {"bsonType": "string"}},
+            "tags": {"bsonType": ["array", "null"], "items": {"bsonType": "string"}},
+            "dimensions": {"bsonType": ["object", "null"]},
+            "base_price": {"bsonType": ["double", "int", "decimal"], "minimum": 0},
+            "price_current": {"bsonType": ["double", "int", "decimal"], "minimum": 0},
+            "has_active_promotion": {"bsonType": "bool"},
+            "discount_percentage": {"bsonType": ["double", "int", "null"], "minimum": 0, "maximum": 100},
+            "stock_status": {"enum": STOCK_STATUSES},
+            "synced_at": {"bsonType": "date"},
+            "source_updated_at": {"bsonType": "date"}}},
+    "reviews": {
+        "bsonType": "object",
+        "required": ["review_id", "review_type", "order_id", "customer_unique_id", "score", "created_at"],
+        "properties": {
+            "review_id": {"bsonType": "string"},
+            "review_type": {"enum": REVIEW_TYPES},
+            "order_id": {"bsonType": "string"},
+            "product_id": {"bsonType": ["string", "null"]},
+            "seller_id": {"bsonType": ["string", "null"]},
+            "customer_unique_id": {"bsonType": "string"},
+            "score": {"bsonType": "int", "minimum": 1, "maximum": 5},
+            "title": {"bsonType": ["string", "null"]},
+            "message": {"bsonType": ["string", "null"]},
+            "tags_auto": {"bsonType": ["array", "null"], "items": {"bsonType": "string"}},
+            "language": {"bsonType": ["string", "null"]},
+            "created_at": {"bsonType": "date"},
+            "answered_at": {"bsonType": ["date", "null"]},
+            "seller_response": {"bsonType": ["object", "null"]}}},
+    "analytics_events": {
+        "bsonType": "object",
+        "required": ["session_id", "bucket_hour", "event_count", "events", "expires_at"],
+        "properties": {
+            "session_id": {"bsonType": "string"},
+            "customer_unique_id": {"bsonType": ["string", "null"]},
+            "bucket_hour": {"bsonType": "date"},
+            "event_count": {"bsonType": "int", "minimum": 0},
+            "events": {
+                "bsonType": "array",
+                "items": {"bsonType": "object", "required": ["type", "ts"],
+                          "properties": {"type": {"bsonType": "string"}, "ts": {"bsonType": "date"}}}},
+            "expires_at": {"bsonType": "date"}}},
+    "user_sessions": {
+        "bsonType": "object",
+        "required": ["_id", "started_at", "last_activity_at", "expires_at"],
+        "properties": {
+            "_id": {"bsonType": "string"},
+            "customer_unique_id": {"bsonType": ["string", "null"]},
+            "started_at": {"bsonType": "date"},
+            "last_activity_at": {"bsonType": "date"},
+            "expires_at": {"bsonType": "date"},
+            "ip_hash": {"bsonType": ["string", "null"]},
+            "user_agent": {"bsonType": ["string", "null"]},
+            "device": {"bsonType": ["object", "null"]},
+            "cart": {"bsonType": ["array", "null"]}}},
+}

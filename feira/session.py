@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may change while a session runs.
 RUNTIME_SETTINGS = {
@@ -58,3 +58,10 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder: what follows reads it, and a lost executor doesn't undo it."""
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)

@@ -179,6 +179,22 @@ def refresh_summary(df: DataFrame, path: str, key: list[str]) -> int:
     return table.publish(lambda held: replace(held, schema=df.schema, parts=staged)).number
 
 
+def refresh_parts(df: DataFrame, path: str, key: list[str], by: str, values: list) -> int:
+    """Publishes a version of a summary in which ``df`` stands for some values of its column ``by``; returns its number.
+
+    The other values keep their folders, which are neither read nor written. ``df`` holds rows of these values only.
+    """
+    table, wanted = VersionedTable(df.sparkSession, path), {str(v) for v in values}
+    staged = table.stage(df, by)
+    if stray := sorted(set(staged) - wanted):
+        raise ValueError(f"rows of other values of {by}: {stray}")
+    report = key_report(table.read(Version(schema=df.schema, parts=staged)), key).first()
+    if report["n_duplicate"]:
+        raise ValueError(f"{report['n_duplicate']} surplus rows for key {key}; the old version stays current")
+    return table.publish(lambda held: replace(
+        held, schema=df.schema, parts={v: f for v, f in held.parts.items() if v not in wanted} | staged)).number
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the current version."""
     return VersionedTable(spark, path).read()

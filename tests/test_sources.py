@@ -10,7 +10,7 @@ from feira.operators import quality, sets
 from feira.plans import report
 from feira.schemas import SOURCE_COLUMNS
 from feira.session import scratch_path
-from feira.sources import files, tables
+from feira.sources import files, rejects, tables
 
 
 def test_all_source_files(spark, tmp_path):
@@ -105,6 +105,32 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert tables.read_log(spark, path).count() == 5
 
 
+def test_three_broken_lines_load_all_others(spark, tmp_path):
+    folder, path = tmp_path / "order_payments", str(tmp_path / "out")
+    folder.mkdir()
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value"
+    (folder / "a.csv").write_text("\n".join([header, "o1,1,pix,1,2.00", "o2,1,pix,many,2.00", "o3,1,\"a, b\",1,3.00", "o4,1,pix"]) + "\n")
+    (folder / "b.csv").write_text("\n".join([header, "o5,x,pix,1,y", "o6,1,,,"]) + "\n")
+    for _ in range(2):  # a load that runs again replaces itself
+        rejects.load_source(spark, str(tmp_path), "order_payments", path)
+
+    def state():
+        loaded = sorted(r.order_id for r in rejects.read_loaded(spark, path).collect())
+        return loaded, sorted((r.line, r.file[-5:], r.reason, r.tries) for r in rejects.read_rejected(spark, path).collect())
+
+    number = "wrong number of fields"
+    first = [("o2,1,pix,many,2.00", "a.csv", "not of its type: payment_installments", 1), ("o4,1,pix", "a.csv", number, 1),
+             ("o5,x,pix,1,y", "b.csv", "not of its type: payment_sequential, payment_value", 1)]
+    assert state() == (["o1", "o3", "o6"], first)
+    assert rejects.replay_rejected(spark, "order_payments", path, lambda line: F.replace(line, F.lit("many"), F.lit("12"))) == 1
+    assert state() == (["o1", "o2", "o3", "o6"], [(*r[:3], 2) for r in first[1:]])
+    for tries in (3, 4):
+        assert rejects.replay_rejected(spark, "order_payments", path, lambda line: line) == 0
+    assert all(r.given_up and r.tries == 4 for r in rejects.read_rejected(spark, path).collect())
+    assert rejects.replay_rejected(spark, "order_payments", path, lambda line: F.lit("o4,1,pix,1,1.00")) == 0  # nobody tries them any more
+    assert state() == (["o1", "o2", "o3", "o6"], [(*r[:3], 4) for r in first[1:]])
+
+
 def test_load_transformations(spark):
     orders = spark.createDataFrame([("o1", "c1"), ("o2", "c2")], "order_id string, customer_id string")
     customers = spark.createDataFrame([("c2", "u", 20), ("c1", "u", 10)], "customer_id string, customer_unique_id string, zip int")
