@@ -32,26 +32,35 @@ class _Bracket:
         above = v.isNotNull() if self.low is None else v > F.lit(self.low)
         return above if self.high is None else above & (v < F.lit(self.high))
 
-    def edges(self) -> list[float]:
-        """Shares of the values inside a little below and above the rank."""
-        at = (self.rank - self.before) / self.inside
-        return [max(0.0, at - self.margin), min(1.0, at + self.margin)]
+    def edges(self) -> tuple[float, float]:
+        """Shares of the values inside a little below and above the rank; coarse, so that neighbours have the same."""
+        at = round((self.rank - self.before) / self.inside, 4)
+        return max(0.0, at - self.margin), min(1.0, at + self.margin)
 
 
 def _narrowed(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> list[_Bracket | float]:
     """Each bracket between two values from a sketch of what is inside; the value itself where one of the two has the rank.
 
-    A bracket that turns out to miss its rank is tried again with a wider margin.
+    Brackets that are alike share their sketch and their counts. A bracket that turns out to miss its rank is tried
+    again with a wider margin.
     """
     v = F.col("v")
-    edges = values.agg(*[F.percentile_approx(F.when(b.holds(v), v), b.edges(), accuracy).alias(f"b{k}") for k, b in enumerate(brackets)]).first()
-    counts = values.agg(*[n.alias(f"{name}{k}") for k, b in enumerate(brackets) for name, n in (
-        ("under", F.count_if(b.holds(v) & (v < F.lit(edges[k][0])))), ("low", F.count_if(v == F.lit(edges[k][0]))),
-        ("upto", F.count_if(b.holds(v) & (v <= F.lit(edges[k][1])))), ("high", F.count_if(v == F.lit(edges[k][1]))))]).first()
+    shares: dict[tuple, list[float]] = {}
+    for b in brackets:
+        own = shares.setdefault((b.low, b.high), [])
+        own.extend(e for e in b.edges() if e not in own)
+    alike = {(b.low, b.high): b for b in brackets}
+    sketch = values.agg(*[F.percentile_approx(F.when(alike[k].holds(v), v), own, accuracy).alias(str(n)) for n, (k, own) in enumerate(shares.items())]).first()
+    value = {(k, e): x for n, (k, own) in enumerate(shares.items()) for e, x in zip(own, sketch[n])}
+    cut = [tuple(value[(b.low, b.high), e] for e in b.edges()) for b in brackets]
+    places = list(dict.fromkeys((b.low, b.high, *c) for b, c in zip(brackets, cut)))
+    counts = values.agg(*[n.alias(f"{name}{k}") for k, (*outer, low, high) in enumerate(places) for name, n in (
+        ("under", F.count_if(alike[tuple(outer)].holds(v) & (v < F.lit(low)))), ("low", F.count_if(v == F.lit(low))),
+        ("upto", F.count_if(alike[tuple(outer)].holds(v) & (v <= F.lit(high)))), ("high", F.count_if(v == F.lit(high))))]).first()
     found: list[_Bracket | float] = []
-    for k, b in enumerate(brackets):
-        low, high = edges[k]
-        under, n_low, upto, n_high = (b.before * (i % 2 == 0) + counts[4 * k + i] for i in range(4))
+    for b, (low, high) in zip(brackets, cut):
+        at = 4 * places.index((b.low, b.high, low, high))
+        under, n_low, upto, n_high = (b.before * (i % 2 == 0) + counts[at + i] for i in range(4))
         if not under <= b.rank < upto:
             found.append(replace(b, margin=b.margin * 4))
         elif b.rank < under + n_low:
@@ -74,6 +83,7 @@ def _values_at(values: DataFrame, ranks: list[int], total: int, accuracy: int, m
         state |= {b.rank: new for b, new in zip(wide, _narrowed(values, wide, accuracy))}
     if held := open_brackets(0):
         v = F.col("v")
+        held = sorted(held, key=lambda b: b.rank)
         places = F.array_compact(F.array(*[F.when(b.holds(v), F.lit(k)) for k, b in enumerate(held)]))
         counts = values.select("v", F.explode(places).alias("bracket")).groupBy("bracket", "v").agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feira.functions import dates, values
 from feira.operators.search import active_promotions_at
+from feira.session import stored
 
 TERMS = ["promotion_id", "discount_percentage", "discount_amount", "promotion_period"]
 
@@ -73,16 +74,17 @@ def offer_intervals(promotions: DataFrame) -> DataFrame:
     spans = promotion_targets(promotions).withColumns({
         "start": F.coalesce(lower, dates.instant(FIRST)), "end": F.coalesce(upper, dates.instant(LAST))}).where("start < end")
     ranked = spans.select(*TARGET, *PRICED, "start", "end", F.explode(F.array("start", "end")).alias("at")).withColumn(
-        "rank", F.dense_rank().over(Window.partitionBy(*TARGET).orderBy("at")) - 1)
-    placed = ranked.groupBy(*TARGET, *PRICED, "start", "end").agg(F.min("rank").alias("l"), F.max("rank").alias("r")).drop("start", "end")
-    level = F.explode(F.sequence(F.lit(0), F.lit(31)))
+        "rank", F.dense_rank().over(Window.partitionBy(*TARGET).orderBy("at")) - 1).withColumn(
+        "top", F.length(F.bin(F.max("rank").over(Window.partitionBy(*TARGET)))))
+    placed = ranked.groupBy(*TARGET, *PRICED, "start", "end", "top").agg(F.min("rank").alias("l"), F.max("rank").alias("r")).drop("start", "end")
+    level = F.explode(F.sequence(F.lit(0), F.col("top")))
     sides = placed.withColumn("level", level).withColumns({
         "l": F.expr("shiftright(l + shiftleft(1L, level) - 1, level)"), "r": F.expr("shiftright(CAST(r AS BIGINT), level)")}).where("l < r")
     node = F.explode(F.array_compact(F.array(F.when(F.col("l") % 2 == 1, F.col("l")), F.when(F.col("r") % 2 == 1, F.col("r") - 1))))
-    nodes = _unbeaten(sides.withColumn("node", node).drop("l", "r"), [*TARGET, "level", "node"])
+    nodes = _unbeaten(sides.withColumn("node", node).drop("l", "r", "top"), [*TARGET, "level", "node"])
 
     by_rank = Window.partitionBy(*TARGET).orderBy("rank")
-    leaves = ranked.groupBy(*TARGET, "rank").agg(F.min("at").alias("start")).withColumn("end", F.lead("start").over(by_rank)).where("end IS NOT NULL")
+    leaves = ranked.groupBy(*TARGET, "rank", "top").agg(F.min("at").alias("start")).withColumn("end", F.lead("start").over(by_rank)).where("end IS NOT NULL")
     above = leaves.withColumn("level", level).withColumn("node", F.expr("shiftright(CAST(rank AS BIGINT), level)"))
     held = _unbeaten(above.join(nodes, [*TARGET, "level", "node"]), [*TARGET, "start"])
     return held.groupBy(*TARGET, "start", "end").agg(F.collect_list(F.struct(*PRICED)).alias("offers"))
@@ -100,18 +102,18 @@ def promotion_at_order(items: DataFrame, promotions: DataFrame) -> DataFrame:
     equality, however many promotions are valid; items are neither multiplied nor grouped. Before the first and
     after the last bound nothing changes, so months out there share one row.
     """
-    intervals = offer_intervals(promotions)
-    edges = intervals.select(F.explode(F.array("start", "end")).alias("at")).where(
-        (F.col("at") > dates.instant(FIRST)) & (F.col("at") < dates.instant(LAST))).agg(
-            F.struct(F.coalesce(F.min(_month(F.col("at"))), F.lit(0)).alias("first"), F.coalesce(F.max(_month(F.col("at"))), F.lit(0)).alias("last")))
+    intervals = stored(offer_intervals(promotions), "intervals")  # read for each kind of target, and for its bounds
+    at = intervals.select(F.explode(F.array("start", "end")).alias("at")).where(
+        (F.col("at") > dates.instant(FIRST)) & (F.col("at") < dates.instant(LAST))).agg(F.min("at").alias("first"), F.max("at").alias("last")).first()
+    first, last = (x.year * 12 + x.month if x else 0 for x in at)
 
     def clipped(ts: str) -> Column:
-        return F.least(F.greatest(_month(F.col(ts)), F.col("edge.first") - 1), F.col("edge.last") + 1)
+        return F.least(F.greatest(_month(F.col(ts)), F.lit(first - 1)), F.lit(last + 1))
 
-    months = intervals.withColumn("edge", edges.scalar()).withColumn("month", F.explode(F.sequence(clipped("start"), clipped("end"))))
+    months = intervals.withColumn("month", F.explode(F.sequence(clipped("start"), clipped("end"))))
     by_month = months.groupBy(*TARGET, "month").agg(F.collect_list(F.struct("start", "end", "offers")).alias("spans"))
     bought = F.col("order_purchase_timestamp")
-    rows = items.withColumn("edge", edges.scalar()).withColumn("month", clipped("order_purchase_timestamp")).drop("edge")
+    rows = items.withColumn("month", clipped("order_purchase_timestamp"))
 
     def met(kind: str, key: str) -> Column:
         nonlocal rows
