@@ -15,6 +15,11 @@ from feira.llm.components import written
 from feira.session import tune
 
 
+# Bytes of a passage that counts as repeated: some forty words, so that passages of more than fifty are found
+# however short their words are.
+REPEATED = 200
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any language: null texts and texts without a letter, whatever was learned."""
     model = language_id.learn(docs.where(~language_id.held_out()))
@@ -28,17 +33,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts out every string of 400 bytes that also stands elsewhere in the corpus."""
-    return _measured(run_length_dedup.remove_repeats(docs))
+    """Cuts out every string of ``REPEATED`` bytes that also stands elsewhere in the corpus.
+
+    All rows stay: null and empty texts as they are, a text that is cut as a whole as an empty one.
+    """
+    return _measured(run_length_dedup.remove_repeats(docs, length=REPEATED))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts out every passage of ten words that a benchmark item holds."""
+    """Cuts out every passage of ten words that a benchmark item holds.
+
+    All rows stay: null and empty texts as they are, a text that is cut as a whole as an empty one.
+    """
     return _measured(fm_decontam.remove_phrases(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text that is left, as digest, with what they decode to."""
+    """Token ids of each text that is left, as digest, with what they decode to; null and empty texts have none."""
     return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
