@@ -51,7 +51,7 @@ def brute_pipeline(rows, items, language):
     rows = [r for r in rows if r[0] in kept]
     texts = [r[1].encode() for r in rows]
     cut = []
-    for t, spans in zip(texts, cases.repeated(texts, 400)):
+    for t, spans in zip(texts, cases.repeated(texts, corpus_pipeline.REPEATED)):
         whole = []
         for a, b in spans:
             while a < b and t[a] & 0xC0 == 0x80:
