@@ -9,10 +9,12 @@
 3. Sets with the same first shared shingle and about the same size form a group, large ones several blocks of bounded size with
    some common members (hubs). Within a block all sets are compared; each gets the label of its connected
    part, and parts that hold the same hub share one label.
-4. A set then queries the blocks of other labels. The matrix of shingles and blocks tells which blocks
-   have one of its rare prefix shingles and members of a fitting size. Such a block travels with the union
-   of its members' shingles: if too little of the query lies in it, no member can be similar and the block
-   stays closed. Only opened blocks are compared set by set.
+4. Sets that share rare shingles with other labels are grouped anew, by the shingles that they have exactly in
+   common with the same other sets (a kind, such as a passage) and by size, and query the blocks of other labels.
+   The matrix of kinds and blocks tells which blocks hold one of the rarest kinds of the query, as many as a similar
+   set can't do without, and members of a fitting size. Such a block travels with the union of its members'
+   shingles: if too little of the query lies in it, no member can be similar and the block stays closed. Only
+   opened blocks are compared set by set.
 5. Links between labels are closed to components.
 
 No step lists all pairs of a group: a block gives each member one label, and shingles whose sets all have
@@ -177,6 +179,15 @@ def _prefix_tokens(batches):
                 names=["token", "sig"])
 
 
+def _each_token(batches):
+    """(sig, token) of whole sets."""
+    for batch in batches:
+        blobs = [np.frombuffer(t, np.int64) for t in batch.column(1).to_pylist()]
+        if blobs:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(0).to_numpy(), [len(b) for b in blobs])), pa.array(np.concatenate(blobs))], names=["sig", "token"])
+
+
 def _shared_only(batches):
     """Of rows sorted by token and sig, those whose token belongs to several sets, with the number of these.
 
@@ -385,33 +396,49 @@ def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK
         "sig", F.coalesce("root", "l").alias("label"))
     labels = written(labels, "labels")
 
-    # Queries of sets to blocks with other labels, by the shingles that join several labels. Of two labels
-    # the one with fewer sets asks, so a large group is asked by its few neighbours and not the other way.
-    known = placed.select("sig", "n", "block").join(labels, "sig")
-    crowd = labels.groupBy("label").agg(F.count("*").alias("crowd"))
-    known = written(known.join(crowd, "label").select("sig", "n", "block", "label", F.struct("crowd", "label").alias("rank")), "known")
-    looked_up = posted.select("sig", "token").join(known, "sig")
+    # Sets whose rare prefix shingles join several labels go on with all their shingles, each set once.
+    looked_up = posted.select("sig", "token").join(labels, "sig")
     mixed = looked_up.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    open_rows = written(looked_up.join(mixed, "token"), "mixed")
-    # Shingles that lie in the same blocks are of one kind: a set asks once for all of a kind.
-    blocks = open_rows.groupBy("token", "block").agg(
-        F.max("rank").alias("other"), F.min("n").alias("least"), F.max("n").alias("most"))
-    kinds = blocks.groupBy("token").agg(
-        F.xxhash64(F.bit_xor(F.xxhash64("block")), F.bit_xor(F.xxhash64(F.lit(1), "block")), F.count("*")).alias("kind"))
-    kind_blocks = blocks.join(kinds, "token").groupBy("kind", "block").agg(
-        F.max("other").alias("other"), F.min("least").alias("least"), F.max("most").alias("most"))
-    asks = open_rows.join(kinds, "token").select("kind", "sig", "label", "rank", "n").distinct()
-    asked = written(asks.join(kind_blocks, "kind").where(
+    crowd = labels.groupBy("label").agg(F.count("*").alias("crowd"))
+    met = looked_up.join(mixed, "token").select("sig").distinct()
+    known = written(placed.select("sig", "n").join(met, "sig").join(labels, "sig").join(crowd, "label").select(
+        "sig", "n", "label", F.struct("crowd", "label").alias("rank")), "known")
+    own_sets = written(sets_of.join(met, "sig", "left_semi").dropDuplicates(["sig"]), "own")
+    rows = written(own_sets.mapInArrow(tidy(_each_token), "sig long, token long"), "rows")
+
+    # Shingles that lie in the same sets, such as those of one passage, are of one kind. Sets of different labels
+    # can have in common only what joins labels; of that, in any common order, the first shingle that two similar
+    # sets share has all others they share behind it. So a set with too few drops out, and one asks, and is asked, by its
+    # rarest kinds only.
+    kinds = rows.join(known.select("sig", "label"), "sig").groupBy("token").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("spread"),
+        F.xxhash64(F.bit_xor(F.xxhash64("sig")), F.bit_xor(F.xxhash64(F.lit(1), "sig")), F.count("*")).alias("kind")).where(
+        "lo <> hi").groupBy("kind").agg(F.min("token").alias("token"), F.count("*").alias("tokens"), F.max("spread").alias("spread"))
+    by_set = Window.partitionBy("sig")
+    earlier = by_set.orderBy("spread", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.expr(f"({SIMILAR} * n + 99) div 100")
+    held = rows.join(kinds, "token").join(known, "sig").withColumns({
+        "met": F.sum("tokens").over(by_set), "before": F.coalesce(F.sum("tokens").over(earlier), F.lit(0)),
+        "main": F.max(F.struct("tokens", "kind")).over(by_set)}).where((F.col("met") >= share) & (F.col("before") <= F.col("met") - share))
+    held = held.select("sig", "n", "label", "rank", "kind", F.xxhash64("main.kind", F.floor(F.log(F.col("n")) / float(np.log(100 / SIMILAR)))).alias("family"))
+    # Sets with the same largest kind and about the same size are the blocks that are asked.
+    families = held.select("sig", "n", "family").distinct().groupBy("family").agg(F.greatest(
+        F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") * 8 / block_bytes)).cast("long").alias("blocks"))
+    held = written(held.join(families, "family").withColumn("block", F.xxhash64(
+        "family", F.pmod(F.xxhash64("sig"), "blocks"))).drop("family", "blocks"), "held")
+    # Of two labels the one with fewer sets asks, so a large group is asked by its few neighbours and not the other way.
+    kind_blocks = held.groupBy("kind", "block").agg(F.max("rank").alias("other"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asked = written(held.select("kind", "sig", "label", "rank", "n").join(kind_blocks, "kind").where(
         (F.col("rank") < F.col("other")) & (F.col("most") * 100 >= F.col("n") * SIMILAR)
         & (F.col("least") * SIMILAR <= F.col("n") * 100)).select("block", "sig", "label", "n").distinct(), "asked")
     load = asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).alias("chunks"))
     queries = asked.join(load, "block").select(
         "block", "sig", "label", F.pmod(F.xxhash64("sig"), "chunks").cast("int").alias("chunk"), F.lit(True).alias("asks"))
-    opened = known.join(load, "block").select(
+    opened = held.select("block", "sig", "label").distinct().join(load, "block").select(
         "block", "sig", "label", F.explode(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int"))).alias("chunk"),
         F.lit(False).alias("asks"))
     moved = asked.agg(F.sum("n") * 8).first()[0] or 0
-    second = queries.union(opened).join(sets_of, "sig").withColumn("block", F.xxhash64("block", "chunk")).withColumn(
+    second = queries.union(opened).join(own_sets, "sig").withColumn("block", F.xxhash64("block", "chunk")).withColumn(
         "cell", F.pmod("block", F.lit(parts_for(moved + 1, CELL_BYTES // 2))))
     links = second.groupBy("cell").applyInArrow(
         tidy_group(lambda t: _each_block(t, _query_block, ["a", "b"], [pa.int64(), pa.int64()])), "a long, b long")
