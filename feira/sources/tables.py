@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -68,9 +68,9 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
 
 def _buckets_between(start: datetime, end: datetime) -> set[str]:
     """Every bucket that may hold an instant in [start, end), whenever the table was written."""
-    months = range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
-    monthly = {f"order_{m // 12}_{m % 12 + 1:02d}" for m in months}
-    return monthly | {f"order_{y}" for y in range(start.year, end.year + 1)} | {DEFAULT_BUCKET}
+    last = end - timedelta(microseconds=1)
+    monthly = {f"order_{m // 12}_{m % 12 + 1:02d}" for m in range(_month_number(start), _month_number(last) + 1)}
+    return monthly | {f"order_{y}" for y in range(start.year, last.year + 1)} | {DEFAULT_BUCKET}
 
 
 def scan_orders(spark: SparkSession, path: str, start: datetime, end: datetime) -> DataFrame:

@@ -11,7 +11,7 @@ from feira.sources import tables
 from tests.conftest import SMALL
 
 # Running these queries writes files, so only their results are checked, elsewhere.
-WRITERS = ("a1_", "a6_", "a9_", "a11_", "a12_", "b19_orders_in", "i1_stream", "d12_stream", "i3_stream", "i5_", "i6_stream",
+WRITERS = ("d1_refreshed", "d3_refreshed", "c12_", "a1_", "a6_", "a9_", "a11_", "a12_", "b19_orders_in", "i1_stream", "d12_stream", "i3_stream", "i5_", "i6_stream",
            "i8_", "i9_", "i10_")
 
 
