@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feira.functions import geo
 from feira.operators.sorting import top_k_per_group
+from feira.session import tasks
 
 # Each level halves the cell size: 13 levels reach from 50 km down to about 12 m.
 LEVELS = 13
 SLACK = 1 + 1e-9
+# Rows of one point that go together, and pairs of rows that one share of a cell tries.
+BUNDLE = 500
+MOST_PAIRS = 20_000_000
 
 
 def _reach(km: float, level: Column) -> Column:
@@ -72,17 +76,40 @@ def _safe_level(km: float) -> Column:
     return F.greatest(F.least(level, F.lit(LEVELS - 1)), F.lit(0))
 
 
-def pairs_within(left: DataFrame, left_geo: str, right: DataFrame, right_geo: str, km: float) -> DataFrame:
-    """All pairs of rows at most ``km`` apart, with ``distance_km``.
+def _bundles(df: DataFrame, place: str, rows: str) -> DataFrame:
+    """One row per point, or per slice of a crowded one, that holds its rows, some ``BUNDLE`` at most, as an array."""
+    placed = df.where(F.col(place).isNotNull()).select(F.col(place), F.struct("*").alias("row"))
+    sizes = placed.groupBy(place).agg(F.ceil(F.count("*") / BUNDLE).alias("slices"))
+    sliced = placed.join(sizes, place).withColumn("slice", F.pmod(F.xxhash64("row"), F.col("slices")))
+    # Input that is already partitioned by point alone would keep all slices of a point in one task.
+    return (sliced.repartition(place, "slice").groupBy(place, "slice").agg(F.collect_list("row").alias(rows))
+            .select(F.col(place).alias(f"{rows}_at"), "slice", rows))
 
-    The right side, taken to be the smaller, is repeated for the neighbouring cells.
+
+def pairs_within(left: DataFrame, left_geo: str, right: DataFrame, right_geo: str, km: float,
+                 digits: int | None = None) -> DataFrame:
+    """All pairs of rows at most ``km`` apart, with ``distance_km``, rounded to ``digits`` where given.
+
+    Rows at one point share their distances: points meet on the grid, and only pairs of points that are near are
+    opened to pairs of rows, in the same task, so no pair is shuffled. The right side, taken to be the smaller, is
+    repeated for the neighbouring cells. A cell is cut into shares by its pairs of rows, and left points are dealt
+    to the shares, since its bytes say little about the pairs that it lists.
     """
-    base = F.lit(0).alias("level")
-    near = _with_own_cell(left.where(F.col(left_geo).isNotNull()).select("*", base), left_geo, km)
-    spread = _with_near_cells(right.where(F.col(right_geo).isNotNull()).select("*", base), right_geo, km)
-    joined = near.join(spread, ["level", "band", "cell"])
-    distance = geo.distance_km(F.col(left_geo), F.col(right_geo))
-    return joined.withColumn("distance_km", distance).where(F.col("distance_km") <= km).drop("level", "band", "cell")
+    cell, base = ["level", "band", "cell"], F.lit(0).alias("level")
+    near = _with_own_cell(_bundles(left, left_geo, "_left").select("*", base), "_left_at", km)
+    around = _with_near_cells(_bundles(right, right_geo, "_right").drop("slice").select("*", base), "_right_at", km)
+    sizes = near.groupBy(*cell).agg(F.sum(F.size("_left")).alias("n")).join(
+        around.groupBy(*cell).agg(F.sum(F.size("_right")).alias("m")), cell)
+    shares = sizes.select(*cell, F.least(F.ceil(F.col("n") * F.col("m") / MOST_PAIRS), F.col("n")).cast("int").alias("shares"))
+    dealt = near.join(shares, cell).withColumn("share", F.pmod(F.xxhash64("_left_at", "slice"), F.col("shares")).cast("int")).drop("shares")
+    spread = around.join(shares, cell).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    keys = [*cell, "share"]
+    joined = dealt.repartition(tasks(left.sparkSession), *keys).join(spread.repartition(tasks(left.sparkSession), *keys), keys)
+    found = joined.withColumn("distance_km", geo.distance_km(F.col("_left_at"), F.col("_right_at"))).where(F.col("distance_km") <= km)
+    if digits is not None:
+        found = found.withColumn("distance_km", F.round("distance_km", digits))
+    opened = found.select(F.explode("_left").alias("_l"), "_right", "distance_km")
+    return opened.select("_l", F.explode("_right").alias("_r"), "distance_km").select("_l.*", "_r.*", "distance_km")
 
 
 def nearest_within(

@@ -53,8 +53,9 @@ SELECT customer_unique_id, seller_id, round(d, 3) AS distance_km
 FROM (SELECT c.customer_unique_id, s.seller_id, {km('c', 's')} AS d FROM d_customer c CROSS JOIN d_seller s) t
 WHERE d <= 200""")
 def c5_pairs(m):
-    pairs = spatial.pairs_within(m.customer_geo, "customer_geo", m.seller_geo, "seller_geo", 200)
-    return pairs.select("customer_unique_id", "seller_id", F.round("distance_km", 3).alias("distance_km"))
+    customers, sellers = m.customer_geo.select("customer_unique_id", "customer_geo"), m.seller_geo.select("seller_id", "seller_geo")
+    pairs = spatial.pairs_within(customers, "customer_geo", sellers, "seller_geo", 200, digits=3)
+    return pairs.select("customer_unique_id", "seller_id", "distance_km")
 
 
 LOOKED_UP = """(SELECT geolocation_zip_code_prefix AS zip, arg_min(geolocation_lng, geolocation_id) AS lng,
