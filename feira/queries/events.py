@@ -10,6 +10,7 @@ from feira.sources import tables
 from feira.sources.domain import order_rows, order_versions, session_events
 from feira.streaming import buckets, sync
 from feira.queries.exploration import TRANSITIONS
+from feira.queries.turns import run_turns
 
 NOW = "2024-07-10 00:00:00"
 
@@ -44,13 +45,10 @@ def i1_crowded(m):
         keys, ["session_id", "bucket_hour", "slot"])
 
 
-def late_events(m):
-    """The events as a stream of several batches in which a third of the rows comes last, whatever their time."""
-    path = scratch_path(m.spark, "late")
+def late_turns(m):
+    """The events in three turns; a third of the rows comes last, whatever their time."""
     parts = m.session_event.withColumn("turn", F.pmod(F.col("event_id") * 7, F.lit(3)))
-    for turn in (2, 0, 1):
-        parts.where(F.col("turn") == turn).drop("turn").coalesce(1).write.mode("append").parquet(path)
-    return m.spark.readStream.schema(m.session_event.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return [parts.where(F.col("turn") == turn).drop("turn") for turn in (2, 0, 1)]
 
 
 @query("i1_stream_buckets", BUCKET_SQL)
@@ -74,9 +72,7 @@ def d12(m):
 @query("d12_stream_bucket_facts", FACTS)
 def d12_stream(m):
     """Buckets filled by a stream with late events; all of them land."""
-    path = scratch_path(m.spark, "facts")
-    buckets.stream_bucket_facts(late_events(m), f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    return buckets.read_bucket_facts(m.spark, f"{path}/log")
+    return buckets.read_bucket_facts(m.spark, run_turns(m.spark, late_turns(m), "facts", buckets.stream_bucket_facts))
 
 
 @query("b2_event_types", "SELECT session_id, bucket_hour, types FROM d_bucket")
@@ -143,9 +139,8 @@ def i3(m):
 @query("i3_stream_sessions", SESSIONS + "SELECT * FROM visit")
 def i3_stream(m):
     """Sessions of a stream with late events, which may extend or join earlier sessions."""
-    path = scratch_path(m.spark, "sessions")
-    buckets.stream_sessions(late_events(m), f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    return buckets.read_sessions(m.spark, f"{path}/log").select(*VISIT)
+    path = run_turns(m.spark, late_turns(m), "sessions", buckets.stream_sessions)
+    return buckets.read_sessions(m.spark, path).select(*VISIT)
 
 
 @query("i4_retained_events", f"""
@@ -264,13 +259,10 @@ def i8(m):
 @query("i8_late_versions", TRANSITIONS + "SELECT * FROM log")
 def i8_late(m):
     """Versions in reverse order of their steps, one batch each: late ones are logged like all others."""
-    path = scratch_path(m.spark, "status")
     rows = order_versions(m.order)
-    for step in sorted((r[0] for r in rows.select("step").distinct().collect()), reverse=True):  # a handful of statuses
-        rows.where(F.col("step") == step).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = m.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    sync.log_status_changes(stream, f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    return sync.read_status_log(m.spark, f"{path}/log")
+    steps = sorted((r[0] for r in rows.select("step").distinct().collect()), reverse=True)  # a handful of statuses
+    turns = (rows.where(F.col("step") == step) for step in steps)
+    return sync.read_status_log(m.spark, run_turns(m.spark, turns, "status", sync.log_status_changes))
 
 
 @query("i9_incremental_batches", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events FROM d_event")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feira.functions import dates
@@ -130,7 +130,7 @@ def log_status_changes(versions: DataFrame, path: str, checkpoint: str) -> Strea
     """Status log of a stream of order versions; late versions are logged like all others.
 
     A batch leaves the whole history of the orders it touches, which is a handful of versions each:
-    those logged before and its own. Only the purchase months present in the batch are read, whose
+    those logged before and its own, brought together by one shuffle. Only the purchase months present in the batch are read, whose
     number is bounded by the calendar. Reading takes the newest history of an order. A batch that is
     run again replaces its lines and ignores lines of later batches.
     """
@@ -140,10 +140,13 @@ def log_status_changes(versions: DataFrame, path: str, checkpoint: str) -> Strea
         columns = ["order_id", "order_purchase_timestamp", "order_status", "changed_at", "step"]
         batch = batch.select(*columns, month.alias("order_month"))
         months = [r[0] for r in batch.select("order_month").distinct().collect()]
-        before = _log(spark, path, {str(month) for month in months}).where(F.col("batch_id") < batch_id)
-        known = _newest(before).join(batch.select("order_id").distinct(), "order_id", "left_semi").select(
-            "order_id", "order_purchase_timestamp", F.col("to_status").alias("order_status"), "changed_at", "step")
-        linked = with_previous_status(known.unionByName(batch.select(*columns)).distinct())
+        before = _log(spark, path, {str(month) for month in months}).where(
+            F.col("order_id").isNotNull() & (F.col("batch_id") < batch_id)).withColumnRenamed("to_status", "order_status")
+        rows = before.select(*columns, "batch_id").unionByName(batch.select(*columns, F.lit(batch_id).cast("long").alias("batch_id")))
+        by_order, number = Window.partitionBy("order_id"), F.col("batch_id")
+        marked = rows.withColumns({"last": F.max(F.when(number < batch_id, number)).over(by_order), "newest": F.max(number).over(by_order)})
+        history = marked.where((F.col("newest") == batch_id) & ((number == batch_id) | (number == F.col("last"))))
+        linked = with_previous_status(history.select(*columns).distinct())
         log = linked.select("order_id", "order_purchase_timestamp", "from_status", F.col("order_status").alias("to_status"),
                             "changed_at", "step", month.alias("order_month"))
         append_batch(log, path, batch_id, checkpoint, "order_month")
@@ -164,8 +167,8 @@ def _log(spark: SparkSession, path: str, months: set[str] | None = None) -> Data
 
 def _newest(log: DataFrame) -> DataFrame:
     """The lines of the last batch that touched each order."""
-    last = log.groupBy("order_id").agg(F.max("batch_id").alias("batch_id"))
-    return log.join(last, ["order_id", "batch_id"])
+    last = F.max("batch_id").over(Window.partitionBy("order_id"))
+    return log.where(F.col("order_id").isNotNull()).withColumn("last", last).where(F.col("batch_id") == F.col("last")).drop("last")
 
 
 def read_status_log(spark: SparkSession, path: str) -> DataFrame:
