@@ -7,8 +7,9 @@ from feira.operators import aggregates, joins, search
 from feira.operators.sorting import top_k_per_group
 from feira.plans import catalog, delivery, promotions
 from feira.queries.registry import query
+from feira.queries.turns import run_turns
 from feira.queries.views import AS_OF
-from feira.session import scratch_path
+from feira.session import stored
 from feira.streaming import sync
 
 
@@ -119,13 +120,10 @@ def d9_seller(m):
 @query("d9_incremental_ratings", rating_sql("product_id"))
 def d9_incremental(m):
     """Reviews in three batches, each added up for itself and merged when read."""
-    path = scratch_path(m.spark, "ratings")
-    reviews = m.review_doc.select("product_id", "score", F.pmod(F.xxhash64("review_id"), F.lit(3)).alias("turn"))
-    for turn in range(3):
-        reviews.where(F.col("turn") == turn).drop("turn").coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = m.spark.readStream.schema(reviews.drop("turn").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    sync.stream_ratings(stream, "product_id", f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    return sync.read_ratings(m.spark, f"{path}/log", "product_id")
+    reviews = stored(m.review_doc.select("product_id", "score", F.pmod(F.xxhash64("review_id"), F.lit(3)).alias("turn")), "reviews")
+    turns = (reviews.where(F.col("turn") == turn).drop("turn") for turn in range(3))
+    path = run_turns(m.spark, turns, "ratings", lambda stream, log, checkpoint: sync.stream_ratings(stream, "product_id", log, checkpoint))
+    return sync.read_ratings(m.spark, path, "product_id")
 
 
 @query("d10_seller_performance", """
