@@ -9,6 +9,7 @@ from feira.operators import quality
 from feira.operators.validators import compile_validator, rule_names
 from feira.queries.registry import query
 from feira.schemas import VALIDATORS
+from feira.session import tasks
 from feira.streaming import buckets
 
 DAY = '{"$date":"2024-03-01T10:00:00Z"}'
@@ -81,7 +82,7 @@ def raw_documents(rows: DataFrame, kind: str, members: dict[str, Column]) -> Dat
 
 
 def report(rows: DataFrame, kind: str, members: dict[str, Column]) -> DataFrame:
-    documents = raw_documents(rows, kind, members)
+    documents = raw_documents(rows.repartition(tasks(rows.sparkSession)), kind, members)
     return quality.check_rules(documents, compile_validator(VALIDATORS[kind], F.col("document")), "key")
 
 
