@@ -11,7 +11,7 @@ from feira.queries.events import LATEST, product_changes
 from feira.queries.registry import query
 from feira.queries.sales import monthly_sales
 from feira.queries.views import AS_OF
-from feira.session import scratch_path
+from feira.session import scratch_path, stored
 from feira.sources import files, rejects, tables
 
 MOMENT = datetime(2001, 8, 2)
@@ -213,7 +213,7 @@ def a11(m):
 @query("a12_refreshed_summary", "SELECT * FROM d_sales")
 def a12(m):
     path, key = scratch_path(m.spark, "summary"), ["category_id", "sales_month"]
-    sales = monthly_sales(m)
+    sales = stored(monthly_sales(m), "sales")
     tables.refresh_summary(sales.limit(1), path, key)
     tables.refresh_summary(sales, path, key)
     return tables.read_summary(m.spark, path)
