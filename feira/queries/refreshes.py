@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feira.plans import sales
 from feira.queries.registry import query
-from feira.session import scratch_path
+from feira.session import scratch_path, stored
 from feira.sources import tables
 
 # Orders and items of these months come late; everything else is there from the start.
@@ -24,18 +24,24 @@ def _late(ts: str = "order_purchase_timestamp"):
 
 
 class Store:
-    """Orders and items by bucket: at first without half of the late ones, of which some have another status."""
+    """Orders and items by bucket: at first without half of the late ones, of which some have another status.
+
+    What comes late replaces the partitions of its months; the others stay as they are. Items are numbered and
+    stamped once.
+    """
 
     def __init__(self, m):
-        self.m, self.path = m, scratch_path(m.spark, "store")
+        self.m, self.path, self.items = m, scratch_path(m.spark, "store"), stored(m.stamped_item, "items")
         half = F.pmod(F.col("order_id").cast("long"), F.lit(2)) == 0
+        early = F.coalesce(~_late(), F.lit(True)) | half
         stale = F.when(_late(), F.lit("created")).otherwise(F.col("order_status"))
-        tables.write_orders(m.order.where(~_late() | half).withColumn("order_status", stale), f"{self.path}/orders", m.now)
-        tables.write_orders(m.stamped_item.where(~_late() | half), f"{self.path}/items", m.now)
+        tables.write_orders(m.order.where(early).withColumn("order_status", stale), f"{self.path}/orders", m.now)
+        tables.write_orders(self.items.where(early), f"{self.path}/items", m.now)
 
     def complete(self):
-        for name, rows in (("orders", self.m.order), ("items", self.m.stamped_item)):
-            tables.write_orders(rows, f"{self.path}/{name}", self.m.now)
+        first, last = _bounds(*CHANGED[0])[0], _bounds(*CHANGED[-1])[1]
+        for name, rows in (("orders", self.m.order), ("items", self.items)):
+            tables.replace_orders(rows, f"{self.path}/{name}", self.m.now, first, last)
 
     def scan(self, start=START, end=END):
         return [tables.scan_orders(self.m.spark, f"{self.path}/{name}", start, end).drop("order_bucket") for name in ("orders", "items")]
@@ -44,9 +50,7 @@ class Store:
 def _refreshed(m, work, key: list[str]):
     """The summary from the first store, then refreshed month by month from the complete one."""
     store, path = Store(m), scratch_path(m.spark, "summary")
-    first = work(*store.scan())
-    months = [r[0] for r in first.select("sales_month").distinct().collect()]  # as many as the calendar has
-    tables.refresh_parts(first, path, key, "sales_month", months)
+    tables.refresh_parts(work(*store.scan()), path, key, "sales_month")
     store.complete()
     for year, month in CHANGED:
         tables.refresh_parts(work(*store.scan(*_bounds(year, month))), path, key, "sales_month", [date(year, month, 1)])

@@ -19,6 +19,12 @@ PROMOTIONS = [
     ("P4", "history", "10.00", None, "1996-01-01 00:00:00", "1999-01-01 00:00:00", 3),
 ]
 
+ITEM = [
+    "CAST(l_orderkey AS STRING) AS order_id", "order_item_id",
+    "concat('PROD_', l_partkey) AS product_id", "concat('SELL_', l_suppkey) AS seller_id",
+    "l_shipdate AS shipping_limit_date", "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+    "CAST(l_quantity AS DECIMAL(12,2)) AS freight_value"]
+
 
 class Marketplace:
     """Lazy frames over one folder; a query reads only the columns it uses."""
@@ -147,23 +153,22 @@ class Marketplace:
         return order_rows(self.raw("orders"))
 
     @cached_property
-    def order_item(self) -> DataFrame:
-        """Items; the number within the order stands for a stored column and is computed only where it is used."""
+    def _numbered_line(self) -> DataFrame:
         line = Window.partitionBy("l_orderkey").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
             "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-        numbered = self.raw("lineitem").withColumn("order_item_id", F.row_number().over(line))
-        return numbered.selectExpr(
-            "CAST(l_orderkey AS STRING) AS order_id", "order_item_id",
-            "concat('PROD_', l_partkey) AS product_id", "concat('SELL_', l_suppkey) AS seller_id",
-            "l_shipdate AS shipping_limit_date", "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
-            "CAST(l_quantity AS DECIMAL(12,2)) AS freight_value")
+        return self.raw("lineitem").withColumn("order_item_id", F.row_number().over(line))
+
+    @cached_property
+    def order_item(self) -> DataFrame:
+        """Items; the number within the order stands for a stored column and is computed only where it is used."""
+        return self._numbered_line.selectExpr(*ITEM)
 
     @cached_property
     def stamped_item(self) -> DataFrame:
-        """Items with the purchase instant of their order, as the item table stores it."""
-        stamps = self.order.select("order_id", "order_purchase_timestamp")
-        return self.order_item.join(stamps, "order_id")
+        """Items with the purchase instant of their order, as the item table stores it; joined by the key they are numbered by."""
+        stamps = self.order.select(F.col("order_id").cast("long").alias("l_orderkey"), "order_purchase_timestamp")
+        return self._numbered_line.join(stamps, "l_orderkey").selectExpr(*ITEM, "order_purchase_timestamp")
 
     @cached_property
     def payment(self) -> DataFrame:

@@ -61,6 +61,22 @@ def add_orders(orders: DataFrame, path: str, as_of: Column, hot_months: int = 12
     table.publish(lambda held: replace(held, schema=held.schema or rows.schema, parts=_joined(held.parts, staged)))
 
 
+def replace_orders(orders: DataFrame, path: str, as_of: Column, start: datetime, end: datetime, hot_months: int = 12) -> None:
+    """Publishes a version in which these orders stand for all that were bought in [start, end).
+
+    Only the partitions that can hold such orders are read and written; orders bought at other times are ignored.
+    """
+    table, bought, buckets = VersionedTable(orders.sparkSession, path), F.col(BOUGHT), _buckets_between(start, end)
+    inside = F.coalesce((bought >= dates.instant(str(start))) & (bought < dates.instant(str(end))), F.lit(False))
+    while True:
+        held = table.current()
+        moved = sorted(buckets & set(held.parts))
+        rest = table.read(held, parts=set(moved).__contains__).drop(BUCKET).where(~inside)
+        staged, _ = _stage_orders(table, rest.unionByName(orders.where(inside)), as_of, hot_months)
+        if _exchange(table, held, moved, staged):
+            return
+
+
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
     """All orders of the current version."""
     return VersionedTable(spark, path).read()
@@ -179,13 +195,15 @@ def refresh_summary(df: DataFrame, path: str, key: list[str]) -> int:
     return table.publish(lambda held: replace(held, schema=df.schema, parts=staged)).number
 
 
-def refresh_parts(df: DataFrame, path: str, key: list[str], by: str, values: list) -> int:
+def refresh_parts(df: DataFrame, path: str, key: list[str], by: str, values: list | None = None) -> int:
     """Publishes a version of a summary in which ``df`` stands for some values of its column ``by``; returns its number.
 
-    The other values keep their folders, which are neither read nor written. ``df`` holds rows of these values only.
+    The other values keep their folders, which are neither read nor written. ``df`` holds rows of these values only;
+    without ``values`` it stands for those that it has rows of.
     """
-    table, wanted = VersionedTable(df.sparkSession, path), {str(v) for v in values}
+    table = VersionedTable(df.sparkSession, path)
     staged = table.stage(df, by)
+    wanted = set(staged) if values is None else {str(v) for v in values}
     if stray := sorted(set(staged) - wanted):
         raise ValueError(f"rows of other values of {by}: {stray}")
     report = key_report(table.read(Version(schema=df.schema, parts=staged)), key).first()
