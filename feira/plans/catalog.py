@@ -28,16 +28,16 @@ def product_catalog(
 ) -> DataFrame:
     """One document per product with category, seller, price, promotion and rating."""
     return catalog_documents(
-        products, categories, sellers, sold_by_seller(items), promotions,
+        products, categories, sellers, main_sellers(sold_by_seller(items)), promotions,
         ratings(reviews.where(F.col("review_type") == "product"), "product_id"),
         ratings(reviews.where(F.col("review_type") == "seller"), "seller_id"), as_of)
 
 
 def catalog_documents(
-    products: DataFrame, categories: DataFrame, sellers: DataFrame, sold: DataFrame, promotions: DataFrame,
+    products: DataFrame, categories: DataFrame, sellers: DataFrame, mains: DataFrame, promotions: DataFrame,
     by_product: DataFrame, by_seller: DataFrame, as_of: Column,
 ) -> DataFrame:
-    """The catalogue from sums: items per product and seller, ratings per product and per seller.
+    """The catalogue from what is known per key: the main seller of a product, ratings per product and per seller.
 
     Every side is reduced to one row per product (or is a dimension) before it is joined, so
     no join multiplies rows.
@@ -54,7 +54,7 @@ def catalog_documents(
         "category_id", F.struct(
             F.col("category_id").alias("id"), F.col("category_name").alias("name"),
             F.col("category_name_english").alias("name_english")).alias("category"))
-    placed = main_sellers(sold).join(shops, "seller_id").drop("seller_id")
+    placed = mains.join(shops, "seller_id").drop("seller_id")
     stars = F.create_map(*[x for s in range(1, 6) for x in (F.lit(str(s)), F.coalesce(f"score_{s}", F.lit(0)))])
     rating = F.struct(
         F.col("rating_avg").alias("avg"), F.coalesce("n_reviews", F.lit(0)).alias("count"), stars.alias("distribution"))

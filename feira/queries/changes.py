@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from feira.functions import dates
 from feira.queries.catalog import CATALOG, flat_documents
 from feira.queries.registry import query
-from feira.session import scratch_path
+from feira.session import scratch_path, stored, tasks
 from feira.sources.domain import AS_OF
 from feira.streaming import propagation
 from feira.streaming.propagation import as_changes
@@ -22,7 +22,8 @@ def change_turns(m) -> list[DataFrame]:
     """Changes in five turns that end in the tables as they are.
 
     First come old states and some products that will go; then new, missing, late and removed ones; at last
-    only the time moves on, to an instant at which promotions begin and end.
+    only the time moves on, to an instant at which promotions begin and end. Tables that several turns are made
+    of are worked out once.
     """
     def at(day):
         return dates.instant(f"{day} 00:00:00")
@@ -31,12 +32,12 @@ def change_turns(m) -> list[DataFrame]:
         return as_changes(rows, source, at(day), removed)
 
     categories = m.category.select("category_id", "category_name", "category_name_english")
-    products = m.categorized_product.select(
+    products = stored(m.categorized_product.select(
         "product_id", "category_id", "name", "description", F.to_json("product_specifications").alias("product_specifications"),
-        "product_photos", "product_tags", "dimensions", "base_price")
+        "product_photos", "product_tags", "dimensions", "base_price").repartition(tasks(m.spark), "product_id"), "products")
     sellers = m.seller_geo.select("seller_id", "seller_city", "seller_state", "seller_geo")
-    items = m.order_item.select("order_id", "order_item_id", "product_id", "seller_id")
-    reviews = m.review_doc.select("review_id", "review_type", "product_id", "seller_id", "score", "order_id")
+    items = stored(m.order_item.select("order_id", "order_item_id", "product_id", "seller_id"), "items")
+    reviews = stored(m.review_doc.select("review_id", "review_type", "product_id", "seller_id", "score", "order_id"), "reviews")
     early_items, early_reviews = ~_every("order_id", 4, 1), ~_every("order_id", 5, 1)
     dearer = (F.col("base_price") + 1).cast("decimal(12,2)")
     gone = products.where(_every("product_id", 11)).withColumn("product_id", F.concat(F.lit("GONE_"), "product_id"))

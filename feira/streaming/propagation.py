@@ -4,7 +4,8 @@ A change is a row (source, removed, changed_at, after): the table's name, whethe
 changed, and its new state as JSON. A micro-batch leaves its changes in one log per source: versions of
 products, categories, sellers and promotions, and sums for what only grows, items and reviews. From the keys
 that changed follow the products whose documents may be different now, by joins in the direction opposite to
-the projection, and only these are projected again:
+the projection, and only these are projected again. The main seller is decided anew for products with new
+items only and kept in a log of its own, so no other batch goes through what was sold:
 
 * products themselves, with new items or new reviews;
 * products of changed categories, and products whose main seller has changed or has new reviews;
@@ -28,6 +29,7 @@ from feira.operators.aggregates import add_rating_parts, merge_ratings, rating_p
 from feira.operators.sets import latest_per_key, pick_per_key
 from feira.plans.catalog import catalog_documents, main_sellers, sold_by_seller
 from feira.plans.promotions import promotion_targets
+from feira.session import stored
 from feira.sources.tables import append_batch, has_batches, merge_log, read_log
 from feira.streaming.sync import run_available
 
@@ -94,12 +96,17 @@ class CatalogFeed:
         versions = versions if keys is None else versions.join(keys, key, "left_semi")
         return latest_per_key(versions, [key], ["changed_at"]).where("NOT removed").drop("changed_at", "removed")
 
-    def documents(self) -> DataFrame:
-        """Documents as they were before this batch."""
-        return _newest_documents(self.log("catalog").where(F.col("batch_id") < self.batch_id))
+    def documents(self, *columns: str) -> DataFrame:
+        """Some columns of the documents as they were before this batch."""
+        before = self.log("catalog").where(F.col("batch_id") < self.batch_id)
+        return _newest_documents(before.select("product_id", *columns, "removed", "batch_id"))
 
     def take_in(self, batch: DataFrame) -> set[str]:
-        """Leaves the changes of the batch in the logs of the sources it has changes of, and returns these."""
+        """Leaves the changes of the batch in the logs of the sources it has changes of, and returns these.
+
+        The batch is read once and dealt to a folder per source.
+        """
+        batch = stored(batch, "changes", by="source")
         found = {r["source"] for r in batch.select("source").distinct().collect()}  # names of tables
         new = not has_batches(self.spark, f"{self.path}/time")
         for source, (_, schema) in VERSIONED.items():
@@ -107,6 +114,7 @@ class CatalogFeed:
                 self.add(source, _states(batch, source, schema))
         if new or "item" in found:
             self.add("sold", sold_by_seller(_states(batch, "item", ITEM)))
+            self.add("main", main_sellers(self._sold_anew()).where("product_id IS NOT NULL"))
         if new or "review" in found:
             reviews = _states(batch, "review", REVIEW)
             for kind in ("product", "seller"):
@@ -129,15 +137,22 @@ class CatalogFeed:
         kinds = targets.where("target_kind = 'category'").select(F.col("target_id").cast("int").alias("category_id"))
         return targets.where("target_kind = 'product'").select(F.col("target_id").alias("product_id")).unionByName(self._of_categories(kinds))
 
-    def sold(self, products: DataFrame) -> DataFrame:
-        """Items per product and seller, of some products (product_id)."""
-        parts = self.log("sold").join(products, "product_id", "left_semi")
+    def _sold_anew(self) -> DataFrame:
+        """Items per product and seller, of products with items in this batch; of all where no main seller is known yet."""
+        parts = self.log("sold")
+        if has_batches(self.spark, f"{self.path}/main"):
+            parts = parts.join(self.touched("sold").select("product_id").distinct(), "product_id", "left_semi")
         return parts.groupBy("product_id", "seller_id").agg(F.sum("n_items").alias("n_items"))
 
+    def mains(self, products: DataFrame | None = None) -> DataFrame:
+        """The main seller of products with items (product_id, seller_id), of some products only where given."""
+        known = self.log("main")
+        known = known if products is None else known.join(products, "product_id", "left_semi")
+        return pick_per_key(known, ["product_id"], F.col("batch_id"), latest=True).drop("batch_id")
+
     def _of_sellers(self, sellers: DataFrame) -> DataFrame:
         """Products whose main seller is one of some (seller_id), whether the seller is known already or not."""
-        offered = self.log("sold").join(sellers, "seller_id", "left_semi").select("product_id")
-        return main_sellers(self.sold(offered)).join(sellers, "seller_id", "left_semi").select("product_id")
+        return self.mains().join(sellers, "seller_id", "left_semi").select("product_id")
 
     def affected(self, sources: set[str]) -> DataFrame:
         """product_id of every product whose document this batch, with changes of some sources, may change."""
@@ -153,20 +168,20 @@ class CatalogFeed:
             named.append(self._of_sellers(reduce(DataFrame.unionByName, changed)))
         if "promotion" in sources:
             offers = self.touched("promotion").select("promotion_id")
-            shown = self.documents().select("product_id", "active_promotion.promotion_id")
+            shown = self.documents("active_promotion").select("product_id", "active_promotion.promotion_id")
             named += [self._targets(self.newest("promotion", offers)), shown.join(offers, "promotion_id", "left_semi").select("product_id")]
         return reduce(DataFrame.unionByName, named).where("product_id IS NOT NULL").distinct()
 
     def project(self, products: DataFrame) -> DataFrame:
         """Documents of some products (product_id) as of now; products that are gone have only their id and ``removed``."""
         _, now = self.times()
-        sold = self.sold(products)
+        mains = self.mains(products)
         rows = self.newest("product", products).withColumn("product_specifications", semistructured.parse(F.col("product_specifications")))
         current = self.newest("promotion").where(C.period_contains(F.col("promotion_period"), now))
         made = catalog_documents(
-            rows, self.newest("category"), self.newest("seller"), sold, current,
+            rows, self.newest("category"), self.newest("seller"), mains, current,
             merge_ratings(self.log("product_rating").join(products, "product_id", "left_semi"), "product_id"),
-            merge_ratings(self.log("seller_rating").join(sold, "seller_id", "left_semi"), "seller_id"), now)
+            merge_ratings(self.log("seller_rating").join(mains, "seller_id", "left_semi"), "seller_id"), now)
         return products.join(made, "product_id", "left").withColumn("removed", F.col("sku").isNull())
 
 
@@ -200,6 +215,7 @@ def compact_feed(spark: SparkSession, path: str) -> None:
     for source, (key, _) in VERSIONED.items():
         merge_log(spark, f"{path}/{source}", lambda rows, key=key: latest_per_key(rows.drop("batch_id"), [key], ["changed_at"]))
     merge_log(spark, f"{path}/sold", lambda rows: rows.groupBy("product_id", "seller_id").agg(F.sum("n_items").alias("n_items")))
+    merge_log(spark, f"{path}/main", lambda rows: pick_per_key(rows, ["product_id"], F.col("batch_id"), latest=True).drop("batch_id"))
     for kind in ("product", "seller"):
         merge_log(spark, f"{path}/{kind}_rating", lambda rows, kind=kind: add_rating_parts(rows, f"{kind}_id"))
     merge_log(spark, f"{path}/time", lambda rows: rows.agg(F.max("at").alias("at")))

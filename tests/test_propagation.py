@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feira.functions import dates, semistructured
 from feira.plans.catalog import product_catalog
+from feira.session import stored
 from feira.sources.tables import read_log
 from feira.streaming import propagation
 from feira.streaming.propagation import ITEM, REVIEW, VERSIONED, as_changes
@@ -157,3 +158,27 @@ def test_only_touched_products_are_projected(shop, spark):
     feed = propagation.CatalogFeed(spark, f"{shop.path}/out", shop.turn - 1)
     text = feed.project(feed.touched("affected").select("product_id"))._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("LeftSemi") >= 4
+
+
+def test_main_sellers_are_decided_anew_for_products_with_new_items_only(shop, spark):
+    def mains():
+        rows = read_log(spark, f"{shop.path}/out/main").where(F.col("batch_id") == shop.turn - 1).collect()
+        return sorted((r.product_id, r.seller_id) for r in rows)
+
+    assert mains() == [("p0", "s0"), ("p1", "s0"), ("p2", "s1"), ("p3", "s1"), ("p5", "s9")]
+    shop.change("2024-01-03 00:00:00", item=[("g", 1, "p3", "s0"), ("g", 2, "p3", "s0"), ("g", 3, None, "s0"), ("h", 1, "p6", "s2")])
+    assert mains() == [("p3", "s0"), ("p6", "s2")]  # p3 has three items of s0 by now, two of s1
+    shop.change("2024-01-04 00:00:00", seller=[seller(0, "moved")], product=[product(1, 1)])
+    assert mains() == []
+    shop.agrees()
+    feed = propagation.CatalogFeed(spark, f"{shop.path}/out", shop.turn - 1)
+    plan = feed.project(feed.touched("affected").select("product_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "n_items" not in plan  # what was sold is not gone through
+
+
+def test_a_batch_is_dealt_to_folders_by_source(shop, spark):
+    rows = stored(propagation.clock(spark, shop.now).unionByName(as_changes(shop.frame("seller"), "seller", dates.instant(shop.now))), "test", by="source")
+    assert rows.columns == ["source", "removed", "changed_at", "after"]
+    assert sorted(r.source for r in rows.collect()) == ["clock", "seller", "seller", "seller"]
+    plan = rows.where("source = 'seller'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan
