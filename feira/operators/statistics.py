@@ -12,6 +12,7 @@ from feira.functions import dates
 from feira.operators.aggregates import value_counts
 from feira.operators.joins import delivered_with_review, item_flows
 from feira.operators.sorting import largest_margins
+from feira.session import stored
 
 
 MOST_SORTED = 100_000
@@ -85,7 +86,8 @@ def _values_at(values: DataFrame, ranks: list[int], total: int, accuracy: int, m
         v = F.col("v")
         held = sorted(held, key=lambda b: b.rank)
         places = F.array_compact(F.array(*[F.when(b.holds(v), F.lit(k)) for k, b in enumerate(held)]))
-        counts = values.select("v", F.explode(places).alias("bracket")).groupBy("bracket", "v").agg(F.count("*").alias("n"))
+        inside = values.where(reduce(Column.__or__, [b.holds(v) for b in held]))
+        counts = inside.select("v", F.explode(places).alias("bracket")).groupBy("bracket", "v").agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
         inner = F.get(F.array(*[F.lit(b.rank - b.before) for b in held]), F.col("bracket"))
         found = counts.withColumn("upto", upto).where(F.col("upto") > inner).groupBy("bracket").agg(F.min("v").alias("v")).collect()
@@ -101,23 +103,32 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], accu
     finds two values close around the rank, and a pass counts exactly what lies below, at and between them: either
     one of them has the rank, however often it occurs, or what lies between is the next bracket, a two hundred and
     fiftieth of the last. Then one pass ranks the distinct values inside the brackets, so no task sorts more than
-    ``most``. Values are never shuffled otherwise. All of it runs here; the result is a row per probability.
+    ``most``. Values are never shuffled otherwise. The table is read once, for a narrow copy that all passes go
+    over. All of it runs here; the result is a row per probability.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    return _quantiles(stored(_values(df, column), "values"), probabilities, accuracy, most)
+
+
+def _values(df: DataFrame, column: str) -> DataFrame:
+    return df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+
+
+def _quantiles(values: DataFrame, probabilities: list[float], accuracy: int = 10_000, most: int = MOST_SORTED) -> DataFrame:
     total = values.count()
     positions = {float(p): float(p) * (total - 1) for p in probabilities if total}
     at = _values_at(values, sorted({r for x in positions.values() for r in (floor(x), ceil(x))}), total, accuracy, most)
     rows = [(p, at[floor(x)] + (at[ceil(x)] - at[floor(x)]) * (x - floor(x))) for p, x in positions.items()]
-    return df.sparkSession.createDataFrame(rows, "probability double, value double")
+    return values.sparkSession.createDataFrame(rows, "probability double, value double")
 
 
 def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     """Quartiles, the bounds 1.5 interquartile ranges outside them, and what lies beyond."""
+    values = _values(df, column) if approx else stored(_values(df, column), "values")
     if approx:
         at = df.agg(F.percentile_approx(F.col(column).cast("double"), [0.25, 0.5, 0.75], 10_000).alias("q"))
         quartiles = at.select(*[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))])
     else:
-        rows = exact_quantiles(df, column, [0.25, 0.5, 0.75])
+        rows = _quantiles(values, [0.25, 0.5, 0.75])
         quartiles = rows.agg(*[
             F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n)
             for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
@@ -125,7 +136,6 @@ def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     bounds = quartiles.select(F.struct(
         "q1", "median", "q3", iqr.alias("iqr"), (F.col("q1") - 1.5 * iqr).alias("lower_bound"),
         (F.col("q3") + 1.5 * iqr).alias("upper_bound")))
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     marked = values.withColumn("b", bounds.scalar())
     beyond = F.count_if((F.col("v") < F.col("b.lower_bound")) | (F.col("v") > F.col("b.upper_bound")))
     summary = marked.agg(F.first("b").alias("b"), beyond.alias("outliers"), F.count("*").alias("n"))
@@ -138,7 +148,7 @@ def iqr_outliers(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in equal bins between minimum and maximum; the maximum belongs to the last bin."""
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    values = _values(df, column)
     span = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     placed = values.withColumn("s", span)
     width = (F.col("s.hi") - F.col("s.lo")) / F.lit(float(bins))
@@ -240,10 +250,10 @@ def origin_destination(
 ) -> DataFrame:
     """Items between the ``k`` largest seller states and customer states, zero where there are none.
 
-    The flow of states is aggregated first; margins, the target grid and the fill work on that.
+    The flow of states is aggregated here, once; margins, the target grid and the fill work on that.
     """
-    flows = item_flows(items, orders, customers, sellers).groupBy("seller_state", "customer_state").agg(
-        F.count("*").alias("n_items"))
+    flows = stored(item_flows(items, orders, customers, sellers).groupBy("seller_state", "customer_state").agg(
+        F.count("*").alias("n_items")), "flows")
     origins = largest_margins(flows, "seller_state", "n_items", k).select("seller_state")
     targets = largest_margins(flows, "customer_state", "n_items", k)
     names = targets.agg(F.collect_list("customer_state")).scalar()

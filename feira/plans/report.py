@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feira.operators import aggregates as A, statistics as S, timelines
+from feira.session import stored
 
 Tables = dict[str, DataFrame]
 
@@ -24,12 +25,13 @@ def quality_findings(t: Tables) -> Tables:
 
 
 def distribution_findings(t: Tables) -> Tables:
-    """Outliers and distributions of single variables."""
+    """Outliers and distributions of single variables, from narrow copies of the tables, as they take many passes."""
     variables = {"price": "items", "freight_value": "items", "payment_value": "payments",
                  "payment_installments": "payments"}
     bins = {"price": 80, "freight_value": 60, "payment_installments": 24}
-    found = {f"outliers_{v}": S.iqr_outliers(t[name], v) for v, name in variables.items()}
-    found.update({f"histogram_{v}": S.histogram(t[variables[v]], v, n) for v, n in bins.items()})
+    narrow = {name: stored(t[name].select(*[v for v, n in variables.items() if n == name]), "variables") for name in dict.fromkeys(variables.values())}
+    found = {f"outliers_{v}": S.iqr_outliers(narrow[name], v) for v, name in variables.items()}
+    found.update({f"histogram_{v}": S.histogram(narrow[variables[v]], v, n) for v, n in bins.items()})
     found["review_scores"] = A.value_counts(t["reviews"], "score")
     found["payment_types"] = A.value_shares(t["payments"], "payment_type")
     return found
