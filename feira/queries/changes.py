@@ -37,7 +37,7 @@ def change_turns(m) -> list[DataFrame]:
         "product_photos", "product_tags", "dimensions", "base_price").repartition(tasks(m.spark), "product_id"), "products")
     sellers = m.seller_geo.select("seller_id", "seller_city", "seller_state", "seller_geo")
     items = stored(m.order_item.select("order_id", "order_item_id", "product_id", "seller_id"), "items")
-    reviews = stored(m.review_doc.select("review_id", "review_type", "product_id", "seller_id", "score", "order_id"), "reviews")
+    reviews = stored(m.reviews_of(items).select("review_id", "review_type", "product_id", "seller_id", "score", "order_id"), "reviews")
     early_items, early_reviews = ~_every("order_id", 4, 1), ~_every("order_id", 5, 1)
     dearer = (F.col("base_price") + 1).cast("decimal(12,2)")
     gone = products.where(_every("product_id", 11)).withColumn("product_id", F.concat(F.lit("GONE_"), "product_id"))

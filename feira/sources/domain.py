@@ -190,8 +190,11 @@ class Marketplace:
 
     @cached_property
     def review_doc(self) -> DataFrame:
+        return self.reviews_of(self.order_item)
+
+    def reviews_of(self, items: DataFrame) -> DataFrame:
         """Reviews with the product, seller and customer of the first item of their order."""
-        first = self.order_item.where("order_item_id = 1").select("order_id", "product_id", "seller_id")
+        first = items.where("order_item_id = 1").select("order_id", "product_id", "seller_id")
         buyers = self.order.select("order_id", "customer_unique_id")
         return self.review.join(first, "order_id", "left").join(buyers, "order_id", "left")
 

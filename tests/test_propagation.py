@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feira.functions import dates, semistructured
 from feira.plans.catalog import product_catalog
+from feira.queries import changes
 from feira.session import stored
 from feira.sources.tables import read_log
 from feira.streaming import propagation
@@ -182,3 +183,16 @@ def test_a_batch_is_dealt_to_folders_by_source(shop, spark):
     assert sorted(r.source for r in rows.collect()) == ["clock", "seller", "seller", "seller"]
     plan = rows.where("source = 'seller'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
+
+
+def test_items_are_numbered_once_for_all_turns(market, monkeypatch):
+    plans = {}
+
+    def keep(frame, purpose, by=None):
+        plans[purpose] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return stored(frame, purpose, by)
+
+    monkeypatch.setattr(changes, "stored", keep)
+    turns = changes.change_turns(market)
+    assert sum("row_number" in p and "l_linenumber" in p for p in plans.values()) == 1
+    assert not any("l_linenumber" in t._jdf.queryExecution().optimizedPlan().toString() for t in turns)
