@@ -14,7 +14,7 @@
    The matrix of kinds and blocks tells which blocks hold one of the rarest kinds of the query, as many as a similar
    set can't do without, and members of a fitting size. Such a block travels with the union of its members'
    shingles: if too little of the query lies in it, no member can be similar and the block stays closed. Only
-   opened blocks are compared set by set.
+   opened blocks are compared with the query.
 5. Links between labels are closed to components.
 
 No step lists all pairs of a group: a block gives each member one label, and shingles whose sets all have
@@ -273,10 +273,16 @@ class Members:
                     label[m] = least
         return label
 
-    def open_for(self, x: np.ndarray) -> bool:
-        """Whether the union leaves room for a member similar to ``x``."""
+    def similar_to(self, x: np.ndarray) -> np.ndarray:
+        """Members similar to ``x``; if the union leaves no room for one, none is looked at."""
         at = np.minimum(np.searchsorted(self.union, x), len(self.union) - 1)
-        return int((self.union[at] == x).sum()) >= needed(len(x))
+        at = at[self.union[at] == x]
+        if len(at) < needed(len(x)):
+            return np.zeros(0, np.int64)
+        own = np.zeros(len(self.union), bool)
+        own[at] = True
+        both = np.bincount(self.member[own[self.column]], minlength=len(self.sets))
+        return np.flatnonzero(similar(both, len(x), self.sizes))
 
 
 def _each_block(table: pa.Table, work, names: list[str], kinds: list):
@@ -305,15 +311,9 @@ def _query_block(rows):
     block = Members([r["sig"] for r in members], [np.frombuffer(r["tokens"], np.int64) for r in members])
     found = set()
     for q in _unique([r for r in rows if r["asks"]]):
-        x = np.frombuffer(q["tokens"], np.int64)
-        if not block.open_for(x):
-            continue
-        for m, y in zip(members, block.sets):
-            pair = (m["label"], q["label"])
-            if m["label"] != q["label"] and pair not in found and needed(len(x)) <= len(y) and needed(len(y)) <= len(x):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if similar(both, len(x), len(y)):
-                    found.add(pair)
+        for k in block.similar_to(np.frombuffer(q["tokens"], np.int64)).tolist():
+            if members[k]["label"] != q["label"]:
+                found.add((members[k]["label"], q["label"]))
     yield from found
 
 
@@ -419,9 +419,11 @@ def _component_rows(docs: DataFrame, words: int = WORDS, block_sets: int = BLOCK
     share = F.expr(f"({SIMILAR} * n + 99) div 100")
     held = rows.join(kinds, "token").join(known, "sig").withColumns({
         "met": F.sum("tokens").over(by_set), "before": F.coalesce(F.sum("tokens").over(earlier), F.lit(0)),
-        "main": F.max(F.struct("tokens", "kind")).over(by_set)}).where((F.col("met") >= share) & (F.col("before") <= F.col("met") - share))
+        "main": F.max(F.struct(F.col("tokens") * F.col("spread"), "kind")).over(by_set)}).where((F.col("met") >= share) & (F.col("before") <= F.col("met") - share))
     held = held.select("sig", "n", "label", "rank", "kind", F.xxhash64("main.kind", F.floor(F.log(F.col("n")) / float(np.log(100 / SIMILAR)))).alias("family"))
-    # Sets with the same largest kind and about the same size are the blocks that are asked.
+    # Sets with the same main kind and about the same size are the blocks that are asked. The main kind is that with
+    # most postings, so many copies with edits of their own, whose kinds are single shingles, share few full blocks;
+    # by the largest kind each few of them had a block, and each asked nearly all of these by each of its kinds.
     families = held.select("sig", "n", "family").distinct().groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") * 8 / block_bytes)).cast("long").alias("blocks"))
     held = written(held.join(families, "family").withColumn("block", F.xxhash64(

@@ -223,3 +223,25 @@ def test_near_copies_that_share_an_id(spark, shared):
     rows += [rows[2]] * 30
     found = group_matrix_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), block_sets=8)
     assert got(found.select("key", "n_shingles", "component_id")) == sorted(cases.similar_components(rows), key=cases.sort_key)
+
+
+def test_copies_with_edits_of_their_own_share_blocks(spark, monkeypatch):
+    """Copies that are hardly similar to each other are asked in few blocks, not each pair in one of its own."""
+    pick = random.Random(11)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for at in pick.sample(range(len(words)), 7):
+            words[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(words + [f"p{k // 2}_{j}" for j in range(14)])))
+    kept = {}
+    write = group_matrix_join.written
+    monkeypatch.setattr(group_matrix_join, "written", lambda frame, name: kept.setdefault(name, write(frame, name)))
+    found = group_matrix_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(found.select("key", "n_shingles", "component_id")) == sorted(cases.similar_components(rows), key=cases.sort_key)
+    held, asked = kept["held"], kept["asked"]
+    sets = held.select("sig").distinct().count()
+    assert sets > 30
+    assert held.select("block").distinct().count() <= sets // 5
+    assert asked.count() <= sets * 8
