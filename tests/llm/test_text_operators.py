@@ -245,3 +245,28 @@ def test_copies_with_edits_of_their_own_share_blocks(spark, monkeypatch):
     assert sets > 30
     assert held.select("block").distinct().count() <= sets // 5
     assert asked.count() <= sets * 8
+
+
+def test_crowded_anchors_open_the_ends_of_passages_only(spark, monkeypatch):
+    """Strings of a crowded anchor have a row of their own only where slices differ behind a shared core."""
+    pick = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def noise(n):
+        return "".join(pick.choice(letters) for _ in range(n))
+
+    short, long = noise(300), noise(520)
+    texts = [noise(450) + short + noise(450) for _ in range(25)] + [noise(450) + long + noise(450) for _ in range(25)]
+    rows = list(enumerate(texts))
+    kept = {}
+    write = run_length_dedup.written
+    monkeypatch.setattr(run_length_dedup, "written", lambda frame, name: kept.setdefault(name, write(frame, name)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = run_length_dedup.kept_digests(docs, crowd=3)
+    spans = cases.repeated([t.encode() for t in texts], 400)
+    want = [(k, len(t), sum(b - a for a, b in s), len(s)) for (k, t), s in zip(rows, spans)]
+    assert [w[3] for w in want] == [0] * 25 + [1] * 25
+    assert got(found.select("doc_id", "n_bytes", "n_removed", "n_spans")) == sorted(want, key=cases.sort_key)
+    places = kept["contents"].where("crowded").selectExpr("sum(length(content) - 399)").first()[0]
+    assert places > 10_000
+    assert kept["strings"].count() + kept["slices"].count() < places / 4
