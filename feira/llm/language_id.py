@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.llm.components import written
-from feira.llm.shared import bounded_batches, tidy, utf8
+from feira.llm.shared import bounded_batches, packed_bytes, release, tidy, utf8
 
 UNKNOWN = "und"
 BITS = 12
@@ -98,12 +99,26 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 15
     return w[:-1], float(w[-1])
 
 
-def fit(vectors: list[np.ndarray], languages: list[str]) -> dict:
-    """Hyperplanes: one per family against the rest, one per pair of languages of a family."""
+def _matrix(packed: pa.ChunkedArray) -> np.ndarray:
+    """The compressed vectors as rows; unpacked one by one, so that the driver holds them once."""
+    unpacker = zstandard.ZstdDecompressor()
+    x = np.empty((len(packed), 1 << BITS), np.float32)
+    for k, v in enumerate(packed):
+        x[k] = np.frombuffer(unpacker.decompress(v.as_py()), np.float32)
+    return x
+
+
+def _spread(x: np.ndarray, columns: int = 256) -> np.ndarray:
+    """Standard deviation of each column, some columns at a time: no copy of the whole matrix."""
+    return np.concatenate([x[:, k:k + columns].std(axis=0) for k in range(0, x.shape[1], columns)])
+
+
+def fit(vectors: list[np.ndarray] | np.ndarray, languages: list[str]) -> dict:
+    """Hyperplanes: one per family against the rest, one per pair of languages of a family. A given matrix is scaled in place."""
     names = sorted(set(languages))
     families = sorted({family_of(x) for x in names})
-    x = np.stack(vectors) if vectors else np.zeros((0, 1 << BITS), np.float32)
-    spread = 1 / (x.std(axis=0) + 1e-4) if len(x) else np.ones(1 << BITS)
+    x = vectors if isinstance(vectors, np.ndarray) else np.stack(vectors) if vectors else np.zeros((0, 1 << BITS), np.float32)
+    spread = 1 / (_spread(x) + 1e-4) if len(x) else np.ones(1 << BITS)
     x *= (spread / np.sqrt(1 << BITS)).astype(np.float32)
     label = np.array(languages)
     group = np.array([family_of(v) for v in languages])
@@ -197,8 +212,11 @@ def learn(labelled: DataFrame, text: str = "text", language: str = "lang", key:
             x = [frequencies(t).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), batch.column(1)], names=["text", "language"])
 
-    found = rows.mapInArrow(tidy(features), "text binary, language string").orderBy("language", "text").limit(max_rows).toArrow()
-    return fit([np.frombuffer(x, np.float32) for x in found.column(0).to_pylist()], found.column(1).to_pylist())
+    found = rows.mapInArrow(tidy(features), "text binary, language string").orderBy("language", "text").limit(max_rows).select(
+        "language", "text").mapInArrow(tidy(packed_bytes), "language string, packed binary").toArrow()
+    model = fit(_matrix(found.column(1)), found.column(0).to_pylist())
+    release()
+    return model
 
 
 def identify(frame: DataFrame, model: dict, text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from datetime import date
 
 import numpy as np
@@ -249,3 +250,14 @@ def test_shards_hold_every_token_once(spark):
     assert sorted(map(tuple, resumed)) == sorted(tuple(r) for r in back if r.place >= 120) if not any(r.doc is None for r in back) else len(resumed) == len(back) - 120
     none = training_order.materialise(docs.limit(0), RANKS, public_tokenizers.PATTERN, "k")
     assert none.collect() == [] and training_order.read_shards(none).collect() == []
+
+
+def test_learning_holds_the_features_once():
+    """The driver's memory for learning is the matrix of features, not several copies of it."""
+    vectors = [v for v in np.random.default_rng(1).random((600, 1 << language_id.BITS), np.float32)]
+    whole = sum(v.nbytes for v in vectors)
+    tracemalloc.start()
+    language_id.fit(vectors, ["en", "fr"] * 300)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * whole
