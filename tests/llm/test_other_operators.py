@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 from datetime import date
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +254,35 @@ def test_shards_hold_every_token_once(spark):
     assert none.collect() == [] and training_order.read_shards(none).collect() == []
 
 
+def shuffle_bytes(spark):
+    """Bytes of the shuffle files that the session has on disk now."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = 0
+    while files.hasNext():
+        file = files.next()
+        found += file.length() if file.getName().startswith("shuffle_") else 0
+    return found
+
+
+def test_shards_need_little_disk_beside_them(spark, tmp_path):
+    """The table of sequences is compressed, passes give the shards of a single pass, and their shuffles don't stay."""
+    texts = [(k, " ".join(f"word{(k * 31 + j * j) % 977}" for j in range(300))) for k in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = training_order.sequences(docs, RANKS, public_tokenizers.PATTERN, sequence=64)
+    for file in (f.removeprefix("file://") for f in rows.inputFiles()):
+        assert pq.ParquetFile(file).metadata.row_group(0).column(2).compression == "ZSTD"
+    placed, total = training_order.numbered(rows, "k")
+    before = shuffle_bytes(spark)
+    shards = [training_order.write_shards(placed, f"file://{tmp_path}/{k}", 64, 500, k) for k in (1, 3)]
+    assert spark.conf.get(training_order.REMOVES_SHUFFLES) == "false"
+    until = time.monotonic() + 20  # Spark removes them in the background
+    while shuffle_bytes(spark) > before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert shuffle_bytes(spark) <= before
+    one, three = ({r.shard: (r.records, open(r.path.removeprefix("file://"), "rb").read()) for r in s.collect()} for s in shards)
+    assert one == three and list(sorted(one)) == list(range(-(-total // 500))) and sum(n for n, _ in one.values()) == total
+
+
 def test_learning_holds_the_features_once():
     """The driver's memory for learning is the matrix of features, not several copies of it."""
     vectors = [v for v in np.random.default_rng(1).random((600, 1 << language_id.BITS), np.float32)]
